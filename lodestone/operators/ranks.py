@@ -113,20 +113,21 @@ def order_statistics(df: DataFrame, group_cols: list[str], value_col: str, targe
         data.unpersist()
 
 
-def percent_rank_filter(df: DataFrame, group_cols: list[str], value_col: str, fraction: float,
-                        descending: bool = False) -> DataFrame:
-    """Rows of ``df`` where ``percent_rank() over (partition by group_cols order
-    by value_col [desc]) <= fraction`` (W4, W5), without a per-group sort.
+def percent_rank_threshold(df: DataFrame, group_cols: list[str], value_col: str,
+                           fraction: float, descending: bool = False) -> DataFrame:
+    """``(group_cols..., _thr)``: per group, the cut-off value such that
+    ``percent_rank() over (partition by group_cols order by value_col [desc])
+    <= fraction`` holds exactly for rows with value >= _thr (desc) or
+    <= _thr (asc). One row per group; nulls are not ranked.
 
-    percent_rank = c/(n-1), c = rows strictly ahead. The kept rows are exactly
-    those at or ahead of the i*-th value, i* - 1 = the largest c with
-    c/(n-1) <= fraction (same double division as the window function).
-    Rows with a null value are not ranked and not returned.
+    percent_rank = c/(n-1), c = rows strictly ahead. The kept rows are those at
+    or ahead of the i*-th value, i* - 1 = the largest c with c/(n-1) <= fraction
+    (the same double division as the window function).
     """
     g = list(group_cols)
     if not g:
-        return percent_rank_filter(df.withColumn("_g", F.lit(0)), ["_g"], value_col, fraction,
-                                   descending).drop("_g")
+        return percent_rank_threshold(df.withColumn("_g", F.lit(0)), ["_g"], value_col, fraction,
+                                      descending).drop("_g")
     f = F.lit(float(fraction))
     vals = df.where(F.col(value_col).isNotNull())
     counts = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
@@ -139,7 +140,30 @@ def percent_rank_filter(df: DataFrame, group_cols: list[str], value_col: str, fr
     istar = cmax + 1
     r = (F.col("n") - istar + 1) if descending else istar
     targets = counts.select(*g, F.lit(0).cast("long").alias("tid"), r.alias("r"))
-    thr = order_statistics(vals, g, value_col, targets).select(*g, F.col("value").alias("_thr"))
-    keep = (F.col(value_col) >= F.col("_thr")) if descending else (F.col(value_col) <= F.col("_thr"))
-    # thresholds: one row per group, size already bounded by MAX_TARGETS
-    return vals.join(F.broadcast(thr), g).where(keep).select(*df.columns)
+    return order_statistics(vals, g, value_col, targets).select(*g, F.col("value").alias("_thr"))
+
+
+def percent_rank_flag(df: DataFrame, group_cols: list[str], value_col: str, fraction: float,
+                      descending: bool = False, flag: str = "_sel") -> DataFrame:
+    """``df`` plus boolean ``flag``: whether the row passes the percent_rank
+    cut. The per-group thresholds (one row per group, count bounded by
+    MAX_TARGETS) are broadcast; rows never move."""
+    g = list(group_cols)
+    thr = percent_rank_threshold(df, g, value_col, fraction, descending)
+    v, t = F.col(value_col), F.col("_thr")
+    keep = (v >= t) if descending else (v <= t)
+    if not g:
+        thr_v = thr.first()
+        keep = (v >= F.lit(thr_v[0])) if descending else (v <= F.lit(thr_v[0]))
+        return df.withColumn(flag, F.coalesce(keep, F.lit(False)))
+    return (df.join(F.broadcast(thr), g, "left")
+            .withColumn(flag, F.coalesce(keep, F.lit(False))).select(*df.columns, flag))
+
+
+def percent_rank_filter(df: DataFrame, group_cols: list[str], value_col: str, fraction: float,
+                        descending: bool = False) -> DataFrame:
+    """Rows of ``df`` where ``percent_rank() over (partition by group_cols order
+    by value_col [desc]) <= fraction`` (W4, W5), without a per-group sort.
+    Rows with a null value are not ranked and not returned."""
+    return (percent_rank_flag(df, group_cols, value_col, fraction, descending, "_keep")
+            .where("_keep").drop("_keep"))

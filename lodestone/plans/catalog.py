@@ -160,3 +160,153 @@ def q_count_by_lang_quality(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang")
     return count_by(docs.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id"),
                     "lang", "quality", order=False).orderBy("lang")
+
+
+# --- D1-D10 k-medoids ----------------------------------------------------------
+
+from lodestone.functions.sampling import hash_fraction  # noqa: E402
+from lodestone.functions.vectors import dot  # noqa: E402
+from lodestone.operators.kmedoids import (  # noqa: E402
+    _collect_medoids, assign, initial_assignment, k_medoids, pick_medoids, prepare_points,
+    update_medoids)
+from lodestone.operators.ranks import percent_rank_filter  # noqa: E402
+
+# DuckDB: unit vectors of the embeddings (zero stays zero) and the md5 pick of k medoids.
+_SQL_UNIT = """
+units AS (
+  SELECT vec_id, label, CASE WHEN nrm > 0 THEN list_transform(v, lambda x: x / nrm)
+                        ELSE list_transform(v, lambda x: 0.0) END AS u
+  FROM (SELECT vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS nrm
+        FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)))"""
+
+
+def _sql_pick(k: int, seed: int = 42) -> str:
+    return f"""
+picked AS (SELECT vec_id AS medoid_id, u AS mu FROM units
+           ORDER BY md5(CAST(vec_id AS VARCHAR) || ':{seed}'), vec_id LIMIT {k})"""
+
+
+def _points(spark, sf):
+    return prepare_points(table(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
+def _picked(points, k, seed=42):
+    rows = pick_medoids(points, k, seed).collect()
+    return _collect_medoids(sorted((r["id"], r["id"], r["u"]) for r in rows))
+
+
+@register("kmedoids_pick", f"""
+WITH {_SQL_UNIT}, {_sql_pick(5)} SELECT medoid_id AS vec_id FROM picked""")
+def q_km_pick(spark, sf):
+    return pick_medoids(_points(spark, sf), 5, 42).select(F.col("id").alias("vec_id"))
+
+
+_SQL_ASSIGN = f"""
+WITH {_SQL_UNIT}, {_sql_pick(10)},
+d AS (SELECT units.vec_id, picked.medoid_id,
+             round(1 - list_dot_product(units.u, picked.mu), 12) AS dist
+      FROM units CROSS JOIN picked),
+a AS (SELECT vec_id, arg_min(medoid_id, (dist, medoid_id)) AS medoid_id, min(dist) AS dist
+      FROM d GROUP BY vec_id)"""
+
+
+@register("kmedoids_assign", _SQL_ASSIGN + """
+SELECT vec_id, medoid_id, round(dist, 6) + 0.0 AS dist FROM a""")
+def q_km_assign(spark, sf):
+    pts = _points(spark, sf)
+    return assign(pts, _picked(pts, 10)).select(
+        F.col("id").alias("vec_id"), "medoid_id", F.round("dist", 6).alias("dist"))
+
+
+_SQL_PAIRWISE_BY_LABEL = f"""
+WITH {_SQL_UNIT},
+s AS (SELECT a.label, a.vec_id, sum(1 - list_dot_product(a.u, b.u)) AS s
+      FROM units a JOIN units b ON a.label = b.label GROUP BY a.label, a.vec_id)
+SELECT label, arg_min(vec_id, (round(s, 9), vec_id)) AS medoid_id, round(min(s), 6) AS s
+FROM s GROUP BY label"""
+
+
+@register("kmedoids_update_by_label", _SQL_PAIRWISE_BY_LABEL)
+def q_km_update(spark, sf):
+    e = table(spark, sf, "embeddings")
+    pts = prepare_points(e, "vec_id", "embedding").join(
+        e.select(F.col("vec_id").alias("id"), "label"), "id")
+    return update_medoids(pts).select("label", "medoid_id", F.round("s", 6).alias("s"))
+
+
+@register("kmedoids_one_pass", _SQL_ASSIGN + """,
+j AS (SELECT a.medoid_id AS label, x.vec_id, x.u FROM a JOIN units x USING (vec_id)),
+s AS (SELECT p.label, p.vec_id, sum(1 - list_dot_product(p.u, q.u)) AS s
+      FROM j p JOIN j q ON p.label = q.label GROUP BY p.label, p.vec_id)
+SELECT label, arg_min(vec_id, (round(s, 9), vec_id)) AS medoid_id, round(min(s), 6) AS s
+FROM s GROUP BY label""")
+def q_km_one_pass(spark, sf):
+    pts = _points(spark, sf)
+    return update_medoids(assign(pts, _picked(pts, 10))).select(
+        "label", "medoid_id", F.round("s", 6).alias("s"))
+
+
+@register("kmedoids_sample", """
+SELECT vec_id FROM embeddings
+WHERE substr(md5(CAST(vec_id AS VARCHAR) || ':42:1:reassign'), 1, 8) < '33333333'""")
+def q_km_sample(spark, sf):
+    e = table(spark, sf, "embeddings").select(F.col("vec_id"))
+    return e.where(hash_fraction("vec_id", 0.2, 42, 1, "reassign"))
+
+
+@register("kmedoids_initial_mod", f"""
+WITH {_SQL_UNIT}, {_sql_pick(5)},
+m AS (SELECT medoid_id, row_number() OVER (ORDER BY medoid_id) - 1 AS slot FROM picked)
+SELECT units.vec_id, m.medoid_id FROM units JOIN m ON units.vec_id % 5 = m.slot""")
+def q_km_initial_mod(spark, sf):
+    pts = _points(spark, sf)
+    return initial_assignment(pts, _picked(pts, 5), 5, "mod").select(
+        F.col("id").alias("vec_id"), "medoid_id")
+
+
+def _dist_to_label_first(spark, sf):
+    """Distance (6 places) of each embedding to the first vector of its label."""
+    e = table(spark, sf, "embeddings")
+    pts = prepare_points(e, "vec_id", "embedding").join(
+        e.select(F.col("vec_id").alias("id"), "label"), "id")
+    firsts = pts.groupBy("label").agg(F.min(F.struct("id", "u")).alias("m")).select(
+        "label", F.col("m.u").alias("mu"))
+    return pts.join(F.broadcast(firsts), "label").select(
+        F.col("id").alias("vec_id"), "label",
+        F.round(F.lit(1.0) - dot("u", "mu"), 6).alias("dist"))
+
+
+_SQL_DIST_FIRST = f"""
+WITH {_SQL_UNIT},
+f AS (SELECT label, arg_min(u, vec_id) AS mu FROM units GROUP BY label),
+d AS (SELECT units.vec_id, units.label, round(1 - list_dot_product(units.u, f.mu), 6) + 0.0 AS dist
+      FROM units JOIN f USING (label))"""
+
+
+@register("kmedoids_worst_points", _SQL_DIST_FIRST + """
+SELECT vec_id, label, dist FROM (
+  SELECT *, percent_rank() OVER (PARTITION BY label ORDER BY dist DESC) AS pr FROM d)
+WHERE pr <= 0.2""")
+def q_km_worst(spark, sf):
+    return percent_rank_filter(_dist_to_label_first(spark, sf), ["label"], "dist", 0.2, True)
+
+
+@register("kmedoids_core_points", _SQL_DIST_FIRST + """
+SELECT vec_id, label, dist FROM (
+  SELECT *, percent_rank() OVER (PARTITION BY label ORDER BY dist) AS pr FROM d)
+WHERE pr <= 0.3""")
+def q_km_core(spark, sf):
+    return percent_rank_filter(_dist_to_label_first(spark, sf), ["label"], "dist", 0.3, False)
+
+
+def _km_run(variant: str, k: int = 8):
+    def run(spark, sf):
+        res = k_medoids(table(spark, sf, "embeddings"), "vec_id", "embedding", k, variant,
+                        max_iter=20, seed=42)
+        return res.assignments.select(F.col("id").alias("vec_id"), "label", "medoid_id",
+                                      F.round("dist", 6).alias("dist"))
+    return run
+
+
+for _v in ("base", "improved", "local", "sampling", "smart_sampling"):
+    register(f"kmedoids_{_v}")(_km_run(_v))
