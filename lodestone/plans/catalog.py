@@ -310,3 +310,60 @@ def _km_run(variant: str, k: int = 8):
 
 for _v in ("base", "improved", "local", "sampling", "smart_sampling"):
     register(f"kmedoids_{_v}")(_km_run(_v))
+
+
+# --- M1-M10 classifier ---------------------------------------------------------
+
+from lodestone.operators.model import (  # noqa: E402
+    fit_and_score, hash_split, prediction_breakdown, string_index, tune)
+
+# Stand-in for the census table: documents with their quality label.
+_CATEGORICAL = ["lang", "source"]
+_NUMERIC = ["n_chars"]
+_LABEL = "quality"
+
+
+def _labelled(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return docs.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+
+
+def _sql_index(col: str) -> str:
+    return f"""
+SELECT {col}, CAST(row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 AS DOUBLE) AS {col}_index
+FROM documents JOIN labels USING (doc_id) WHERE {col} IS NOT NULL GROUP BY {col}"""
+
+
+@register("ml_index_lang", _sql_index("lang"))
+def q_ml_index_lang(spark, sf):
+    return string_index(_labelled(spark, sf), "lang")
+
+
+@register("ml_index_source", _sql_index("source"))
+def q_ml_index_source(spark, sf):
+    return string_index(_labelled(spark, sf), "source")
+
+
+@register("ml_hash_split", """
+SELECT CASE WHEN substr(md5(CAST(doc_id AS VARCHAR) || ':42:split'), 1, 8) < 'cccccccc'
+            THEN 'train' ELSE 'test' END AS part, count(*) AS count
+FROM documents JOIN labels USING (doc_id) GROUP BY part""")
+def q_ml_split(spark, sf):
+    train, test = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
+    return (train.select(F.lit("train").alias("part"))
+            .unionByName(test.select(F.lit("test").alias("part")))
+            .groupBy("part").agg(F.count(F.lit(1)).alias("count")))
+
+
+@register("ml_predictions")
+def q_ml_predictions(spark, sf):
+    train, test = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
+    _, ev = fit_and_score(train, test, _CATEGORICAL, _NUMERIC, _LABEL)
+    return ev.predictions.select("doc_id", "quality", "label", "prediction")
+
+
+@register("ml_cv_breakdown_by_lang")
+def q_ml_cv(spark, sf):
+    train, test = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
+    model = tune(train, _CATEGORICAL, _NUMERIC, _LABEL)
+    return prediction_breakdown(model.transform(test), "lang")

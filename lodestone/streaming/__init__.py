@@ -1,0 +1,6 @@
+"""Streaming forms of the batch operators.
+
+The reference has no stream source, window or state; the only streaming piece
+here is the same word count over a directory that receives text files, which
+Structured Streaming keeps as a running aggregate.
+"""
