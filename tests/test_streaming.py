@@ -1,0 +1,16 @@
+from lodestone.streaming.text_stream import start_word_count
+
+
+def test_streaming_word_count(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("one two two\n")
+    q = start_word_count(spark, str(src), str(tmp_path / "ckpt"), query_name="wc_test")
+    try:
+        q.processAllAvailable()
+        (src / "b.txt").write_text("Two three\n")
+        q.processAllAvailable()
+        got = {r.word: r["count"] for r in spark.sql("SELECT * FROM wc_test").collect()}
+    finally:
+        q.stop()
+    assert got == {"one": 1, "two": 3, "three": 1}
