@@ -34,10 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.sampling import hash_fraction, hash_key
+from lodestone.functions import vector_kernels as K
 from lodestone.functions.vectors import dot, double_array_literal, unit
 from lodestone.operators.ranks import percent_rank_filter, percent_rank_flag
 from lodestone.session import checkpoint_dir
 
+# "arrow": vector math in Arrow-batched numpy kernels (fast); "sql": the same
+# formulas as Spark array higher-order functions (pure JVM, interpreted).
+ENGINE = "arrow"
 # Medoid rows are shipped to every task; k * dim doubles must stay below this.
 MAX_MEDOID_CELLS = 16_000_000
 # Decimal places of a distance before it is compared (ties then go to the smaller id).
@@ -56,10 +60,16 @@ class KMedoidsResult:
 
 # --- points and medoids ------------------------------------------------------
 
-def prepare_points(df: DataFrame, id_col: str, vec_col: str, dim: int | None = None) -> DataFrame:
+def _unit(vec, dim: int | None, engine: str) -> Column:
+    return K.unit_vectors(vec, dim) if engine == "arrow" else unit(vec, dim)
+
+
+def prepare_points(df: DataFrame, id_col: str, vec_col: str, dim: int | None = None,
+                   engine: str | None = None) -> DataFrame:
     """``(id bigint, u array<double>)``: unit vectors; a vector whose length is
     not ``dim`` fails the job."""
-    return df.select(F.col(id_col).cast("long").alias("id"), unit(vec_col, dim).alias("u"))
+    return df.select(F.col(id_col).cast("long").alias("id"),
+                     _unit(vec_col, dim, engine or ENGINE).alias("u"))
 
 
 def pick_medoids(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
@@ -104,9 +114,22 @@ def distance_to(u, label, medoids: Column) -> Column:
     return F.round(F.lit(1.0) - dot(u, vec), DIST_DECIMALS)
 
 
-def assign(points: DataFrame, medoids: list[tuple[int, int, list[float]]]) -> DataFrame:
+def _nearest(u, medoids, spark, engine: str | None) -> Column:
+    if (engine or ENGINE) == "arrow":
+        return K.nearest_medoid(u, medoids, spark)
+    return nearest(u, medoid_literal(medoids))
+
+
+def _distance_to(u, label, medoids, spark, engine: str | None) -> Column:
+    if (engine or ENGINE) == "arrow":
+        return K.distance_to_label(u, label, medoids, spark)
+    return distance_to(u, label, medoid_literal(medoids))
+
+
+def assign(points: DataFrame, medoids: list[tuple[int, int, list[float]]],
+           engine: str | None = None) -> DataFrame:
     """``(id, u, label, medoid_id, dist)``: every point to its nearest medoid."""
-    best = nearest("u", medoid_literal(medoids))
+    best = _nearest("u", medoids, points.sparkSession, engine)
     return points.select("id", "u", best["label"].alias("label"), best["mid"].alias("medoid_id"),
                          best["dist"].alias("dist"))
 
@@ -120,7 +143,7 @@ def cluster_sums(assigned: DataFrame) -> list[tuple[int, int, list[float]]]:
     return _collect_medoids([(r["label"], r["n"], r["S"]) for r in rows])
 
 
-def update_medoids(assigned: DataFrame) -> DataFrame:
+def update_medoids(assigned: DataFrame, engine: str | None = None) -> DataFrame:
     """``(label, medoid_id, s, u)``: per cluster the member with the least
     sum of distances to all members, s (ties: smaller id).
 
@@ -131,12 +154,16 @@ def update_medoids(assigned: DataFrame) -> DataFrame:
     if not sums:
         return assigned.select("label", F.col("id").alias("medoid_id"),
                                F.lit(0.0).alias("s"), "u").where(F.lit(False))
-    table = F.map_from_arrays(
-        F.array(*[F.lit(lbl).cast("long") for lbl, _, _ in sums]),
-        F.array(*[F.struct(F.lit(n).cast("double").alias("n"),
-                           double_array_literal(vec).alias("S")) for _, n, vec in sums]))
-    ks = F.element_at(table, F.col("label"))
-    scored = assigned.select("label", "id", "u", (ks["n"] - dot("u", ks["S"])).alias("s"))
+    if (engine or ENGINE) == "arrow":
+        score = K.medoid_score("u", "label", sums, assigned.sparkSession)
+    else:
+        table = F.map_from_arrays(
+            F.array(*[F.lit(lbl).cast("long") for lbl, _, _ in sums]),
+            F.array(*[F.struct(F.lit(n).cast("double").alias("n"),
+                               double_array_literal(vec).alias("S")) for _, n, vec in sums]))
+        ks = F.element_at(table, F.col("label"))
+        score = ks["n"] - dot("u", ks["S"])
+    scored = assigned.select("label", "id", "u", score.alias("s"))
     best = scored.groupBy("label").agg(
         F.min(F.struct(F.round("s", SUM_DECIMALS).alias("s"), "id", "u")).alias("b"))
     return best.select("label", F.col("b.id").alias("medoid_id"), F.col("b.s").alias("s"),
@@ -155,7 +182,7 @@ def medoid_cost_pairwise(assigned: DataFrame) -> DataFrame:
 
 
 def initial_assignment(points: DataFrame, medoids: list[tuple[int, int, list[float]]], k: int,
-                       how: str = "mod", seed: int = 42) -> DataFrame:
+                       how: str = "mod", seed: int = 42, engine: str | None = None) -> DataFrame:
     """D3: ``(id, u, label, medoid_id, dist)`` without a distance search.
     Medoids are numbered 0..k-1 by id; a point goes to number ``id mod k``
     (``how="mod"``) or to ``floor(h * k)`` for h uniform from md5(id:seed)
@@ -173,7 +200,7 @@ def initial_assignment(points: DataFrame, medoids: list[tuple[int, int, list[flo
     idx = slot.cast("int") + 1
     out = points.select("id", "u", F.element_at(labels, idx).alias("label"),
                         F.element_at(mids, idx).alias("medoid_id"))
-    return out.withColumn("dist", distance_to("u", "label", medoid_literal(medoids)))
+    return out.withColumn("dist", _distance_to("u", "label", medoids, points.sparkSession, engine))
 
 
 # --- the loop ----------------------------------------------------------------
@@ -199,7 +226,7 @@ def _go_on(prev: float, cur: float, rule: str, tol: float) -> bool:
 def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "improved",
               tol: float = 0.005, max_iter: int = 50, seed: int = 42,
               init_ids: list[int] | None = None, fraction: float = 0.2,
-              core_fraction: float = 0.3) -> KMedoidsResult:
+              core_fraction: float = 0.3, engine: str | None = None) -> KMedoidsResult:
     """D10. Returns assignments, medoids and the per-pass cost trace.
 
     Every variant stops on the first pass that fails its test and reports that
@@ -212,16 +239,18 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
     raw = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
     if init_ids is not None:
         first = raw.where(F.col("id").isin([int(i) for i in init_ids])).select(
-            "id", unit("v").alias("u")).collect()
+            "id", _unit("v", None, engine).alias("u")).collect()
         if len(first) != len(init_ids):
             raise ValueError("init_ids not all found")
         k = len(first)
     else:
-        first = pick_medoids(raw.select("id", unit("v").alias("u")), k, seed).collect()
+        # pick on the raw rows, normalise only the k picked
+        picked = pick_medoids(raw, k, seed)
+        first = picked.select("id", _unit("v", None, engine).alias("u")).collect()
     if not first:
         raise ValueError("no points")
     dim = len(first[0]["u"])
-    points = raw.select("id", unit("v", dim).alias("u")).persist(StorageLevel.MEMORY_AND_DISK)
+    points = raw.select("id", _unit("v", dim, engine).alias("u")).persist(StorageLevel.MEMORY_AND_DISK)
     medoids = _collect_medoids(sorted((r["id"], r["id"], r["u"]) for r in first))
     costs: list[float] = []
     prev, cur = float("inf"), float("1.7976931348623157e308")
@@ -230,18 +259,18 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
     to_release: list[DataFrame] = []
 
     if variant == "local":
-        cur = assign(points, medoids).agg(F.sum("dist")).first()[0]
+        cur = assign(points, medoids, engine).agg(F.sum("dist")).first()[0]
 
     if variant in ("sampling", "smart_sampling"):
         how = "hash" if variant == "sampling" else "mod"
-        state = _checkpoint(initial_assignment(points, medoids, k, how, seed))
+        state = _checkpoint(initial_assignment(points, medoids, k, how, seed, engine))
 
     it = 0
     while _go_on(prev, cur, rule, tol) and it < max_iter:
         it += 1
         if variant in ("base", "improved", "local"):
-            assigned = assign(points, medoids)
-            new = update_medoids(assigned).collect()
+            assigned = assign(points, medoids, engine)
+            new = update_medoids(assigned, engine).collect()
             step_cost = float(sum(r["s"] for r in new))
             by_label = {r["label"]: r for r in new}
             # a cluster with no member keeps its medoid
@@ -251,10 +280,10 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
             if variant == "base":   # the label is the medoid itself, renamed each pass
                 medoids = [(mid, mid, vec) for _, mid, vec in medoids]
             if variant == "local":
-                step_cost = assign(points, medoids).agg(F.sum("dist")).first()[0]
+                step_cost = assign(points, medoids, engine).agg(F.sum("dist")).first()[0]
         else:
-            lit_m = medoid_literal(medoids)
-            cur_state = state.withColumn("dist", distance_to("u", "label", lit_m)) \
+            cur_state = state.withColumn(
+                "dist", _distance_to("u", "label", medoids, spark, engine)) \
                 if variant == "smart_sampling" else state
             if variant == "sampling":
                 pick = hash_fraction("id", fraction, seed, it, "reassign")
@@ -262,7 +291,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
             else:
                 marked = percent_rank_flag(cur_state, ["label"], "dist", fraction,
                                            descending=True)
-            best = nearest("u", lit_m)
+            best = _nearest("u", medoids, spark, engine)
             merged = marked.select(
                 "id", "u",
                 F.when(F.col("_sel"), best["label"]).otherwise(F.col("label")).alias("label"),
@@ -276,7 +305,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
             else:
                 cand = percent_rank_filter(state, ["label"], "dist", core_fraction,
                                            descending=False)
-            new = update_medoids(cand.select("id", "u", "label")).collect()
+            new = update_medoids(cand.select("id", "u", "label"), engine).collect()
             by_label = {r["label"]: r for r in new}
             medoids = _collect_medoids([(m[0], by_label[m[0]]["medoid_id"], by_label[m[0]]["u"])
                                         if m[0] in by_label else m for m in medoids])
@@ -287,7 +316,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
     if state is not None:
         assignments = state.select("id", "label", "medoid_id", "dist")
     else:
-        assignments = assign(points, medoids).select("id", "label", "medoid_id", "dist")
+        assignments = assign(points, medoids, engine).select("id", "label", "medoid_id", "dist")
     med_df = spark.createDataFrame([(m[0], m[1]) for m in medoids], "label long, medoid_id long")
     trace = spark.createDataFrame([(i + 1, c) for i, c in enumerate(costs)],
                                   "iteration int, cost double")

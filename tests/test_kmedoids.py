@@ -23,37 +23,40 @@ def _trace(res):
     return [round(r.cost, 6) for r in res.trace.orderBy("iteration").collect()]
 
 
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
 @pytest.mark.parametrize("variant,init,trace", [
     ("improved", [0, 3], [1.073478, 1.073478]),
     ("improved", [0, 1], [1.984383, 1.073478, 1.073478]),
     ("base", [0, 1], [1.984383, 1.073478, 1.073478]),
     ("local", [0, 1], [1.16408, 1.073478, 1.073478]),
 ])
-def test_planted_fixture(planted, variant, init, trace):
-    res = k_medoids(planted, "id", "v", 2, variant, init_ids=init)
+def test_planted_fixture(planted, variant, init, trace, engine):
+    res = k_medoids(planted, "id", "v", 2, variant, init_ids=init, engine=engine)
     assert _trace(res) == trace
     assert sorted(r.medoid_id for r in res.medoids.collect()) == [1, 4]
     got = {r.id: r.medoid_id for r in res.assignments.collect()}
     assert got == {0: 1, 1: 1, 2: 1, 3: 4, 4: 4, 5: 4, 6: 1}   # zero vector: tie -> smaller id
 
 
-def test_factored_update_equals_pairwise(spark):
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
+def test_factored_update_equals_pairwise(spark, engine):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(size=6)], int(i % 4)) for i in range(80)]
     rows.append((80, [0.0] * 6, 1))
     rows.append((81, rows[5][1], 1))                   # an equal vector under another id
     df = spark.createDataFrame(rows, "id long, v array<double>, label long")
-    pts = prepare_points(df, "id", "v").join(df.select("id", "label"), "id")
-    fact = {r.label: (r.medoid_id, round(r.s, 6)) for r in update_medoids(pts).collect()}
+    pts = prepare_points(df, "id", "v", engine=engine).join(df.select("id", "label"), "id")
+    fact = {r.label: (r.medoid_id, round(r.s, 6)) for r in update_medoids(pts, engine).collect()}
     pair = {r.label: (r.medoid_id, round(r.s, 6)) for r in medoid_cost_pairwise(pts).collect()}
     assert fact == pair
 
 
-def test_wrong_length_rejected(spark):
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
+def test_wrong_length_rejected(spark, engine):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0, 1.0])],
                                "id long, v array<double>")
     with pytest.raises(PySparkException):
-        k_medoids(df, "id", "v", 2, "improved", init_ids=[0, 1]).assignments.collect()
+        k_medoids(df, "id", "v", 2, "improved", init_ids=[0, 1], engine=engine).assignments.collect()
 
 
 def test_equal_vectors_keep_their_rows(spark):
@@ -127,8 +130,9 @@ def _brute(ids, X, k, variant, init, seed=42, tol=0.005, max_iter=20, frac=0.2,
     return costs, med, labels
 
 
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
 @pytest.mark.parametrize("variant", ["sampling", "smart_sampling"])
-def test_sampling_variants_match_brute_force(spark, variant):
+def test_sampling_variants_match_brute_force(spark, variant, engine):
     rng = np.random.default_rng(11)
     centers = rng.normal(size=(3, 4)) * 3
     X = np.vstack([centers[i % 3] + rng.normal(size=4) for i in range(60)])
@@ -137,20 +141,32 @@ def test_sampling_variants_match_brute_force(spark, variant):
                                "id long, v array<double>")
     init = [100, 101, 102]
     costs, med, labels = _brute(ids, X, 3, variant, init)
-    res = k_medoids(df, "id", "v", 3, variant, init_ids=init, max_iter=20)
+    res = k_medoids(df, "id", "v", 3, variant, init_ids=init, max_iter=20, engine=engine)
     assert [round(c, 6) for c in costs] == _trace(res)
     assert {r.label: r.medoid_id for r in res.medoids.collect()} == med
     got = {r.id: r.label for r in res.assignments.collect()}
     assert [got[i] for i in ids] == labels
 
 
-def test_assign_is_a_projection(spark, planted):
-    pts = prepare_points(planted, "id", "v")
-    plan = assign(pts, [(0, 0, [1.0, 0.0]), (3, 3, [0.0, 1.0])])._jdf.queryExecution() \
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
+def test_assign_is_a_projection(spark, planted, engine):
+    pts = prepare_points(planted, "id", "v", engine=engine)
+    plan = assign(pts, [(0, 0, [1.0, 0.0]), (3, 3, [0.0, 1.0])], engine)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
 
 
+def test_engines_agree_on_embeddings(spark):
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    out = {}
+    for engine in ("arrow", "sql"):
+        pts = prepare_points(e, "vec_id", "embedding", engine=engine)
+        med = [(r.id, r.id, r.u) for r in pts.orderBy("id").limit(6).collect()]
+        out[engine] = sorted((r.id, r.medoid_id, round(r.dist, 9))
+                             for r in assign(pts, med, engine).collect())
+    assert out["arrow"] == out["sql"]
+
+
 def test_embeddings_improved_runs(spark):
     e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     res = k_medoids(e, "vec_id", "embedding", 4, "improved", max_iter=5)
