@@ -6,30 +6,128 @@ statistic is found by range refinement instead:
 
 1. per target (group, rank r) keep an interval [lo, hi] known to hold the r-th
    smallest value, and ``below`` = rows of the group under lo;
-2. while an interval holds more than ``exact_limit`` rows, bucket its rows into
-   ``buckets`` equal-width buckets (a partial aggregate: groups x buckets rows
-   leave each task), and move to the bucket where the running count reaches r;
+2. while an interval holds more than ``exact_limit`` rows, count its rows in
+   ``buckets`` equal-width buckets (a partial aggregate: at most ``buckets``
+   rows per interval leave each task) and move to the bucket where the running
+   count reaches r;
 3. an interval that holds one value is resolved; the rest, at most
-   ``exact_limit`` rows per target, are ranked by a window.
+   ``exact_limit`` rows each, are ranked by a window partitioned by interval.
 
-Bucketing is monotone in the value, so running counts are exact; every pass
-shrinks an interval by about ``buckets`` times. The target table (a few rows
-per group) is broadcast, with its size checked.
+Bucketing is monotone in the value, so running counts are exact, and each pass
+shrinks an interval about ``buckets``-fold. Targets of one group share
+intervals until they part, and intervals of a group never overlap, so every
+row is read once per pass. The interval table is broadcast (size-checked);
+histograms (intervals x buckets rows) come back to the driver.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_TARGETS = 1_000_000
+MAX_TARGETS = 100_000
 MAX_PASSES = 200
+BUCKETS = 4096
+EXACT_LIMIT = 100_000
+
+
+def _slim(df: DataFrame, g: list[str], value_col: str) -> DataFrame:
+    return (df.select(*g, F.col(value_col).cast("double").alias("_v"))
+            .where(F.col("_v").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def _group_stats(slim: DataFrame, g: list[str]) -> list:
+    rows = (slim.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
+                                 F.max("_v").alias("hi"))
+            .limit(MAX_TARGETS + 1).collect())
+    if len(rows) > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} groups")
+    return rows
+
+
+def _refine(slim: DataFrame, g: list[str], targets: list[dict], buckets: int,
+            exact_limit: int) -> dict:
+    """targets: dicts with key (tuple of group values), tid, r, lo, hi, below,
+    cnt. Returns {(key, tid): value}."""
+    spark = slim.sparkSession
+    gfields = [f for f in slim.schema.fields if f.name in g]
+    iv_schema = T.StructType(gfields + [T.StructField("iid", T.LongType()),
+                                        T.StructField("lo", T.DoubleType()),
+                                        T.StructField("hi", T.DoubleType())])
+    done: dict = {}
+    active = []
+    for t in targets:
+        if t["cnt"] is None or not 1 <= t["r"] <= t["cnt"]:
+            done[(t["key"], t["tid"])] = None
+        elif t["lo"] == t["hi"]:
+            done[(t["key"], t["tid"])] = t["lo"]
+        else:
+            active.append(t)
+
+    def rows_in(ivs: dict) -> DataFrame:
+        table = spark.createDataFrame([k[0] + (iid, k[1], k[2]) for k, iid in ivs.items()],
+                                      iv_schema)
+        return (slim.join(F.broadcast(table), g)
+                .where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))))
+
+    passes = 0
+    while active:
+        intervals: dict = {}
+        for t in active:
+            intervals.setdefault((t["key"], t["lo"], t["hi"]), len(intervals))
+        cnt = {(t["key"], t["lo"], t["hi"]): t["cnt"] for t in active}
+        small = {k: i for k, i in intervals.items() if cnt[k] <= exact_limit}
+        big = {k: i for k, i in intervals.items() if cnt[k] > exact_limit}
+        nxt = []
+        if small:
+            wanted = sorted({(small[(t["key"], t["lo"], t["hi"])], t["r"] - t["below"])
+                             for t in active if (t["key"], t["lo"], t["hi"]) in small})
+            want = spark.createDataFrame(wanted, "iid long, _rn long")
+            w = Window.partitionBy("iid").orderBy("_v")
+            got = {(r.iid, r._rn): r._v for r in
+                   rows_in(small).select("iid", "_v").withColumn("_rn", F.row_number().over(w))
+                   .join(F.broadcast(want), ["iid", "_rn"]).collect()}
+            for t in active:
+                k = (t["key"], t["lo"], t["hi"])
+                if k in small:
+                    done[(t["key"], t["tid"])] = got[(small[k], t["r"] - t["below"])]
+        if big:
+            passes += 1
+            if passes > MAX_PASSES:
+                raise RuntimeError("order statistic did not converge")
+            width = F.col("hi") - F.col("lo")
+            b = F.least(F.floor((F.col("_v") - F.col("lo")) / width * F.lit(buckets)),
+                        F.lit(buckets - 1)).cast("int")
+            hist: dict = {}
+            for r in (rows_in(big).groupBy("iid", b.alias("b"))
+                      .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("mn"),
+                           F.max("_v").alias("mx")).collect()):
+                hist.setdefault(r.iid, []).append((r.b, r.c, r.mn, r.mx))
+            for h in hist.values():
+                h.sort()
+            for t in active:
+                k = (t["key"], t["lo"], t["hi"])
+                if k not in big:
+                    continue
+                before = t["below"]
+                for _, c, mn, mx in hist[big[k]]:
+                    if before < t["r"] <= before + c:
+                        if mn == mx:
+                            done[(t["key"], t["tid"])] = mn
+                        else:
+                            nxt.append(dict(t, lo=mn, hi=mx, below=before, cnt=c))
+                        break
+                    before += c
+        active = nxt
+    return done
 
 
 def order_statistics(df: DataFrame, group_cols: list[str], value_col: str, targets: DataFrame,
-                     buckets: int = 4096, exact_limit: int = 1_000_000) -> DataFrame:
+                     buckets: int = BUCKETS, exact_limit: int = EXACT_LIMIT) -> DataFrame:
     """``targets(group_cols..., tid, r)`` -> ``(group_cols..., tid, value)``: the
     r-th smallest non-null ``value_col`` of each group (1-based, ties counted).
     Targets with r outside [1, n] get a null value."""
@@ -38,79 +136,40 @@ def order_statistics(df: DataFrame, group_cols: list[str], value_col: str, targe
     if not g:  # one global group: a constant key keeps every join an equi-join
         return order_statistics(df.withColumn("_g", F.lit(0)), ["_g"], value_col,
                                 targets.withColumn("_g", F.lit(0)), buckets, exact_limit).drop("_g")
-    data = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    slim = _slim(df, g, value_col)
     try:
-        stats = data.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
-                                     F.max("_v").alias("_hi"))
-        tgt = targets.select(*g, "tid", F.col("r").cast("long").alias("r"))
-        state_df = tgt.join(stats, g, "left")
-        n_targets = state_df.count()
-        if n_targets > MAX_TARGETS:
-            raise ValueError(f"{n_targets} order-statistic targets exceed {MAX_TARGETS}")
-        state_schema = T.StructType(
-            [f for f in state_df.schema.fields if f.name in g]
-            + [T.StructField("tid", T.LongType()), T.StructField("r", T.LongType()),
-               T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType()),
-               T.StructField("below", T.LongType()), T.StructField("cnt", T.LongType())])
-        rows = state_df.select(*g, F.col("tid").cast("long"), "r", F.col("_lo").alias("lo"),
-                               F.col("_hi").alias("hi"), F.lit(0).cast("long").alias("below"),
-                               F.col("_n").alias("cnt")).collect()
-        done: list[tuple] = []
-        active: list[tuple] = []
-        for row in rows:
-            d = row.asDict()
-            if d["cnt"] is None or d["r"] < 1 or d["r"] > d["cnt"]:
-                done.append(tuple(d[c] for c in g) + (d["tid"], None))
-            elif d["lo"] == d["hi"]:
-                done.append(tuple(d[c] for c in g) + (d["tid"], d["lo"]))
-            else:
-                active.append(tuple(d[c] for c in state_schema.fieldNames()))
-
-        def in_interval(state_rows):
-            st = F.broadcast(spark.createDataFrame(state_rows, state_schema))
-            return data.join(st, g).where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
-
-        passes = 0
-        while True:
-            big = [a for a in active if a[-1] > exact_limit]
-            small = [a for a in active if a[-1] <= exact_limit]
-            if small:
-                w = Window.partitionBy(*g, "tid").orderBy("_v")
-                picked = (in_interval(small).withColumn("_rn", F.row_number().over(w))
-                          .where(F.col("_rn") == F.col("r") - F.col("below"))
-                          .select(*g, "tid", "_v").collect())
-                done.extend(tuple(p) for p in picked)
-            if not big:
-                break
-            passes += 1
-            if passes > MAX_PASSES:
-                raise RuntimeError("order statistic did not converge")
-            width = F.col("hi") - F.col("lo")
-            b = F.least(F.floor((F.col("_v") - F.col("lo")) / width * F.lit(buckets)),
-                        F.lit(buckets - 1)).cast("int")
-            hist = in_interval(big).withColumn("_b", b).groupBy(*g, "tid", "r", "below", "_b").agg(
-                F.count(F.lit(1)).alias("c"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
-            wc = Window.partitionBy(*g, "tid").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-            hist = hist.withColumn("_before", F.coalesce(F.sum("c").over(wc), F.lit(0)).cast("long"))
-            nxt = hist.where((F.col("below") + F.col("_before") < F.col("r"))
-                             & (F.col("r") <= F.col("below") + F.col("_before") + F.col("c")))
-            new_rows = nxt.select(*g, "tid", "r", F.col("mn").alias("lo"), F.col("mx").alias("hi"),
-                                  (F.col("below") + F.col("_before")).alias("below"),
-                                  F.col("c").alias("cnt")).collect()
-            active = []
-            for row in new_rows:
-                d = row.asDict()
-                if d["lo"] == d["hi"]:
-                    done.append(tuple(d[c] for c in g) + (d["tid"], d["lo"]))
-                else:
-                    active.append(tuple(d[c] for c in state_schema.fieldNames()))
-        out_schema = T.StructType([f for f in state_schema.fields if f.name in g]
-                                  + [T.StructField("tid", T.LongType()),
-                                     T.StructField("value", T.DoubleType())])
-        return spark.createDataFrame(done, out_schema)
+        stats = {tuple(r[c] for c in g): r for r in _group_stats(slim, g)}
+        tg = targets.select(*g, "tid", "r").limit(MAX_TARGETS + 1).collect()
+        if len(tg) > MAX_TARGETS:
+            raise ValueError(f"more than {MAX_TARGETS} targets")
+        state = []
+        for t in tg:
+            key = tuple(t[c] for c in g)
+            s = stats.get(key)
+            state.append(dict(key=key, tid=int(t.tid), r=int(t.r), lo=s and s.lo,
+                              hi=s and s.hi, below=0, cnt=s and s.n))
+        done = _refine(slim, g, state, buckets, exact_limit)
+        schema = T.StructType([f for f in slim.schema.fields if f.name in g]
+                              + [T.StructField("tid", T.LongType()),
+                                 T.StructField("value", T.DoubleType())])
+        return spark.createDataFrame([k + (tid, v) for (k, tid), v in done.items()], schema)
     finally:
-        data.unpersist()
+        slim.unpersist()
+
+
+def _cut_rank(n: int, fraction: float, descending: bool) -> int:
+    """Ascending rank of the cut-off value: percent_rank = c/(n-1) with
+    c = rows strictly ahead; i* - 1 = the largest c with c/(n-1) <= fraction,
+    in the same double arithmetic as the window function."""
+    if n <= 1:
+        cmax = 0
+    else:
+        nm1 = float(n - 1)
+        c0 = math.floor(fraction * nm1)
+        cmax = next((c for c in (c0 + 1, c0, c0 - 1) if c / nm1 <= fraction), c0 - 1)
+        cmax = min(max(cmax, 0), n - 1)
+    istar = cmax + 1
+    return n - istar + 1 if descending else istar
 
 
 def percent_rank_threshold(df: DataFrame, group_cols: list[str], value_col: str,
@@ -118,44 +177,41 @@ def percent_rank_threshold(df: DataFrame, group_cols: list[str], value_col: str,
     """``(group_cols..., _thr)``: per group, the cut-off value such that
     ``percent_rank() over (partition by group_cols order by value_col [desc])
     <= fraction`` holds exactly for rows with value >= _thr (desc) or
-    <= _thr (asc). One row per group; nulls are not ranked.
-
-    percent_rank = c/(n-1), c = rows strictly ahead. The kept rows are those at
-    or ahead of the i*-th value, i* - 1 = the largest c with c/(n-1) <= fraction
-    (the same double division as the window function).
-    """
+    <= _thr (asc). One row per group; nulls are not ranked."""
+    spark = df.sparkSession
     g = list(group_cols)
     if not g:
         return percent_rank_threshold(df.withColumn("_g", F.lit(0)), ["_g"], value_col, fraction,
                                       descending).drop("_g")
-    f = F.lit(float(fraction))
-    vals = df.where(F.col(value_col).isNotNull())
-    counts = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
-    nm1 = (F.col("n") - 1).cast("double")
-    c0 = F.floor(f * nm1).cast("long")
-    ok = lambda c: c.cast("double") / nm1 <= f
-    cmax = (F.when(F.col("n") <= 1, F.lit(0))
-            .when(ok(c0 + 1), c0 + 1).when(ok(c0), c0).otherwise(c0 - 1))
-    cmax = F.least(F.greatest(cmax, F.lit(0)), F.col("n") - 1)
-    istar = cmax + 1
-    r = (F.col("n") - istar + 1) if descending else istar
-    targets = counts.select(*g, F.lit(0).cast("long").alias("tid"), r.alias("r"))
-    return order_statistics(vals, g, value_col, targets).select(*g, F.col("value").alias("_thr"))
+    slim = _slim(df, g, value_col)
+    try:
+        state = []
+        for s in _group_stats(slim, g):
+            state.append(dict(key=tuple(s[c] for c in g), tid=0,
+                              r=_cut_rank(s.n, float(fraction), descending),
+                              lo=s.lo, hi=s.hi, below=0, cnt=s.n))
+        done = _refine(slim, g, state, BUCKETS, EXACT_LIMIT)
+        schema = T.StructType([f for f in slim.schema.fields if f.name in g]
+                              + [T.StructField("_thr", T.DoubleType())])
+        return spark.createDataFrame([k + (v,) for (k, _), v in done.items()], schema)
+    finally:
+        slim.unpersist()
 
 
 def percent_rank_flag(df: DataFrame, group_cols: list[str], value_col: str, fraction: float,
                       descending: bool = False, flag: str = "_sel") -> DataFrame:
     """``df`` plus boolean ``flag``: whether the row passes the percent_rank
-    cut. The per-group thresholds (one row per group, count bounded by
-    MAX_TARGETS) are broadcast; rows never move."""
+    cut. The per-group thresholds (one row per group, at most MAX_TARGETS)
+    are broadcast; the rows themselves never move."""
     g = list(group_cols)
     thr = percent_rank_threshold(df, g, value_col, fraction, descending)
-    v, t = F.col(value_col), F.col("_thr")
-    keep = (v >= t) if descending else (v <= t)
+    v = F.col(value_col)
     if not g:
-        thr_v = thr.first()
-        keep = (v >= F.lit(thr_v[0])) if descending else (v <= F.lit(thr_v[0]))
+        t = F.lit(thr.first()["_thr"]).cast("double")
+        keep = (v >= t) if descending else (v <= t)
         return df.withColumn(flag, F.coalesce(keep, F.lit(False)))
+    t = F.col("_thr")
+    keep = (v >= t) if descending else (v <= t)
     return (df.join(F.broadcast(thr), g, "left")
             .withColumn(flag, F.coalesce(keep, F.lit(False))).select(*df.columns, flag))
 

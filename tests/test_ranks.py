@@ -9,12 +9,8 @@ import lodestone.operators.ranks as R
 
 @pytest.fixture
 def tiny_limits(monkeypatch):
-    orig = R.order_statistics
-
-    def forced(*a, **k):
-        k.update(buckets=3, exact_limit=5)
-        return orig(*a, **k)
-    monkeypatch.setattr(R, "order_statistics", forced)
+    monkeypatch.setattr(R, "BUCKETS", 3)
+    monkeypatch.setattr(R, "EXACT_LIMIT", 5)
 
 
 def _data(spark, seed=7, n=400):
