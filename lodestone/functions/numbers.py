@@ -36,7 +36,7 @@ def long_array_literal(values) -> Column:
     return F.split(F.lit(text), ",").cast("array<bigint>")
 
 
-def is_prime_by_division(n, divisors: Column) -> Column:
+def is_prime_by_division(n, divisors: Column, small_divisors: tuple[int, ...] = ()) -> Column:
     """Trial division by a sorted array of odd divisors (the odd primes up to
     sqrt(max_number)).
 
@@ -44,11 +44,17 @@ def is_prime_by_division(n, divisors: Column) -> Column:
     Only the prefix of divisors that can be <= sqrt(n) is scanned: its length
     is bounded above by pi(x) < 1.25506 x / ln x (Rosser-Schoenfeld), so the
     cut never drops a divisor that matters, and the answer equals the scan of
-    the whole array.
+    the whole array. ``small_divisors`` (a prefix of ``divisors``) are also
+    tested up front as plain arithmetic.
     """
     n = _col(n)
     s = F.sqrt(n.cast("double"))
+    # the first few divisors as plain arithmetic: most composites stop here,
+    # before the array scan
+    quick = F.lit(True)
+    for d in small_divisors:
+        quick = quick & ((n <= d) | ((n % d) != 0))
     bound = (F.ceil(F.lit(1.26) * s / F.log(F.greatest(s, F.lit(3.0)))) + 2).cast("int")
     prefix = F.slice(divisors, 1, F.least(F.size(divisors), bound))
     has_divisor = F.exists(prefix, lambda d: (d < n) & ((n % d) == 0))
-    return (n == 2) | ((n > 2) & ((n % 2) == 1) & ~has_divisor)
+    return (n == 2) | ((n > 2) & ((n % 2) == 1) & quick & ~has_divisor)

@@ -12,6 +12,10 @@ from lodestone.functions.numbers import is_prime_by_division, long_array_literal
 # Upper limit on the broadcast divisor array: odd primes up to sqrt(max_number).
 # 200k divisors cover max_number up to about 7.5e12 (1.6 MB as bigints).
 MAX_DIVISORS = 200_000
+# Divisors also tested as plain arithmetic ahead of the array scan.
+QUICK_DIVISORS = 8
+# First candidate window of top_primes, in multiples of k.
+WINDOW_PER_K = 64
 # Width of one segment of multiples generated by a single row of the sieve.
 SIEVE_SEGMENT = 1 << 20
 
@@ -47,15 +51,19 @@ def odd_primes_upto(spark: SparkSession, m: int) -> DataFrame:
     return candidates.join(composites, "p", "left_anti")
 
 
-def divisor_array(spark: SparkSession, max_number: int):
-    """The odd primes up to isqrt(max_number), as a constant array column
-    (the reference's broadcast divisor list). Size-checked before collecting."""
+def odd_divisors(spark: SparkSession, max_number: int) -> list[int]:
+    """The odd primes up to isqrt(max_number) (the reference's broadcast
+    divisor list), from the distributed sieve; size-checked before the job."""
     root = math.isqrt(max(int(max_number), 0))
     # pi(x) < 1.26 x / ln x: refuse before running the job if it could be too large
     if root > 3 and 1.26 * root / math.log(root) > MAX_DIVISORS:
         raise ValueError(f"max_number {max_number} needs more than {MAX_DIVISORS} divisors")
-    rows = odd_primes_upto(spark, root).orderBy("p").collect() if root >= 3 else []
-    return long_array_literal([r.p for r in rows])
+    return [r.p for r in odd_primes_upto(spark, root).orderBy("p").collect()] if root >= 3 else []
+
+
+def prime_predicate(spark: SparkSession, col: str, max_number: int):
+    ds = odd_divisors(spark, max_number)
+    return is_prime_by_division(F.col(col), long_array_literal(ds), tuple(ds[:QUICK_DIVISORS]))
 
 
 def parse_integers(df: DataFrame, col: str = "value", int_type: str = "int",
@@ -81,18 +89,35 @@ def prime_filter(df: DataFrame, col: str = "value", max_number: int | None = Non
     the column can hold, or its maximum for 64-bit columns) this is exact
     primality; with a smaller explicit one, values above it pass when they have
     no odd divisor <= sqrt(max_number), as in the reference."""
-    spark = df.sparkSession
     mx = _default_max(df, col) if max_number is None else int(max_number)
-    ds = divisor_array(spark, mx)
-    return df.where(is_prime_by_division(F.col(col), ds))
+    return df.where(prime_predicate(df.sparkSession, col, mx))
 
 
 def top_primes(df: DataFrame, col: str = "value", k: int = 100, max_number: int | None = None,
                distinct: bool = False) -> DataFrame:
-    """The ``k`` largest primes of ``col``, largest first (C5). Duplicates stay
-    unless ``distinct``. Plan: filter in the scan stage, per-task top-k, one
-    merge of k rows per task (TakeOrderedAndProject)."""
-    primes = prime_filter(df.select(col), col, max_number)
-    if distinct:
-        primes = primes.dropDuplicates([col])
-    return primes.orderBy(F.col(col).desc()).limit(k)
+    """The ``k`` largest primes of ``col``, largest first (C5); duplicates stay
+    unless ``distinct``.
+
+    Exact, without testing every row: take the top L values (a per-task heap
+    of L, merged: L values reach the driver), then run the prime test only on
+    rows >= the L-th value (a range filter that reaches the Parquet scan) and
+    keep the top k. If fewer than k primes are found the window grows 8-fold,
+    up to the whole column, so no candidate is ever dropped. Without
+    ``max_number`` the divisors run to sqrt(largest value), which is exact.
+    """
+    spark = df.sparkSession
+    c = F.col(col)
+    vals = df.select(col).where(c.isNotNull())
+    window = max(WINDOW_PER_K * k, k)
+    while True:
+        top = [r[0] for r in vals.orderBy(c.desc()).limit(window).collect()]
+        if not top:
+            return vals.limit(0)
+        mx = int(top[0]) if max_number is None else int(max_number)
+        cand = vals.where(c >= F.lit(top[-1])).where(prime_predicate(spark, col, mx))
+        if distinct:
+            cand = cand.dropDuplicates([col])
+        result = cand.orderBy(c.desc()).limit(k)
+        if len(top) < window or result.count() >= k:
+            return result
+        window *= 8
