@@ -25,6 +25,7 @@ smart_sampling     id mod k        worst 20 %/cluster nearest 30 %/cluster store
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -56,6 +57,22 @@ class KMedoidsResult:
     trace: DataFrame         # (iteration, cost)
     iterations: int
     cost: float
+    seconds: float = 0.0
+    cached: DataFrame | None = None
+
+    def report(self) -> DataFrame:
+        """K4: the reference's four-line run report (time, iterations, cost
+        per pass, final cost) as a one-column DataFrame; write it with
+        ``sources.files.write_lines``."""
+        costs = ",".join(repr(r.cost) for r in self.trace.orderBy("iteration").collect())
+        lines = [f"Time: {int(self.seconds)} seconds", f"Iterations: {self.iterations}", costs,
+                 f"Final cost: {self.cost!r}"]
+        return self.trace.sparkSession.createDataFrame([(x,) for x in lines], "value string")
+
+    def unpersist(self) -> None:
+        """Release the cached unit vectors once the assignments are written."""
+        if self.cached is not None:
+            self.cached.unpersist()
 
 
 # --- points and medoids ------------------------------------------------------
@@ -236,6 +253,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
     if variant not in variants:
         raise ValueError(f"variant must be one of {variants}")
     spark = df.sparkSession
+    started = time.perf_counter()
     raw = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
     if init_ids is not None:
         first = raw.where(F.col("id").isin([int(i) for i in init_ids])).select(
@@ -256,7 +274,6 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
     prev, cur = float("inf"), float("1.7976931348623157e308")
     rule = {"base": "decrease", "local": "decrease", "improved": "gain"}.get(variant, "both")
     state = None
-    to_release: list[DataFrame] = []
 
     if variant == "local":
         cur = assign(points, medoids, engine).agg(F.sum("dist")).first()[0]
@@ -298,7 +315,6 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
                 F.when(F.col("_sel"), best["mid"]).otherwise(F.col("medoid_id")).alias("medoid_id"),
                 F.when(F.col("_sel"), best["dist"]).otherwise(F.col("dist")).alias("dist"))
             new_state = _checkpoint(merged)
-            to_release.append(state)
             state = new_state
             if variant == "sampling":
                 cand = state.where(hash_fraction("id", fraction, seed, it, "update"))
@@ -320,4 +336,5 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
     med_df = spark.createDataFrame([(m[0], m[1]) for m in medoids], "label long, medoid_id long")
     trace = spark.createDataFrame([(i + 1, c) for i, c in enumerate(costs)],
                                   "iteration int, cost double")
-    return KMedoidsResult(assignments, med_df, trace, it, cur)
+    return KMedoidsResult(assignments, med_df, trace, it, cur, time.perf_counter() - started,
+                          points)

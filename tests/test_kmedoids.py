@@ -174,3 +174,15 @@ def test_embeddings_improved_runs(spark):
     costs = _trace(res)
     assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:]))   # full re-assignment never rises
     assert res.assignments.where(F.col("dist") < -1e-9).count() == 0
+
+
+def test_report_has_four_lines(planted, tmp_path):
+    from lodestone.sources.files import write_lines
+    res = k_medoids(planted, "id", "v", 2, "improved", init_ids=[0, 1])
+    out = str(tmp_path / "report")
+    write_lines(res.report(), out)
+    lines = [r.value for r in res.report().collect()]
+    assert lines[0].startswith("Time: ") and lines[1] == "Iterations: 3"
+    assert lines[3].startswith("Final cost: 1.07347")
+    assert len(lines[2].split(",")) == 3
+    res.unpersist()
