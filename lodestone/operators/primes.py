@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,23 +22,63 @@ WINDOW_PER_K = 64
 SIEVE_SEGMENT = 1 << 20
 
 
-def odd_primes_upto(spark: SparkSession, m: int) -> DataFrame:
-    """``(p bigint)``: every odd prime 3 <= p <= m, as a distributed sieve.
+def odd_primes_upto(spark: SparkSession, m: int, method: str = "segments") -> DataFrame:
+    """``(p bigint)``: every odd prime 3 <= p <= m (C4), as a Spark job.
 
-    Odd candidates ``range(3, m+1, 2)`` anti-joined with the odd multiples
-    q*q, q*q+2q, ... of each odd prime q <= sqrt(m). The base primes come from
-    the same job one level down (sqrt(m) rows). Multiples are generated in
-    segments of ``SIEVE_SEGMENT`` so that no single row explodes into more
-    than ~SIEVE_SEGMENT/(2q) values, whatever m is.
+    ``method="segments"`` (default): ``spark.range`` over segments of
+    ``SIEVE_SEGMENT`` numbers; each task sieves its own segments with the odd
+    primes up to sqrt(m) (at most MAX_DIVISORS, shipped once) as a boolean
+    numpy mask. No shuffle; the work is O(m log log m) spread over the tasks.
+
+    ``method="join"``: pure DataFrame form: odd candidates left-anti-joined
+    with the odd multiples q*q, q*q+2q, ... of each base prime q, generated in
+    bounded segments. Exact too, but it shuffles every candidate.
     """
     m = int(m)
     if m < 3:
-        return spark.range(0).select(F.col("id").alias("p")).where(F.lit(False))
+        return spark.range(0).select(F.col("id").alias("p"))
     root = math.isqrt(m)
+    if method == "join":
+        return _odd_primes_join(spark, m, root)
+    if method != "segments":
+        raise ValueError("method must be 'segments' or 'join'")
+    base = np.array(odd_divisors(spark, m) if root >= 3 else [], dtype=np.int64)
+    seg = SIEVE_SEGMENT
+    n_seg = (m - 3) // seg + 1
+
+    def sieve(batches):
+        for batch in batches:
+            out = []
+            for s_id in batch.column(0).to_numpy():
+                lo = 3 + int(s_id) * seg
+                hi = min(lo + seg - 1, m)
+                odd_lo = lo | 1
+                if odd_lo > hi:
+                    continue
+                size = (hi - odd_lo) // 2 + 1
+                keep = np.ones(size, dtype=bool)        # keep[i] <-> odd_lo + 2i
+                for q in base:
+                    q = int(q)
+                    if q * q > hi:
+                        break
+                    first = max(q * q, ((odd_lo + q - 1) // q) * q)
+                    if first % 2 == 0:
+                        first += q
+                    if first <= hi:
+                        keep[(first - odd_lo) // 2::q] = False
+                out.append(odd_lo + 2 * np.flatnonzero(keep).astype(np.int64))
+            vals = np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(vals, type=pa.int64())], names=["p"])
+
+    parts = max(1, min(n_seg, spark.sparkContext.defaultParallelism * 4))
+    return spark.range(0, n_seg, 1, parts).mapInArrow(sieve, "p bigint")
+
+
+def _odd_primes_join(spark: SparkSession, m: int, root: int) -> DataFrame:
     candidates = spark.range(3, m + 1, 2).select(F.col("id").alias("p"))
     if root < 3:
         return candidates
-    base = odd_primes_upto(spark, root).select(F.col("p").alias("q"))
+    base = _odd_primes_join(spark, root, math.isqrt(root)).select(F.col("p").alias("q"))
     start = F.col("q") * F.col("q")
     n_segments = F.floor((F.lit(m) - start) / F.lit(SIEVE_SEGMENT)) + 1
     segs = base.select("q", F.explode(F.sequence(F.lit(0).cast("bigint"),
@@ -58,7 +100,9 @@ def odd_divisors(spark: SparkSession, max_number: int) -> list[int]:
     # pi(x) < 1.26 x / ln x: refuse before running the job if it could be too large
     if root > 3 and 1.26 * root / math.log(root) > MAX_DIVISORS:
         raise ValueError(f"max_number {max_number} needs more than {MAX_DIVISORS} divisors")
-    return [r.p for r in odd_primes_upto(spark, root).orderBy("p").collect()] if root >= 3 else []
+    if root < 3:
+        return []
+    return [r.p for r in odd_primes_upto(spark, root, method="join").orderBy("p").collect()]
 
 
 def prime_predicate(spark: SparkSession, col: str, max_number: int):

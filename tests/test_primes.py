@@ -13,15 +13,18 @@ def _sieve(m):
     return [i for i in range(3, m + 1) if is_p[i]]
 
 
-@pytest.mark.parametrize("m", [0, 2, 3, 8, 9, 10, 100, 5000])
-def test_odd_primes_upto(spark, m):
-    assert sorted(r.p for r in odd_primes_upto(spark, m).collect()) == _sieve(m)
+@pytest.mark.parametrize("method", ["segments", "join"])
+@pytest.mark.parametrize("m", [0, 2, 3, 4, 8, 9, 10, 25, 100, 5000])
+def test_odd_primes_upto(spark, m, method):
+    assert sorted(r.p for r in odd_primes_upto(spark, m, method).collect()) == _sieve(m)
 
 
-def test_segmented_sieve_crosses_segments(spark, monkeypatch):
+@pytest.mark.parametrize("method", ["segments", "join"])
+@pytest.mark.parametrize("seg", [1, 2, 7, 64])
+def test_sieve_crosses_segments(spark, monkeypatch, method, seg):
     import lodestone.operators.primes as P
-    monkeypatch.setattr(P, "SIEVE_SEGMENT", 64)
-    assert sorted(r.p for r in P.odd_primes_upto(spark, 3000).collect()) == _sieve(3000)
+    monkeypatch.setattr(P, "SIEVE_SEGMENT", seg)
+    assert sorted(r.p for r in P.odd_primes_upto(spark, 3001, method).collect()) == _sieve(3001)
 
 
 def test_top_primes_fixture(spark):
