@@ -82,11 +82,11 @@ def _unit(vec, dim: int | None, engine: str) -> Column:
 
 
 def prepare_points(df: DataFrame, id_col: str, vec_col: str, dim: int | None = None,
-                   engine: str | None = None) -> DataFrame:
-    """``(id bigint, u array<double>)``: unit vectors; a vector whose length is
-    not ``dim`` fails the job."""
+                   engine: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(id bigint, u array<double>, *keep)``: unit vectors; a vector whose
+    length is not ``dim`` fails the job. ``keep`` carries other columns along."""
     return df.select(F.col(id_col).cast("long").alias("id"),
-                     _unit(vec_col, dim, engine or ENGINE).alias("u"))
+                     _unit(vec_col, dim, engine or ENGINE).alias("u"), *keep)
 
 
 def pick_medoids(points: DataFrame, k: int, seed: int = 42) -> DataFrame:

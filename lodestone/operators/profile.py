@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.operators.ranks import order_statistics
+from lodestone.operators import ranks as R
 
 # The statistics of a profile, in the order Spark's summary() lists them.
 PROFILE_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
@@ -16,41 +18,45 @@ def profile(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
     """``(statistic string, value double)``: count, mean, sample stddev, min,
     quartiles, max of the non-null values of ``col``.
 
-    ``exact=True`` interpolates between order statistics found by range
-    refinement (same definition as ``percentile`` / ``quantile_cont``) without
-    gathering the column in one task; ``exact=False`` uses
-    ``percentile_approx`` as ``DataFrame.summary()`` does.
+    ``exact=True``: one aggregate over the column (which also caches its slim
+    copy), then the order statistics around each quartile position by range
+    refinement over that copy, interpolated as ``percentile`` /
+    ``quantile_cont`` do; the column is never gathered in one task.
+    ``exact=False`` uses ``percentile_approx`` as ``DataFrame.summary()`` does.
     """
     spark = df.sparkSession
-    v = F.col(col).cast("double")
-    base = df.select(v.alias("v")).agg(
-        F.count("v").alias("count"), F.mean("v").alias("mean"), F.stddev_samp("v").alias("stddev"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
-        *([] if exact else [F.percentile_approx("v", list(QUARTILES), 10000).alias("q")])).first()
-    n = base["count"]
-    quarts: list[float | None]
-    if not exact:
-        quarts = list(base["q"]) if base["q"] is not None else [None] * 3
-    elif n == 0:
-        quarts = [None] * 3
-    else:
-        # positions (n-1)p, 0-based; need the values at floor and ceil
-        ranks = sorted({int(((n - 1) * p) // 1) + d for p in QUARTILES for d in (1, 2) if
-                        int(((n - 1) * p) // 1) + d <= n})
-        targets = spark.createDataFrame([(i, r) for i, r in enumerate(ranks)], "tid long, r long")
-        got = {row.tid: row.value for row in
-               order_statistics(df.select(v.alias("v")), [], "v", targets).collect()}
-        at = {r: got[i] for i, r in enumerate(ranks)}
-        quarts = []
-        for p in QUARTILES:
-            pos = (n - 1) * p
-            lo = int(pos // 1)
-            frac = pos - lo
-            x_lo = at[lo + 1]
-            x_hi = at[lo + 2] if frac > 0 else x_lo
-            quarts.append((1 - frac) * x_lo + frac * x_hi if frac > 0 else x_lo)
-    values = [float(n) if n is not None else None, base["mean"], base["stddev"], base["min"],
-              *quarts, base["max"]]
+    slim = R._slim(df.select(F.lit(0).alias("_g"), col), ["_g"], col)
+    try:
+        base = slim.agg(
+            F.count("_v").alias("count"), F.mean("_v").alias("mean"),
+            F.stddev_samp("_v").alias("stddev"), F.min("_v").alias("min"),
+            F.max("_v").alias("max"),
+            *([] if exact else [F.percentile_approx("_v", list(QUARTILES), 10000).alias("q")])
+        ).first()
+        n = base["count"]
+        quarts: list[float | None]
+        if not exact:
+            quarts = list(base["q"]) if base["q"] is not None else [None] * 3
+        elif n == 0:
+            quarts = [None] * 3
+        else:
+            # positions (n-1)p, 0-based; the values at floor and ceil (1-based ranks)
+            ranks = sorted({math.floor((n - 1) * p) + d for p in QUARTILES for d in (1, 2)
+                            if math.floor((n - 1) * p) + d <= n})
+            state = [dict(key=(0,), tid=i, r=r, lo=base["min"], hi=base["max"], below=0, cnt=n)
+                     for i, r in enumerate(ranks)]
+            got = R._refine(slim, ["_g"], state, R.BUCKETS, R.EXACT_LIMIT)
+            at = {r: got[((0,), i)] for i, r in enumerate(ranks)}
+            quarts = []
+            for p in QUARTILES:
+                pos = (n - 1) * p
+                lo = math.floor(pos)
+                frac = pos - lo
+                quarts.append((1 - frac) * at[lo + 1] + frac * at[lo + 2] if frac > 0
+                              else at[lo + 1])
+    finally:
+        slim.unpersist()
+    values = [float(n), base["mean"], base["stddev"], base["min"], *quarts, base["max"]]
     return spark.createDataFrame(list(zip(PROFILE_STATS, values)), "statistic string, value double")
 
 

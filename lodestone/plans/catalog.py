@@ -165,9 +165,8 @@ def q_count_by_lang_quality(spark, sf):
 # --- D1-D10 k-medoids ----------------------------------------------------------
 
 from lodestone.functions.sampling import hash_fraction  # noqa: E402
-from lodestone.functions.vectors import dot  # noqa: E402
 from lodestone.operators.kmedoids import (  # noqa: E402
-    _collect_medoids, assign, initial_assignment, k_medoids, pick_medoids, prepare_points,
+    _collect_medoids, _distance_to, assign, initial_assignment, k_medoids, pick_medoids, prepare_points,
     update_medoids)
 from lodestone.operators.ranks import percent_rank_filter  # noqa: E402
 
@@ -228,9 +227,7 @@ FROM s GROUP BY label"""
 
 @register("kmedoids_update_by_label", _SQL_PAIRWISE_BY_LABEL)
 def q_km_update(spark, sf):
-    e = table(spark, sf, "embeddings")
-    pts = prepare_points(e, "vec_id", "embedding").join(
-        e.select(F.col("vec_id").alias("id"), "label"), "id")
+    pts = prepare_points(table(spark, sf, "embeddings"), "vec_id", "embedding", keep=("label",))
     return update_medoids(pts).select("label", "medoid_id", F.round("s", 6).alias("s"))
 
 
@@ -266,14 +263,13 @@ def q_km_initial_mod(spark, sf):
 
 def _dist_to_label_first(spark, sf):
     """Distance (6 places) of each embedding to the first vector of its label."""
-    e = table(spark, sf, "embeddings")
-    pts = prepare_points(e, "vec_id", "embedding").join(
-        e.select(F.col("vec_id").alias("id"), "label"), "id")
-    firsts = pts.groupBy("label").agg(F.min(F.struct("id", "u")).alias("m")).select(
-        "label", F.col("m.u").alias("mu"))
-    return pts.join(F.broadcast(firsts), "label").select(
-        F.col("id").alias("vec_id"), "label",
-        F.round(F.lit(1.0) - dot("u", "mu"), 6).alias("dist"))
+    pts = prepare_points(table(spark, sf, "embeddings"), "vec_id", "embedding", keep=("label",))
+    # one reference vector per label: k rows back, size-checked, then a per-row lookup
+    firsts = pts.groupBy("label").agg(F.min(F.struct("id", "u")).alias("m")).collect()
+    refs = _collect_medoids([(r.label, r.m.id, r.m.u) for r in firsts])
+    return pts.select(F.col("id").alias("vec_id"), "label",
+                      (F.round(_distance_to("u", "label", refs, spark, None), 6) + 0.0)
+                      .alias("dist"))
 
 
 _SQL_DIST_FIRST = f"""
