@@ -226,9 +226,19 @@ def _medoids_from(rows) -> list[tuple[int, int, list[float]]]:
     return _collect_medoids([(r["label"], r["medoid_id"], r["u"]) for r in rows])
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
+def _checkpoint(df: DataFrame, total: str | None = None) -> tuple[DataFrame, float | None]:
+    """Write ``df`` to the reliable checkpoint directory and cut its lineage.
+
+    The rows are cached first (MEMORY_AND_DISK), so the checkpoint's file
+    write reads them instead of recomputing the pass; the optional ``total``
+    (sum of a column) comes from the same materialising job."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        s = cached.agg(F.sum(total)).first()[0] if total else cached.count() and None
+        return cached.checkpoint(eager=True), (float(s) if s is not None else None)
+    finally:
+        cached.unpersist()
 
 
 def _go_on(prev: float, cur: float, rule: str, tol: float) -> bool:
@@ -280,7 +290,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
 
     if variant in ("sampling", "smart_sampling"):
         how = "hash" if variant == "sampling" else "mod"
-        state = _checkpoint(initial_assignment(points, medoids, k, how, seed, engine))
+        state, _ = _checkpoint(initial_assignment(points, medoids, k, how, seed, engine))
 
     it = 0
     while _go_on(prev, cur, rule, tol) and it < max_iter:
@@ -314,8 +324,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
                 F.when(F.col("_sel"), best["label"]).otherwise(F.col("label")).alias("label"),
                 F.when(F.col("_sel"), best["mid"]).otherwise(F.col("medoid_id")).alias("medoid_id"),
                 F.when(F.col("_sel"), best["dist"]).otherwise(F.col("dist")).alias("dist"))
-            new_state = _checkpoint(merged)
-            state = new_state
+            state, step_cost = _checkpoint(merged, total="dist")
             if variant == "sampling":
                 cand = state.where(hash_fraction("id", fraction, seed, it, "update"))
             else:
@@ -325,7 +334,6 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
             by_label = {r["label"]: r for r in new}
             medoids = _collect_medoids([(m[0], by_label[m[0]]["medoid_id"], by_label[m[0]]["u"])
                                         if m[0] in by_label else m for m in medoids])
-            step_cost = float(state.agg(F.sum("dist")).first()[0])
         prev, cur = cur, step_cost
         costs.append(step_cost)
 
