@@ -363,3 +363,90 @@ def q_ml_cv(spark, sf):
     train, test = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
     model = tune(train, _CATEGORICAL, _NUMERIC, _LABEL)
     return prediction_breakdown(model.transform(test), "lang")
+
+
+# Fixed-pass runs of the loop, whose result SQL can state. Two passes of the
+# full re-assignment variants always run (the first test compares with
+# +infinity, the second with the largest double); one pass of the sampling ones.
+
+def _sql_nearest(src: str, med: str, out: str) -> str:
+    """nearest medoid of each unit vector: label, medoid id, distance."""
+    key = f"(round(1 - list_dot_product({src}.u, {med}.mu), 12), {med}.medoid_id)"
+    return f"""
+{out} AS (SELECT {src}.vec_id, arg_min({med}.lab, {key}) AS lab,
+                 arg_min({med}.medoid_id, {key}) AS medoid_id,
+                 min(round(1 - list_dot_product({src}.u, {med}.mu), 12)) AS dist
+          FROM units {src} CROSS JOIN {med} GROUP BY {src}.vec_id)"""
+
+
+def _sql_update(assigned: str, out: str) -> str:
+    """pairwise medoid per cluster, with its vector."""
+    return f"""
+{out}_j AS (SELECT a.lab, x.vec_id, x.u FROM {assigned} a JOIN units x USING (vec_id)),
+{out}_s AS (SELECT p.lab, p.vec_id, sum(1 - list_dot_product(p.u, q.u)) AS s
+            FROM {out}_j p JOIN {out}_j q ON p.lab = q.lab GROUP BY p.lab, p.vec_id),
+{out}_m AS (SELECT lab, arg_min(vec_id, (round(s, 9), vec_id)) AS medoid_id
+            FROM {out}_s GROUP BY lab),
+{out} AS (SELECT m.lab, m.medoid_id, x.u AS mu FROM {out}_m m JOIN units x ON x.vec_id = m.medoid_id)"""
+
+
+_SQL_KM_FINAL = """
+SELECT vec_id, lab AS label, medoid_id, round(dist, 6) + 0.0 AS dist FROM {src}"""
+
+
+@register("kmedoids_improved_two_passes", f"""
+WITH {_SQL_UNIT}, {_sql_pick(8)},
+m0 AS (SELECT medoid_id AS lab, medoid_id, mu FROM picked),
+{_sql_nearest('x', 'm0', 'a1')},
+{_sql_update('a1', 'm1')},
+{_sql_nearest('x', 'm1', 'a2')},
+{_sql_update('a2', 'm2')},
+{_sql_nearest('x', 'm2', 'a3')}
+""" + _SQL_KM_FINAL.format(src="a3"))
+def q_km_improved_two(spark, sf):
+    res = k_medoids(table(spark, sf, "embeddings"), "vec_id", "embedding", 8, "improved",
+                    max_iter=2, seed=42)
+    return res.assignments.select(F.col("id").alias("vec_id"), "label", "medoid_id",
+                                  (F.round("dist", 6) + 0.0).alias("dist"))
+
+
+# first hex digit of md5(id:42:init) // 2 = floor(h * 8 / 2**32): the md5 bucket for k = 8
+_SQL_SAMPLING_ONE = f"""
+WITH {_SQL_UNIT}, {_sql_pick(8)},
+m0 AS (SELECT medoid_id AS lab, medoid_id, mu,
+              row_number() OVER (ORDER BY medoid_id) - 1 AS slot FROM picked),
+init AS (SELECT x.vec_id, m0.lab, m0.medoid_id,
+                round(1 - list_dot_product(x.u, m0.mu), 12) AS dist
+         FROM units x JOIN m0 ON m0.slot = {{slot}}),
+{_sql_nearest('x', 'm0', 'near')},
+sel AS (SELECT vec_id FROM {{selected}}),
+merged AS (
+  SELECT i.vec_id,
+         CASE WHEN s.vec_id IS NULL THEN i.lab ELSE n.lab END AS lab,
+         CASE WHEN s.vec_id IS NULL THEN i.medoid_id ELSE n.medoid_id END AS medoid_id,
+         CASE WHEN s.vec_id IS NULL THEN i.dist ELSE n.dist END AS dist
+  FROM init i JOIN near n USING (vec_id) LEFT JOIN sel s USING (vec_id))
+""" + _SQL_KM_FINAL.format(src="merged")
+
+
+@register("kmedoids_sampling_one_pass", _SQL_SAMPLING_ONE.format(
+    slot="(instr('0123456789abcdef', substr(md5(CAST(x.vec_id AS VARCHAR) || ':42:init'), 1, 1))"
+         " - 1) // 2",
+    selected="units WHERE substr(md5(CAST(vec_id AS VARCHAR) || ':42:1:reassign'), 1, 8)"
+             " < '33333333'"))
+def q_km_sampling_one(spark, sf):
+    res = k_medoids(table(spark, sf, "embeddings"), "vec_id", "embedding", 8, "sampling",
+                    max_iter=1, seed=42)
+    return res.assignments.select(F.col("id").alias("vec_id"), "label", "medoid_id",
+                                  (F.round("dist", 6) + 0.0).alias("dist"))
+
+
+@register("kmedoids_smart_one_pass", _SQL_SAMPLING_ONE.format(
+    slot="x.vec_id % 8",
+    selected="(SELECT vec_id, percent_rank() OVER (PARTITION BY lab ORDER BY dist DESC) AS pr"
+             " FROM init) WHERE pr <= 0.2"))
+def q_km_smart_one(spark, sf):
+    res = k_medoids(table(spark, sf, "embeddings"), "vec_id", "embedding", 8, "smart_sampling",
+                    max_iter=1, seed=42)
+    return res.assignments.select(F.col("id").alias("vec_id"), "label", "medoid_id",
+                                  (F.round("dist", 6) + 0.0).alias("dist"))
