@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CLOSURE_CELLS = 1_000_000
+CLOSURE_CELLS = 65_536
 DIST_DECIMALS = 12
 
 
@@ -132,3 +132,101 @@ def medoid_score(u, label, sums: list[tuple[int, int, list[float]]], spark) -> C
         return pa.array(counts[idx] - np.einsum("ij,ij->i", um, sm[idx]))
     return _score(F.col(u) if isinstance(u, str) else u,
                   (F.col(label) if isinstance(label, str) else label).cast("long"))
+
+
+# --- fused per-batch partial aggregates (map side of the medoid update) -------
+#
+# The update needs, per cluster, |K| and S_K = sum of u, then per point
+# s = |K| - u . S_K and the min (s, id). Rather than emit one row per point
+# and aggregate in the JVM, each Arrow batch is reduced in numpy to one row
+# per cluster present in it; Spark then combines those partials with an
+# ordinary groupBy (k rows per batch cross the shuffle). The cluster of a row
+# is its ``label`` column, or its nearest medoid when ``medoids`` is given.
+
+SUMS_SCHEMA = "label bigint, n bigint, S array<double>, dsum double"
+BEST_SCHEMA = "label bigint, s double, id bigint, u array<double>"
+SUM_DECIMALS = 9
+
+
+def _labels_of(batch: pa.RecordBatch, um: np.ndarray, med) -> tuple[np.ndarray, np.ndarray]:
+    """(label per row, distance to that label's medoid or NaN)."""
+    if med is None:
+        lab = np.asarray(batch.column("label").to_numpy(zero_copy_only=False), dtype=np.int64)
+        return lab, np.full(len(lab), np.nan)
+    mm, mids, labels = med
+    key = _round(1.0 - um @ mm.T, DIST_DECIMALS)
+    idx = np.argmin(key, axis=1)
+    return labels[idx], key[np.arange(len(idx)), idx]
+
+
+def _groups(lab: np.ndarray):
+    order = np.argsort(lab, kind="stable")
+    sl = lab[order]
+    uniq, starts = np.unique(sl, return_index=True)
+    return order, uniq, starts
+
+
+def _medoid_arrays(medoids, spark):
+    if medoids is None:
+        return None
+    ordered = sorted(medoids, key=lambda m: m[1])
+    get = _ship(np.array([m[2] for m in ordered], dtype=np.float64), spark)
+    mids = np.array([m[1] for m in ordered], dtype=np.int64)
+    labels = np.array([m[0] for m in ordered], dtype=np.int64)
+    return get, mids, labels
+
+
+def cluster_partial_sums(points, medoids=None, dim: int | None = None):
+    """``(label, n, S, dsum)`` partial rows: per batch and cluster the member
+    count, the sum of unit vectors and (with ``medoids``) the sum of
+    distances to the nearest medoid. Input columns: ``u`` [, ``label``]."""
+    spark = points.sparkSession
+    med = _medoid_arrays(medoids, spark)
+    cols = ["u"] if medoids is not None else ["u", "label"]
+
+    def run(batches):
+        m = None if med is None else (med[0](), med[1], med[2])
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            um = to_matrix(batch.column("u"), m[0].shape[1] if m is not None else dim)
+            lab, dist = _labels_of(batch, um, m)
+            order, uniq, starts = _groups(lab)
+            sums = np.add.reduceat(um[order], starts, axis=0)
+            counts = np.diff(np.append(starts, len(order)))
+            dsum = np.add.reduceat(dist[order], starts) if m is not None else np.full(len(uniq), np.nan)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(uniq), pa.array(counts.astype(np.int64)), from_matrix(sums),
+                 pa.array(dsum)], names=["label", "n", "S", "dsum"])
+    return points.select(*cols).mapInArrow(run, SUMS_SCHEMA)
+
+
+def cluster_partial_best(points, sums: list[tuple[int, int, list[float]]], medoids=None):
+    """``(label, s, id, u)`` partial rows: per batch and cluster the member
+    with the least s = |K| - u . S_K (s at SUM_DECIMALS places, then smaller
+    id). Input columns: ``id``, ``u`` [, ``label``]."""
+    spark = points.sparkSession
+    med = _medoid_arrays(medoids, spark)
+    s_labels = np.array([s[0] for s in sums], dtype=np.int64)
+    s_counts = np.array([s[1] for s in sums], dtype=np.float64)
+    get_s = _ship(np.array([s[2] for s in sums], dtype=np.float64), spark)
+    cols = ["id", "u"] if medoids is not None else ["id", "u", "label"]
+
+    def run(batches):
+        m = None if med is None else (med[0](), med[1], med[2])
+        sm = get_s()
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            um = to_matrix(batch.column("u"), sm.shape[1])
+            ids = np.asarray(batch.column("id").to_numpy(zero_copy_only=False), dtype=np.int64)
+            lab, _ = _labels_of(batch, um, m)
+            row = _row_lookup(s_labels, lab)
+            s = _round(s_counts[row] - np.einsum("ij,ij->i", um, sm[row]), SUM_DECIMALS)
+            order = np.lexsort((ids, s, lab))            # by label, then s, then id
+            sl = lab[order]
+            first = order[np.concatenate(([True], sl[1:] != sl[:-1]))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lab[first]), pa.array(s[first]), pa.array(ids[first]),
+                 from_matrix(um[first])], names=["label", "s", "id", "u"])
+    return points.select(*cols).mapInArrow(run, BEST_SCHEMA)

@@ -151,38 +151,53 @@ def assign(points: DataFrame, medoids: list[tuple[int, int, list[float]]],
                          best["dist"].alias("dist"))
 
 
-def cluster_sums(assigned: DataFrame) -> list[tuple[int, int, list[float]]]:
+def cluster_sums(assigned: DataFrame, engine: str | None = None, medoids=None
+                 ) -> list[tuple[int, int, list[float]]]:
     """(label, |K|, S_K) per cluster: one aggregate, partial sums map-side, k
-    rows back (size-checked like the medoids)."""
-    rows = assigned.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"),
-        vector_to_array(Summarizer.sum(array_to_vector("u"))).alias("S")).collect()
+    rows back (size-checked like the medoids). ``assigned`` has ``u`` and
+    ``label``, or only ``u`` when ``medoids`` says which cluster a row is in."""
+    if (engine or ENGINE) == "arrow":
+        parts = K.cluster_partial_sums(assigned, medoids)
+        rows = parts.groupBy("label").agg(
+            F.sum("n").alias("n"),
+            vector_to_array(Summarizer.sum(array_to_vector("S"))).alias("S")).collect()
+    else:
+        if medoids is not None:
+            assigned = assign(assigned, medoids, engine)
+        rows = assigned.groupBy("label").agg(
+            F.count(F.lit(1)).alias("n"),
+            vector_to_array(Summarizer.sum(array_to_vector("u"))).alias("S")).collect()
     return _collect_medoids([(r["label"], r["n"], r["S"]) for r in rows])
 
 
-def update_medoids(assigned: DataFrame, engine: str | None = None) -> DataFrame:
+def update_medoids(assigned: DataFrame, engine: str | None = None, medoids=None) -> DataFrame:
     """``(label, medoid_id, s, u)``: per cluster the member with the least
     sum of distances to all members, s (ties: smaller id).
 
     |K| and S_K come back as k rows; each point then scores
     s = |K| - u . S_K against that constant and a min per cluster is taken,
-    combined map-side. No join, no all-pairs."""
-    sums = cluster_sums(assigned)
+    combined map-side. No join, no all-pairs. ``assigned`` has ``id``, ``u``
+    and ``label``, or only ``id`` and ``u`` when ``medoids`` is given (each
+    row then belongs to its nearest medoid's cluster)."""
+    eng = engine or ENGINE
+    sums = cluster_sums(assigned, eng, medoids)
     if not sums:
-        return assigned.select("label", F.col("id").alias("medoid_id"),
-                               F.lit(0.0).alias("s"), "u").where(F.lit(False))
-    if (engine or ENGINE) == "arrow":
-        score = K.medoid_score("u", "label", sums, assigned.sparkSession)
+        return assigned.sparkSession.createDataFrame(
+            [], "label long, medoid_id long, s double, u array<double>")
+    if eng == "arrow":
+        best = K.cluster_partial_best(assigned, sums, medoids).groupBy("label").agg(
+            F.min(F.struct("s", "id", "u")).alias("b"))
     else:
+        if medoids is not None:
+            assigned = assign(assigned, medoids, eng)
         table = F.map_from_arrays(
             F.array(*[F.lit(lbl).cast("long") for lbl, _, _ in sums]),
             F.array(*[F.struct(F.lit(n).cast("double").alias("n"),
                                double_array_literal(vec).alias("S")) for _, n, vec in sums]))
         ks = F.element_at(table, F.col("label"))
-        score = ks["n"] - dot("u", ks["S"])
-    scored = assigned.select("label", "id", "u", score.alias("s"))
-    best = scored.groupBy("label").agg(
-        F.min(F.struct(F.round("s", SUM_DECIMALS).alias("s"), "id", "u")).alias("b"))
+        scored = assigned.select("label", "id", "u", (ks["n"] - dot("u", ks["S"])).alias("s"))
+        best = scored.groupBy("label").agg(
+            F.min(F.struct(F.round("s", SUM_DECIMALS).alias("s"), "id", "u")).alias("b"))
     return best.select("label", F.col("b.id").alias("medoid_id"), F.col("b.s").alias("s"),
                        F.col("b.u").alias("u"))
 
@@ -296,8 +311,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
     while _go_on(prev, cur, rule, tol) and it < max_iter:
         it += 1
         if variant in ("base", "improved", "local"):
-            assigned = assign(points, medoids, engine)
-            new = update_medoids(assigned, engine).collect()
+            new = update_medoids(points, engine, medoids=medoids).collect()
             step_cost = float(sum(r["s"] for r in new))
             by_label = {r["label"]: r for r in new}
             # a cluster with no member keeps its medoid

@@ -186,3 +186,27 @@ def test_report_has_four_lines(planted, tmp_path):
     assert lines[3].startswith("Final cost: 1.07347")
     assert len(lines[2].split(",")) == 3
     res.unpersist()
+
+
+def test_kernels_across_batches_and_broadcast(spark, monkeypatch):
+    import lodestone.functions.vector_kernels as K
+    rng = np.random.default_rng(21)
+    rows = [(i, [float(x) for x in rng.normal(size=5)], int(i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label long").repartition(3)
+    pts = prepare_points(df, "id", "v", engine="sql", keep=("label",))
+    ref = sorted(tuple(r) for r in update_medoids(pts, "sql").select("label", "medoid_id").collect())
+    med = [(r.id, r.id, r.u) for r in pts.orderBy("id").limit(4).collect()]
+    ref_m = sorted(tuple(r) for r in update_medoids(pts.select("id", "u"), "sql", medoids=med)
+                   .select("label", "medoid_id").collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for cells in (65_536, 0):                      # closure, then broadcast variable
+            monkeypatch.setattr(K, "CLOSURE_CELLS", cells)
+            got = sorted(tuple(r) for r in update_medoids(pts, "arrow")
+                         .select("label", "medoid_id").collect())
+            got_m = sorted(tuple(r) for r in update_medoids(pts.select("id", "u"), "arrow",
+                                                            medoids=med)
+                           .select("label", "medoid_id").collect())
+            assert got == ref and got_m == ref_m
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
