@@ -106,3 +106,41 @@ def prediction_breakdown(predictions: DataFrame, key: str) -> DataFrame:
     """``(key, prediction, count)`` ordered by key."""
     return (predictions.groupBy(key, "prediction").agg(F.count(F.lit(1)).alias("count"))
             .select(key, "prediction", "count").orderBy(key))
+
+
+@dataclass
+class Study:
+    """Everything the reference's census program prints, as values."""
+    train_rows: int
+    test_rows: int
+    profile: DataFrame          # G8 of ``profile_col`` on the training split
+    counts: DataFrame           # G1 + T4 of ``count_col`` on the training split
+    model: PipelineModel
+    evaluation: Evaluation      # fixed regParam
+    tuned: CrossValidatorModel
+    tuned_evaluation: Evaluation
+    breakdowns: dict[str, DataFrame]   # M10 per key
+
+
+def run_study(df: DataFrame, categorical: list[str], numeric: list[str], label: str,
+              profile_col: str, count_col: str, breakdown_keys: list[str],
+              seed: int = SPLIT_SEED, id_col: str | None = None) -> Study:
+    """The reference's classifier program end to end: split 80/20 (seeded
+    ``randomSplit``, or md5 of ``id_col``), cache the training split, profile
+    one column, count one category, fit and score the fixed pipeline, tune by
+    3-fold CV and score the best model, and break predictions down by keys."""
+    from lodestone.operators.profile import count_by, profile
+    from pyspark import StorageLevel
+
+    if id_col is None:
+        train, test = random_split(df, SPLIT, seed)
+    else:
+        train, test = hash_split(df, id_col, SPLIT[0], seed)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    n_train, n_test = train.count(), test.count()
+    model, ev = fit_and_score(train, test, categorical, numeric, label)
+    cv = tune(train, categorical, numeric, label, seed=seed)
+    cv_ev = evaluate(cv.transform(test))
+    return Study(n_train, n_test, profile(train, profile_col), count_by(train, count_col),
+                 model, ev, cv, cv_ev,
+                 {k: prediction_breakdown(cv_ev.predictions, k) for k in breakdown_keys})

@@ -450,3 +450,27 @@ def q_km_smart_one(spark, sf):
                     max_iter=1, seed=42)
     return res.assignments.select(F.col("id").alias("vec_id"), "label", "medoid_id",
                                   (F.round("dist", 6) + 0.0).alias("dist"))
+
+
+_SQL_TRAIN = """(SELECT * FROM documents JOIN labels USING (doc_id)
+  WHERE substr(md5(CAST(doc_id AS VARCHAR) || ':42:split'), 1, 8) < 'cccccccc')"""
+
+
+@register("ml_profile_train_n_chars", _sql_profile(_SQL_TRAIN, "n_chars"))
+def q_ml_profile_train(spark, sf):
+    train, _ = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
+    return profile(train, "n_chars").select("statistic", F.round("value", 6).alias("value"))
+
+
+@register("ml_count_train_by_source", f"""
+SELECT source, count(*) AS count FROM {_SQL_TRAIN} t GROUP BY source""")
+def q_ml_count_train(spark, sf):
+    train, _ = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
+    return count_by(train, "source")
+
+
+@register("ml_breakdown_by_n_chars")
+def q_ml_breakdown_n_chars(spark, sf):
+    train, test = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
+    _, ev = fit_and_score(train, test, _CATEGORICAL, _NUMERIC, _LABEL)
+    return prediction_breakdown(ev.predictions, "n_chars")

@@ -62,3 +62,25 @@ def test_hash_split_is_repeatable(spark):
     a1, _ = hash_split(df, "doc_id")
     a2, _ = hash_split(df.repartition(7), "doc_id")
     assert sorted(r.doc_id for r in a1.collect()) == sorted(r.doc_id for r in a2.collect())
+
+
+def test_run_study_end_to_end(spark):
+    from lodestone.operators.model import run_study
+    df = _toy(spark)
+    st = run_study(df, ["lang", "source"], ["n_chars"], "quality", "n_chars", "lang",
+                   ["lang", "n_chars"], id_col="doc_id")
+    assert st.train_rows + st.test_rows == 200
+    assert 0.0 <= st.tuned_evaluation.auc <= 1.0
+    assert {r.statistic for r in st.profile.collect()} >= {"count", "50%"}
+    assert sum(r["count"] for r in st.breakdowns["lang"].collect()) == st.test_rows
+
+
+def test_sample_rows_repeatable(spark):
+    from lodestone.operators.sampling import pick_rows, sample_rows
+    df = spark.range(1000)
+    a = sorted(r.id for r in sample_rows(df, 0.2, 42, "id", "x").collect())
+    b = sorted(r.id for r in sample_rows(df.repartition(5), 0.2, 42, "id", "x").collect())
+    assert a == b and 120 < len(a) < 280
+    assert sample_rows(df, 0.5, 1).count() > 0
+    assert [r.id for r in pick_rows(df, 3, "id").collect()] == \
+        [r.id for r in pick_rows(df.repartition(4), 3, "id").collect()]
