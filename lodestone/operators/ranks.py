@@ -35,6 +35,15 @@ BUCKETS = 4096
 EXACT_LIMIT = 100_000
 
 
+def _join_groups(left: DataFrame, right: DataFrame, g: list[str], how: str) -> DataFrame:
+    """Join on the group columns with null-safe equality (a null group is a
+    group, as in a window partition); keeps the left side's group columns."""
+    la, ra = left.alias("_l"), right.alias("_r")
+    cond = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in g]
+    rest = [F.col(f"_r.{c}") for c in right.columns if c not in g]
+    return la.join(ra, cond, how).select("_l.*", *rest)
+
+
 def _slim(df: DataFrame, g: list[str], value_col: str) -> DataFrame:
     return (df.select(*g, F.col(value_col).cast("double").alias("_v"))
             .where(F.col("_v").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK))
@@ -71,7 +80,7 @@ def _refine(slim: DataFrame, g: list[str], targets: list[dict], buckets: int,
     def rows_in(ivs: dict) -> DataFrame:
         table = spark.createDataFrame([k[0] + (iid, k[1], k[2]) for k, iid in ivs.items()],
                                       iv_schema)
-        return (slim.join(F.broadcast(table), g)
+        return (_join_groups(slim, F.broadcast(table), g, "inner")
                 .where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))))
 
     passes = 0
@@ -212,7 +221,7 @@ def percent_rank_flag(df: DataFrame, group_cols: list[str], value_col: str, frac
         return df.withColumn(flag, F.coalesce(keep, F.lit(False)))
     t = F.col("_thr")
     keep = (v >= t) if descending else (v <= t)
-    return (df.join(F.broadcast(thr), g, "left")
+    return (_join_groups(df, F.broadcast(thr), g, "left")
             .withColumn(flag, F.coalesce(keep, F.lit(False))).select(*df.columns, flag))
 
 
