@@ -48,3 +48,14 @@ def test_percent_rank_global_group(spark):
     ref = df.withColumn("pr", F.percent_rank().over(w)).where("pr <= 0.2").drop("pr")
     assert sorted(map(repr, R.percent_rank_filter(df, [], "v", 0.2, True).collect())) == \
         sorted(map(repr, ref.collect()))
+
+
+def test_order_statistics_geometric_values(spark):
+    # equal-width buckets split a geometric sequence slowly: many passes, still exact
+    vals = [2.0 ** -i for i in range(40)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    targets = spark.createDataFrame([(0, 1), (1, 20), (2, 40)], "tid long, r long")
+    got = {r.tid: r.value for r in R.order_statistics(df, [], "v", targets, buckets=4,
+                                                      exact_limit=2).collect()}
+    s = sorted(vals)
+    assert got == {0: s[0], 1: s[19], 2: s[39]}
