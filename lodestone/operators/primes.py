@@ -16,8 +16,10 @@ from lodestone.functions.numbers import is_prime_by_division, long_array_literal
 MAX_DIVISORS = 200_000
 # Divisors also tested as plain arithmetic ahead of the array scan.
 QUICK_DIVISORS = 8
-# First candidate window of top_primes, in multiples of k.
+# First candidate window of top_primes, in multiples of k, and the most
+# values it ever brings to the driver before testing the whole column.
 WINDOW_PER_K = 64
+MAX_WINDOW = 1 << 17
 # Width of one segment of multiples generated by a single row of the sieve.
 SIEVE_SEGMENT = 1 << 20
 
@@ -145,15 +147,17 @@ def top_primes(df: DataFrame, col: str = "value", k: int = 100, max_number: int
     Exact, without testing every row: take the top L values (a per-task heap
     of L, merged: L values reach the driver), then run the prime test only on
     rows >= the L-th value (a range filter that reaches the Parquet scan) and
-    keep the top k. If fewer than k primes are found the window grows 8-fold,
-    up to the whole column, so no candidate is ever dropped. Without
+    keep the top k. If fewer than k primes are found the window grows 8-fold;
+    past MAX_WINDOW values every row is tested, so no candidate is ever
+    dropped and at most MAX_WINDOW values reach the driver. Without
     ``max_number`` the divisors run to sqrt(largest value), which is exact.
     """
     spark = df.sparkSession
     c = F.col(col)
     vals = df.select(col).where(c.isNotNull())
     window = max(WINDOW_PER_K * k, k)
-    while True:
+    mx = None
+    while window <= MAX_WINDOW:
         top = [r[0] for r in vals.orderBy(c.desc()).limit(window).collect()]
         if not top:
             return vals.limit(0)
@@ -165,3 +169,8 @@ def top_primes(df: DataFrame, col: str = "value", k: int = 100, max_number: int
         if len(top) < window or result.count() >= k:
             return result
         window *= 8
+    # primes are too rare near the top: test every row (still one top-k merge)
+    cand = vals.where(prime_predicate(spark, col, mx))
+    if distinct:
+        cand = cand.dropDuplicates([col])
+    return cand.orderBy(c.desc()).limit(k)

@@ -63,9 +63,12 @@ def test_parse_integers(spark):
         parse_integers(df, on_error="raise").collect()
 
 
-def test_top_primes_widens_until_found(spark):
+def test_top_primes_widens_until_found(spark, monkeypatch):
     # the top windows hold only even numbers; the primes sit at the very bottom
     vals = [2 * i for i in range(2, 4000)] + [3, 5, None]
     df = spark.createDataFrame([(v,) for v in vals], "value long")
     assert [r.value for r in top_primes(df, "value", 3).collect()] == [5, 3]
     assert top_primes(df.where("value > 100"), "value", 3).count() == 0
+    import lodestone.operators.primes as P
+    monkeypatch.setattr(P, "MAX_WINDOW", 500)          # past the cap: whole-column test
+    assert [r.value for r in P.top_primes(df, "value", 3).collect()] == [5, 3]
