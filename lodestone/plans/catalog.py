@@ -50,6 +50,22 @@ def q_word_count_conv(spark, sf):
     return word_count(table(spark, sf, "conversations"), "text")
 
 
+@register("word_count_pages", f"""
+SELECT word, count(*) AS count FROM (
+  SELECT unnest({_SQL_TOKENS.format(c='html')}) AS word FROM pages)
+WHERE word <> '' GROUP BY word""")
+def q_word_count_pages(spark, sf):
+    return word_count(table(spark, sf, "pages"), "html")
+
+
+@register("word_count_benchmark", f"""
+SELECT word, count(*) AS count FROM (
+  SELECT unnest({_SQL_TOKENS.format(c='text')}) AS word FROM benchmark)
+WHERE word <> '' GROUP BY word""")
+def q_word_count_benchmark(spark, sf):
+    return word_count(table(spark, sf, "benchmark"), "text")
+
+
 # --- C2 word search ----------------------------------------------------------
 
 @register("word_search_documents", f"""
@@ -74,6 +90,21 @@ def q_word_search_conv_rec(spark, sf):
                        per="record")
 
 
+@register("word_search_pages_script", f"""
+SELECT count(DISTINCT page_id) AS count FROM pages
+WHERE list_contains({_SQL_TOKENS.format(c='html')}, 'script')""")
+def q_word_search_pages(spark, sf):
+    return word_search(table(spark, sf, "pages"), "script", "html", "page_id", per="id")
+
+
+@register("word_search_documents_zero", f"""
+SELECT count(DISTINCT doc_id) AS count FROM documents
+WHERE list_contains({_SQL_TOKENS.format(c='text')}, 'zzzzzzzz')""")
+def q_word_search_zero(spark, sf):
+    # no document has the word: one row with 0
+    return word_search(table(spark, sf, "documents"), "zzzzzzzz", "text", "doc_id", per="id")
+
+
 # --- C3-C5 primes ------------------------------------------------------------
 
 def _sql_top_primes(tbl: str, col: str, max_sql: str, k: int = 100) -> str:
