@@ -505,3 +505,37 @@ def q_ml_breakdown_n_chars(spark, sf):
     train, test = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
     _, ev = fit_and_score(train, test, _CATEGORICAL, _NUMERIC, _LABEL)
     return prediction_breakdown(ev.predictions, "n_chars")
+
+
+@register("kmedoids_base_two_passes", f"""
+WITH {_SQL_UNIT}, {_sql_pick(8)},
+m0 AS (SELECT medoid_id AS lab, medoid_id, mu FROM picked),
+{_sql_nearest('x', 'm0', 'a1')},
+{_sql_update('a1', 'm1r')},
+m1 AS (SELECT medoid_id AS lab, medoid_id, mu FROM m1r),
+{_sql_nearest('x', 'm1', 'a2')},
+{_sql_update('a2', 'm2r')},
+m2 AS (SELECT medoid_id AS lab, medoid_id, mu FROM m2r),
+{_sql_nearest('x', 'm2', 'a3')}
+""" + _SQL_KM_FINAL.format(src="a3"))
+def q_km_base_two(spark, sf):
+    # base renames each cluster after its medoid every pass
+    res = k_medoids(table(spark, sf, "embeddings"), "vec_id", "embedding", 8, "base",
+                    max_iter=2, seed=42)
+    return res.assignments.select(F.col("id").alias("vec_id"), "label", "medoid_id",
+                                  (F.round("dist", 6) + 0.0).alias("dist"))
+
+
+@register("kmedoids_local_one_pass", f"""
+WITH {_SQL_UNIT}, {_sql_pick(8)},
+m0 AS (SELECT medoid_id AS lab, medoid_id, mu FROM picked),
+{_sql_nearest('x', 'm0', 'a1')},
+{_sql_update('a1', 'm1')},
+{_sql_nearest('x', 'm1', 'a2')}
+""" + _SQL_KM_FINAL.format(src="a2"))
+def q_km_local_one(spark, sf):
+    # one pass always runs (the first test compares with +infinity)
+    res = k_medoids(table(spark, sf, "embeddings"), "vec_id", "embedding", 8, "local",
+                    max_iter=1, seed=42)
+    return res.assignments.select(F.col("id").alias("vec_id"), "label", "medoid_id",
+                                  (F.round("dist", 6) + 0.0).alias("dist"))
