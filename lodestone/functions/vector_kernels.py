@@ -44,6 +44,13 @@ def to_matrix(arr, dim: int | None = None) -> np.ndarray:
     return flat.reshape(n, d)
 
 
+def unit_rows(m: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1 in float64; zero rows stay zero."""
+    norms = np.sqrt(np.einsum("ij,ij->i", m, m))
+    safe = np.where(norms > 0, norms, 1.0)
+    return np.where(norms[:, None] > 0, m / safe[:, None], 0.0)
+
+
 def from_matrix(m: np.ndarray) -> pa.Array:
     n, d = m.shape
     offsets = pa.array(np.arange(0, n * d + 1, d, dtype=np.int32))
@@ -62,10 +69,7 @@ def unit_vectors(vec, dim: int | None = None) -> Column:
     """Kernel twin of ``vectors.unit``: u/|u|, zero stays zero."""
     @F.arrow_udf("array<double>")
     def _unit(v: pa.Array) -> pa.Array:
-        m = to_matrix(v, dim)
-        norms = np.sqrt(np.einsum("ij,ij->i", m, m))
-        safe = np.where(norms > 0, norms, 1.0)
-        return from_matrix(np.where(norms[:, None] > 0, m / safe[:, None], 0.0))
+        return from_matrix(unit_rows(to_matrix(v, dim)))
     return _unit(F.col(vec) if isinstance(vec, str) else vec)
 
 
@@ -75,7 +79,8 @@ def _round(x: np.ndarray, decimals: int) -> np.ndarray:
 
 def nearest_medoid(u, medoids: list[tuple[int, int, list[float]]], spark) -> Column:
     """Kernel twin of ``kmedoids.nearest``: struct(dist, mid, label) of the
-    nearest medoid, ties to the smaller medoid id."""
+    medoid nearest to vector ``u`` (normalised here), ties to the smaller
+    medoid id."""
     ordered = sorted(medoids, key=lambda m: m[1])
     mids = np.array([m[1] for m in ordered], dtype=np.int64)
     labels = np.array([m[0] for m in ordered], dtype=np.int64)
@@ -84,7 +89,7 @@ def nearest_medoid(u, medoids: list[tuple[int, int, list[float]]], spark) -> Col
     @F.arrow_udf("struct<dist:double,mid:bigint,label:bigint>")
     def _nearest(v: pa.Array) -> pa.Array:
         mm = get()
-        um = to_matrix(v, mm.shape[1])
+        um = unit_rows(to_matrix(v, mm.shape[1]))
         key = _round(1.0 - um @ mm.T, DIST_DECIMALS)
         idx = np.argmin(key, axis=1)            # first minimum: smallest medoid id
         return pa.StructArray.from_arrays(
@@ -111,29 +116,13 @@ def distance_to_label(u, label, medoids: list[tuple[int, int, list[float]]], spa
     @F.arrow_udf("double")
     def _dist(v: pa.Array, lab: pa.Array) -> pa.Array:
         mm = get()
-        um = to_matrix(v, mm.shape[1])
+        um = unit_rows(to_matrix(v, mm.shape[1]))
         rows = mm[_row_lookup(labels, np.asarray(lab.to_numpy(zero_copy_only=False), np.int64))]
         return pa.array(_round(1.0 - np.einsum("ij,ij->i", um, rows), DIST_DECIMALS))
     return _dist(F.col(u) if isinstance(u, str) else u,
                  (F.col(label) if isinstance(label, str) else label).cast("long"))
 
 
-def medoid_score(u, label, sums: list[tuple[int, int, list[float]]], spark) -> Column:
-    """s = |K| - u . S_K for the point's cluster K (see ``update_medoids``)."""
-    labels = np.array([s[0] for s in sums], dtype=np.int64)
-    counts = np.array([s[1] for s in sums], dtype=np.float64)
-    get = _ship(np.array([s[2] for s in sums], dtype=np.float64), spark)
-
-    @F.arrow_udf("double")
-    def _score(v: pa.Array, lab: pa.Array) -> pa.Array:
-        sm = get()
-        um = to_matrix(v, sm.shape[1])
-        idx = _row_lookup(labels, np.asarray(lab.to_numpy(zero_copy_only=False), np.int64))
-        return pa.array(counts[idx] - np.einsum("ij,ij->i", um, sm[idx]))
-    return _score(F.col(u) if isinstance(u, str) else u,
-                  (F.col(label) if isinstance(label, str) else label).cast("long"))
-
-
 # --- fused per-batch partial aggregates (map side of the medoid update) -------
 #
 # The update needs, per cluster, |K| and S_K = sum of u, then per point
@@ -179,17 +168,18 @@ def _medoid_arrays(medoids, spark):
 def cluster_partial_sums(points, medoids=None, dim: int | None = None):
     """``(label, n, S, dsum)`` partial rows: per batch and cluster the member
     count, the sum of unit vectors and (with ``medoids``) the sum of
-    distances to the nearest medoid. Input columns: ``u`` [, ``label``]."""
+    distances to the nearest medoid. Input columns: ``v`` (normalised here)
+    [, ``label``]."""
     spark = points.sparkSession
     med = _medoid_arrays(medoids, spark)
-    cols = ["u"] if medoids is not None else ["u", "label"]
+    cols = ["v"] if medoids is not None else ["v", "label"]
 
     def run(batches):
         m = None if med is None else (med[0](), med[1], med[2])
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            um = to_matrix(batch.column("u"), m[0].shape[1] if m is not None else dim)
+            um = unit_rows(to_matrix(batch.column("v"), m[0].shape[1] if m is not None else dim))
             lab, dist = _labels_of(batch, um, m)
             order, uniq, starts = _groups(lab)
             sums = np.add.reduceat(um[order], starts, axis=0)
@@ -204,13 +194,14 @@ def cluster_partial_sums(points, medoids=None, dim: int | None = None):
 def cluster_partial_best(points, sums: list[tuple[int, int, list[float]]], medoids=None):
     """``(label, s, id, u)`` partial rows: per batch and cluster the member
     with the least s = |K| - u . S_K (s at SUM_DECIMALS places, then smaller
-    id). Input columns: ``id``, ``u`` [, ``label``]."""
+    id), with its unit vector. Input columns: ``id``, ``v`` (normalised here)
+    [, ``label``]."""
     spark = points.sparkSession
     med = _medoid_arrays(medoids, spark)
     s_labels = np.array([s[0] for s in sums], dtype=np.int64)
     s_counts = np.array([s[1] for s in sums], dtype=np.float64)
     get_s = _ship(np.array([s[2] for s in sums], dtype=np.float64), spark)
-    cols = ["id", "u"] if medoids is not None else ["id", "u", "label"]
+    cols = ["id", "v"] if medoids is not None else ["id", "v", "label"]
 
     def run(batches):
         m = None if med is None else (med[0](), med[1], med[2])
@@ -218,7 +209,7 @@ def cluster_partial_best(points, sums: list[tuple[int, int, list[float]]], medoi
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            um = to_matrix(batch.column("u"), sm.shape[1])
+            um = unit_rows(to_matrix(batch.column("v"), sm.shape[1]))
             ids = np.asarray(batch.column("id").to_numpy(zero_copy_only=False), dtype=np.int64)
             lab, _ = _labels_of(batch, um, m)
             row = _row_lookup(s_labels, lab)

@@ -1,6 +1,6 @@
 """Cosine k-medoids (D1-D10) on DataFrames.
 
-Points are ``(id, u)`` with ``u`` the unit vector (``unit``). Medoids, k rows,
+Points are ``(id, v)``, v normalised where it is used. Medoids, k rows,
 travel to the tasks as one constant array, so the nearest-medoid search is a
 per-row expression: no cross join, no shuffle. The medoid update uses
 
@@ -70,28 +70,37 @@ class KMedoidsResult:
         return self.trace.sparkSession.createDataFrame([(x,) for x in lines], "value string")
 
     def unpersist(self) -> None:
-        """Release the cached unit vectors once the assignments are written."""
+        """Release the cached points (``cache=True``) once the assignments are written."""
         if self.cached is not None:
             self.cached.unpersist()
 
 
 # --- points and medoids ------------------------------------------------------
+#
+# Points are ``(id, v)`` with ``v`` the vector as stored (float or double).
+# Every consumer normalises it on the fly (the kernels per Arrow batch in
+# float64, the SQL path with ``unit``), so no double-width copy of the data
+# is ever materialised, cached or checkpointed. Medoids are k tuples
+# ``(label, medoid id, unit vector)``.
 
-def _unit(vec, dim: int | None, engine: str) -> Column:
-    return K.unit_vectors(vec, dim) if engine == "arrow" else unit(vec, dim)
+def _unit(vec, dim: int | None, engine: str | None) -> Column:
+    return K.unit_vectors(vec, dim) if (engine or ENGINE) == "arrow" else unit(vec, dim)
 
 
-def prepare_points(df: DataFrame, id_col: str, vec_col: str, dim: int | None = None,
-                   engine: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(id bigint, u array<double>, *keep)``: unit vectors; a vector whose
-    length is not ``dim`` fails the job. ``keep`` carries other columns along."""
-    return df.select(F.col(id_col).cast("long").alias("id"),
-                     _unit(vec_col, dim, engine or ENGINE).alias("u"), *keep)
+def _dim(medoids) -> int | None:
+    return len(medoids[0][2]) if medoids else None
+
+
+def prepare_points(df: DataFrame, id_col: str, vec_col: str, keep: tuple[str, ...] = ()
+                   ) -> DataFrame:
+    """``(id bigint, v, *keep)``: the id and the vector as stored (only the
+    needed columns reach the scan); ``keep`` carries other columns along."""
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"), *keep)
 
 
 def pick_medoids(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """K rows ordered by md5(id:seed), then id. A bounded top-k
-    (per-task k rows, one merge): ``(id, u)``."""
+    (per-task k rows, one merge)."""
     return points.orderBy(hash_key("id", seed), "id").limit(k)
 
 
@@ -105,6 +114,16 @@ def _collect_medoids(rows) -> list[tuple[int, int, list[float]]]:
     return out
 
 
+def medoid_rows(rows_df: DataFrame, engine: str | None = None, label_col: str | None = None
+                ) -> list[tuple[int, int, list[float]]]:
+    """k rows ``(id, v[, label])`` -> medoid tuples with unit vectors (the
+    normalisation runs in Spark, by the same engine as the passes). The
+    label is the id unless ``label_col`` is given."""
+    lab = F.col(label_col) if label_col else F.col("id")
+    rows = rows_df.select(lab.alias("label"), "id", _unit("v", None, engine).alias("u")).collect()
+    return _collect_medoids(sorted((r.label, r.id, r.u) for r in rows))
+
+
 def medoid_literal(medoids: list[tuple[int, int, list[float]]]) -> Column:
     """k medoids as a constant ``array<struct<label, mid, vec>>``."""
     return F.array(*[F.struct(F.lit(label).cast("long").alias("label"),
@@ -114,8 +133,9 @@ def medoid_literal(medoids: list[tuple[int, int, list[float]]]) -> Column:
 
 
 def nearest(u, medoids: Column) -> Column:
-    """struct(dist, mid, label) of the nearest medoid; ties go to the
-    smaller medoid id (distances compared at DIST_DECIMALS places)."""
+    """D2/W1 (SQL form): struct(dist, mid, label) of the nearest medoid to the
+    unit vector ``u``; ties go to the smaller medoid id (distances compared at
+    DIST_DECIMALS places)."""
     u = F.col(u) if isinstance(u, str) else u
     return F.array_min(F.transform(medoids, lambda m: F.struct(
         F.round(F.lit(1.0) - dot(u, m["vec"]), DIST_DECIMALS).alias("dist"),
@@ -123,7 +143,7 @@ def nearest(u, medoids: Column) -> Column:
 
 
 def distance_to(u, label, medoids: Column) -> Column:
-    """Distance from u to the medoid of cluster ``label``."""
+    """D4 (SQL form): distance from unit vector u to the medoid of ``label``."""
     u = F.col(u) if isinstance(u, str) else u
     label = F.col(label) if isinstance(label, str) else label
     vec = F.element_at(F.map_from_arrays(F.transform(medoids, lambda m: m["label"]),
@@ -131,31 +151,32 @@ def distance_to(u, label, medoids: Column) -> Column:
     return F.round(F.lit(1.0) - dot(u, vec), DIST_DECIMALS)
 
 
-def _nearest(u, medoids, spark, engine: str | None) -> Column:
+def _nearest(v, medoids, spark, engine: str | None) -> Column:
     if (engine or ENGINE) == "arrow":
-        return K.nearest_medoid(u, medoids, spark)
-    return nearest(u, medoid_literal(medoids))
+        return K.nearest_medoid(v, medoids, spark)
+    return nearest(unit(v, _dim(medoids)), medoid_literal(medoids))
 
 
-def _distance_to(u, label, medoids, spark, engine: str | None) -> Column:
+def _distance_to(v, label, medoids, spark, engine: str | None) -> Column:
     if (engine or ENGINE) == "arrow":
-        return K.distance_to_label(u, label, medoids, spark)
-    return distance_to(u, label, medoid_literal(medoids))
+        return K.distance_to_label(v, label, medoids, spark)
+    return distance_to(unit(v, _dim(medoids)), label, medoid_literal(medoids))
 
 
 def assign(points: DataFrame, medoids: list[tuple[int, int, list[float]]],
            engine: str | None = None) -> DataFrame:
-    """``(id, u, label, medoid_id, dist)``: every point to its nearest medoid."""
-    best = _nearest("u", medoids, points.sparkSession, engine)
-    return points.select("id", "u", best["label"].alias("label"), best["mid"].alias("medoid_id"),
+    """``(id, v, label, medoid_id, dist)``: every point to its nearest medoid."""
+    best = _nearest("v", medoids, points.sparkSession, engine)
+    return points.select("id", "v", best["label"].alias("label"), best["mid"].alias("medoid_id"),
                          best["dist"].alias("dist"))
 
 
 def cluster_sums(assigned: DataFrame, engine: str | None = None, medoids=None
                  ) -> list[tuple[int, int, list[float]]]:
-    """(label, |K|, S_K) per cluster: one aggregate, partial sums map-side, k
-    rows back (size-checked like the medoids). ``assigned`` has ``u`` and
-    ``label``, or only ``u`` when ``medoids`` says which cluster a row is in."""
+    """(label, |K|, S_K) per cluster, S_K the sum of unit vectors: one
+    aggregate, partial sums map-side, k rows back (size-checked like the
+    medoids). ``assigned`` has ``v`` and ``label``, or only ``v`` when
+    ``medoids`` says which cluster a row is in."""
     if (engine or ENGINE) == "arrow":
         parts = K.cluster_partial_sums(assigned, medoids)
         rows = parts.groupBy("label").agg(
@@ -166,18 +187,18 @@ def cluster_sums(assigned: DataFrame, engine: str | None = None, medoids=None
             assigned = assign(assigned, medoids, engine)
         rows = assigned.groupBy("label").agg(
             F.count(F.lit(1)).alias("n"),
-            vector_to_array(Summarizer.sum(array_to_vector("u"))).alias("S")).collect()
+            vector_to_array(Summarizer.sum(array_to_vector(unit("v")))).alias("S")).collect()
     return _collect_medoids([(r["label"], r["n"], r["S"]) for r in rows])
 
 
 def update_medoids(assigned: DataFrame, engine: str | None = None, medoids=None) -> DataFrame:
     """``(label, medoid_id, s, u)``: per cluster the member with the least
-    sum of distances to all members, s (ties: smaller id).
+    sum of distances to all members, s (ties: smaller id), and its unit vector.
 
     |K| and S_K come back as k rows; each point then scores
     s = |K| - u . S_K against that constant and a min per cluster is taken,
-    combined map-side. No join, no all-pairs. ``assigned`` has ``id``, ``u``
-    and ``label``, or only ``id`` and ``u`` when ``medoids`` is given (each
+    combined map-side. No join, no all-pairs. ``assigned`` has ``id``, ``v``
+    and ``label``, or only ``id`` and ``v`` when ``medoids`` is given (each
     row then belongs to its nearest medoid's cluster)."""
     eng = engine or ENGINE
     sums = cluster_sums(assigned, eng, medoids)
@@ -195,7 +216,8 @@ def update_medoids(assigned: DataFrame, engine: str | None = None, medoids=None)
             F.array(*[F.struct(F.lit(n).cast("double").alias("n"),
                                double_array_literal(vec).alias("S")) for _, n, vec in sums]))
         ks = F.element_at(table, F.col("label"))
-        scored = assigned.select("label", "id", "u", (ks["n"] - dot("u", ks["S"])).alias("s"))
+        scored = assigned.select("label", "id", unit("v").alias("u")).select(
+            "label", "id", "u", (ks["n"] - dot("u", ks["S"])).alias("s"))
         best = scored.groupBy("label").agg(
             F.min(F.struct(F.round("s", SUM_DECIMALS).alias("s"), "id", "u")).alias("b"))
     return best.select("label", F.col("b.id").alias("medoid_id"), F.col("b.s").alias("s"),
@@ -204,8 +226,8 @@ def update_medoids(assigned: DataFrame, engine: str | None = None, medoids=None)
 
 def medoid_cost_pairwise(assigned: DataFrame) -> DataFrame:
     """The reference's all-pairs medoid search, kept as a test oracle only."""
-    a = assigned.select("label", F.col("id").alias("cid"), F.col("u").alias("cu"))
-    b = assigned.select("label", F.col("u").alias("ou"))
+    a = assigned.select("label", F.col("id").alias("cid"), unit("v").alias("cu"))
+    b = assigned.select("label", unit("v").alias("ou"))
     s = a.join(b, "label").groupBy("label", "cid").agg(
         F.sum(F.lit(1.0) - dot("cu", "ou")).alias("s"))
     best = s.groupBy("label").agg(F.min(F.struct(F.round("s", SUM_DECIMALS).alias("s"),
@@ -215,7 +237,7 @@ def medoid_cost_pairwise(assigned: DataFrame) -> DataFrame:
 
 def initial_assignment(points: DataFrame, medoids: list[tuple[int, int, list[float]]], k: int,
                        how: str = "mod", seed: int = 42, engine: str | None = None) -> DataFrame:
-    """D3: ``(id, u, label, medoid_id, dist)`` without a distance search.
+    """D3: ``(id, v, label, medoid_id, dist)`` without a distance search.
     Medoids are numbered 0..k-1 by id; a point goes to number ``id mod k``
     (``how="mod"``) or to ``floor(h * k)`` for h uniform from md5(id:seed)
     (``how="hash"``). A small literal lookup replaces the join on the number."""
@@ -230,17 +252,13 @@ def initial_assignment(points: DataFrame, medoids: list[tuple[int, int, list[flo
     labels = F.array(*[F.lit(m[0]).cast("long") for m in ordered])
     mids = F.array(*[F.lit(m[1]).cast("long") for m in ordered])
     idx = slot.cast("int") + 1
-    out = points.select("id", "u", F.element_at(labels, idx).alias("label"),
+    out = points.select("id", "v", F.element_at(labels, idx).alias("label"),
                         F.element_at(mids, idx).alias("medoid_id"))
-    return out.withColumn("dist", _distance_to("u", "label", medoids, points.sparkSession, engine))
+    return out.withColumn("dist", _distance_to("v", "label", medoids, points.sparkSession, engine))
 
 
 # --- the loop ----------------------------------------------------------------
 
-def _medoids_from(rows) -> list[tuple[int, int, list[float]]]:
-    return _collect_medoids([(r["label"], r["medoid_id"], r["u"]) for r in rows])
-
-
 def _checkpoint(df: DataFrame, total: str | None = None) -> tuple[DataFrame, float | None]:
     """Write ``df`` to the reliable checkpoint directory and cut its lineage.
 
@@ -268,33 +286,34 @@ def _go_on(prev: float, cur: float, rule: str, tol: float) -> bool:
 def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "improved",
               tol: float = 0.005, max_iter: int = 50, seed: int = 42,
               init_ids: list[int] | None = None, fraction: float = 0.2,
-              core_fraction: float = 0.3, engine: str | None = None) -> KMedoidsResult:
+              core_fraction: float = 0.3, engine: str | None = None,
+              cache: bool = False) -> KMedoidsResult:
     """D10. Returns assignments, medoids and the per-pass cost trace.
 
     Every variant stops on the first pass that fails its test and reports that
     pass's cost; ``max_iter`` bounds the passes. Passes are deterministic
-    (md5 sampling keyed by id, seed and pass number)."""
+    (md5 sampling keyed by id, seed and pass number). ``cache=True`` keeps the
+    (id, vector) columns in memory/disk between passes, for data that fits;
+    by default each pass re-reads the source, which only sends the two
+    columns through the scan."""
     variants = ("base", "improved", "local", "sampling", "smart_sampling")
     if variant not in variants:
         raise ValueError(f"variant must be one of {variants}")
     spark = df.sparkSession
     started = time.perf_counter()
-    raw = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
+    points = prepare_points(df, id_col, vec_col)
     if init_ids is not None:
-        first = raw.where(F.col("id").isin([int(i) for i in init_ids])).select(
-            "id", _unit("v", None, engine).alias("u")).collect()
-        if len(first) != len(init_ids):
+        chosen = points.where(F.col("id").isin([int(i) for i in init_ids]))
+        medoids = medoid_rows(chosen, engine)
+        if len(medoids) != len(init_ids):
             raise ValueError("init_ids not all found")
-        k = len(first)
+        k = len(medoids)
     else:
-        # pick on the raw rows, normalise only the k picked
-        picked = pick_medoids(raw, k, seed)
-        first = picked.select("id", _unit("v", None, engine).alias("u")).collect()
-    if not first:
+        medoids = medoid_rows(pick_medoids(points, k, seed), engine)
+    if not medoids:
         raise ValueError("no points")
-    dim = len(first[0]["u"])
-    points = raw.select("id", _unit("v", dim, engine).alias("u")).persist(StorageLevel.MEMORY_AND_DISK)
-    medoids = _collect_medoids(sorted((r["id"], r["id"], r["u"]) for r in first))
+    if cache:
+        points = points.persist(StorageLevel.MEMORY_AND_DISK)
     costs: list[float] = []
     prev, cur = float("inf"), float("1.7976931348623157e308")
     rule = {"base": "decrease", "local": "decrease", "improved": "gain"}.get(variant, "both")
@@ -324,7 +343,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
                 step_cost = assign(points, medoids, engine).agg(F.sum("dist")).first()[0]
         else:
             cur_state = state.withColumn(
-                "dist", _distance_to("u", "label", medoids, spark, engine)) \
+                "dist", _distance_to("v", "label", medoids, spark, engine)) \
                 if variant == "smart_sampling" else state
             if variant == "sampling":
                 pick = hash_fraction("id", fraction, seed, it, "reassign")
@@ -332,9 +351,9 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
             else:
                 marked = percent_rank_flag(cur_state, ["label"], "dist", fraction,
                                            descending=True)
-            best = _nearest("u", medoids, spark, engine)
+            best = _nearest("v", medoids, spark, engine)
             merged = marked.select(
-                "id", "u",
+                "id", "v",
                 F.when(F.col("_sel"), best["label"]).otherwise(F.col("label")).alias("label"),
                 F.when(F.col("_sel"), best["mid"]).otherwise(F.col("medoid_id")).alias("medoid_id"),
                 F.when(F.col("_sel"), best["dist"]).otherwise(F.col("dist")).alias("dist"))
@@ -344,7 +363,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
             else:
                 cand = percent_rank_filter(state, ["label"], "dist", core_fraction,
                                            descending=False)
-            new = update_medoids(cand.select("id", "u", "label"), engine).collect()
+            new = update_medoids(cand.select("id", "v", "label"), engine).collect()
             by_label = {r["label"]: r for r in new}
             medoids = _collect_medoids([(m[0], by_label[m[0]]["medoid_id"], by_label[m[0]]["u"])
                                         if m[0] in by_label else m for m in medoids])
@@ -359,4 +378,4 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
     trace = spark.createDataFrame([(i + 1, c) for i, c in enumerate(costs)],
                                   "iteration int, cost double")
     return KMedoidsResult(assignments, med_df, trace, it, cur, time.perf_counter() - started,
-                          points)
+                          points if cache else None)

@@ -197,7 +197,7 @@ def q_count_by_lang_quality(spark, sf):
 
 from lodestone.functions.sampling import hash_fraction  # noqa: E402
 from lodestone.operators.kmedoids import (  # noqa: E402
-    _collect_medoids, _distance_to, assign, initial_assignment, k_medoids, pick_medoids, prepare_points,
+    _distance_to, assign, medoid_rows, initial_assignment, k_medoids, pick_medoids, prepare_points,
     update_medoids)
 from lodestone.operators.ranks import percent_rank_filter  # noqa: E402
 
@@ -221,8 +221,7 @@ def _points(spark, sf):
 
 
 def _picked(points, k, seed=42):
-    rows = pick_medoids(points, k, seed).collect()
-    return _collect_medoids(sorted((r["id"], r["id"], r["u"]) for r in rows))
+    return medoid_rows(pick_medoids(points, k, seed))
 
 
 @register("kmedoids_pick", f"""
@@ -296,10 +295,11 @@ def _dist_to_label_first(spark, sf):
     """Distance (6 places) of each embedding to the first vector of its label."""
     pts = prepare_points(table(spark, sf, "embeddings"), "vec_id", "embedding", keep=("label",))
     # one reference vector per label: k rows back, size-checked, then a per-row lookup
-    firsts = pts.groupBy("label").agg(F.min(F.struct("id", "u")).alias("m")).collect()
-    refs = _collect_medoids([(r.label, r.m.id, r.m.u) for r in firsts])
+    firsts = pts.groupBy("label").agg(F.min(F.struct("id", "v")).alias("m")).select(
+        "label", "m.id", "m.v")
+    refs = medoid_rows(firsts, label_col="label")
     return pts.select(F.col("id").alias("vec_id"), "label",
-                      (F.round(_distance_to("u", "label", refs, spark, None), 6) + 0.0)
+                      (F.round(_distance_to("v", "label", refs, spark, None), 6) + 0.0)
                       .alias("dist"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.sampling import hex_threshold
 from lodestone.operators.kmedoids import (
-    assign, k_medoids, medoid_cost_pairwise, prepare_points, update_medoids)
+    assign, k_medoids, medoid_cost_pairwise, medoid_rows, prepare_points, update_medoids)
 
 # FIXTURES 2.4: two directions plus a zero vector
 PLANTED = [(0, [1.0, 0.0]), (1, [.9, .1]), (2, [.8, .3]), (3, [0.0, 1.0]), (4, [.1, .9]),
@@ -45,7 +45,7 @@ def test_factored_update_equals_pairwise(spark, engine):
     rows.append((80, [0.0] * 6, 1))
     rows.append((81, rows[5][1], 1))                   # an equal vector under another id
     df = spark.createDataFrame(rows, "id long, v array<double>, label long")
-    pts = prepare_points(df, "id", "v", engine=engine).join(df.select("id", "label"), "id")
+    pts = prepare_points(df, "id", "v", keep=("label",))
     fact = {r.label: (r.medoid_id, round(r.s, 6)) for r in update_medoids(pts, engine).collect()}
     pair = {r.label: (r.medoid_id, round(r.s, 6)) for r in medoid_cost_pairwise(pts).collect()}
     assert fact == pair
@@ -150,7 +150,7 @@ def test_sampling_variants_match_brute_force(spark, variant, engine):
 
 @pytest.mark.parametrize("engine", ["arrow", "sql"])
 def test_assign_is_a_projection(spark, planted, engine):
-    pts = prepare_points(planted, "id", "v", engine=engine)
+    pts = prepare_points(planted, "id", "v")
     plan = assign(pts, [(0, 0, [1.0, 0.0]), (3, 3, [0.0, 1.0])], engine)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
@@ -160,8 +160,8 @@ def test_engines_agree_on_embeddings(spark):
     e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     out = {}
     for engine in ("arrow", "sql"):
-        pts = prepare_points(e, "vec_id", "embedding", engine=engine)
-        med = [(r.id, r.id, r.u) for r in pts.orderBy("id").limit(6).collect()]
+        pts = prepare_points(e, "vec_id", "embedding")
+        med = medoid_rows(pts.orderBy("id").limit(6), engine)
         out[engine] = sorted((r.id, r.medoid_id, round(r.dist, 9))
                              for r in assign(pts, med, engine).collect())
     assert out["arrow"] == out["sql"]
@@ -193,10 +193,10 @@ def test_kernels_across_batches_and_broadcast(spark, monkeypatch):
     rng = np.random.default_rng(21)
     rows = [(i, [float(x) for x in rng.normal(size=5)], int(i % 3)) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, v array<double>, label long").repartition(3)
-    pts = prepare_points(df, "id", "v", engine="sql", keep=("label",))
+    pts = prepare_points(df, "id", "v", keep=("label",))
     ref = sorted(tuple(r) for r in update_medoids(pts, "sql").select("label", "medoid_id").collect())
-    med = [(r.id, r.id, r.u) for r in pts.orderBy("id").limit(4).collect()]
-    ref_m = sorted(tuple(r) for r in update_medoids(pts.select("id", "u"), "sql", medoids=med)
+    med = medoid_rows(pts.orderBy("id").limit(4), "sql")
+    ref_m = sorted(tuple(r) for r in update_medoids(pts.select("id", "v"), "sql", medoids=med)
                    .select("label", "medoid_id").collect())
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
@@ -204,7 +204,7 @@ def test_kernels_across_batches_and_broadcast(spark, monkeypatch):
             monkeypatch.setattr(K, "CLOSURE_CELLS", cells)
             got = sorted(tuple(r) for r in update_medoids(pts, "arrow")
                          .select("label", "medoid_id").collect())
-            got_m = sorted(tuple(r) for r in update_medoids(pts.select("id", "u"), "arrow",
+            got_m = sorted(tuple(r) for r in update_medoids(pts.select("id", "v"), "arrow",
                                                             medoids=med)
                            .select("label", "medoid_id").collect())
             assert got == ref and got_m == ref_m
