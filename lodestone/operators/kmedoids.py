@@ -274,6 +274,16 @@ def _checkpoint(df: DataFrame, total: str | None = None) -> tuple[DataFrame, flo
         cached.unpersist()
 
 
+def reassigned_cost(points: DataFrame, medoids, engine: str | None = None) -> float:
+    """D9, the single-machine rule: every point's distance to its nearest
+    medoid, summed (per-batch partial sums on the kernel path)."""
+    if (engine or ENGINE) == "arrow":
+        total = K.cluster_partial_sums(points, medoids).agg(F.sum("dsum")).first()[0]
+    else:
+        total = assign(points, medoids, engine).agg(F.sum("dist")).first()[0]
+    return float(total or 0.0)
+
+
 def _go_on(prev: float, cur: float, rule: str, tol: float) -> bool:
     if rule == "decrease":
         return prev > cur
@@ -320,7 +330,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
     state = None
 
     if variant == "local":
-        cur = assign(points, medoids, engine).agg(F.sum("dist")).first()[0]
+        cur = reassigned_cost(points, medoids, engine)
 
     if variant in ("sampling", "smart_sampling"):
         how = "hash" if variant == "sampling" else "mod"
@@ -340,7 +350,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
             if variant == "base":   # the label is the medoid itself, renamed each pass
                 medoids = [(mid, mid, vec) for _, mid, vec in medoids]
             if variant == "local":
-                step_cost = assign(points, medoids, engine).agg(F.sum("dist")).first()[0]
+                step_cost = reassigned_cost(points, medoids, engine)
         else:
             cur_state = state.withColumn(
                 "dist", _distance_to("v", "label", medoids, spark, engine)) \
