@@ -34,8 +34,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.functions.sampling import hash_fraction, hash_key
 from lodestone.functions import vector_kernels as K
+from lodestone.functions.sampling import hash_fraction, hash_key
 from lodestone.functions.vectors import dot, double_array_literal, unit
 from lodestone.operators.ranks import percent_rank_filter, percent_rank_flag
 from lodestone.session import checkpoint_dir
@@ -43,7 +43,8 @@ from lodestone.session import checkpoint_dir
 # "arrow": vector math in Arrow-batched numpy kernels (fast); "sql": the same
 # formulas as Spark array higher-order functions (pure JVM, interpreted).
 ENGINE = "arrow"
-# Medoid rows are shipped to every task; k * dim doubles must stay below this.
+# Medoid rows are shipped to every task (closure or broadcast on the kernel
+# path, a plan literal on the SQL path); k * dim doubles must stay below this.
 MAX_MEDOID_CELLS = 16_000_000
 # Decimal places of a distance before it is compared (ties then go to the smaller id).
 DIST_DECIMALS = 12
@@ -268,7 +269,11 @@ def _checkpoint(df: DataFrame, total: str | None = None) -> tuple[DataFrame, flo
     checkpoint_dir(df.sparkSession)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        s = cached.agg(F.sum(total)).first()[0] if total else cached.count() and None
+        s = None
+        if total:
+            s = cached.agg(F.sum(total)).first()[0]
+        else:
+            cached.count()
         return cached.checkpoint(eager=True), (float(s) if s is not None else None)
     finally:
         cached.unpersist()
