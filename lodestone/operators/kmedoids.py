@@ -260,21 +260,26 @@ def initial_assignment(points: DataFrame, medoids: list[tuple[int, int, list[flo
 
 # --- the loop ----------------------------------------------------------------
 
-def _checkpoint(df: DataFrame, total: str | None = None) -> tuple[DataFrame, float | None]:
+def _checkpoint(df: DataFrame, stats: bool = False) -> tuple[DataFrame, list]:
     """Write ``df`` to the reliable checkpoint directory and cut its lineage.
 
-    The rows are cached first (MEMORY_AND_DISK), so the checkpoint's file
-    write reads them instead of recomputing the pass; the optional ``total``
-    (sum of a column) comes from the same materialising job."""
+    The rows are cached, then marked for a lazy checkpoint; one grouped
+    aggregate over the marked rows (per ``label``: n, min, max and sum of
+    ``dist`` -- k rows back) fills the cache, and the checkpoint write that
+    follows reads the cache instead of recomputing the pass. The cache is
+    dropped once the files are written."""
     checkpoint_dir(df.sparkSession)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        s = None
-        if total:
-            s = cached.agg(F.sum(total)).first()[0]
+        ck = cached.checkpoint(eager=False)
+        if stats:
+            rows = ck.groupBy("label").agg(
+                F.count("dist").alias("n"), F.min("dist").alias("lo"),
+                F.max("dist").alias("hi"), F.sum("dist").alias("total")).collect()
         else:
-            cached.count()
-        return cached.checkpoint(eager=True), (float(s) if s is not None else None)
+            ck.count()
+            rows = []
+        return ck, rows
     finally:
         cached.unpersist()
 
@@ -372,12 +377,13 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
                 F.when(F.col("_sel"), best["label"]).otherwise(F.col("label")).alias("label"),
                 F.when(F.col("_sel"), best["mid"]).otherwise(F.col("medoid_id")).alias("medoid_id"),
                 F.when(F.col("_sel"), best["dist"]).otherwise(F.col("dist")).alias("dist"))
-            state, step_cost = _checkpoint(merged, total="dist")
+            state, state_stats = _checkpoint(merged, stats=True)
+            step_cost = float(sum(r["total"] or 0.0 for r in state_stats))
             if variant == "sampling":
                 cand = state.where(hash_fraction("id", fraction, seed, it, "update"))
             else:
                 cand = percent_rank_filter(state, ["label"], "dist", core_fraction,
-                                           descending=False)
+                                           descending=False, stats=state_stats)
             new = update_medoids(cand.select("id", "v", "label"), engine).collect()
             by_label = {r["label"]: r for r in new}
             medoids = _collect_medoids([(m[0], by_label[m[0]]["medoid_id"], by_label[m[0]]["u"])

@@ -182,20 +182,30 @@ def _cut_rank(n: int, fraction: float, descending: bool) -> int:
 
 
 def percent_rank_threshold(df: DataFrame, group_cols: list[str], value_col: str,
-                           fraction: float, descending: bool = False) -> DataFrame:
+                           fraction: float, descending: bool = False,
+                           stats: list | None = None) -> DataFrame:
     """``(group_cols..., _thr)``: per group, the cut-off value such that
     ``percent_rank() over (partition by group_cols order by value_col [desc])
     <= fraction`` holds exactly for rows with value >= _thr (desc) or
-    <= _thr (asc). One row per group; nulls are not ranked."""
+    <= _thr (asc). One row per group; nulls are not ranked.
+
+    ``stats``: rows with the group columns, ``n``, ``lo``, ``hi`` (count, min,
+    max of the non-null values) when the caller already has them; the
+    refinement then reads ``df`` directly instead of caching a copy."""
     spark = df.sparkSession
     g = list(group_cols)
     if not g:
         return percent_rank_threshold(df.withColumn("_g", F.lit(0)), ["_g"], value_col, fraction,
                                       descending).drop("_g")
-    slim = _slim(df, g, value_col)
+    if stats is None:
+        slim = _slim(df, g, value_col)
+        stats = _group_stats(slim, g)
+    else:
+        slim = (df.select(*g, F.col(value_col).cast("double").alias("_v"))
+                .where(F.col("_v").isNotNull()))
     try:
         state = []
-        for s in _group_stats(slim, g):
+        for s in stats:
             state.append(dict(key=tuple(s[c] for c in g), tid=0,
                               r=_cut_rank(s.n, float(fraction), descending),
                               lo=s.lo, hi=s.hi, below=0, cnt=s.n))
@@ -208,12 +218,13 @@ def percent_rank_threshold(df: DataFrame, group_cols: list[str], value_col: str,
 
 
 def percent_rank_flag(df: DataFrame, group_cols: list[str], value_col: str, fraction: float,
-                      descending: bool = False, flag: str = "_sel") -> DataFrame:
+                      descending: bool = False, flag: str = "_sel",
+                      stats: list | None = None) -> DataFrame:
     """``df`` plus boolean ``flag``: whether the row passes the percent_rank
     cut. The per-group thresholds (one row per group, at most MAX_TARGETS)
     are broadcast; the rows themselves never move."""
     g = list(group_cols)
-    thr = percent_rank_threshold(df, g, value_col, fraction, descending)
+    thr = percent_rank_threshold(df, g, value_col, fraction, descending, stats)
     v = F.col(value_col)
     if not g:
         t = F.lit(thr.first()["_thr"]).cast("double")
@@ -226,9 +237,9 @@ def percent_rank_flag(df: DataFrame, group_cols: list[str], value_col: str, frac
 
 
 def percent_rank_filter(df: DataFrame, group_cols: list[str], value_col: str, fraction: float,
-                        descending: bool = False) -> DataFrame:
+                        descending: bool = False, stats: list | None = None) -> DataFrame:
     """Rows of ``df`` where ``percent_rank() over (partition by group_cols order
     by value_col [desc]) <= fraction`` (W4, W5), without a per-group sort.
     Rows with a null value are not ranked and not returned."""
-    return (percent_rank_flag(df, group_cols, value_col, fraction, descending, "_keep")
+    return (percent_rank_flag(df, group_cols, value_col, fraction, descending, "_keep", stats)
             .where("_keep").drop("_keep"))
