@@ -68,7 +68,9 @@ class KMedoidsResult:
         costs = ",".join(repr(r.cost) for r in self.trace.orderBy("iteration").collect())
         lines = [f"Time: {int(self.seconds)} seconds", f"Iterations: {self.iterations}", costs,
                  f"Final cost: {self.cost!r}"]
-        return self.trace.sparkSession.createDataFrame([(x,) for x in lines], "value string")
+        # four lines: one partition, so the text sink writes them as one ordered file
+        return self.trace.sparkSession.createDataFrame([(x,) for x in lines],
+                                                       "value string").coalesce(1)
 
     def unpersist(self) -> None:
         """Release the cached points (``cache=True``) once the assignments are written."""

@@ -48,3 +48,19 @@ def test_vectors_csv(spark, tmp_path):
     df = read_vectors_csv(spark, str(p))
     assert sorted(r.vector for r in df.collect()) == [[0.0, 1.0, 0.0], [1.0, 0.0, 0.0]]
     assert df.select("id").distinct().count() == 2
+
+
+def test_csv_vectors_to_kmedoids_report(spark, tmp_path):
+    # the reference's clustering program: numeric CSV -> vectors -> loop -> 4-line report
+    from lodestone.operators.kmedoids import k_medoids
+    rows = ["1,0,0", "0.9,0.1,0", "0.8,0.3,0", "0,1,0", "0.1,0.9,0", "0.3,0.8,0", "0,0,1", "0,0.1,0.9"]
+    p = tmp_path / "samples.csv"
+    p.write_text("\n".join(rows) + "\n")
+    vecs = read_vectors_csv(spark, str(p), schema="a double, b double, c double")
+    res = k_medoids(vecs, "id", "vector", 3, "improved", max_iter=10)
+    assert res.assignments.count() == len(rows)
+    assert res.medoids.count() == 3
+    out = str(tmp_path / "report")
+    write_lines(res.report(), out)
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert len(lines) == 4 and lines[0].startswith("Time: ") and lines[3].startswith("Final cost: ")
