@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lodestone.session import ship_package
+
 CLOSURE_CELLS = 65_536
 DIST_DECIMALS = 12
 
@@ -59,6 +61,7 @@ def from_matrix(m: np.ndarray) -> pa.Array:
 
 def _ship(matrix: np.ndarray, spark):
     """Closure value, or a broadcast variable for big matrices."""
+    ship_package(spark)
     if matrix.size <= CLOSURE_CELLS:
         return lambda: matrix
     bc = spark.sparkContext.broadcast(matrix)
@@ -67,6 +70,7 @@ def _ship(matrix: np.ndarray, spark):
 
 def unit_vectors(vec, dim: int | None = None) -> Column:
     """Kernel twin of ``vectors.unit``: u/|u|, zero stays zero."""
+    ship_package()
     @F.arrow_udf("array<double>")
     def _unit(v: pa.Array) -> pa.Array:
         return from_matrix(unit_rows(to_matrix(v, dim)))
@@ -156,6 +160,7 @@ def _groups(lab: np.ndarray):
 
 
 def _medoid_arrays(medoids, spark):
+    ship_package(spark)
     if medoids is None:
         return None
     ordered = sorted(medoids, key=lambda m: m[1])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.numbers import is_prime_by_division, long_array_literal, parse_integer
+from lodestone.session import ship_package
 
 # Upper limit on the broadcast divisor array: odd primes up to sqrt(max_number).
 # 200k divisors cover max_number up to about 7.5e12 (1.6 MB as bigints).
@@ -45,6 +46,7 @@ def odd_primes_upto(spark: SparkSession, m: int, method: str = "segments") -> Da
     if method != "segments":
         raise ValueError("method must be 'segments' or 'join'")
     base = np.array(odd_divisors(spark, m) if root >= 3 else [], dtype=np.int64)
+    ship_package(spark)
     seg = SIEVE_SEGMENT
     n_seg = (m - 3) // seg + 1
 
