@@ -27,20 +27,25 @@ def test_sieve_crosses_segments(spark, monkeypatch, method, seg):
     assert sorted(r.p for r in P.odd_primes_upto(spark, 3001, method).collect()) == _sieve(3001)
 
 
-def test_top_primes_fixture(spark):
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
+def test_top_primes_fixture(spark, engine):
     # FIXTURES 2.3
-    df = spark.createDataFrame([(v,) for v in [-7, 0, 1, 2, 3, 4, 9, 25, 49, 97, 97]], "value int")
-    assert [r.value for r in top_primes(df, "value", 3).collect()] == [97, 97, 3]
-    assert [r.value for r in top_primes(df, "value", 3, max_number=9).collect()] == [97, 97, 49]
-    got = sorted(r.value for r in prime_filter(df, "value", max_number=4).collect())
+    df = spark.createDataFrame([(v,) for v in [-7, 0, 1, 2, 3, 4, 9, 25, 49, 97, 97, None]],
+                               "value int")
+    assert [r.value for r in top_primes(df, "value", 3, engine=engine).collect()] == [97, 97, 3]
+    assert [r.value for r in top_primes(df, "value", 3, max_number=9, engine=engine).collect()] \
+        == [97, 97, 49]
+    got = sorted(r.value for r in prime_filter(df, "value", max_number=4, engine=engine).collect())
     assert got == [2, 3, 9, 25, 49, 97, 97]          # no divisors: every odd n > 2 passes
-    assert [r.value for r in top_primes(df, "value", 3, distinct=True).collect()] == [97, 3, 2]
+    assert [r.value for r in top_primes(df, "value", 3, distinct=True, engine=engine).collect()] \
+        == [97, 3, 2]
 
 
-def test_prime_filter_exact_on_longs(spark):
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
+def test_prime_filter_exact_on_longs(spark, engine):
     vals = list(range(-5, 3000)) + [2**31 - 1, 2**31 + 11, 10**10 + 19, 10**10 + 21]
     df = spark.createDataFrame([(v,) for v in vals], "value long")
-    got = sorted(r.value for r in prime_filter(df, "value").collect())
+    got = sorted(r.value for r in prime_filter(df, "value", engine=engine).collect())
 
     def is_prime(n):
         if n < 2:
@@ -63,12 +68,34 @@ def test_parse_integers(spark):
         parse_integers(df, on_error="raise").collect()
 
 
-def test_top_primes_widens_until_found(spark, monkeypatch):
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
+def test_top_primes_widens_until_found(spark, monkeypatch, engine):
     # the top windows hold only even numbers; the primes sit at the very bottom
     vals = [2 * i for i in range(2, 4000)] + [3, 5, None]
     df = spark.createDataFrame([(v,) for v in vals], "value long")
-    assert [r.value for r in top_primes(df, "value", 3).collect()] == [5, 3]
-    assert top_primes(df.where("value > 100"), "value", 3).count() == 0
+    assert [r.value for r in top_primes(df, "value", 3, engine=engine).collect()] == [5, 3]
+    assert top_primes(df.where("value > 100"), "value", 3, engine=engine).count() == 0
     import lodestone.operators.primes as P
     monkeypatch.setattr(P, "MAX_WINDOW", 500)          # past the cap: whole-column test
-    assert [r.value for r in P.top_primes(df, "value", 3).collect()] == [5, 3]
+    assert [r.value for r in P.top_primes(df, "value", 3, engine=engine).collect()] == [5, 3]
+
+
+def _reference_rule(n, divisors):
+    # the reference's rule, read off its description: n = 2, or odd n > 2 with
+    # no listed divisor d < n that divides it
+    if n == 2:
+        return True
+    if n < 2 or n % 2 == 0:
+        return False
+    return not any(n > d and n % d == 0 for d in divisors)
+
+
+@pytest.mark.parametrize("max_number", [4, 9, 50, 400, 10**6])
+def test_prime_mask_equals_rule(max_number):
+    import numpy as np
+    from lodestone.functions.numbers import prime_mask
+    ds = [p for p in _sieve(int(max_number ** 0.5))]
+    rng = np.random.default_rng(max_number)
+    ns = np.concatenate([np.arange(-5, 3000), rng.integers(0, 2 * max_number + 5000, 3000)])
+    got = prime_mask(ns.astype(np.int64), np.array(ds, dtype=np.int64))
+    assert [bool(x) for x in got] == [_reference_rule(int(n), ds) for n in ns]
