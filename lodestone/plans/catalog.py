@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.operators.primes import odd_primes_upto, top_primes
+from lodestone.operators.primes import odd_primes_upto, prime_filter, top_primes
 from lodestone.operators.profile import count_by, profile
 from lodestone.operators.text import word_count, word_search
 from lodestone.sources.tables import table
@@ -140,6 +140,22 @@ def q_top_primes_capped(spark, sf):
         F.col("l_partkey").alias("value"))
 
 
+@register("prime_filter_lineitem", """
+WITH ds AS (
+  SELECT d FROM generate_series(3, CAST(floor(sqrt((SELECT max(l_orderkey) FROM lineitem)))
+                                         AS BIGINT), 2) t(d)
+  WHERE NOT EXISTS (SELECT 1 FROM generate_series(3, CAST(floor(sqrt(d)) AS BIGINT), 2) u(e)
+                    WHERE d % e = 0))
+SELECT l_orderkey AS value, l_linenumber FROM lineitem n
+WHERE l_orderkey = 2 OR (l_orderkey > 2 AND l_orderkey % 2 = 1
+      AND NOT EXISTS (SELECT 1 FROM ds WHERE d < n.l_orderkey AND n.l_orderkey % d = 0))""")
+def q_prime_filter_lineitem(spark, sf):
+    # C3 over every row (duplicates kept): the order lines whose order key is prime
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return prime_filter(li, "l_orderkey").select(F.col("l_orderkey").alias("value"),
+                                                 "l_linenumber")
+
+
 @register("odd_primes_upto_max_orderkey", """
 SELECT d AS p FROM generate_series(3, (SELECT max(o_orderkey) FROM orders), 2) t(d)
 WHERE NOT EXISTS (SELECT 1 FROM generate_series(3, CAST(floor(sqrt(d)) AS BIGINT), 2) u(e)
