@@ -24,10 +24,18 @@ def start_word_count(spark: SparkSession, in_dir: str, checkpoint: str, sink: st
                      query_name: str = "word_counts", out_path: str | None = None,
                      output_mode: str = "complete") -> StreamingQuery:
     """Start the streaming word count. ``sink="memory"`` exposes the table
-    ``query_name``; other sinks take ``out_path``. ``checkpoint`` must be a
-    reliable shared directory so the query resumes after a failure."""
+    ``query_name``; a file format (``"parquet"``, ``"csv"``, ...) rewrites
+    ``out_path`` with the full counts after each micro-batch. ``checkpoint``
+    must be a reliable shared directory so the query resumes after a failure."""
     w = (word_count_stream(spark, in_dir).writeStream.outputMode(output_mode)
          .option("checkpointLocation", checkpoint))
     if sink == "memory":
         return w.format("memory").queryName(query_name).start()
-    return w.format(sink).option("path", out_path).start()
+    if out_path is None:
+        raise ValueError("out_path is needed for file sinks")
+    # file sinks take appends only; an updated aggregate is written per
+    # micro-batch instead (complete mode: the whole table, replaced)
+
+    def write_batch(batch_df, epoch_id):
+        batch_df.write.mode("overwrite").format(sink).save(out_path)
+    return w.outputMode("complete").foreachBatch(write_batch).start()

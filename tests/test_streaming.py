@@ -14,3 +14,19 @@ def test_streaming_word_count(spark, tmp_path):
     finally:
         q.stop()
     assert got == {"one": 1, "two": 3, "three": 1}
+
+
+def test_streaming_word_count_to_parquet(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("red blue red\n")
+    out = str(tmp_path / "out")
+    q = start_word_count(spark, str(src), str(tmp_path / "ckpt2"), sink="parquet", out_path=out)
+    try:
+        q.processAllAvailable()
+        (src / "b.txt").write_text("blue green\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.word: r["count"] for r in spark.read.parquet(out).collect()}
+    assert got == {"red": 2, "blue": 2, "green": 1}
