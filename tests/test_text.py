@@ -64,3 +64,29 @@ def test_word_count_text_lines(spark, tmp_path):
     p = tmp_path / "in.txt"
     p.write_text("one two\nTwo three three\n\n")
     assert _counts(word_count(read_lines(spark, str(p)), "value")) == {"one": 1, "two": 2, "three": 2}
+
+
+def _py_tokens(t):
+    import re
+    return [w for w in re.sub("[^a-z]", " ", t.lower()).split(" ") if w]
+
+
+def test_tokenizer_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("abcXYZ é-1 \n\t.,'Ωß"))
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.lists(st.text(alphabet, max_size=40), min_size=1, max_size=6),
+           st.sampled_from(["a", "ab", "abc", "x", "zz"]))
+    def check(texts, word):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+        expect = {}
+        for t in texts:
+            for w in _py_tokens(t):
+                expect[w] = expect.get(w, 0) + 1
+        assert _counts(word_count(df)) == expect
+        hits = sum(1 for t in texts if word in _py_tokens(t))
+        assert word_search(df, word, id_col="id").first()["count"] == hits
+    check()
