@@ -119,7 +119,13 @@ def prime_predicate(spark: SparkSession, col: str, max_number: int, engine: str
     array functions (``"sql"``). Both give the reference's answer."""
     ds = odd_divisors(spark, max_number)
     if (engine or ENGINE) == "arrow":
-        return is_prime_kernel(F.col(col), ds, spark)
+        # the cheap JVM part (2 or odd > 2, the first divisors) lands below the
+        # kernel in the plan, so only the hard candidates cross into Python
+        n = F.col(col)
+        pre = (n == 2) | ((n > 2) & ((n % 2) == 1))
+        for d in ds[:QUICK_DIVISORS]:
+            pre = pre & ((n <= d) | ((n % d) != 0))
+        return pre & is_prime_kernel(n, ds, spark)
     return is_prime_by_division(F.col(col), long_array_literal(ds), tuple(ds[:QUICK_DIVISORS]))
 
 
