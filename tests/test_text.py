@@ -90,3 +90,13 @@ def test_tokenizer_property(spark):
         hits = sum(1 for t in texts if word in _py_tokens(t))
         assert word_search(df, word, id_col="id").first()["count"] == hits
     check()
+
+
+def test_json_lines_and_top_level_api(spark, tmp_path):
+    import lodestone
+    p = tmp_path / "docs.jsonl"
+    p.write_text('{"id": "1", "title": "a", "text": "Spark and\\nspark"}\n'
+                 '{"id": "2", "title": "b", "text": "sparkle"}\n')
+    df = lodestone.read_json_documents(spark, str(p), multiline=False)
+    assert lodestone.word_search(df, "spark", id_col="id").first()["count"] == 1
+    assert {r.word: r["count"] for r in lodestone.word_count(df).collect()}["spark"] == 2
