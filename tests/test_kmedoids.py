@@ -210,3 +210,16 @@ def test_kernels_across_batches_and_broadcast(spark, monkeypatch):
             assert got == ref and got_m == ref_m
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
+def test_empty_cluster_keeps_its_medoid(spark, engine):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.1, 1.0])],
+                               "id long, v array<double>")
+    # pass 1: every tie goes to the smaller medoid id, so cluster 1 has no member
+    # and keeps medoid 1, while cluster 0 moves to point 3
+    res = k_medoids(df, "id", "v", 2, "improved", init_ids=[0, 1], max_iter=1, engine=engine)
+    assert {r.label: r.medoid_id for r in res.medoids.collect()} == {0: 3, 1: 1}
+    # pass 2: points 0 and 1 come back to cluster 1, whose medoid becomes 0 (smaller id)
+    res = k_medoids(df, "id", "v", 2, "improved", init_ids=[0, 1], max_iter=2, engine=engine)
+    assert {r.label: r.medoid_id for r in res.medoids.collect()} == {0: 2, 1: 0}
