@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from lodestone.session import ship_package
 
 CLOSURE_CELLS = 65_536
+CHUNK_ROWS = 4096
 DIST_DECIMALS = 12
 
 
@@ -46,6 +47,30 @@ def to_matrix(arr, dim: int | None = None) -> np.ndarray:
     return flat.reshape(n, d)
 
 
+def _slices(n: int):
+    """Row ranges of at most CHUNK_ROWS: float64 temporaries stay bounded
+    (CHUNK_ROWS x dim x 8 bytes) whatever the Arrow batch size."""
+    for lo in range(0, n, CHUNK_ROWS):
+        yield lo, min(CHUNK_ROWS, n - lo)
+
+
+def _batch_slices(batches):
+    """Non-empty zero-copy slices of at most CHUNK_ROWS rows of each batch."""
+    for whole in batches:
+        for lo, ln in _slices(whole.num_rows):
+            yield whole.slice(lo, ln)
+
+
+def _per_slice(fn, *arrays) -> pa.Array:
+    """Apply ``fn`` to zero-copy slices of equally long Arrow arrays and
+    concatenate the Arrow results."""
+    n = len(arrays[0])
+    if n <= CHUNK_ROWS:
+        return fn(*arrays)
+    parts = [fn(*(a.slice(lo, ln) for a in arrays)) for lo, ln in _slices(n)]
+    return pa.concat_arrays(parts)
+
+
 def unit_rows(m: np.ndarray) -> np.ndarray:
     """Rows scaled to length 1 in float64; zero rows stay zero."""
     norms = np.sqrt(np.einsum("ij,ij->i", m, m))
@@ -73,7 +98,7 @@ def unit_vectors(vec, dim: int | None = None) -> Column:
     ship_package()
     @F.arrow_udf("array<double>")
     def _unit(v: pa.Array) -> pa.Array:
-        return from_matrix(unit_rows(to_matrix(v, dim)))
+        return _per_slice(lambda x: from_matrix(unit_rows(to_matrix(x, dim))), v)
     return _unit(F.col(vec) if isinstance(vec, str) else vec)
 
 
@@ -93,12 +118,16 @@ def nearest_medoid(u, medoids: list[tuple[int, int, list[float]]], spark) -> Col
     @F.arrow_udf("struct<dist:double,mid:bigint,label:bigint>")
     def _nearest(v: pa.Array) -> pa.Array:
         mm = get()
-        um = unit_rows(to_matrix(v, mm.shape[1]))
-        key = _round(1.0 - um @ mm.T, DIST_DECIMALS)
-        idx = np.argmin(key, axis=1)            # first minimum: smallest medoid id
-        return pa.StructArray.from_arrays(
-            [pa.array(key[np.arange(len(idx)), idx]), pa.array(mids[idx]), pa.array(labels[idx])],
-            names=["dist", "mid", "label"])
+
+        def one(x):
+            um = unit_rows(to_matrix(x, mm.shape[1]))
+            key = _round(1.0 - um @ mm.T, DIST_DECIMALS)
+            idx = np.argmin(key, axis=1)            # first minimum: smallest medoid id
+            return pa.StructArray.from_arrays(
+                [pa.array(key[np.arange(len(idx)), idx], type=pa.float64()),
+                 pa.array(mids[idx], type=pa.int64()), pa.array(labels[idx], type=pa.int64())],
+                names=["dist", "mid", "label"])
+        return _per_slice(one, v)
     return _nearest(F.col(u) if isinstance(u, str) else u)
 
 
@@ -120,9 +149,13 @@ def distance_to_label(u, label, medoids: list[tuple[int, int, list[float]]], spa
     @F.arrow_udf("double")
     def _dist(v: pa.Array, lab: pa.Array) -> pa.Array:
         mm = get()
-        um = unit_rows(to_matrix(v, mm.shape[1]))
-        rows = mm[_row_lookup(labels, np.asarray(lab.to_numpy(zero_copy_only=False), np.int64))]
-        return pa.array(_round(1.0 - np.einsum("ij,ij->i", um, rows), DIST_DECIMALS))
+
+        def one(x, lb):
+            um = unit_rows(to_matrix(x, mm.shape[1]))
+            rows = mm[_row_lookup(labels, np.asarray(lb.to_numpy(zero_copy_only=False), np.int64))]
+            return pa.array(_round(1.0 - np.einsum("ij,ij->i", um, rows), DIST_DECIMALS),
+                            type=pa.float64())
+        return _per_slice(one, v, lab)
     return _dist(F.col(u) if isinstance(u, str) else u,
                  (F.col(label) if isinstance(label, str) else label).cast("long"))
 
@@ -181,9 +214,7 @@ def cluster_partial_sums(points, medoids=None, dim: int | None = None):
 
     def run(batches):
         m = None if med is None else (med[0](), med[1], med[2])
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in _batch_slices(batches):
             um = unit_rows(to_matrix(batch.column("v"), m[0].shape[1] if m is not None else dim))
             lab, dist = _labels_of(batch, um, m)
             order, uniq, starts = _groups(lab)
@@ -211,9 +242,7 @@ def cluster_partial_best(points, sums: list[tuple[int, int, list[float]]], medoi
     def run(batches):
         m = None if med is None else (med[0](), med[1], med[2])
         sm = get_s()
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in _batch_slices(batches):
             um = unit_rows(to_matrix(batch.column("v"), sm.shape[1]))
             ids = np.asarray(batch.column("id").to_numpy(zero_copy_only=False), dtype=np.int64)
             lab, _ = _labels_of(batch, um, m)

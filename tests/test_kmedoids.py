@@ -223,3 +223,19 @@ def test_empty_cluster_keeps_its_medoid(spark, engine):
     # pass 2: points 0 and 1 come back to cluster 1, whose medoid becomes 0 (smaller id)
     res = k_medoids(df, "id", "v", 2, "improved", init_ids=[0, 1], max_iter=2, engine=engine)
     assert {r.label: r.medoid_id for r in res.medoids.collect()} == {0: 2, 1: 0}
+
+
+def test_kernels_slice_large_batches(spark):
+    # one partition of 10,000 rows = one Arrow batch, cut into 4096-row slices
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=4)], int(i % 3)) for i in range(10_000)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label long").coalesce(1)
+    pts = prepare_points(df, "id", "v", keep=("label",))
+    med = medoid_rows(pts.orderBy("id").limit(3), "sql")
+    res = {}
+    for engine in ("arrow", "sql"):
+        a = assign(pts.select("id", "v"), med, engine)
+        res[engine] = (sorted((r.id, r.medoid_id) for r in a.collect()),
+                       sorted(tuple(r) for r in update_medoids(pts, engine)
+                              .select("label", "medoid_id").collect()))
+    assert res["arrow"] == res["sql"]
