@@ -2,6 +2,9 @@
 
 All are higher-order array functions evaluated in the JVM; no Python UDF.
 Vectors are normalised once, so cosine similarity is a plain dot product.
+A per-row value needed inside a lambda is passed in as an array argument
+(``zip_with`` with ``array_repeat``), never written inside the lambda body,
+where Spark would evaluate it once per element.
 """
 
 from __future__ import annotations
@@ -30,8 +33,10 @@ def unit(u, dim: int | None = None) -> Column:
     a vector of another length fails the job."""
     u = _col(u).cast("array<double>")
     n = norm(u)
-    out = F.when(n > 0, F.transform(u, lambda x: x / n)).otherwise(
-        F.transform(u, lambda x: F.lit(0.0)))
+    # the norm goes into the lambda as a second array argument: an outer
+    # expression written inside a lambda would be evaluated once per element
+    out = F.when(n > 0, F.zip_with(u, F.array_repeat(n, F.size(u)), lambda x, nn: x / nn)
+                 ).otherwise(F.transform(u, lambda x: F.lit(0.0)))
     if dim is not None:
         out = F.when(F.size(u) == dim, out).otherwise(
             F.raise_error(F.concat(F.lit(f"vector length must be {dim}, got "),

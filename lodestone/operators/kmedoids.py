@@ -140,9 +140,11 @@ def nearest(u, medoids: Column) -> Column:
     unit vector ``u``; ties go to the smaller medoid id (distances compared at
     DIST_DECIMALS places)."""
     u = F.col(u) if isinstance(u, str) else u
-    return F.array_min(F.transform(medoids, lambda m: F.struct(
-        F.round(F.lit(1.0) - dot(u, m["vec"]), DIST_DECIMALS).alias("dist"),
-        m["mid"].alias("mid"), m["label"].alias("label"))))
+    # u reaches the lambda as a repeated argument, so it is computed once per row
+    def score(m, uu):
+        return F.struct(F.round(F.lit(1.0) - dot(uu, m["vec"]), DIST_DECIMALS).alias("dist"),
+                        m["mid"].alias("mid"), m["label"].alias("label"))
+    return F.array_min(F.zip_with(medoids, F.array_repeat(u, F.size(medoids)), score))
 
 
 def distance_to(u, label, medoids: Column) -> Column:
