@@ -8,6 +8,7 @@ the cluster names it; a private directory is set only when none is configured.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -37,20 +38,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, setting a private one only if unset."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir
-    current = spark.sparkContext.getCheckpointDir()
+    """The folder the cluster names in ``spark.checkpoint.dir``, else the one already set on
+    the context. Only a local master (driver and tasks on one host) may go without: it gets
+    a private folder, which is never written back into the configuration."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(named)
+        return named
+    current = sc.getCheckpointDir()
     if current:
         return current
-    # Unset (tests, local runs): a private scratch directory of this process.
-    local = tempfile.mkdtemp(prefix="lodestone-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="lodestone-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 _SHIPPED: set[str] = set()
