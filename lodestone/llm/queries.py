@@ -4,7 +4,9 @@ production parameters over whole tables."""
 from __future__ import annotations
 
 from lodestone.llm.boosted_rules import quality_rules
+from lodestone.llm.probminhash import near_duplicates
 from lodestone.llm.rule_ensemble import quality_scores
+from lodestone.llm.weak_toxicity import toxicity_scores
 from lodestone.sources.tables import table
 
 QUERIES = {}
@@ -28,3 +30,13 @@ def op1(spark, sf):
 @register("op2_boosted_quality_rules")
 def op2(spark, sf):
     return quality_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register("op9_probminhash_near_duplicates")
+def op9(spark, sf):
+    return near_duplicates(table(spark, sf, "documents"))
+
+
+@register("op4_weak_supervision_toxicity")
+def op4(spark, sf):
+    return toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
