@@ -6,7 +6,9 @@ from __future__ import annotations
 from lodestone.llm.boosted_rules import quality_rules
 from lodestone.llm.probminhash import near_duplicates
 from lodestone.llm.rule_ensemble import quality_scores
+from lodestone.llm.weak_pii import find_pii
 from lodestone.llm.weak_toxicity import toxicity_scores
+from lodestone.llm.zstd_langid import identify_languages
 from lodestone.sources.tables import table
 
 QUERIES = {}
@@ -40,3 +42,13 @@ def op9(spark, sf):
 @register("op4_weak_supervision_toxicity")
 def op4(spark, sf):
     return toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register("op7_weak_supervision_pii")
+def op7(spark, sf):
+    return find_pii(table(spark, sf, "documents"))
+
+
+@register("op8_zstd_language_id")
+def op8(spark, sf):
+    return identify_languages(table(spark, sf, "documents"))
