@@ -104,6 +104,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def span_hash(padded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each span, eight bytes a step; spans over 64 bytes by xxh3.
+    ``padded`` has eight bytes after the last span."""
+    lanes = np.ndarray(shape=(max(1, len(padded) - 7),), dtype="<u8", buffer=padded, strides=(1,))
+    length = ends - starts
+    h = mix(length.astype(np.uint64) * _GOLD)
+    for k in range(8):
+        on = np.flatnonzero(length > 8 * k) if k else slice(None)
+        if k and len(on) == 0:
+            break
+        left = np.minimum(length[on] - 8 * k, 8)
+        h[on] = mix((h[on] ^ (lanes[starts[on] + 8 * k] & _MASKS[left])) + _GOLD)
+    for i in np.flatnonzero(length > 64):
+        h[i] = xxhash.xxh3_64_intdigest(padded[starts[i]:ends[i]].tobytes())
+    return h
+
+
 class TextBytes:
     """The bytes of a text column and its words, as flat arrays.
 
@@ -143,21 +160,8 @@ class TextBytes:
         return self.buf[self.offsets[i]:self.offsets[i + 1]].tobytes()
 
     def word_hash(self) -> np.ndarray:
-        """64-bit hash of each word's bytes, eight bytes a step; words over 64 bytes by xxh3."""
         if self._hash is None:
-            lanes = np.ndarray(shape=(max(1, len(self.padded) - 7),), dtype="<u8",
-                               buffer=self.padded, strides=(1,))
-            length = self.ends - self.starts
-            h = mix(length.astype(np.uint64) * _GOLD)
-            for k in range(8):
-                on = np.flatnonzero(length > 8 * k) if k else slice(None)
-                if k and len(on) == 0:
-                    break
-                left = np.minimum(length[on] - 8 * k, 8)
-                h[on] = mix((h[on] ^ (lanes[self.starts[on] + 8 * k] & _MASKS[left])) + _GOLD)
-            for i in np.flatnonzero(length > 64):
-                h[i] = xxhash.xxh3_64_intdigest(self.buf[self.starts[i]:self.ends[i]].tobytes())
-            self._hash = h
+            self._hash = span_hash(self.padded, self.starts, self.ends)
         return self._hash
 
     def windows(self, width: int):

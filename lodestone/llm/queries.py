@@ -3,9 +3,13 @@ production parameters over whole tables."""
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from lodestone.llm.boosted_rules import quality_rules
+from lodestone.llm.pfor_tokens import token_digests
 from lodestone.llm.probminhash import near_duplicates
 from lodestone.llm.rule_ensemble import quality_scores
+from lodestone.llm.sentencepiece_agenda import encode_digests
 from lodestone.llm.weak_pii import find_pii
 from lodestone.llm.weak_toxicity import toxicity_scores
 from lodestone.llm.zstd_langid import identify_languages
@@ -52,3 +56,13 @@ def op7(spark, sf):
 @register("op8_zstd_language_id")
 def op8(spark, sf):
     return identify_languages(table(spark, sf, "documents"))
+
+
+@register("op3_sentencepiece_agenda")
+def op3(spark, sf):
+    return encode_digests(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op6_pfor_token_shards")
+def op6(spark, sf):
+    return token_digests(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
