@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lodestone.session import checkpoint_dir, ship_package
@@ -33,6 +33,13 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stash_counted(df: DataFrame, tag: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stash``, and aggregates of the rows taken while they are written."""
+    seen = Observation()
+    out = stash(df.observe(seen, *(c.alias(k) for k, c in metrics.items())), tag)
+    return out, seen.get
+
+
 def map_text(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with this package present on the executors."""
     ship_package(df.sparkSession)

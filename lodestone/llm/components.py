@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import stash
+from lodestone.llm.common import stash_counted
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -26,15 +26,36 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("u > v").distinct()
 
 
+def _kept(edges: DataFrame):
+    """The edges written, and a mark of their set that does not depend on order."""
+    out, seen = stash_counted(edges, "edges", n=F.count(F.lit(1)), mark=F.bit_xor(F.xxhash64("u", "v")))
+    return out, (seen["n"], seen["mark"])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, root): the smallest id of the component, for every id that has an edge.
     Null ends are ignored; an empty table gives an empty result."""
-    now = stash(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-                .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    while True:
-        # a forest of stars: no node is both a centre and a leaf, and each leaf has one centre
-        if now.groupBy("u").count().where("count > 1").isEmpty() and now.join(now.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+    now, mark = _kept(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+                      .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    while mark[0]:
+        now, after = _kept(_star(_star(now, True), False))
+        if after == mark:                    # both steps leave a forest of stars as it is
             break
-        now = stash(_star(_star(now, True), False), "edges")
+        mark = after
     return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """(id, root) of a forest given as (id, parent) with parent < id, one row per id at most;
+    ids without a parent are left out. Pointer jumping: the rounds are the logarithm of the depth."""
+    now = parents.select("id", F.col("parent").alias("root"))
+    while True:
+        above = now.select(F.col("id").alias("root"), F.col("root").alias("up"))
+        now, seen = stash_counted(now.join(above, "root", "left")
+                                  .select("id", F.coalesce("up", "root").alias("root"),
+                                          F.col("up").isNotNull().alias("moved")),
+                                  "roots", moved=F.coalesce(F.sum(F.col("moved").cast("int")), F.lit(0)))
+        now = now.drop("moved")
+        if not seen["moved"]:
+            return now

@@ -13,8 +13,10 @@ a connected component of links.
 2. Equal word sequences form exact classes; their smallest id stands for them.
 3. Buckets of equal band values are linked in star rounds: each member is
    verified against one leader, so a group of any size costs one pair a member.
-4. Buckets that still hold several components have all their pairs across
-   components verified, so no candidate pair between components is lost.
+   The first round picks the smallest ids, later ones others, as long as pairs
+   across components are many and enough of them turn out to be links.
+4. Then all pairs of a bucket that lie across components are verified, so no
+   candidate pair between components is lost.
 
 Two documents of similarity 0.8 share no band with probability (1 - 0.8^5)^25,
 5e-5. Defined results: null or empty text is a class of its own; a row with a
@@ -29,12 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import _GOLD, TextBytes, map_text, mix, stash, text_slices
-from lodestone.llm.components import components
+from lodestone.llm.common import _GOLD, TextBytes, map_text, mix, stash, stash_counted, text_slices
+from lodestone.llm.components import components, roots
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
+CROSS_PER_MEMBER = 8             # cross pairs per bucket member up to which star rounds are left out
+MIN_YIELD = 0.05                 # links per pair below which a star round is the last
 PER_LEADER = 500                 # pairs of one leader that share a copy of its text in the join
 
 
@@ -163,7 +167,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    threshold: float = THRESHOLD, star_rounds: int = 2) -> DataFrame:
+                    threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: doc_id, class_id (the smallest id of its class), n_links
     (verified links of its exact class that the class was built from)."""
     signed = stash(signatures(docs, id_col, text_col), "signed")
@@ -175,31 +179,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = stash(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
                   .join(rows.select("id").distinct(), "id", "left_semi"), "texts")
 
-    links, tried = None, None
-    placed = rows.withColumn("comp", F.col("id"))
-    for step in range(star_rounds + 1):
-        kept = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        open_ = placed.join(kept.select("bucket"), "bucket", "left_semi")
-        if step < star_rounds:
-            pairs = _star_pairs(open_, step)
-        else:
-            pairs = _cross_pairs(stash(open_, "open"))
-        if tried is not None:
-            pairs = pairs.join(tried, (F.least("a", "b") == F.col("lo")) & (F.greatest("a", "b") == F.col("hi")),
-                               "left_anti")
-        pairs = stash(pairs, "pairs")
-        done = pairs.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
-        tried = done if tried is None else tried.unionByName(done)
-        found = stash(verified(pairs, texts, threshold), "links")
-        links = found if links is None else links.unionByName(found)
-        comp = components(links)
-        if step < star_rounds:
-            placed = stash(_place(rows, comp), "placed")
-
-    comp = comp.select(F.col("id").alias("rep"), "root")
+    # the first star round gives every member one smaller leader at most: a forest
+    pairs = stash(_star_pairs(rows.withColumn("comp", F.col("id")), 0), "pairs")
+    links = stash(verified(pairs, texts, threshold), "links")
+    tried = pairs
+    comp = roots(links.select(F.col("b").alias("id"), F.col("a").alias("parent")))
+    step, linked, attempted = 0, 1, 1
+    while True:
+        placed = rows.join(comp, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("comp"))
+        mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+        placed = stash(placed.join(mixed.select("bucket"), "bucket", "left_semi"), "placed")
+        sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(
+            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+        members, cross = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)),
+                                   F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("own")), F.lit(0)) / 2).first()
+        if not cross:
+            break
+        # few pairs across components are all verified; many are first thinned by star rounds,
+        # as long as these still join components
+        last = cross <= CROSS_PER_MEMBER * members or linked < MIN_YIELD * attempted
+        step += 1
+        pairs = _cross_pairs(placed) if last else _star_pairs(placed, step)
+        done = tried.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+        pairs, seen = stash_counted(
+            pairs.join(done, (F.least("a", "b") == F.col("lo")) & (F.greatest("a", "b") == F.col("hi")), "left_anti"),
+            "pairs", n=F.count(F.lit(1)))
+        attempted = seen["n"]
+        tried = tried.unionByName(pairs)
+        found, seen = stash_counted(verified(pairs, texts, threshold), "links", n=F.count(F.lit(1)))
+        linked = seen["n"]
+        if linked:
+            links = links.unionByName(found)
+            comp = _merge(comp, found)
+        if last:
+            break
+
     degree = (links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
               .groupBy("rep").agg(F.count("*").alias("n_links")))
-    classes = (reps.select("key", F.col("id").alias("rep")).join(comp, "rep", "left").join(degree, "rep", "left")
+    classes = (reps.select("key", F.col("id").alias("rep"))
+               .join(comp.select(F.col("id").alias("rep"), "root"), "rep", "left").join(degree, "rep", "left")
                .select("key", F.coalesce("root", "rep").alias("class_id"),
                        F.coalesce("n_links", F.lit(0)).alias("n_links")))
     return (signed.select("doc_id", "key").join(classes, "key", "left")
@@ -208,8 +226,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
-def _place(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    return rows.join(comp, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("comp"))
+def _merge(comp: DataFrame, found: DataFrame) -> DataFrame:
+    """Components after further links: the links join components, and their roots move."""
+    ends = found.select("a", "b")
+    for end in ("a", "b"):
+        ends = (ends.join(comp.select(F.col("id").alias(end), F.col("root").alias("r")), end, "left")
+                .withColumn(end, F.coalesce("r", end)).drop("r"))
+    moved = components(ends.distinct()).select(F.col("id").alias("root"), F.col("root").alias("top"))
+    known = comp.join(moved, "root", "left").select("id", F.coalesce("top", "root").alias("root"))
+    # members that were alone until now, and former roots, have no row of their own yet
+    fresh = (moved.where("root != top").select(F.col("root").alias("id"), F.col("top").alias("root"))
+             .join(comp.select("id"), "id", "left_anti"))
+    return stash(known.unionByName(fresh), "comp")
 
 
 def _star_pairs(open_: DataFrame, step: int) -> DataFrame:
