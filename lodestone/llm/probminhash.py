@@ -260,3 +260,13 @@ def _cross_pairs(open_: DataFrame) -> DataFrame:
     other = open_.select("bucket", F.col("comp").alias("c2"), F.col("id").alias("i2"))
     return (two.join(one, ["bucket", "c1"]).join(other, ["bucket", "c2"])
             .select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")).distinct())
+
+
+def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with one row of each class, that of the smallest id (one row if that id
+    repeats); rows with a null id stay."""
+    classes = near_duplicates(docs, id_col, text_col, threshold)
+    kept = classes.where("doc_id = class_id").select(F.col("doc_id").alias(id_col)).distinct()
+    named = docs.where(F.col(id_col).isNotNull()).join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    return named.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

@@ -6,6 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from lodestone.llm.boosted_rules import quality_rules
+from lodestone.llm import license_sentences, simhash_windows
 from lodestone.llm.pfor_tokens import token_digests
 from lodestone.llm.probminhash import near_duplicates
 from lodestone.llm.rule_ensemble import quality_scores
@@ -66,3 +67,13 @@ def op3(spark, sf):
 @register("op6_pfor_token_shards")
 def op6(spark, sf):
     return token_digests(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op5_license_sentences", license_sentences.oracle_sql())
+def op5(spark, sf):
+    return license_sentences.scan_licenses(table(spark, sf, "documents"))
+
+
+@register("op10_simhash_decontamination", simhash_windows.ORACLE_SQL)
+def op10(spark, sf):
+    return simhash_windows.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

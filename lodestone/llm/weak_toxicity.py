@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lodestone.llm.common import held_out, label_sample, map_text, stash, text_slices
 from lodestone.llm.trees import sigmoid
@@ -33,6 +34,7 @@ MAX_TRAIN_ROWS = 20_000
 FOLDS, HELD_OUT = 3, 1
 PREDICT_AT = 0.7
 LEARNED_WORDS = 40               # words taken from the labelled sample, at most
+SCORE = "_toxicity"              # score column beside a caller's own columns
 CANDIDATE_WORDS = 400            # words that compete for them
 
 # General insults, and hostile phrases.
@@ -217,15 +219,15 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """doc_id, held_out, score, predicted for every row."""
     model = fit(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), labels, max_train_rows)
     scored = score_text(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                    F.col(text_col).cast("string").alias("text")), model, "doc_id long")
-    return scored.select("doc_id", held_out("doc_id", FOLDS, HELD_OUT).alias("held_out"), "score",
-                         (F.col("score") >= predict_at).cast("int").alias("predicted"))
+                                    F.col(text_col).cast("string").alias("text")), model, ["doc_id"])
+    return scored.select("doc_id", held_out("doc_id", FOLDS, HELD_OUT).alias("held_out"),
+                         F.col(SCORE).alias("score"), (F.col(SCORE) >= predict_at).cast("int").alias("predicted"))
 
 
-def score_text(rows: DataFrame, model: ToxicModel, schema: str, text: str = "text") -> DataFrame:
-    """The columns of ``schema`` (all but the text) and ``score`` for each row."""
-    keep = [c for c in rows.columns if c != text]
+def score_text(rows: DataFrame, model: ToxicModel, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns ``keep`` and ``SCORE`` for each row."""
     n = len(model.words) + len(PHRASES)
+    schema = StructType([*(rows.schema[c] for c in keep), StructField(SCORE, DoubleType())])
 
     def run(batches):
         automaton = lexicon(model.words)
@@ -235,6 +237,13 @@ def score_text(rows: DataFrame, model: ToxicModel, schema: str, text: str = "tex
                 x = (model_features(raw_counts(texts, automaton, n)) - model.mean) / model.scale
                 score = sigmoid(model.intercept + x @ model.weights)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(part.schema.get_field_index(c)) for c in keep), pa.array(score)], [*keep, "score"])
+                    [*(part.column(part.schema.get_field_index(c)) for c in keep), pa.array(score)], [*keep, SCORE])
 
-    return map_text(rows, run, f"{schema}, score double")
+    return map_text(rows, run, schema)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               max_train_rows: int = MAX_TRAIN_ROWS, reject_at: float = PREDICT_AT) -> DataFrame:
+    """``docs`` without the rows whose score reaches ``reject_at``."""
+    model = fit(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), labels, max_train_rows)
+    return score_text(docs, model, docs.columns, text_col).where(F.col(SCORE) < reject_at).drop(SCORE)
