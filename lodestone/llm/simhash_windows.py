@@ -136,8 +136,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     by id and text, so null and repeated ids are judged by their own text."""
     key = F.xxhash64(id_col, text_col)
     found = contaminated(docs.select(key.alias("rk"), F.col(text_col).alias("text")), benchmark, "rk", threshold=threshold)
-    bad = stash(found.select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, key == bad["doc_id"], "left_anti")
+    bad = stash(found.select(F.col("doc_id").alias("_contaminated_row")).distinct(), "contaminated")
+    return docs.join(bad, key == F.col("_contaminated_row"), "left_anti")
 
 
 #: The definition without fingerprints, for items of five words or more (the tables have no shorter).
