@@ -2,14 +2,15 @@
 model that estimates their reliabilities and correlations, and a linear
 classifier trained on its posterior labels.
 
-1. Lexicon: a fixed seed list, and words chosen from the labelled sample by
-   weighted covering (a word is worth the log odds of the toxic documents not
-   yet covered, so a family of copies adds few words).
-2. Voters: one per word, and patterns over hit counts, density, phrases and
+1. Lexicon: a fixed seed list, and word stems chosen from the labelled sample by
+   weighted covering (a stem is worth its log odds times the toxic documents not
+   yet covered, so a family of copies adds few).
+2. Voters: one per stem, and patterns over hit counts, density, phrases and
    shouting. Each votes 1, -1 or abstains. The given label is one more voter.
 3. Label model: expectation-maximisation over the sample's votes; the evidence
    of a voter is divided by its positive correlations given the class.
-4. Logistic regression on the posteriors; scored over Arrow batches.
+4. Logistic regression on the posteriors, its scale set by the given labels;
+   scored over Arrow batches.
 
 Learning uses at most ``MAX_TRAIN_ROWS`` labelled documents outside the held-out
 fold; scoring reads every whole text. Null and empty text have no hits and get
@@ -18,6 +19,8 @@ Only the id and the text are read."""
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from dataclasses import dataclass
 
 import ahocorasick
@@ -30,12 +33,16 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from lodestone.llm.common import held_out, label_sample, map_text, stash, text_slices
 from lodestone.llm.trees import sigmoid
 
-MAX_TRAIN_ROWS = 20_000
+MAX_TRAIN_ROWS = 12_000
 FOLDS, HELD_OUT = 3, 1
 PREDICT_AT = 0.7
-LEARNED_WORDS = 40               # words taken from the labelled sample, at most
+LEARNED_STEMS = 60               # word stems taken from the labelled sample, at most
 SCORE = "_toxicity"              # score column beside a caller's own columns
-CANDIDATE_WORDS = 400            # words that compete for them
+CANDIDATE_STEMS = 4000           # stems that compete for them
+MIN_ODDS = 1.5                   # lower bound of a stem's log odds ratio
+DENSITY_CUT = 0.01               # hits per word, where labels set no other
+MIN_STEM, MAX_STEM = 4, 8
+_WORD = re.compile(r"[^\W\d_]{4,40}")
 
 # General insults, and hostile phrases.
 SEED_WORDS = ("idiot", "idiots", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless",
@@ -49,97 +56,161 @@ PHRASES = ("shut up", "go to hell", "hate you", "drop dead", "kill yourself", "n
 @dataclass
 class ToxicModel:
     words: list[str]
+    cut: float
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
     intercept: float
 
 
-def learn_words(sample: DataFrame, limit: int = LEARNED_WORDS) -> list[str]:
-    """Words of the labelled sample (``text``, ``_y``), most useful first. Equal texts count once."""
-    texts = sample.groupBy(F.md5("text").alias("_k")).agg(F.max("_y").alias("y"), F.first("text").alias("text"))
-    words = texts.select("_k", "y", F.explode(F.array_distinct(
-        F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("w")).where("length(w) > 2")
-    words = stash(words, "words")
-    n1, n0 = (words.select("_k", "y").distinct().agg(
-        F.coalesce(F.sum("y"), F.lit(0)), F.coalesce(F.sum(1 - F.col("y")), F.lit(0))).first())
+def _stems(text: str) -> Counter:
+    """How often each stem (the first 4 to 8 letters of a word, or the word) starts a word."""
+    words = Counter(_WORD.findall((text or "").lower()))
+    out = Counter()
+    for w, n in words.items():
+        for k in range(MIN_STEM, min(len(w), MAX_STEM) + 1):
+            out[w[:k]] += n
+        if len(w) > MAX_STEM:
+            out[w] += n
+    return out
+
+
+def learn_stems(sample: DataFrame, limit: int = LEARNED_STEMS) -> list[str]:
+    """Stems of the labelled sample (``text``, ``_y``), most useful first. Equal texts count once.
+
+    Candidates are the most frequent stems of toxic documents. A stem is worth the lower bound
+    of its log odds ratio (two standard errors; a document counts it twice at most) times the
+    toxic documents with it that the stems before it have not covered."""
+    texts = stash(sample.groupBy(F.md5("text").alias("_k")).agg(F.max("_y").alias("y"), F.first("text").alias("text")),
+                  "toxic-texts")
+
+    def toxic_stems(batches):
+        for batch in batches:
+            for part in text_slices(batch):
+                seen = Counter(s for t in part.column(0).to_pylist() for s in _stems(t))
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+                                                 ["s", "n"])
+
+    n1, n0 = texts.agg(F.coalesce(F.sum("y"), F.lit(0)), F.coalesce(F.sum(1 - F.col("y")), F.lit(0))).first()
     if not n1 or not n0:
         return []
-    odds = F.log((F.col("p") + 0.5) / (n1 + 1)) - F.log((F.col("n") + 0.5) / (n0 + 1))
-    best = (words.groupBy("w").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
-            .where(F.col("p") >= max(3, 0.01 * n1)).withColumn("odds", odds).where("odds > 1.5")
-            .orderBy((F.col("odds") * F.col("p")).desc(), "w").limit(CANDIDATE_WORDS))
-    cand = {r.w: r.odds for r in best.collect()}
-    names = sorted(cand)
-    rows = (words.where("y = 1").join(F.broadcast(best.select("w")), "w")
-            .groupBy("_k").agg(F.collect_list("w").alias("ws")).orderBy("_k").collect())
-    has = np.zeros((len(rows), len(names)))
-    place = {w: i for i, w in enumerate(names)}
-    for i, r in enumerate(rows):
-        has[i, [place[w] for w in r.ws]] = 1
-    weight, odds_of, chosen = np.ones(len(rows)), np.array([cand[w] for w in names]), []
-    for _ in range(min(limit, len(names))):
-        gain = (weight @ has) * odds_of
-        k = int(np.argmax(gain))
-        if gain[k] < 0.005 * len(rows) * 3:
+    found = (map_text(texts.where("y = 1").select("text"), toxic_stems, "s string, n long")
+             .groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= max(4, 0.02 * n1))
+             .orderBy(F.desc("n"), "s").limit(CANDIDATE_STEMS).collect())
+    names = [r.s for r in found]
+    place = {s: i for i, s in enumerate(names)}
+
+    def hits(batches):
+        for batch in batches:
+            for part in text_slices(batch):
+                got = [[(place[s], min(n, 2)) for s, n in _stems(t).items() if s in place] for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array([[i for i, _ in g] for g in got], pa.list_(pa.int32())),
+                     pa.array([[n for _, n in g] for g in got], pa.list_(pa.int32()))], ["_k", "y", "i", "n"])
+
+    rows = map_text(texts.select("_k", "y", "text"), hits, "_k string, y int, i array<int>, n array<int>").toPandas()
+    rows = rows.sort_values("_k")
+    has = np.zeros((len(rows), len(names)), dtype=np.int8)
+    for d, (i, n) in enumerate(zip(rows["i"], rows["n"], strict=True)):
+        has[d, i] = n
+    y = rows["y"].to_numpy() > 0
+    p, q = has[y].sum(0, dtype=np.float64) + 0.5, has[~y].sum(0, dtype=np.float64) + 0.5
+    odds = np.log(p / (n1 + 1)) - np.log(q / (n0 + 1)) - 2 * np.sqrt(1 / p + 1 / q)
+    toxic = has[y].astype(np.float32)
+    on, weight, chosen = toxic > 0, np.ones(int(y.sum()), dtype=np.float32), []
+    odds = np.where(odds > MIN_ODDS, odds, 0)
+    while len(chosen) < limit:
+        gain = (weight @ on) * odds
+        k = int(np.argmax(gain)) if len(gain) else 0
+        if len(gain) == 0 or gain[k] < 0.01 * len(weight):
             break
         chosen.append(names[k])
-        weight[has[:, k] > 0] *= 0.7
-        has[:, k] = 0
+        weight *= np.where(toxic[:, k] >= 2, 0.5, np.where(on[:, k], 0.75, 1.0))
+        odds[k] = 0
     return chosen
 
 
-def lexicon(words: list[str]) -> ahocorasick.Automaton:
+def lexicon(stems: list[str]) -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
-    for i, w in enumerate([*words, *PHRASES]):
+    for i, w in enumerate([*stems, *PHRASES]):
         a.add_word(w, (i, len(w)))
     a.make_automaton()
     return a
 
 
+EXTRA = 5                        # counts after those of the entries
+
+
 def raw_counts(texts: list, automaton, n_entries: int) -> np.ndarray:
-    """Per text: hits of each entry as a whole word, then words, capitals, letters, marks."""
-    out = np.zeros((len(texts), n_entries + 4))
+    """Per text: hits of each entry at the start of a word, then words hit (once each, however
+    many stems fit), words, capitals, letters, marks."""
+    out = np.zeros((len(texts), n_entries + EXTRA))
+    first_phrase = n_entries - len(PHRASES)
     for i, text in enumerate(texts):
         if not text:
             continue
         low = text.lower()
+        places = set()
         for end, (k, n) in automaton.iter(low):
             at = end - n
-            if (at < 0 or not low[at].isalnum()) and (end + 1 >= len(low) or not low[end + 1].isalnum()):
+            if at < 0 or not low[at].isalnum():
                 out[i, k] += 1
+                if k < first_phrase:
+                    places.add(at)
         solid = text.encode("ascii", "ignore")
         letters = len(solid)
         capitals = letters - len(solid.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-        out[i, -4:] = (len(text.split()), capitals, letters, text.count("!"))
+        out[i, -EXTRA:] = (len(places), len(text.split()), capitals, letters, text.count("!"))
     return out
 
 
-def model_features(c: np.ndarray) -> np.ndarray:
-    """Linear classifier inputs: totals, density, phrases, shouting, then one flag per word."""
-    k = c.shape[1] - 4 - len(PHRASES)
-    words, phrases = c[:, :k], c[:, k:k + len(PHRASES)].sum(1)
-    n, capitals, letters, marks = c[:, -4:].T
-    total = words.sum(1)
-    n1 = np.maximum(n, 1)
-    return np.column_stack([np.minimum(total, 4), (total >= 2) * 1.0, np.minimum((words > 0).sum(1), 4),
-                            np.minimum(100 * total / n1, 5), np.minimum(phrases, 3),
-                            capitals / np.maximum(letters, 1), np.minimum(marks / n1, 1),
-                            (words > 0) * 1.0])
-
-
-def votes(c: np.ndarray, seeds: int) -> np.ndarray:
-    k = c.shape[1] - 4 - len(PHRASES)
-    words, phrases = c[:, :k], c[:, k:k + len(PHRASES)].sum(1)
-    n, capitals, letters, marks = c[:, -4:].T
-    total, kinds, n1 = words.sum(1), (words > 0).sum(1), np.maximum(n, 1)
-    signed = [np.where(total >= 2, 1, np.where(total == 0, -1, 0)),
-              np.where(kinds >= 2, 1, np.where(kinds == 0, -1, 0)),
-              np.where(total / n1 >= 0.005, 1, np.where(total / n1 < 0.001, -1, 0)),
-              np.where(words[:, :seeds].sum(1) >= 2, 1, 0), np.where(phrases > 0, 1, 0),
-              np.where((capitals > 0.3 * np.maximum(letters, 1)) & (marks > 3), 1, 0),
-              np.where((n >= 50) & (total == 0) & (phrases == 0), -1, 0)]
-    return np.column_stack([*signed, (words > 0).astype(int)])
+def _parts(c: np.ndarray):
+    k = c.shape[1] - EXTRA - len(PHRASES)
+    total, n, capitals, letters, marks = c[:, -EXTRA:].T
+    return c[:, :k], c[:, k:k + len(PHRASES)].sum(1), total, n, capitals, letters, marks
+
+
+def density(c: np.ndarray) -> np.ndarray:
+    """Words hit per word; a single hit counts as none."""
+    _, _, total, n, *_ = _parts(c)
+    return np.where(total >= 2, total / np.maximum(n, 1), 0.0)
+
+
+def density_cut(c: np.ndarray, y: np.ndarray) -> float:
+    """The density that splits the given labels with the fewest errors."""
+    d = density(c)
+    if (y > 0).sum() < 3 or (y <= 0).sum() < 3:
+        return DENSITY_CUT
+    order = np.argsort(d, kind="stable")
+    d, pos = d[order], (y > 0)[order]
+    errors = np.concatenate(([(~pos).sum()], (~pos).sum() + np.cumsum(np.where(pos, 1, -1))))  # rows before the cut are 0
+    ok = np.concatenate(([False], d[1:] > d[:-1], [False]))
+    if not ok.any():
+        return DENSITY_CUT
+    k = int(np.flatnonzero(ok)[np.argmin(errors[ok])])
+    return float((d[k] + d[k - 1]) / 2)
+
+
+def model_features(c: np.ndarray, cut: float) -> np.ndarray:
+    """Linear classifier inputs: totals, density, phrases, shouting, then one flag per stem."""
+    stems, phrases, total, n, capitals, letters, marks = _parts(c)
+    d = density(c)
+    return np.column_stack([np.minimum(total, 3), np.minimum(d / cut, 2), (d >= cut) * 1.0, np.minimum(phrases, 3),
+                            capitals / np.maximum(letters, 1), np.minimum(marks / np.maximum(n, 1), 1),
+                            (stems > 0) * 1.0])
+
+
+def votes(c: np.ndarray, seeds: int, cut: float) -> np.ndarray:
+    stems, phrases, total, n, capitals, letters, marks = _parts(c)
+    d, kinds = density(c), (stems > 0).sum(1)
+    patterns = [np.where(d >= cut, 1, -1),
+                np.where(d >= 1.25 * cut, 1, np.where(d < 0.75 * cut, -1, 0)),
+                np.where(total >= 3, 1, np.where(total == 0, -1, 0)),
+                np.where((kinds >= 2) & (total >= 2), 1, 0),
+                np.where(stems[:, :seeds].sum(1) >= 2, 1, 0), np.where(phrases > 0, 1, 0),
+                np.where((capitals > 0.3 * np.maximum(letters, 1)) & (marks > 3), 1, 0),
+                np.where((n >= 50) & (total == 0) & (phrases == 0), -1, 0)]
+    return np.column_stack([*patterns, (stems > 0).astype(int)])
 
 
 def label_model(v: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -191,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS
     sample = stash(docs.join(F.broadcast(picked), docs["doc_id"] == picked["_id"])
                    .where("text is not null").select("_id", "_y", "text"), "toxic-sample")
     seeds = list(SEED_WORDS)
-    words = seeds + [w for w in learn_words(sample) if w not in seeds]
+    words = seeds + [w for w in learn_stems(sample) if w not in seeds]
     counted = sample.select("_id", "text", "_y")
     n = len(words) + len(PHRASES)
 
@@ -205,13 +276,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS
 
     got = map_text(counted, run, "_id long, _y int, c array<double>").toPandas().sort_values("_id")
     if len(got) == 0:
-        c = np.vstack([np.zeros((2, n + 4)), np.eye(n, n + 4) * 3])      # no sample: the seed voters alone
+        c = np.vstack([np.zeros((2, n + EXTRA)), np.eye(n, n + EXTRA) * 3])      # no sample: the seed voters alone
         c[:, -4] = 60
+        c[2:, -EXTRA] = 3
         y = np.r_[-1, -1, np.ones(n)]
     else:
         c, y = np.stack(got["c"].to_numpy()), np.where(got["_y"] > 0, 1, -1)
-    post = label_model(np.column_stack([y, votes(c, len(seeds))]).astype(int))
-    return ToxicModel(words, *logistic(model_features(c), post))
+    cut = density_cut(c, y if len(got) else np.zeros(len(y)))
+    post = label_model(np.column_stack([y, votes(c, len(seeds), cut)]).astype(int))
+    x = model_features(c, cut)
+    mean, scale, weights, intercept = logistic(x, post)
+    if len(got) and len(set(y)) == 2:       # the score's scale, from the given labels
+        z = intercept + ((x - mean) / scale) @ weights
+        zm, zs, zw, z0 = logistic(np.clip(z, -8, 8)[:, None], (y > 0).astype(float))
+        if zw[0] > 0:
+            weights, intercept = weights * zw[0] / zs[0], z0 + (intercept - zm[0]) * zw[0] / zs[0]
+    return ToxicModel(words, cut, mean, scale, weights, float(intercept))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -234,7 +314,7 @@ def score_text(rows: DataFrame, model: ToxicModel, keep: list[str], text: str =
         for batch in batches:
             for part in text_slices(batch, text):
                 texts = part.column(part.schema.get_field_index(text)).to_pylist()
-                x = (model_features(raw_counts(texts, automaton, n)) - model.mean) / model.scale
+                x = (model_features(raw_counts(texts, automaton, n), model.cut) - model.mean) / model.scale
                 score = sigmoid(model.intercept + x @ model.weights)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(part.schema.get_field_index(c)) for c in keep), pa.array(score)], [*keep, SCORE])
