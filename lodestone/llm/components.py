@@ -47,7 +47,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def roots(parents: DataFrame) -> DataFrame:
-    """(id, root) of a forest given as (id, parent) with parent < id, one row per id at most;
+    """(id, root) of a forest given as (id, parent) without cycles, one row per id at most;
     ids without a parent are left out. Pointer jumping: the rounds are the logarithm of the depth."""
     now = parents.select("id", F.col("parent").alias("root"))
     while True:

@@ -276,10 +276,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS
 
     got = map_text(counted, run, "_id long, _y int, c array<double>").toPandas().sort_values("_id")
     if len(got) == 0:
-        c = np.vstack([np.zeros((2, n + EXTRA)), np.eye(n, n + EXTRA) * 3])      # no sample: the seed voters alone
+        c = np.vstack([np.zeros((4 * n, n + EXTRA)), np.eye(n, n + EXTRA) * 3])      # no sample: the seed voters alone
         c[:, -4] = 60
-        c[2:, -EXTRA] = 3
-        y = np.r_[-1, -1, np.ones(n)]
+        c[4 * n:, -EXTRA] = 3
+        y = np.r_[-np.ones(4 * n), np.ones(n)]
     else:
         c, y = np.stack(got["c"].to_numpy()), np.where(got["_y"] > 0, 1, -1)
     cut = density_cut(c, y if len(got) else np.zeros(len(y)))
