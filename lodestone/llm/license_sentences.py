@@ -99,7 +99,7 @@ ANCHORS = ("licens", "permission", "redistribut", "copyright", "unencumbered")
 
 # A line break before a lower-case letter continues the sentence, unless one ended before it.
 _WRAP = r"([^.!?:\n])[ \t]*\r?\n[ \t]*([a-z])"
-_BREAK = r"[.!?]+[ \t\r\n]+|[:;,]?[ \t\r]*\n[ \t\r\n]*|[:;][ \t]+"
+_BREAK = r"[.!?]+[ \t\r\n]+|[ \t\r]*\n[ \t\r\n]*"
 _OTHER = "[^a-z0-9]+"
 
 
@@ -110,7 +110,7 @@ def normalise(sentence: str) -> str:
 
 def _known() -> list[tuple[str, str]]:
     """(normalised sentence, identifier), also cut at the marks that end a sentence inside it:
-    the last part carries the identifier."""
+    the longest part carries the identifier."""
     import re
     out = []
     for name, text in SENTENCES.items():
