@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.numbers import (
-    is_prime_by_division, is_prime_kernel, long_array_literal, parse_integer)
+    is_prime_by_division, is_prime_kernel, is_strong_prime_kernel, long_array_literal,
+    parse_integer)
 from lodestone.session import ship_package
 
 # "arrow": trial division as a numpy kernel per Arrow batch (about 8x faster
 # on 20M rows); "sql": the same test as built-in array functions (interpreted).
 ENGINE = "arrow"
 # Upper limit on the broadcast divisor array: odd primes up to sqrt(max_number).
-# 200k divisors cover max_number up to about 7.5e12 (1.6 MB as bigints).
+# 200k divisors cover max_number up to about 5.4e12 (1.6 MB as bigints); beyond, exact
+# primality is decided by the strong-pseudoprime test instead, with the same answer.
 MAX_DIVISORS = 200_000
 # Divisors also tested as plain arithmetic ahead of the array scan.
 QUICK_DIVISORS = 8
@@ -104,28 +106,36 @@ def _odd_primes_join(spark: SparkSession, m: int, root: int) -> DataFrame:
 def odd_divisors(spark: SparkSession, max_number: int) -> list[int]:
     """The odd primes up to isqrt(max_number) (the reference's broadcast
     divisor list), from the distributed sieve; size-checked before the job."""
-    root = math.isqrt(max(int(max_number), 0))
-    # pi(x) < 1.26 x / ln x: refuse before running the job if it could be too large
-    if root > 3 and 1.26 * root / math.log(root) > MAX_DIVISORS:
+    if too_many_divisors(max_number):
         raise ValueError(f"max_number {max_number} needs more than {MAX_DIVISORS} divisors")
-    if root < 3:
+    if math.isqrt(max(int(max_number), 0)) < 3:
         return []
-    return [r.p for r in odd_primes_upto(spark, root, method="join").orderBy("p").collect()]
+    return [r.p for r in odd_primes_upto(spark, math.isqrt(int(max_number)), method="join").orderBy("p").collect()]
+
+
+def too_many_divisors(max_number: int) -> bool:
+    """Whether pi(sqrt(max_number)) may exceed MAX_DIVISORS, by pi(x) < 1.26 x / ln x."""
+    root = math.isqrt(max(int(max_number), 0))
+    return root > 3 and 1.26 * root / math.log(root) > MAX_DIVISORS
 
 
-def prime_predicate(spark: SparkSession, col: str, max_number: int, engine: str | None = None):
+def prime_predicate(spark: SparkSession, col: str, max_number: int, engine: str | None = None,
+                    covers: bool = False):
     """Trial division by the odd primes up to sqrt(max_number): an Arrow
     kernel over whole batches (``engine="arrow"``, default), or built-in
-    array functions (``"sql"``). Both give the reference's answer."""
-    ds = odd_divisors(spark, max_number)
-    if (engine or ENGINE) == "arrow":
+    array functions (``"sql"``). Both give the reference's answer. ``covers``:
+    no value exceeds ``max_number``, so the answer is primality itself and a
+    divisor list that would be too long is replaced by an exact test."""
+    n = F.col(col)
+    strong = covers and too_many_divisors(max_number)
+    ds = odd_divisors(spark, 10_000 if strong else max_number)
+    if strong or (engine or ENGINE) == "arrow":
         # the cheap JVM part (2 or odd > 2, the first divisors) lands below the
         # kernel in the plan, so only the hard candidates cross into Python
-        n = F.col(col)
         pre = (n == 2) | ((n > 2) & ((n % 2) == 1))
-        for d in ds[:QUICK_DIVISORS]:
+        for d in ds if strong else ds[:QUICK_DIVISORS]:
             pre = pre & ((n <= d) | ((n % d) != 0))
-        return pre & is_prime_kernel(n, ds, spark)
+        return pre & (is_strong_prime_kernel(n, spark) if strong else is_prime_kernel(n, ds, spark))
     return is_prime_by_division(F.col(col), long_array_literal(ds), tuple(ds[:QUICK_DIVISORS]))
 
 
@@ -154,7 +164,8 @@ def prime_filter(df: DataFrame, col: str = "value", max_number: int | None = Non
     primality; with a smaller explicit one, values above it pass when they have
     no odd divisor <= sqrt(max_number), as in the reference."""
     mx = _default_max(df, col) if max_number is None else int(max_number)
-    return df.where(prime_predicate(df.sparkSession, col, mx, engine))
+    covers = max_number is None or (too_many_divisors(mx) and _default_max(df, col) <= mx)
+    return df.where(prime_predicate(df.sparkSession, col, mx, engine, covers))
 
 
 def top_primes(df: DataFrame, col: str = "value", k: int = 100, max_number: int | None = None,
@@ -162,33 +173,44 @@ def top_primes(df: DataFrame, col: str = "value", k: int = 100, max_number: int
     """The ``k`` largest primes of ``col``, largest first (C5); duplicates stay
     unless ``distinct``.
 
-    Exact, without testing every row: take the top L values (a per-task heap
-    of L, merged: L values reach the driver), then run the prime test only on
-    rows >= the L-th value (a range filter that reaches the Parquet scan) and
-    keep the top k. If fewer than k primes are found the window grows 8-fold;
-    past MAX_WINDOW values every row is tested, so no candidate is ever
-    dropped and at most MAX_WINDOW values reach the driver. Without
-    ``max_number`` the divisors run to sqrt(largest value), which is exact.
+    Exact, without testing every row: one aggregate over the top L values (a
+    per-task heap of L, merged) gives the largest and the L-th value; the prime
+    test then runs only on rows >= the L-th value (a range filter that reaches
+    the Parquet scan) and the top k are kept. If fewer than k primes are found
+    the window grows 8-fold; past MAX_WINDOW values every row is tested, so no
+    candidate is ever dropped. Without ``max_number`` the test is exact primality.
     """
     spark = df.sparkSession
     c = F.col(col)
     vals = df.select(col).where(c.isNotNull())
-    window = max(WINDOW_PER_K * k, k)
-    mx = None
-    while window <= MAX_WINDOW:
-        top = [r[0] for r in vals.orderBy(c.desc()).limit(window).collect()]
-        if not top:
-            return vals.limit(0)
-        mx = int(top[0]) if max_number is None else int(max_number)
-        cand = vals.where(c >= F.lit(top[-1])).where(prime_predicate(spark, col, mx, engine))
+    window = WINDOW_PER_K * max(k, 1)
+    mx = None if max_number is None else int(max_number)
+    covers = max_number is None
+
+    def best(rows: DataFrame) -> DataFrame:
+        cand = rows.where(prime_predicate(spark, col, mx, engine, covers))
         if distinct:
             cand = cand.dropDuplicates([col])
-        result = cand.orderBy(c.desc()).limit(k)
-        if len(top) < window or result.count() >= k:
+        return cand.orderBy(c.desc()).limit(k)
+
+    while window <= MAX_WINDOW:
+        top = (vals.orderBy(c.desc()).limit(window)
+               .agg(F.max(col).alias("hi"), F.min(col).alias("lo"), F.count(col).alias("n")).first())
+        if not top.n:
+            return vals.limit(0)
+        if max_number is None:
+            mx = int(top.hi)
+        elif too_many_divisors(mx):
+            covers = int(top.hi) <= mx
+        result = best(vals.where(c >= F.lit(top.lo)))
+        if top.n < window or result.count() >= k:
             return result
         window *= 8
-    # primes are too rare near the top: test every row (still one top-k merge)
-    cand = vals.where(prime_predicate(spark, col, mx, engine))
-    if distinct:
-        cand = cand.dropDuplicates([col])
-    return cand.orderBy(c.desc()).limit(k)
+    # a wide window, or primes too rare near the top: test every row (still one top-k merge)
+    if mx is None or (not covers and too_many_divisors(mx)):
+        hi = vals.agg(F.max(col)).first()[0]
+        if hi is None:
+            return vals.limit(0)
+        covers = max_number is None or int(hi) <= mx
+        mx = int(hi) if max_number is None else mx
+    return best(vals)

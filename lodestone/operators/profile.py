@@ -14,7 +14,7 @@ PROFILE_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def profile(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
+def profile(df: DataFrame, col: str, exact: bool = True, exact_limit: int | None = None) -> DataFrame:
     """``(statistic string, value double)``: count, mean, sample stddev, min,
     quartiles, max of the non-null values of ``col``.
 
@@ -43,9 +43,10 @@ def profile(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
             # positions (n-1)p, 0-based; the values at floor and ceil (1-based ranks)
             ranks = sorted({math.floor((n - 1) * p) + d for p in QUARTILES for d in (1, 2)
                             if math.floor((n - 1) * p) + d <= n})
-            state = [dict(key=(0,), tid=i, r=r, lo=base["min"], hi=base["max"], below=0, cnt=n)
-                     for i, r in enumerate(ranks)]
-            got = R._refine(slim, ["_g"], state, R.BUCKETS, R.EXACT_LIMIT)
+            ends = R._group_stats(slim, ["_g"])[0]
+            state = [R._target((0,), i, r, ends) for i, r in enumerate(ranks)]
+            got = R._refine(slim, ["_g"], state, R.BUCKETS, R.EXACT_LIMIT if exact_limit is None else exact_limit)
+            got = {k: float(v) for k, v in got.items()}
             at = {r: got[((0,), i)] for i, r in enumerate(ranks)}
             quarts = []
             for p in QUARTILES:
@@ -56,7 +57,8 @@ def profile(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
                               else at[lo + 1])
     finally:
         slim.unpersist()
-    values = [float(n), base["mean"], base["stddev"], base["min"], *quarts, base["max"]]
+    values = [None if x is None else float(x) for x in
+              (n, base["mean"], base["stddev"], base["min"], *quarts, base["max"])]
     return spark.createDataFrame(list(zip(PROFILE_STATS, values)), "statistic string, value double")
 
 

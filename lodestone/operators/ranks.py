@@ -7,13 +7,17 @@ statistic is found by range refinement instead:
 1. per target (group, rank r) keep an interval [lo, hi] known to hold the r-th
    smallest value, and ``below`` = rows of the group under lo;
 2. while an interval holds more than ``exact_limit`` rows, count its rows in
-   ``buckets`` equal-width buckets (a partial aggregate: at most ``buckets``
-   rows per interval leave each task) and move to the bucket where the running
-   count reaches r;
+   ``buckets`` buckets (a partial aggregate: at most ``buckets`` rows per
+   interval leave each task) and move to the bucket where the running count
+   reaches r. Buckets are of equal width, in turn in the value and in its signed
+   logarithm, so heavy tails shrink too; the largest and smallest value of an
+   interval never share a bucket in the former, so every second pass gains;
 3. an interval that holds one value is resolved; the rest, at most
    ``exact_limit`` rows each, are ranked by a window partitioned by interval.
 
-Bucketing is monotone in the value, so running counts are exact, and each pass
+Integers are refined as bigint, decimals in their own type, the rest as double;
+infinities and NaN (larger than all, as Spark orders it) are counted beforehand
+and take the ranks at the ends. Bucketing is monotone in the value, so running counts are exact, and each pass
 shrinks an interval about ``buckets``-fold. Targets of one group share
 intervals until they part, and intervals of a group never overlap, so every
 row is read once per pass. The interval table is broadcast (size-checked);
@@ -29,8 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_TARGETS = 100_000
-MAX_PASSES = 200
+MAX_TARGETS = 100_000            # groups refined on the driver; more groups are ranked by a window
 BUCKETS = 4096
 EXACT_LIMIT = 100_000
 
@@ -44,20 +47,76 @@ def _join_groups(left: DataFrame, right: DataFrame, g: list[str], how: str) -> D
     return la.join(ra, cond, how).select("_l.*", *rest)
 
 
+class TooManyGroups(ValueError):
+    """More groups than the driver keeps intervals for."""
+
+
+def _values(df: DataFrame, g: list[str], value_col: str) -> DataFrame:
+    kind = df.schema[value_col].dataType
+    to = "bigint" if isinstance(kind, T.IntegralType) else kind if isinstance(kind, T.DecimalType) else "double"
+    return df.select(*g, F.col(value_col).cast(to).alias("_v")).where(F.col("_v").isNotNull())
+
+
 def _slim(df: DataFrame, g: list[str], value_col: str) -> DataFrame:
-    return (df.select(*g, F.col(value_col).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK))
+    return _values(df, g, value_col).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _finite(v, kind) -> object:
+    """v when finite (always, for exact types), else null."""
+    v = F.col(v) if isinstance(v, str) else v
+    return F.when(F.abs(v) < F.lit(float("inf")), v) if isinstance(kind, T.DoubleType) else v
 
 
 def _group_stats(slim: DataFrame, g: list[str]) -> list:
-    rows = (slim.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                                 F.max("_v").alias("hi"))
+    """Per group: n, the smallest and largest finite value, and the counts of -inf, inf and NaN."""
+    kind = slim.schema["_v"].dataType
+    v, ends = _finite("_v", kind), []
+    if isinstance(kind, T.DoubleType):
+        inf = float("inf")
+        ends = [F.count_if(F.col("_v") == -inf).alias("low"), F.count_if(F.col("_v") == inf).alias("high"),
+                F.count_if(F.isnan("_v")).alias("nan")]
+    else:
+        ends = [F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(0).alias("nan")]
+    rows = (slim.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"), *ends)
             .limit(MAX_TARGETS + 1).collect())
     if len(rows) > MAX_TARGETS:
-        raise ValueError(f"more than {MAX_TARGETS} groups")
+        raise TooManyGroups(f"more than {MAX_TARGETS} groups")
     return rows
 
 
+def _target(key: tuple, tid: int, r: int, s) -> dict:
+    """The state of one target; infinities and NaN decide the ranks at the ends at once."""
+    t = dict(key=key, tid=tid, r=r, lo=None, hi=None, below=0, cnt=None)
+    if s is None or not 1 <= r <= s.n:
+        return t
+    low, high, nan = s["low"], s["high"], s["nan"]
+    finite = s.n - low - high - nan
+    if r <= low:
+        return dict(t, lo=-float("inf"), hi=-float("inf"), cnt=s.n)
+    if r > low + finite:
+        end = float("inf") if r <= low + finite + high else float("nan")
+        return dict(t, lo=end, hi=end, cnt=s.n)
+    return dict(t, lo=s.lo, hi=s.hi, r=r - low, cnt=finite)
+
+
+def _bucket(buckets: int, log: bool, kind):
+    """Bucket of ``_v`` in [lo, hi], not decreasing in ``_v``."""
+    def real(c):
+        x = F.col(c).cast("double")
+        return F.signum(x) * F.log1p(F.abs(x)) if log else x / 2       # halves: no overflow of hi - lo
+
+    share = (real("_v") - real("lo")) / F.nullif(real("hi") - real("lo"), F.lit(0.0))
+    b = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * buckets), F.lit(buckets - 1)).cast("int")
+    if log or isinstance(kind, T.DoubleType):
+        return b
+    # exact types: close bounds may be one double, so their difference is taken exactly
+    near = F.col("hi").cast("double") - F.col("lo").cast("double") < 2.0 ** 50
+    step = F.floor((F.col("hi") - F.col("lo")).cast("decimal(38,18)") / buckets) + 1
+    exact = F.floor((F.col("_v") - F.col("lo")).cast("decimal(38,18)") / step).cast("int") \
+        if isinstance(kind, T.IntegralType) else b
+    return F.when(near, exact).otherwise(b)
+
+
 def _refine(slim: DataFrame, g: list[str], targets: list[dict], buckets: int,
             exact_limit: int) -> dict:
     """targets: dicts with key (tuple of group values), tid, r, lo, hi, below,
@@ -65,14 +124,15 @@ def _refine(slim: DataFrame, g: list[str], targets: list[dict], buckets: int,
     spark = slim.sparkSession
     gfields = [f for f in slim.schema.fields if f.name in g]
     iv_schema = T.StructType(gfields + [T.StructField("iid", T.LongType()),
-                                        T.StructField("lo", T.DoubleType()),
-                                        T.StructField("hi", T.DoubleType())])
+                                        T.StructField("lo", slim.schema["_v"].dataType),
+                                        T.StructField("hi", slim.schema["_v"].dataType)])
+    kind = slim.schema["_v"].dataType
     done: dict = {}
     active = []
     for t in targets:
         if t["cnt"] is None or not 1 <= t["r"] <= t["cnt"]:
             done[(t["key"], t["tid"])] = None
-        elif t["lo"] == t["hi"]:
+        elif t["lo"] == t["hi"] or t["lo"] != t["lo"]:
             done[(t["key"], t["tid"])] = t["lo"]
         else:
             active.append(t)
@@ -81,7 +141,7 @@ def _refine(slim: DataFrame, g: list[str], targets: list[dict], buckets: int,
         table = spark.createDataFrame([k[0] + (iid, k[1], k[2]) for k, iid in ivs.items()],
                                       iv_schema)
         return (_join_groups(slim, F.broadcast(table), g, "inner")
-                .where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))))
+                .where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))))  # drops inf and NaN
 
     passes = 0
     while active:
@@ -106,11 +166,7 @@ def _refine(slim: DataFrame, g: list[str], targets: list[dict], buckets: int,
                     done[(t["key"], t["tid"])] = got[(small[k], t["r"] - t["below"])]
         if big:
             passes += 1
-            if passes > MAX_PASSES:
-                raise RuntimeError("order statistic did not converge")
-            width = F.col("hi") - F.col("lo")
-            b = F.least(F.floor((F.col("_v") - F.col("lo")) / width * F.lit(buckets)),
-                        F.lit(buckets - 1)).cast("int")
+            b = _bucket(buckets, passes % 2 == 0, kind)
             hist: dict = {}
             for r in (rows_in(big).groupBy("iid", b.alias("b"))
                       .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("mn"),
@@ -155,12 +211,11 @@ def order_statistics(df: DataFrame, group_cols: list[str], value_col: str, targe
         for t in tg:
             key = tuple(t[c] for c in g)
             s = stats.get(key)
-            state.append(dict(key=key, tid=int(t.tid), r=int(t.r), lo=s and s.lo,
-                              hi=s and s.hi, below=0, cnt=s and s.n))
+            state.append(_target(key, int(t.tid), int(t.r), s))
         done = _refine(slim, g, state, buckets, exact_limit)
         schema = T.StructType([f for f in slim.schema.fields if f.name in g]
                               + [T.StructField("tid", T.LongType()),
-                                 T.StructField("value", T.DoubleType())])
+                                 T.StructField("value", slim.schema["_v"].dataType)])
         return spark.createDataFrame([k + (tid, v) for (k, tid), v in done.items()], schema)
     finally:
         slim.unpersist()
@@ -183,7 +238,7 @@ def _cut_rank(n: int, fraction: float, descending: bool) -> int:
 
 def percent_rank_threshold(df: DataFrame, group_cols: list[str], value_col: str,
                            fraction: float, descending: bool = False,
-                           stats: list | None = None) -> DataFrame:
+                           stats: list | None = None, exact_limit: int | None = None) -> DataFrame:
     """``(group_cols..., _thr)``: per group, the cut-off value such that
     ``percent_rank() over (partition by group_cols order by value_col [desc])
     <= fraction`` holds exactly for rows with value >= _thr (desc) or
@@ -196,22 +251,19 @@ def percent_rank_threshold(df: DataFrame, group_cols: list[str], value_col: str,
     g = list(group_cols)
     if not g:
         return percent_rank_threshold(df.withColumn("_g", F.lit(0)), ["_g"], value_col, fraction,
-                                      descending).drop("_g")
+                                      descending, None, exact_limit).drop("_g")
     if stats is None:
         slim = _slim(df, g, value_col)
         stats = _group_stats(slim, g)
     else:
-        slim = (df.select(*g, F.col(value_col).cast("double").alias("_v"))
-                .where(F.col("_v").isNotNull()))
+        slim = _values(df, g, value_col)
     try:
         state = []
         for s in stats:
-            state.append(dict(key=tuple(s[c] for c in g), tid=0,
-                              r=_cut_rank(s.n, float(fraction), descending),
-                              lo=s.lo, hi=s.hi, below=0, cnt=s.n))
-        done = _refine(slim, g, state, BUCKETS, EXACT_LIMIT)
+            state.append(_target(tuple(s[c] for c in g), 0, _cut_rank(s.n, float(fraction), descending), s))
+        done = _refine(slim, g, state, BUCKETS, EXACT_LIMIT if exact_limit is None else exact_limit)
         schema = T.StructType([f for f in slim.schema.fields if f.name in g]
-                              + [T.StructField("_thr", T.DoubleType())])
+                              + [T.StructField("_thr", slim.schema["_v"].dataType)])
         return spark.createDataFrame([k + (v,) for (k, _), v in done.items()], schema)
     finally:
         slim.unpersist()
@@ -219,15 +271,21 @@ def percent_rank_threshold(df: DataFrame, group_cols: list[str], value_col: str,
 
 def percent_rank_flag(df: DataFrame, group_cols: list[str], value_col: str, fraction: float,
                       descending: bool = False, flag: str = "_sel",
-                      stats: list | None = None) -> DataFrame:
+                      stats: list | None = None, exact_limit: int | None = None) -> DataFrame:
     """``df`` plus boolean ``flag``: whether the row passes the percent_rank
     cut. The per-group thresholds (one row per group, at most MAX_TARGETS)
     are broadcast; the rows themselves never move."""
     g = list(group_cols)
-    thr = percent_rank_threshold(df, g, value_col, fraction, descending, stats)
     v = F.col(value_col)
+    try:
+        thr = percent_rank_threshold(df, g, value_col, fraction, descending, stats, exact_limit)
+    except TooManyGroups:            # many groups: the window sorts each in some task
+        w = Window.partitionBy(*g, v.isNull()).orderBy(v.desc() if descending else v.asc())
+        return df.withColumn(flag, v.isNotNull() & (F.percent_rank().over(w) <= fraction))
+    kind = thr.schema["_thr"].dataType
+    v = v.cast(kind)
     if not g:
-        t = F.lit(thr.first()["_thr"]).cast("double")
+        t = F.lit(thr.first()["_thr"]).cast(kind)
         keep = (v >= t) if descending else (v <= t)
         return df.withColumn(flag, F.coalesce(keep, F.lit(False)))
     t = F.col("_thr")
@@ -237,9 +295,10 @@ def percent_rank_flag(df: DataFrame, group_cols: list[str], value_col: str, frac
 
 
 def percent_rank_filter(df: DataFrame, group_cols: list[str], value_col: str, fraction: float,
-                        descending: bool = False, stats: list | None = None) -> DataFrame:
+                        descending: bool = False, stats: list | None = None,
+                        exact_limit: int | None = None) -> DataFrame:
     """Rows of ``df`` where ``percent_rank() over (partition by group_cols order
     by value_col [desc]) <= fraction`` (W4, W5), without a per-group sort.
     Rows with a null value are not ranked and not returned."""
-    return (percent_rank_flag(df, group_cols, value_col, fraction, descending, "_keep", stats)
+    return (percent_rank_flag(df, group_cols, value_col, fraction, descending, "_keep", stats, exact_limit)
             .where("_keep").drop("_keep"))

@@ -34,4 +34,5 @@ def word_search(df: DataFrame, word: str, text_col: str = "text", id_col: str |
         raise ValueError("per must be 'id' or 'record'")
     if id_col is None:
         raise ValueError("per='id' needs id_col")
-    return hits.agg(F.count_distinct(F.col(id_col)).alias("count"))
+    # a null id is one id, as in distinct() followed by count()
+    return hits.select(id_col).distinct().agg(F.count(F.lit(1)).alias("count"))
