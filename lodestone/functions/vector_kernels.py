@@ -44,6 +44,8 @@ def to_matrix(arr, dim: int | None = None) -> np.ndarray:
         bad = int(lengths[lengths != d][0])
         raise ValueError(f"vector length must be {d}, got {bad}")
     flat = np.asarray(arr.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
+    if not np.isfinite(flat).all():
+        raise ValueError("vector with a null, NaN or infinite component")
     return flat.reshape(n, d)
 
 
@@ -80,7 +82,7 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
 
 def from_matrix(m: np.ndarray) -> pa.Array:
     n, d = m.shape
-    offsets = pa.array(np.arange(0, n * d + 1, d, dtype=np.int32))
+    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * d)
     return pa.ListArray.from_arrays(offsets, pa.array(m.ravel(), type=pa.float64()))
 
 
@@ -106,7 +108,8 @@ def _round(x: np.ndarray, decimals: int) -> np.ndarray:
     return np.round(x, decimals) + 0.0          # + 0.0 turns -0.0 into 0.0
 
 
-def nearest_medoid(u, medoids: list[tuple[int, int, list[float]]], spark) -> Column:
+def nearest_medoid(u, medoids: list[tuple[int, int, list[float]]], spark,
+                   skip_null: bool = False) -> Column:
     """Kernel twin of ``kmedoids.nearest``: struct(dist, mid, label) of the
     medoid nearest to vector ``u`` (normalised here), ties to the smaller
     medoid id."""
@@ -120,6 +123,11 @@ def nearest_medoid(u, medoids: list[tuple[int, int, list[float]]], spark) -> Col
         mm = get()
 
         def one(x):
+            if skip_null and x.null_count:
+                valid = np.asarray(x.is_valid())
+                place = np.cumsum(valid) - 1
+                got = one(x.filter(pa.array(valid)))
+                return got.take(pa.array(place, mask=~valid))
             um = unit_rows(to_matrix(x, mm.shape[1]))
             key = _round(1.0 - um @ mm.T, DIST_DECIMALS)
             idx = np.argmin(key, axis=1)            # first minimum: smallest medoid id

@@ -37,6 +37,8 @@ def unit(u, dim: int | None = None) -> Column:
     # expression written inside a lambda would be evaluated once per element
     out = F.when(n > 0, F.zip_with(u, F.array_repeat(n, F.size(u)), lambda x, nn: x / nn)
                  ).otherwise(F.transform(u, lambda x: F.lit(0.0)))
+    bad = F.exists(u, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    out = F.when(bad, F.raise_error(F.lit("vector with a null, NaN or infinite component"))).otherwise(out)
     if dim is not None:
         out = F.when(F.size(u) == dim, out).otherwise(
             F.raise_error(F.concat(F.lit(f"vector length must be {dim}, got "),

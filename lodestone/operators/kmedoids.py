@@ -60,12 +60,14 @@ class KMedoidsResult:
     cost: float
     seconds: float = 0.0
     cached: DataFrame | None = None
+    converged: bool = True   # the variant's own test ended the loop, not max_iter
 
     def report(self) -> DataFrame:
         """K4: the reference's four-line run report (time, iterations, cost
         per pass, final cost) as a one-column DataFrame; write it with
         ``sources.files.write_lines``."""
         costs = ",".join(repr(r.cost) for r in self.trace.orderBy("iteration").collect())
+        # The wording of the report's lines.
         lines = [f"Time: {int(self.seconds)} seconds", f"Iterations: {self.iterations}", costs,
                  f"Final cost: {self.cost!r}"]
         # four lines: one partition, so the text sink writes them as one ordered file
@@ -111,12 +113,15 @@ def _collect_medoids(rows) -> list[tuple[int, int, list[float]]]:
     """rows with (label, mid, vec) -> checked list."""
     out = [(int(r[0]), int(r[1]), list(r[2])) for r in rows]
     if out:
-        dim = len(out[0][2])
-        if len(out) * dim > MAX_MEDOID_CELLS:
-            raise ValueError(f"{len(out)} medoids x {dim} dims exceed {MAX_MEDOID_CELLS} cells")
+        _check_cells(len(out), len(out[0][2]))
     return out
 
 
+def _check_cells(k: int, dim: int) -> None:
+    if k * dim > MAX_MEDOID_CELLS:
+        raise ValueError(f"{k} medoids x {dim} dims exceed {MAX_MEDOID_CELLS} cells")
+
+
 def medoid_rows(rows_df: DataFrame, engine: str | None = None, label_col: str | None = None
                 ) -> list[tuple[int, int, list[float]]]:
     """k rows ``(id, v[, label])`` -> medoid tuples with unit vectors (the
@@ -156,9 +161,11 @@ def distance_to(u, label, medoids: Column) -> Column:
     return F.round(F.lit(1.0) - dot(u, vec), DIST_DECIMALS)
 
 
-def _nearest(v, medoids, spark, engine: str | None) -> Column:
+def _nearest(v, medoids, spark, engine: str | None, where: Column | None = None) -> Column:
+    """With ``where``, null for the rows that fail it; their vectors never reach the kernel."""
     if (engine or ENGINE) == "arrow":
-        return K.nearest_medoid(v, medoids, spark)
+        v = F.col(v) if isinstance(v, str) else v
+        return K.nearest_medoid(v if where is None else F.when(where, v), medoids, spark, where is not None)
     return nearest(unit(v, _dim(medoids)), medoid_literal(medoids))
 
 
@@ -229,17 +236,6 @@ def update_medoids(assigned: DataFrame, engine: str | None = None, medoids=None)
                        F.col("b.u").alias("u"))
 
 
-def medoid_cost_pairwise(assigned: DataFrame) -> DataFrame:
-    """The reference's all-pairs medoid search, kept as a test oracle only."""
-    a = assigned.select("label", F.col("id").alias("cid"), unit("v").alias("cu"))
-    b = assigned.select("label", unit("v").alias("ou"))
-    s = a.join(b, "label").groupBy("label", "cid").agg(
-        F.sum(F.lit(1.0) - dot("cu", "ou")).alias("s"))
-    best = s.groupBy("label").agg(F.min(F.struct(F.round("s", SUM_DECIMALS).alias("s"),
-                                                 "cid")).alias("b"))
-    return best.select("label", F.col("b.cid").alias("medoid_id"), F.col("b.s").alias("s"))
-
-
 def initial_assignment(points: DataFrame, medoids: list[tuple[int, int, list[float]]], k: int,
                        how: str = "mod", seed: int = 42, engine: str | None = None) -> DataFrame:
     """D3: ``(id, v, label, medoid_id, dist)`` without a distance search.
@@ -308,14 +304,15 @@ def _go_on(prev: float, cur: float, rule: str, tol: float) -> bool:
 
 
 def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "improved",
-              tol: float = 0.005, max_iter: int = 50, seed: int = 42,
+              tol: float = 0.005, max_iter: int | None = None, seed: int = 42,
               init_ids: list[int] | None = None, fraction: float = 0.2,
               core_fraction: float = 0.3, engine: str | None = None,
               cache: bool = False) -> KMedoidsResult:
     """D10. Returns assignments, medoids and the per-pass cost trace.
 
     Every variant stops on the first pass that fails its test and reports that
-    pass's cost; ``max_iter`` bounds the passes. Passes are deterministic
+    pass's cost; ``max_iter`` bounds the passes when given, and ``converged`` says
+    whether the variant's own test ended the loop. Passes are deterministic
     (md5 sampling keyed by id, seed and pass number). ``cache=True`` keeps the
     (id, vector) columns in memory/disk between passes, for data that fits;
     by default each pass re-reads the source, which only sends the two
@@ -333,9 +330,13 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
             raise ValueError("init_ids not all found")
         k = len(medoids)
     else:
+        first = points.select(F.size("v").alias("d")).limit(1).collect()
+        if first:
+            _check_cells(k, first[0].d or 0)         # before k rows are brought here
         medoids = medoid_rows(pick_medoids(points, k, seed), engine)
     if not medoids:
         raise ValueError("no points")
+    _check_cells(len(medoids), len(medoids[0][2]))
     if cache:
         points = points.persist(StorageLevel.MEMORY_AND_DISK)
     costs: list[float] = []
@@ -351,7 +352,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
         state, _ = _checkpoint(initial_assignment(points, medoids, k, how, seed, engine))
 
     it = 0
-    while _go_on(prev, cur, rule, tol) and it < max_iter:
+    while _go_on(prev, cur, rule, tol) and (max_iter is None or it < max_iter):
         it += 1
         if variant in ("base", "improved", "local"):
             new = update_medoids(points, engine, medoids=medoids).collect()
@@ -366,16 +367,20 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
             if variant == "local":
                 step_cost = reassigned_cost(points, medoids, engine)
         else:
-            cur_state = state.withColumn(
-                "dist", _distance_to("v", "label", medoids, spark, engine)) \
-                if variant == "smart_sampling" else state
+            cur_state = state
+            if variant == "smart_sampling":      # the distance and the medoid it belongs to
+                ids = F.map_from_arrays(F.array(*[F.lit(m[0]).cast("long") for m in medoids]),
+                                        F.array(*[F.lit(m[1]).cast("long") for m in medoids]))
+                cur_state = state.withColumns({
+                    "dist": _distance_to("v", "label", medoids, spark, engine),
+                    "medoid_id": F.element_at(ids, F.col("label"))})
             if variant == "sampling":
                 pick = hash_fraction("id", fraction, seed, it, "reassign")
                 marked = cur_state.withColumn("_sel", pick)
             else:
                 marked = percent_rank_flag(cur_state, ["label"], "dist", fraction,
                                            descending=True)
-            best = _nearest("v", medoids, spark, engine)
+            best = _nearest("v", medoids, spark, engine, F.col("_sel"))
             merged = marked.select(
                 "id", "v",
                 F.when(F.col("_sel"), best["label"]).otherwise(F.col("label")).alias("label"),
@@ -403,4 +408,4 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
     trace = spark.createDataFrame([(i + 1, c) for i, c in enumerate(costs)],
                                   "iteration int, cost double")
     return KMedoidsResult(assignments, med_df, trace, it, cur, time.perf_counter() - started,
-                          points if cache else None)
+                          points if cache else None, not _go_on(prev, cur, rule, tol))

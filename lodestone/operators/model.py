@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -75,8 +76,8 @@ class Evaluation:
 
 
 def evaluate(predictions: DataFrame) -> Evaluation:
-    """M6, M7: area under ROC and accuracy of a scored DataFrame."""
-    auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(predictions)
+    """M6, M7: area under ROC (every score its own threshold) and accuracy of a scored DataFrame."""
+    auc = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0).evaluate(predictions)
     acc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(predictions)
     return Evaluation(predictions, auc, acc)
 
@@ -85,7 +86,8 @@ def fit_and_score(train: DataFrame, test: DataFrame, categorical: list[str], num
                   label: str, reg_param: float = REG_PARAM) -> tuple[PipelineModel, Evaluation]:
     pipeline, _ = build_pipeline(categorical, numeric, label, reg_param)
     model = pipeline.fit(train)
-    return model, evaluate(model.transform(test))
+    # scored once for both metrics and the caller; the copy is evicted with the session's cache
+    return model, evaluate(model.transform(test).persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def tune(train: DataFrame, categorical: list[str], numeric: list[str], label: str,
@@ -130,8 +132,6 @@ def run_study(df: DataFrame, categorical: list[str], numeric: list[str], label:
     one column, count one category, fit and score the fixed pipeline, tune by
     3-fold CV and score the best model, and break predictions down by keys."""
     from lodestone.operators.profile import count_by, profile
-    from pyspark import StorageLevel
-
     if id_col is None:
         train, test = random_split(df, SPLIT, seed)
     else:

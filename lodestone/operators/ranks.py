@@ -89,7 +89,7 @@ def _target(key: tuple, tid: int, r: int, s) -> dict:
     t = dict(key=key, tid=tid, r=r, lo=None, hi=None, below=0, cnt=None)
     if s is None or not 1 <= r <= s.n:
         return t
-    low, high, nan = s["low"], s["high"], s["nan"]
+    low, high, nan = (s[c] if c in s else 0 for c in ("low", "high", "nan"))    # a caller's stats: all finite
     finite = s.n - low - high - nan
     if r <= low:
         return dict(t, lo=-float("inf"), hi=-float("inf"), cnt=s.n)

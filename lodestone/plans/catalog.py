@@ -157,13 +157,15 @@ def q_prime_filter_lineitem(spark, sf):
 
 
 @register("odd_primes_upto_max_orderkey", """
-SELECT d AS p FROM generate_series(3, (SELECT max(o_orderkey) FROM orders), 2) t(d)
-WHERE NOT EXISTS (SELECT 1 FROM generate_series(3, CAST(floor(sqrt(d)) AS BIGINT), 2) u(e)
-                  WHERE d % e = 0)""")
+SELECT o_orderkey AS p FROM (SELECT DISTINCT o_orderkey FROM orders) o
+WHERE o_orderkey >= 3 AND o_orderkey % 2 = 1
+  AND NOT EXISTS (SELECT 1 FROM generate_series(3, CAST(floor(sqrt((SELECT max(o_orderkey) FROM orders))) AS BIGINT), 2) u(e)
+                  WHERE e < o_orderkey AND o_orderkey % e = 0)""")
 def q_primes_upto(spark, sf):
-    # the prime table up to the largest order key (its size grows with the table)
-    mx = table(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0]
-    return odd_primes_upto(spark, int(mx))
+    # the order keys of the table that the prime table holds
+    keys = table(spark, sf, "orders").select(F.col("o_orderkey").alias("p"))
+    mx = keys.agg(F.max("p")).first()[0]
+    return odd_primes_upto(spark, int(mx or 0)).join(keys, "p", "left_semi")
 
 
 # --- G8, G1, G3 profile and counts -------------------------------------------
@@ -358,7 +360,7 @@ for _v in ("base", "improved", "local", "sampling", "smart_sampling"):
 # --- M1-M10 classifier ---------------------------------------------------------
 
 from lodestone.operators.model import (  # noqa: E402
-    fit_and_score, hash_split, prediction_breakdown, string_index, tune)
+    evaluate, fit_and_score, hash_split, prediction_breakdown, string_index, tune)
 
 # Stand-in for the census table: documents with their quality label.
 _CATEGORICAL = ["lang", "source"]
@@ -392,10 +394,8 @@ SELECT CASE WHEN substr(md5(CAST(doc_id AS VARCHAR) || ':42:split'), 1, 8) < 'cc
             THEN 'train' ELSE 'test' END AS part, count(*) AS count
 FROM documents JOIN labels USING (doc_id) GROUP BY part""")
 def q_ml_split(spark, sf):
-    train, test = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
-    return (train.select(F.lit("train").alias("part"))
-            .unionByName(test.select(F.lit("test").alias("part")))
-            .groupBy("part").agg(F.count(F.lit(1)).alias("count")))
+    part = F.when(hash_fraction("doc_id", 0.8, 42, "split"), "train").otherwise("test")
+    return _labelled(spark, sf).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("count"))
 
 
 @register("ml_predictions")
@@ -555,3 +555,90 @@ def q_km_local_one(spark, sf):
                     max_iter=1, seed=42)
     return res.assignments.select(F.col("id").alias("vec_id"), "label", "medoid_id",
                                   (F.round("dist", 6) + 0.0).alias("dist"))
+
+
+# --- metrics of a rule SQL can state (M6, M7, M10) ------------------------------
+
+_RULE = "CASE WHEN n_chars >= 1000 THEN 1.0 ELSE 0.0 END"
+
+
+def _rule_predictions(spark, sf):
+    """Score n_chars, prediction n_chars >= 1000, label quality."""
+    return _labelled(spark, sf).select(
+        "doc_id", "lang", F.col("quality").cast("double").alias("label"),
+        F.col("n_chars").cast("double").alias("rawPrediction"),
+        F.when(F.col("n_chars") >= 1000, 1.0).otherwise(0.0).alias("prediction"))
+
+
+@register("ml_metrics_of_length", f"""
+WITH p AS (SELECT CAST(quality AS DOUBLE) AS label, n_chars, {_RULE} AS prediction
+           FROM documents JOIN labels USING (doc_id)),
+r AS (SELECT label, prediction, rank() OVER (ORDER BY n_chars) + (count(*) OVER (PARTITION BY n_chars) - 1) / 2.0 AS rk FROM p)
+SELECT round((sum(CASE WHEN label = 1 THEN rk END) - sum(label) * (sum(label) + 1) / 2)
+             / (sum(label) * (count(*) - sum(label))), 6) AS auc,
+       round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM r""")
+def q_ml_metrics(spark, sf):
+    ev = evaluate(_rule_predictions(spark, sf))
+    return spark.createDataFrame([(round(ev.auc, 6), round(ev.accuracy, 6))], "auc double, accuracy double")
+
+
+@register("ml_breakdown_of_length", f"""
+SELECT lang, {_RULE} AS prediction, count(*) AS count
+FROM documents JOIN labels USING (doc_id) GROUP BY lang, prediction""")
+def q_ml_breakdown_rule(spark, sf):
+    return prediction_breakdown(_rule_predictions(spark, sf), "lang")
+
+
+# --- refinement passes on whole tables, forced by a small limit ------------------
+
+@register("profile_extendedprice_refined", _sql_profile("lineitem", "l_extendedprice"))
+def q_profile_refined(spark, sf):
+    return profile(table(spark, sf, "lineitem"), "l_extendedprice", exact_limit=50).select(
+        "statistic", F.round("value", 6).alias("value"))
+
+
+@register("worst_order_prices_refined", """
+SELECT o_orderkey, o_orderpriority FROM (
+  SELECT *, percent_rank() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC) AS pr FROM orders)
+WHERE pr <= 0.2""")
+def q_worst_prices(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return percent_rank_filter(orders, ["o_orderpriority"], "o_totalprice", 0.2, True, exact_limit=50).drop("o_totalprice")
+
+
+# --- k-medoids on vectors whose medoids move: three numbers of each part ---------
+
+_SQL_PART_UNIT = """
+units AS (
+  SELECT vec_id, list_transform(v, lambda x: x / nrm) AS u
+  FROM (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS nrm
+        FROM (SELECT p_partkey AS vec_id, [CAST(p_size AS DOUBLE), CAST(p_retailprice AS DOUBLE) / 50,
+                                           CAST(p_partkey % 23 AS DOUBLE)] AS v FROM part)))"""
+
+_SQL_PART_TWO = f"""
+WITH {_SQL_PART_UNIT}, {_sql_pick(6)},
+m0 AS (SELECT medoid_id AS lab, medoid_id, mu FROM picked),
+{_sql_nearest('x', 'm0', 'a1')},
+{_sql_update('a1', 'm1')},
+{_sql_nearest('x', 'm1', 'a2')},
+{_sql_update('a2', 'm2')}
+"""
+
+
+def _part_run(spark, sf):
+    part = table(spark, sf, "part").select("p_partkey", F.array(
+        F.col("p_size").cast("double"), F.col("p_retailprice").cast("double") / 50,
+        (F.col("p_partkey") % 23).cast("double")).alias("v"))
+    return k_medoids(part, "p_partkey", "v", 6, "improved", max_iter=2, seed=42)
+
+
+@register("kmedoids_part_trace", _SQL_PART_TWO + """
+SELECT 1 AS iteration, round(sum(s), 6) AS cost FROM (SELECT lab, min(s) AS s FROM m1_s GROUP BY lab)
+UNION ALL SELECT 2, round(sum(s), 6) FROM (SELECT lab, min(s) AS s FROM m2_s GROUP BY lab)""")
+def q_km_part_trace(spark, sf):
+    return _part_run(spark, sf).trace.select("iteration", F.round("cost", 6).alias("cost"))
+
+
+@register("kmedoids_part_medoids", _SQL_PART_TWO + "SELECT lab AS label, medoid_id FROM m2")
+def q_km_part_medoids(spark, sf):
+    return _part_run(spark, sf).medoids

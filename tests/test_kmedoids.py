@@ -6,8 +6,20 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lodestone.functions.sampling import hex_threshold
+from lodestone.functions.vectors import dot, unit
 from lodestone.operators.kmedoids import (
-    assign, k_medoids, medoid_cost_pairwise, medoid_rows, prepare_points, update_medoids)
+    SUM_DECIMALS, assign, k_medoids, medoid_rows, prepare_points, update_medoids)
+
+
+def medoid_cost_pairwise(assigned):
+    """The reference's all-pairs medoid search, as a test oracle."""
+    a = assigned.select("label", F.col("id").alias("cid"), unit("v").alias("cu"))
+    b = assigned.select("label", unit("v").alias("ou"))
+    s = a.join(b, "label").groupBy("label", "cid").agg(
+        F.sum(F.lit(1.0) - dot("cu", "ou")).alias("s"))
+    best = s.groupBy("label").agg(F.min(F.struct(F.round("s", SUM_DECIMALS).alias("s"),
+                                                 "cid")).alias("b"))
+    return best.select("label", F.col("b.cid").alias("medoid_id"), F.col("b.s").alias("s"))
 
 # FIXTURES 2.4: two directions plus a zero vector
 PLANTED = [(0, [1.0, 0.0]), (1, [.9, .1]), (2, [.8, .3]), (3, [0.0, 1.0]), (4, [.1, .9]),
@@ -239,3 +251,27 @@ def test_kernels_slice_large_batches(spark):
                        sorted(tuple(r) for r in update_medoids(pts, engine)
                               .select("label", "medoid_id").collect()))
     assert res["arrow"] == res["sql"]
+
+
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
+def test_smart_sampling_distance_belongs_to_its_medoid(spark, engine):
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(80, 4))
+    df = spark.createDataFrame([(i, [float(x) for x in X[i]]) for i in range(80)], "id long, v array<double>")
+    res = k_medoids(df, "id", "v", 4, "smart_sampling", tol=-1.0, max_iter=3, engine=engine)
+    U = X / np.linalg.norm(X, axis=1, keepdims=True)
+    rows = res.assignments.collect()
+    assert all(abs(r.dist - (1 - U[r.id] @ U[r.medoid_id])) < 1e-9 for r in rows)
+
+
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
+@pytest.mark.parametrize("value", [float("nan"), float("inf")])
+def test_non_finite_vectors_rejected(spark, engine, value):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, value])], "id long, v array<double>")
+    with pytest.raises(PySparkException):
+        k_medoids(df, "id", "v", 1, "improved", init_ids=[0], engine=engine).assignments.collect()
+
+
+def test_converged_flag(spark, planted):
+    assert k_medoids(planted, "id", "v", 2, "improved", init_ids=[0, 1]).converged
+    assert not k_medoids(planted, "id", "v", 2, "improved", init_ids=[0, 1], max_iter=1).converged

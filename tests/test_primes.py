@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from lodestone.operators.primes import odd_primes_upto, parse_integers, prime_filter, top_primes
 
@@ -99,3 +100,20 @@ def test_prime_mask_equals_rule(max_number):
     ns = np.concatenate([np.arange(-5, 3000), rng.integers(0, 2 * max_number + 5000, 3000)])
     got = prime_mask(ns.astype(np.int64), np.array(ds, dtype=np.int64))
     assert [bool(x) for x in got] == [_reference_rule(int(n), ds) for n in ns]
+
+
+def test_top_primes_beyond_the_window(spark):
+    df = spark.range(2, 60000).select(F.col("id").alias("value"))
+    sieve = [n for n in range(2, 60000) if all(n % d for d in range(2, int(n ** 0.5) + 1))]
+    for kw in ({}, {"max_number": 60000}):
+        got = [r.value for r in top_primes(df, "value", 5000, **kw).collect()]
+        assert got == sieve[::-1][:5000]
+
+
+def test_values_beyond_the_divisor_list(spark):
+    values = [10**13 + 37, 10**13 + 39, 2**63 - 25, 2**63 - 1, 3037000493**2, 97, 91, 2, 1, -7, None]
+    df = spark.createDataFrame([(v,) for v in values], "value long")
+    want = [2**63 - 25, 10**13 + 37, 97, 2]
+    assert [r.value for r in top_primes(df, "value", 10).collect()] == want
+    assert sorted(r.value for r in prime_filter(df, "value").collect()) == sorted(want)
+    assert sorted(r.value for r in prime_filter(df, "value", max_number=2**63 - 1).collect()) == sorted(want)

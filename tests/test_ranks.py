@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import lodestone.operators.ranks as R
+from lodestone.operators.ranks import percent_rank_filter
 
 
 @pytest.fixture
@@ -59,3 +60,27 @@ def test_order_statistics_geometric_values(spark):
                                                       exact_limit=2).collect()}
     s = sorted(vals)
     assert got == {0: s[0], 1: s[19], 2: s[39]}
+
+
+INF, NAN = float("inf"), float("nan")
+
+
+@pytest.mark.parametrize("values,kind", [
+    ([INF, 1.0, 2.0, 3.0, -INF, NAN, 5.0, 5.0, 1e308, -1e308, 1e-300] * 3, "double"),
+    ([2**53 + i for i in range(40)] + [2**63 - 1, -2**63, 0], "long"),
+    ([10.0 ** e for e in range(-300, 300, 7)] + [-(10.0 ** e) for e in range(-300, 300, 9)], "double")])
+@pytest.mark.parametrize("desc", [False, True])
+def test_refinement_on_hard_values(spark, values, kind, desc):
+    df = spark.createDataFrame([(1, v) for v in values], f"g int, v {kind}")
+    w = Window.partitionBy("g").orderBy(F.col("v").desc() if desc else F.col("v"))
+    for frac in (0.0, 0.3, 0.9):
+        want = df.withColumn("p", F.percent_rank().over(w)).where(F.col("p") <= frac).drop("p")
+        got = percent_rank_filter(df, ["g"], "v", frac, desc, exact_limit=2)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_many_groups_fall_back_to_a_window(spark, monkeypatch):
+    monkeypatch.setattr("lodestone.operators.ranks.MAX_TARGETS", 3)
+    df = spark.createDataFrame([(i % 9, float(i)) for i in range(90)] + [(1, None)], "g int, v double")
+    got = percent_rank_filter(df, ["g"], "v", 0.2, True)
+    assert sorted((r.g, r.v) for r in got.collect()) == sorted((i % 9, float(i)) for i in range(72, 90))

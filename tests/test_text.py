@@ -100,3 +100,8 @@ def test_json_lines_and_top_level_api(spark, tmp_path):
     df = lodestone.read_json_documents(spark, str(p), multiline=False)
     assert lodestone.word_search(df, "spark", id_col="id").first()["count"] == 1
     assert {r.word: r["count"] for r in lodestone.word_count(df).collect()}["spark"] == 2
+
+
+def test_word_search_counts_a_null_id(spark):
+    df = spark.createDataFrame([(1, "foo"), (1, "foo bar"), (None, "foo"), (None, "foo"), (2, "x")], "id long, text string")
+    assert word_search(df, "foo").first()["count"] == 2
