@@ -13,19 +13,22 @@ a connected component of links.
 2. Equal word sequences form exact classes; their smallest id stands for them.
 3. Buckets of equal band values are linked in star rounds: a member is verified
    against one leader, the one nearest to all others, so a group of any size
-   costs one pair a member. Rounds go on in hot buckets (many pairs across
-   components) as long as enough of their pairs turn out to be links.
+   costs one pair a member. In hot buckets (many pairs across components) the
+   members without a link go on with leaders of their own, as long as enough of
+   these pairs turn out to be links.
 4. Then all pairs across components are verified that share a bucket which is
-   not hot, or, within hot buckets, a shingle that 2 to ``RARE`` members have.
+   not hot, or, within hot buckets, a shingle that their leader does not have
+   and 2 to ``RARE`` members do.
 
 Step 4 leaves no candidate pair out unless its documents meet in hot buckets
-only, share no rare shingle and are linked to no common leader: near copies of
-one text that are each too far from its centre. README has measured figures.
+only and what they share beyond their leader is shared by more than ``RARE``
+others: near copies of one text, each too far from its centre. README has
+measured figures.
 
 Two documents of similarity 0.8 share no band with probability (1 - 0.8^5)^25,
 5e-5. Defined results: null or empty text is a class of its own; a row with a
-null id keeps a null class; an id that occurs with several texts stands for all
-of them. Extra columns are not read."""
+null id keeps a null class; an id that occurs with several texts is compared by
+the greatest of them. Extra columns are not read."""
 
 from __future__ import annotations
 
@@ -148,18 +151,19 @@ def _similarities(texts_a: pa.Array, texts_b: pa.Array) -> list[float]:
             for i in range(len(texts_a))]
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose documents reach the threshold. A frequent ``a`` is split over
-    as many copies of its text as it has times ``PER_LEADER`` pairs."""
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, text_a, text_b). A frequent ``a`` is split over as many copies of its text as it
+    has times ``PER_LEADER`` pairs. Texts are joined by shuffle at every size."""
     split = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_LEADER).cast("int").alias("parts"))
-    left = (texts.join(split, texts["id"] == split["a"])
-            .select("a", "parts", F.col("text").alias("text_a"),
-                    F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
-    dealt = (pairs.join(split, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")))
-    rows = (dealt.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(left.select("a", "part", "text_a"), ["a", "part"])
-            .select("a", "b", "text_a", "text_b"))
+    left = (texts.hint("merge").join(split, texts["id"] == split["a"])
+            .select("a", F.col("text").alias("text_a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+    dealt = pairs.join(split, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    return (dealt.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+            .join(left.hint("merge"), ["a", "part"]).select("a", "b", "text_a", "text_b"))
+
 
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose documents reach the threshold."""
     def run(batches):
         for batch in batches:
             for half in text_slices(batch, "text_a"):
@@ -168,7 +172,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                     on = pa.array([s >= threshold for s in sim], pa.bool_())
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(on)
 
-    return map_text(rows, run, "a long, b long").distinct()
+    return map_text(_with_texts(pairs, texts), run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -180,24 +184,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = stash(named.groupBy("key").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "reps")
     rows = reps.select("id", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    rows = stash(rows.join(shared, "bucket").distinct(), "members")
-    rows = stash(rows.join(rows.groupBy("id").agg(F.sum("n").alias("weight")), "id").drop("n"), "buckets")
+    members = stash(rows.join(shared, "bucket").groupBy("id").agg(
+        F.sum("n").alias("weight"), F.collect_set("bucket").alias("buckets")), "members")      # BANDS at most
     texts = stash(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-                  .join(rows.select("id").distinct(), "id", "left_semi"), "texts")
+                  .join(members.select("id").hint("merge"), "id", "left_semi")
+                  .groupBy("id").agg(F.max("text").alias("text")), "texts")
+    rows = members.select("id", "weight", F.explode("buckets").alias("bucket"))
 
     # the first star round gives every member one leader of higher rank at most: a forest
     pairs = stash(_star_pairs(rows.withColumn("comp", F.col("id")), 0), "pairs")
     links = stash(verified(pairs, texts, threshold), "links")
-    tried = pairs
     comp = roots(links.select(F.col("b").alias("id"), F.col("a").alias("parent")))
+    comp = comp.unionByName(comp.select(F.col("root").alias("id"), "root").distinct())
     step, linked, attempted = 0, 1, 1
     while True:
-        placed = rows.join(comp, "id", "left").select("bucket", "id", "weight", F.coalesce("root", "id").alias("comp"))
+        placed = rows.join(comp, "id", "left").select(
+            "bucket", "id", "weight", F.coalesce("root", "id").alias("comp"), F.col("root").isNull().alias("alone"))
         # pairs of a bucket across components, from the sizes of its components
+        n = F.col("n")
         cross = (placed.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket")
-                 .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-                 .select("bucket", ((F.col("n") * F.col("n") - F.col("own")) / 2 > CROSS_PER_MEMBER * F.col("n")).alias("hot"),
-                         (F.col("n") * F.col("n") > F.col("own")).alias("mixed")).where("mixed").drop("mixed"))
+                 .agg(F.sum(n).alias("n"), F.sum(n * n).alias("own")).where(n * n > F.col("own"))
+                 .select("bucket", ((n * n - F.col("own")) / 2 > CROSS_PER_MEMBER * n).alias("hot")))
         placed, seen = stash_counted(placed.join(cross, "bucket"), "placed", n=F.count(F.lit(1)),
                                      hot=F.count_if(F.col("hot")))
         if not seen["n"]:
@@ -207,15 +214,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if last:
             pairs = _cross_pairs(placed.where("not hot").select("bucket", "id", "comp"))
             if seen["hot"]:
-                pairs = pairs.unionByName(_cross_pairs(_rare_shingles(placed, texts))).distinct()
-        else:
-            pairs = _star_pairs(placed.where("hot"), step)
-        done = tried.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
-        pairs, seen = stash_counted(
-            pairs.join(done, (F.least("a", "b") == F.col("lo")) & (F.greatest("a", "b") == F.col("hi")), "left_anti"),
-            "pairs", n=F.count(F.lit(1)))
+                pairs = pairs.unionByName(_cross_pairs(_outside_leaders(placed.where("hot"), texts))).distinct()
+        else:       # the members without a link look for a leader of their own
+            pairs = _star_pairs(placed.where("hot and alone"), step)
+        pairs, seen = stash_counted(pairs, "pairs", n=F.count(F.lit(1)))
         attempted = seen["n"]
-        tried = tried.unionByName(pairs)
         found, seen = stash_counted(verified(pairs, texts, threshold), "links", n=F.count(F.lit(1)))
         linked = seen["n"]
         if linked:
@@ -226,10 +229,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     degree = (links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
               .groupBy("rep").agg(F.count("*").alias("n_links")))
-    grouped = comp.unionByName(comp.select(F.col("root").alias("id"), "root").distinct())
-    least = grouped.groupBy("root").agg(F.min("id").alias("class_id"))
+    least = comp.groupBy("root").agg(F.min("id").alias("class_id"))
     classes = (reps.select("key", F.col("id").alias("rep"))
-               .join(grouped.join(least, "root").select(F.col("id").alias("rep"), "class_id"), "rep", "left")
+               .join(comp.join(least, "root").select(F.col("id").alias("rep"), "class_id"), "rep", "left")
                .join(degree, "rep", "left")
                .select("key", F.coalesce("class_id", "rep").alias("class_id"),
                        F.coalesce("n_links", F.lit(0)).alias("n_links")))
@@ -239,48 +241,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
-def _rare_shingles(placed: DataFrame, texts: DataFrame) -> DataFrame:
-    """(bucket, id, comp): members of hot buckets that share a shingle which 2 to ``RARE`` of
-    them have; the shingle's hash is the bucket."""
-    hot = placed.where("hot").select("id", "comp").distinct()
+def _outside_leaders(hot: DataFrame, texts: DataFrame) -> DataFrame:
+    """(bucket, id, comp): members of hot buckets by the shingles that their bucket's leader does
+    not have, where 2 to ``RARE`` members share one; the shingle's hash is the bucket.
+
+    Two members of equal size that are similar, but not both to the leader, share such a
+    shingle: were all they share in the leader, both would be as similar to it."""
+    led = stash(_star_pairs(hot, 0, across=False), "led")
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch):
-                row, h, _ = shingles(TextBytes(part.column(1)))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(h.view(np.int64))],
-                                                 ["id", "bucket"])
+            for half in text_slices(batch, "text_a"):
+                for part in text_slices(half, "text_b"):
+                    (ra, ha, _), (rb, hb, _) = (shingles(TextBytes(part.column(k))) for k in (2, 3))
+                    known = mix(ha ^ mix(ra.astype(np.uint64)))
+                    own = ~np.isin(mix(hb ^ mix(rb.astype(np.uint64))), known)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(1).take(pa.array(rb[own])), pa.array(hb[own].view(np.int64))], ["id", "bucket"])
 
-    rows = map_text(texts.join(hot.select("id"), "id", "left_semi").select("id", "text"), run,
-                    "id long, bucket long").distinct()
-    rows = stash(rows, "shingles")
+    rows = stash(map_text(_with_texts(led, texts), run, "id long, bucket long"), "outside")
     rare = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n").between(2, RARE)).select("bucket")
-    return stash(rows.join(rare, "bucket").join(hot, "id").select("bucket", "id", "comp"), "rare")
+    return rows.join(rare, "bucket").join(hot.select("id", "comp").distinct(), "id").select("bucket", "id", "comp")
 
 
 def _merge(comp: DataFrame, found: DataFrame) -> DataFrame:
-    """Components after further links: the links join components, and their roots move."""
+    """Components after further links: the links join components, and their roots move.
+    Every linked id has a row, roots included."""
     ends = found.select("a", "b")
     for end in ("a", "b"):
         ends = (ends.join(comp.select(F.col("id").alias(end), F.col("root").alias("r")), end, "left")
                 .withColumn(end, F.coalesce("r", end)).drop("r"))
-    moved = components(ends.distinct()).select(F.col("id").alias("root"), F.col("root").alias("top"))
+    moved = components(ends).select(F.col("id").alias("root"), F.col("root").alias("top"))
     known = comp.join(moved, "root", "left").select("id", F.coalesce("top", "root").alias("root"))
-    # members that were alone until now, and former roots, have no row of their own yet
-    fresh = (moved.where("root != top").select(F.col("root").alias("id"), F.col("top").alias("root"))
-             .join(comp.select("id"), "id", "left_anti"))
+    fresh = (moved.select(F.col("root").alias("id"), F.col("top").alias("root"))
+             .join(comp.select("id"), "id", "left_anti"))         # ids that were alone until now
     return stash(known.unionByName(fresh), "comp")
 
 
-def _star_pairs(open_: DataFrame, step: int) -> DataFrame:
+def _star_pairs(open_: DataFrame, step: int, across: bool = True) -> DataFrame:
     """One pair per member: the leader of highest rank among its buckets' leaders, if that is in
-    another component. A bucket's leader is its member of highest rank. First the rank is the
-    weight (the sizes of a member's buckets: the member nearest to all others has the largest),
-    then the smaller id; later rounds disturb the weight by a hash to try other members."""
+    another component (or, not ``across``, another document). A bucket's leader is its member of
+    highest rank. First the rank is the weight (the sizes of a member's buckets: the member
+    nearest to all others has the largest), then the smaller id; later rounds disturb the weight
+    by a hash to try other members."""
     shake = F.pmod(F.xxhash64("id", F.lit(step)), F.lit(1 << 20)) / float(1 << 20)
     rank = F.struct(F.col("weight") * (1 + 0.5 * step * shake), -F.col("id"))
     lead = open_.groupBy("bucket").agg(F.max(F.struct(rank.alias("rank"), "id", "comp")).alias("l"))
-    best = (open_.join(lead, "bucket").where("comp != l.comp")
+    best = (open_.join(lead, "bucket").where("comp != l.comp" if across else "id != l.id")
             .groupBy("id").agg(F.max("l").alias("l")))
     return best.select(F.col("l.id").alias("a"), F.col("id").alias("b"))
 
