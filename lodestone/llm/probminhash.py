@@ -12,8 +12,8 @@ a connected component of links.
    the first arrival later than all registers.
 2. Equal word sequences form exact classes; their smallest id stands for them.
 3. Buckets of equal band values are linked in star rounds: a member is verified
-   against one leader, the one nearest to all others, so a group of any size
-   costs one pair a member. In hot buckets (many pairs across components) the
+   against a few leaders, those nearest to all others, so a group of any size
+   costs a few pairs a member. In hot buckets (many pairs across components) the
    members without a link go on with leaders of their own, as long as enough of
    these pairs turn out to be links.
 4. Then all pairs across components are verified that share a bucket which is
@@ -47,6 +47,7 @@ BANDS, ROWS = 25, 5
 CROSS_PER_MEMBER = 8             # a bucket with more pairs across components per member is hot
 RARE = 64                        # members of hot buckets that share a rare shingle, at most
 MIN_YIELD = 0.05                 # links per pair below which a star round is the last
+LEADERS = 4                      # leaders a member is verified against in a star round
 PER_LEADER = 500                 # pairs of one leader that share a copy of its text in the join
 
 
@@ -191,11 +192,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .groupBy("id").agg(F.max("text").alias("text")), "texts")
     rows = members.select("id", "weight", F.explode("buckets").alias("bucket"))
 
-    # the first star round gives every member one leader of higher rank at most: a forest
+    # the first star round; one parent of higher rank a member is a forest, other links join its trees
     pairs = stash(_star_pairs(rows.withColumn("comp", F.col("id")), 0), "pairs")
     links = stash(verified(pairs, texts, threshold), "links")
-    comp = roots(links.select(F.col("b").alias("id"), F.col("a").alias("parent")))
-    comp = comp.unionByName(comp.select(F.col("root").alias("id"), "root").distinct())
+    comp = roots(links.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("parent")))
+    comp = _merge(comp.unionByName(comp.select(F.col("root").alias("id"), "root").distinct()), links)
     step, linked, attempted = 0, 1, 1
     while True:
         placed = rows.join(comp, "id", "left").select(
@@ -247,7 +248,7 @@ def _outside_leaders(hot: DataFrame, texts: DataFrame) -> DataFrame:
 
     Two members of equal size that are similar, but not both to the leader, share such a
     shingle: were all they share in the leader, both would be as similar to it."""
-    led = stash(_star_pairs(hot, 0, across=False), "led")
+    led = stash(_star_pairs(hot, 0, 1, across=False), "led")
 
     def run(batches):
         for batch in batches:
@@ -256,8 +257,16 @@ def _outside_leaders(hot: DataFrame, texts: DataFrame) -> DataFrame:
                     (ra, ha, _), (rb, hb, _) = (shingles(TextBytes(part.column(k))) for k in (2, 3))
                     known = mix(ha ^ mix(ra.astype(np.uint64)))
                     own = ~np.isin(mix(hb ^ mix(rb.astype(np.uint64))), known)
+                    # a similar partner shares 0.8 of all shingles, so this many beyond the leader's:
+                    # of those in hash order, the last ``need - 1`` can be left out
+                    n = np.bincount(rb, minlength=len(part))
+                    beyond = np.bincount(rb[own], minlength=len(part))
+                    need = np.maximum(np.ceil(THRESHOLD * n - 1e-9).astype(np.int64) - (n - beyond), 1)
+                    row, h = rb[own], hb[own]                        # by row, then hash
+                    place = np.arange(len(row)) - (np.cumsum(beyond) - beyond)[row]
+                    kept = place <= (beyond - need)[row]
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(1).take(pa.array(rb[own])), pa.array(hb[own].view(np.int64))], ["id", "bucket"])
+                        [part.column(1).take(pa.array(row[kept])), pa.array(h[kept].view(np.int64))], ["id", "bucket"])
 
     rows = stash(map_text(_with_texts(led, texts), run, "id long, bucket long"), "outside")
     rare = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n").between(2, RARE)).select("bucket")
@@ -278,18 +287,18 @@ def _merge(comp: DataFrame, found: DataFrame) -> DataFrame:
     return stash(known.unionByName(fresh), "comp")
 
 
-def _star_pairs(open_: DataFrame, step: int, across: bool = True) -> DataFrame:
-    """One pair per member: the leader of highest rank among its buckets' leaders, if that is in
-    another component (or, not ``across``, another document). A bucket's leader is its member of
-    highest rank. First the rank is the weight (the sizes of a member's buckets: the member
-    nearest to all others has the largest), then the smaller id; later rounds disturb the weight
-    by a hash to try other members."""
+def _star_pairs(open_: DataFrame, step: int, leaders: int = LEADERS, across: bool = True) -> DataFrame:
+    """(a, b): each member b with the ``leaders`` of highest rank among its buckets' leaders that
+    are in another component (or, not ``across``, another document). A bucket's leader is its
+    member of highest rank. First the rank is the weight (the sizes of a member's buckets: the
+    member nearest to all others has the largest), then the smaller id; later rounds disturb the
+    weight by a hash to try other members."""
     shake = F.pmod(F.xxhash64("id", F.lit(step)), F.lit(1 << 20)) / float(1 << 20)
     rank = F.struct(F.col("weight") * (1 + 0.5 * step * shake), -F.col("id"))
     lead = open_.groupBy("bucket").agg(F.max(F.struct(rank.alias("rank"), "id", "comp")).alias("l"))
     best = (open_.join(lead, "bucket").where("comp != l.comp" if across else "id != l.id")
-            .groupBy("id").agg(F.max("l").alias("l")))
-    return best.select(F.col("l.id").alias("a"), F.col("id").alias("b"))
+            .groupBy("id").agg(F.slice(F.sort_array(F.collect_set("l"), False), 1, leaders).alias("l")))   # BANDS at most
+    return best.select("id", F.explode("l").alias("l")).select(F.col("l.id").alias("a"), F.col("id").alias("b"))
 
 
 def _cross_pairs(open_: DataFrame) -> DataFrame:
