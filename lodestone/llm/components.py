@@ -17,12 +17,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        moved = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        low = edges.groupBy("u").agg(F.min("v").alias("m"))
-        joined = edges.join(low, "u")
-        moved = joined.select("u", F.col("m").alias("v")).unionByName(
-            joined.select(F.col("v").alias("u"), F.col("m").alias("v")))
+        return (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                .where("u > v"))                 # repeats go with the small star
+    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    joined = edges.join(low, "u")
+    moved = joined.select("u", F.col("m").alias("v")).unionByName(
+        joined.select(F.col("v").alias("u"), F.col("m").alias("v")))
     return moved.where("u > v").distinct()
 
 
