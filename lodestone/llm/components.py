@@ -44,18 +44,3 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         mark = after
     return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
-
-
-def roots(parents: DataFrame) -> DataFrame:
-    """(id, root) of a forest given as (id, parent) without cycles, one row per id at most;
-    ids without a parent are left out. Pointer jumping: the rounds are the logarithm of the depth."""
-    now = parents.select("id", F.col("parent").alias("root"))
-    while True:
-        above = now.select(F.col("id").alias("root"), F.col("root").alias("up"))
-        now, seen = stash_counted(now.join(above, "root", "left")
-                                  .select("id", F.coalesce("up", "root").alias("root"),
-                                          F.col("up").isNotNull().alias("moved")),
-                                  "roots", moved=F.coalesce(F.sum(F.col("moved").cast("int")), F.lit(0)))
-        now = now.drop("moved")
-        if not seen["moved"]:
-            return now

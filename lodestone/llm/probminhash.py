@@ -11,14 +11,14 @@ a connected component of links.
    register keeps the shingle of its earliest arrival, and a process ends at
    the first arrival later than all registers.
 2. Equal word sequences form exact classes; their smallest id stands for them.
-3. Buckets of equal band values are linked in star rounds: a member is verified
+3. Buckets of equal band values are linked by stars: a member is verified
    against a few leaders, those nearest to all others, so a group of any size
-   costs a few pairs a member. In hot buckets (many pairs across components) the
-   members without a link go on with leaders of their own, as long as enough of
-   these pairs turn out to be links.
-4. Then all pairs across components are verified that share a bucket which is
-   not hot, or, within hot buckets, a shingle that their leader does not have
-   and 2 to ``RARE`` members do.
+   costs a few pairs a member.
+4. Then pairs across components are verified. A bucket with few of them has all
+   its pairs done. In a hot bucket those are done that share a shingle which
+   their leader does not have and 2 to ``RARE`` members do, and members without
+   a link look for leaders of their own. This repeats while enough of the pairs
+   turn out to be links.
 
 Step 4 leaves no candidate pair out unless its documents meet in hot buckets
 only and what they share beyond their leader is shared by more than ``RARE``
@@ -39,14 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import _GOLD, TextBytes, map_text, mix, stash, stash_counted, text_slices
-from lodestone.llm.components import components, roots
+from lodestone.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 CROSS_PER_MEMBER = 8             # a bucket with more pairs across components per member is hot
 RARE = 64                        # members of hot buckets that share a rare shingle, at most
-MIN_YIELD = 0.05                 # links per pair below which a star round is the last
+MIN_YIELD = 0.05                 # links per pair below which a round is the last
 LEADERS = 4                      # leaders a member is verified against in a star round
 PER_LEADER = 500                 # pairs of one leader that share a copy of its text in the join
 
@@ -178,8 +178,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
-    """One row per input row: doc_id, class_id (the smallest id of its class), n_links
-    (verified links of its exact class that the class was built from)."""
+    """One row per input row: doc_id, class_id (the smallest id of its class)."""
     signed = stash(signatures(docs, id_col, text_col), "signed")
     named = signed.where("key is not null and doc_id is not null")
     reps = stash(named.groupBy("key").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "reps")
@@ -192,13 +191,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .groupBy("id").agg(F.max("text").alias("text")), "texts")
     rows = members.select("id", "weight", F.explode("buckets").alias("bucket"))
 
-    # the first star round; one parent of higher rank a member is a forest, other links join its trees
-    pairs = stash(_star_pairs(rows.withColumn("comp", F.col("id")), 0), "pairs")
-    links = stash(verified(pairs, texts, threshold), "links")
-    comp = roots(links.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("parent")))
-    comp = _merge(comp.unionByName(comp.select(F.col("root").alias("id"), "root").distinct()), links)
-    step, linked, attempted = 0, 1, 1
+    pairs = _star_pairs(rows.withColumn("comp", F.col("id")), 0)
+    comp, step = None, 0
     while True:
+        pairs, tried = stash_counted(pairs, "pairs", n=F.count(F.lit(1)))
+        found, linked = stash_counted(verified(pairs, texts, threshold), "links", n=F.count(F.lit(1)))
+        if comp is None:
+            comp = components(found)
+        elif linked["n"]:
+            comp = _merge(comp, found)
+        if step and linked["n"] < MIN_YIELD * tried["n"]:
+            break
+        step += 1
         placed = rows.join(comp, "id", "left").select(
             "bucket", "id", "weight", F.coalesce("root", "id").alias("comp"), F.col("root").isNull().alias("alone"))
         # pairs of a bucket across components, from the sizes of its components
@@ -210,36 +214,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                      hot=F.count_if(F.col("hot")))
         if not seen["n"]:
             break
-        last = not seen["hot"] or linked < MIN_YIELD * attempted
-        step += 1
-        if last:
-            pairs = _cross_pairs(placed.where("not hot").select("bucket", "id", "comp"))
-            if seen["hot"]:
-                pairs = pairs.unionByName(_cross_pairs(_outside_leaders(placed.where("hot"), texts))).distinct()
-        else:       # the members without a link look for a leader of their own
-            pairs = _star_pairs(placed.where("hot and alone"), step)
-        pairs, seen = stash_counted(pairs, "pairs", n=F.count(F.lit(1)))
-        attempted = seen["n"]
-        found, seen = stash_counted(verified(pairs, texts, threshold), "links", n=F.count(F.lit(1)))
-        linked = seen["n"]
-        if linked:
-            links = links.unionByName(found)
-            comp = _merge(comp, found)
-        if last:
-            break
+        pairs = _cross_pairs(placed.where("not hot").select("bucket", "id", "comp"))
+        if seen["hot"]:        # there, members without a link also look for leaders of their own
+            pairs = (pairs.unionByName(_cross_pairs(_outside_leaders(placed.where("hot"), texts)))
+                     .unionByName(_star_pairs(placed.where("hot and alone"), step)).distinct())
 
-    degree = (links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
-              .groupBy("rep").agg(F.count("*").alias("n_links")))
     least = comp.groupBy("root").agg(F.min("id").alias("class_id"))
     classes = (reps.select("key", F.col("id").alias("rep"))
                .join(comp.join(least, "root").select(F.col("id").alias("rep"), "class_id"), "rep", "left")
-               .join(degree, "rep", "left")
-               .select("key", F.coalesce("class_id", "rep").alias("class_id"),
-                       F.coalesce("n_links", F.lit(0)).alias("n_links")))
+               .select("key", F.coalesce("class_id", "rep").alias("class_id")))
     return (signed.select("doc_id", "key").join(classes, "key", "left")
             .select("doc_id",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id")))
 
 
 def _outside_leaders(hot: DataFrame, texts: DataFrame) -> DataFrame:
