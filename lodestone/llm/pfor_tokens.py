@@ -38,6 +38,7 @@ BLOCK = 1024
 PAGE_IDS = 64 * BLOCK
 PERCENTILE = 95
 END_ID = 1
+MAX_UNITS = 1_000_000            # cached units per worker: some 150 MB
 _HEAD = struct.Struct("<IHBH")
 PAGE_SCHEMA = ("shard long, page long, n_ids long, data binary, block_starts array<long>, "
                "doc_ids array<long>, doc_starts array<long>, doc_lengths array<long>")
@@ -49,7 +50,8 @@ def pack_block(ids: np.ndarray) -> bytes:
     """One block of 1 to 65,535 ids."""
     low = int(ids.min())
     rest = ids.astype(np.uint32) - np.uint32(low)
-    width = int(np.percentile(rest, PERCENTILE, method="higher")).bit_length()
+    rank = -(-PERCENTILE * (len(rest) - 1) // 100)
+    width = int(np.partition(rest, rank)[rank]).bit_length()
     out = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
     kept = rest.copy()
     kept[out] = 0
@@ -91,6 +93,8 @@ def read_range(data: bytes, block_starts: list[int], start: int, length: int) ->
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
+_CAPITAL = np.zeros(256, dtype=bool)
+_CAPITAL[list(range(65, 91))] = True
 _MARK = np.zeros(256, dtype=bool)
 _MARK[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = True          # not the apostrophe: it starts contractions
 
@@ -106,33 +110,36 @@ def load(path: str):
 class UnitEncoder:
     """Ids of texts by the library, one call per distinct unit. A unit is a word, also cut
     between an ASCII letter and an ASCII mark, where this tokenizer's pre-tokenizer always
-    splits. Texts that hold a special token's string go to the library whole."""
+    splits, and in lower case (ASCII), as its normaliser makes it. Texts that hold a special
+    token's string go to the library whole."""
 
     def __init__(self, path: str):
         self.lib = load(path)
         self.special = [t.content.encode() for t in self.lib.get_added_tokens_decoder().values()]
-        self.cache = UnitCache(self._units)
+        self.cache = UnitCache(self._units, MAX_UNITS)
 
     def _units(self, units: list[bytes]) -> list[list[int]]:
         return [e.ids for e in self.lib.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         t = TextBytes(texts)
+        whole = t.buf.tobytes()
+        special = {i: t.row_bytes(i).decode() for i in range(len(t.n_words)) if any(s in t.row_bytes(i) for s in self.special)} \
+            if any(s in whole for s in self.special) else {}
+        t.padded[_CAPITAL[t.padded]] += 32           # this tokenizer lower-cases; fewer distinct units
         kind_a, kind_b = t.buf[:-1], t.buf[1:]
-        cut = (_LETTER[kind_a] & _MARK[kind_b]) | (_MARK[kind_a] & _LETTER[kind_b])
-        inner = np.flatnonzero(cut) + 1
-        inner = inner[~np.isin(inner, t.offsets)]
-        starts = np.sort(np.concatenate([t.starts, inner]))
-        ends = np.sort(np.concatenate([t.ends, inner]))
+        edge = np.zeros(len(t.buf) + 1, dtype=bool)
+        edge[1:-1] = (_LETTER[kind_a] & _MARK[kind_b]) | (_MARK[kind_a] & _LETTER[kind_b])
+        edge[t.offsets] = False                      # a row's first byte starts a word anyhow
+        begin, end = edge.copy(), edge
+        begin[t.starts] = True
+        end[t.ends] = True
+        starts, ends = np.flatnonzero(begin), np.flatnonzero(end)
         flat, n = self.cache.ids(t.padded, starts, ends)
         at = np.concatenate(([0], np.cumsum(n)))[np.searchsorted(starts, t.offsets)]
         out = [flat[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        whole = t.buf.tobytes()
-        if any(s in whole for s in self.special):
-            for i in range(len(out)):
-                raw = t.row_bytes(i)
-                if any(s in raw for s in self.special):
-                    out[i] = np.array(self.lib.encode(raw.decode(), add_special_tokens=False).ids, dtype=np.int32)
+        for i, text in special.items():
+            out[i] = np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype=np.int32)
         return out
 
 

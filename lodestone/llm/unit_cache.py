@@ -4,6 +4,8 @@ Units are told apart by a 64-bit hash of their bytes."""
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 
 from lodestone.llm.common import span_hash
@@ -26,7 +28,7 @@ class UnitCache:
         coded = self.encode(units)
         n, have = len(units), len(self.slot)
         lens = np.fromiter(map(len, coded), np.int64, n)
-        flat = np.fromiter((i for ids in coded for i in ids), np.int32, int(lens.sum()))
+        flat = np.fromiter(chain.from_iterable(coded), np.int32, int(lens.sum()))
         while have + n > len(self.start):
             self.start, self.length = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.length))
         while self.used + len(flat) > len(self.pool):
