@@ -112,7 +112,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                      F.col("b.value").bitwiseXOR(F.col("mask")).alias("value")))
     probes = windows.select("doc_id", "len", "start", "f1", "f2", F.explode(_blocks()).alias("b")).select(
         "doc_id", "len", "start", "f1", "f2", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
-    near = (probes.join(index, ["len", "block", "value"])
+    # the index has 5,576 rows an item, which the planner cannot foresee: always by shuffle
+    near = (probes.join(index.hint("merge"), ["len", "block", "value"])
             .where(F.bit_count(F.col("f1").bitwiseXOR(F.col("g1"))) + F.bit_count(F.col("f2").bitwiseXOR(F.col("g2"))) <= RADIUS)
             .select(*(F.col(c).alias(f"n_{c}") for c in ("doc_id", "len", "start", "f1", "f2")), "item_id").distinct())
 
