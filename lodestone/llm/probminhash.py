@@ -14,16 +14,13 @@ a connected component of links.
 3. Buckets of equal band values are linked by stars: a member is verified
    against a few leaders, those nearest to all others, so a group of any size
    costs a few pairs a member.
-4. Then pairs across components are verified. A bucket with few of them has all
-   its pairs done. In a hot bucket those are done that share a shingle which
-   their leader does not have and 2 to ``RARE`` members do, and members without
-   a link look for leaders of their own. This repeats while enough of the pairs
-   turn out to be links.
+4. Then all pairs of a bucket across components are verified. Where they are few they
+   are listed. In a hot bucket, members without a link first look for leaders of their
+   own; what is still apart is verified block against block, with one link kept for
+   each two components that it connects.
 
-Step 4 leaves no candidate pair out unless its documents meet in hot buckets
-only and what they share beyond their leader is shared by more than ``RARE``
-others: near copies of one text, each too far from its centre. README has
-measured figures.
+No pair of one bucket is left out: step 4 ends only when each is in one component or
+was verified.
 
 Two documents of similarity 0.8 share no band with probability (1 - 0.8^5)^25,
 5e-5. Defined results: null or empty text is a class of its own; a row with a
@@ -34,19 +31,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import _GOLD, TextBytes, map_text, mix, stash, stash_counted, text_slices
 from lodestone.llm.components import components
+from lodestone.session import ship_package
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 CROSS_PER_MEMBER = 8             # a bucket with more pairs across components per member is hot
-RARE = 64                        # members of hot buckets that share a rare shingle, at most
-MIN_YIELD = 0.05                 # links per pair below which a round is the last
+BLOCK, BLOCK_BYTES = 512, 4 << 20   # documents and text bytes of a block of hot buckets, about
+COLUMNS = 4096                   # shingles of a block that are multiplied at a time
 LEADERS = 4                      # leaders a member is verified against in a star round
 PER_LEADER = 500                 # pairs of one leader that share a copy of its text in the join
 
@@ -191,33 +190,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .groupBy("id").agg(F.max("text").alias("text")), "texts")
     rows = members.select("id", "weight", F.explode("buckets").alias("bucket"))
 
-    pairs = _star_pairs(rows.withColumn("comp", F.col("id")), 0)
-    comp, step = None, 0
-    while True:
-        pairs, tried = stash_counted(pairs, "pairs", n=F.count(F.lit(1)))
-        found, linked = stash_counted(verified(pairs, texts, threshold), "links", n=F.count(F.lit(1)))
-        if comp is None:
-            comp = components(found)
-        elif linked["n"]:
-            comp = _merge(comp, found)
-        if step and linked["n"] < MIN_YIELD * tried["n"]:
-            break
-        step += 1
-        placed = rows.join(comp, "id", "left").select(
-            "bucket", "id", "weight", F.coalesce("root", "id").alias("comp"), F.col("root").isNull().alias("alone"))
-        # pairs of a bucket across components, from the sizes of its components
-        n = F.col("n")
-        cross = (placed.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket")
-                 .agg(F.sum(n).alias("n"), F.sum(n * n).alias("own")).where(n * n > F.col("own"))
-                 .select("bucket", ((n * n - F.col("own")) / 2 > CROSS_PER_MEMBER * n).alias("hot")))
-        placed, seen = stash_counted(placed.join(cross, "bucket"), "placed", n=F.count(F.lit(1)),
-                                     hot=F.count_if(F.col("hot")))
-        if not seen["n"]:
-            break
+    comp = components(stash(verified(_star_pairs(rows.withColumn("comp", F.col("id")), 0), texts, threshold), "links"))
+    placed, seen = _placed(rows, comp)
+    if seen["n"]:
         pairs = _cross_pairs(placed.where("not hot").select("bucket", "id", "comp"))
         if seen["hot"]:        # there, members without a link also look for leaders of their own
-            pairs = (pairs.unionByName(_cross_pairs(_outside_leaders(placed.where("hot"), texts)))
-                     .unionByName(_star_pairs(placed.where("hot and alone"), step)).distinct())
+            pairs = pairs.unionByName(_star_pairs(placed.where("hot and alone"), 1)).distinct()
+        comp = _merge(comp, stash(verified(pairs, texts, threshold), "links"))
+    if seen["hot"]:
+        placed, seen = _placed(placed.where("hot").select("bucket", "id", "weight"), comp)
+        if seen["n"]:
+            found = verified(_cross_pairs(placed.where("not hot").select("bucket", "id", "comp")), texts, threshold)
+            if seen["hot"]:
+                found = found.unionByName(_block_links(placed.where("hot").select("bucket", "id", "comp"), texts, threshold))
+            comp = _merge(comp, stash(found, "links"))
 
     least = comp.groupBy("root").agg(F.min("id").alias("class_id"))
     classes = (reps.select("key", F.col("id").alias("rep"))
@@ -228,35 +214,119 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id")))
 
 
-def _outside_leaders(hot: DataFrame, texts: DataFrame) -> DataFrame:
-    """(bucket, id, comp): members of hot buckets by the shingles that their bucket's leader does
-    not have, where 2 to ``RARE`` members share one; the shingle's hash is the bucket.
-
-    Two members of equal size that are similar, but not both to the leader, share such a
-    shingle: were all they share in the leader, both would be as similar to it."""
-    led = stash(_star_pairs(hot, 0, 1, across=False), "led")
-
-    def run(batches):
-        for batch in batches:
-            for half in text_slices(batch, "text_a"):
-                for part in text_slices(half, "text_b"):
-                    (ra, ha, _), (rb, hb, _) = (shingles(TextBytes(part.column(k))) for k in (2, 3))
-                    known = mix(ha ^ mix(ra.astype(np.uint64)))
-                    own = ~np.isin(mix(hb ^ mix(rb.astype(np.uint64))), known)
-                    # a similar partner shares 0.8 of all shingles, so this many beyond the leader's:
-                    # of those in hash order, the last ``need - 1`` can be left out
-                    n = np.bincount(rb, minlength=len(part))
-                    beyond = np.bincount(rb[own], minlength=len(part))
-                    need = np.maximum(np.ceil(THRESHOLD * n - 1e-9).astype(np.int64) - (n - beyond), 1)
-                    row, h = rb[own], hb[own]                        # by row, then hash
-                    place = np.arange(len(row)) - (np.cumsum(beyond) - beyond)[row]
-                    kept = place <= (beyond - need)[row]
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(1).take(pa.array(row[kept])), pa.array(h[kept].view(np.int64))], ["id", "bucket"])
-
-    rows = stash(map_text(_with_texts(led, texts), run, "id long, bucket long"), "outside")
-    rare = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n").between(2, RARE)).select("bucket")
-    return rows.join(rare, "bucket").join(hot.select("id", "comp").distinct(), "id").select("bucket", "id", "comp")
+def _placed(rows: DataFrame, comp: DataFrame) -> tuple[DataFrame, dict]:
+    """The rows of buckets that hold several components, with ``comp``, ``alone`` (no link yet) and
+    ``hot``, and how many they are."""
+    placed = rows.join(comp, "id", "left").select(
+        "bucket", "id", "weight", F.coalesce("root", "id").alias("comp"), F.col("root").isNull().alias("alone"))
+    # pairs of a bucket across components, from the sizes of its components
+    n = F.col("n")
+    cross = (placed.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket")
+             .agg(F.sum(n).alias("n"), F.sum(n * n).alias("own")).where(n * n > F.col("own"))
+             .select("bucket", ((n * n - F.col("own")) / 2 > CROSS_PER_MEMBER * n).alias("hot")))
+    return stash_counted(placed.join(cross, "bucket"), "placed", n=F.count(F.lit(1)), hot=F.count_if(F.col("hot")))
+
+
+def _block_links(hot: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that connect whatever similar members of one bucket are in different components.
+
+    Each member has one block, of its largest bucket: a component that fills half a block has
+    blocks of its own, the rest are dealt by component. Two blocks with a bucket in common are
+    verified against each other, unless both hold only one and the same component."""
+    size = hot.groupBy("bucket").agg(F.count("*").alias("n"))
+    homes = (hot.join(size, "bucket").groupBy("id", "comp").agg(F.max(F.struct("n", "bucket"))["bucket"].alias("home"))
+             .join(texts.select("id", F.octet_length("text").alias("bytes")).hint("merge"), "id"))
+    homes = stash(homes, "homes")
+    fill = F.greatest(F.sum("share"), F.lit(0.0))
+    own = (homes.groupBy("home", "comp").agg(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES).alias("share"))
+           .withColumn("pure", F.when(F.col("share") >= 0.5, F.col("comp"))))
+    parts = own.groupBy("home", "pure").agg(F.ceil(F.sum("share")).cast("long").alias("parts"))
+    own = own.join(parts.withColumnRenamed("home", "h").withColumnRenamed("pure", "p"),
+                   (F.col("home") == F.col("h")) & F.col("pure").eqNullSafe(F.col("p"))).select("home", "comp", "pure", "parts")
+    dealt = F.pmod(F.xxhash64(F.when(F.col("pure").isNull(), F.col("comp")).otherwise(F.col("id"))), F.col("parts"))
+    blocked = stash(homes.join(own, ["home", "comp"]).select(
+        "id", "comp", "pure", F.concat_ws(":", "home", F.coalesce(F.col("pure").cast("string"), F.lit("")), dealt).alias("block")),
+        "blocks")
+    at = hot.select("bucket", "id").join(blocked, "id").select("bucket", "block", "pure").distinct()
+    meet = (at.select("bucket", F.col("block").alias("x"), F.col("pure").alias("px"))
+            .join(at.select("bucket", F.col("block").alias("y"), F.col("pure").alias("py")), "bucket")
+            .where("x <= y and (px is null or py is null or px != py)").select("x", "y").distinct())
+    meet = stash(meet, "meet")
+    sides = (meet.select("x", "y", F.lit(False).alias("right"), F.col("x").alias("block"))
+             .unionByName(meet.where("x < y").select("x", "y", F.lit(True).alias("right"), F.col("y").alias("block"))))
+    full = blocked.join(texts.select("id", "text").hint("merge"), "id").select("block", "id", "comp", "text")
+
+    def run(table: pa.Table) -> pa.Table:
+        left = table.filter(pa.compute.invert(table["right"]))
+        right = table.filter(table["right"])
+        a, b = _forest(left, right if len(right) else left, threshold)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    ship_package(hot.sparkSession)
+    return (sides.join(full.hint("merge"), "block").select("x", "y", "right", "id", "comp", "text")
+            .groupBy("x", "y").applyInArrow(run, "a long, b long"))
+
+
+def _forest(left: pa.Table, right: pa.Table, threshold: float) -> tuple[list[int], list[int]]:
+    """Links (a, b) of two blocks, one for each two components that they connect.
+
+    Of the weights as shares of 1, let p be what one side holds in shared shingles and q what
+    the other does; the similarity is at most 1 / (1/p + 1/q - 1), and equal to it without
+    repeated shingles. Pairs that reach it are verified, until their components are one."""
+    sides = []
+    for t in (left, right):
+        row, h, c = shingles(TextBytes(t["text"].combine_chunks()))
+        cut = np.searchsorted(row, np.arange(len(t) + 1))
+        total = np.bincount(row, weights=c, minlength=len(t))
+        sides.append((t["id"].to_numpy(), t["comp"].to_numpy(), row, h, c, cut, (c / total[row]).astype(np.float32)))
+    (ia, ga, ra, ha, ca, ka, wa), (ib, gb, rb, hb, cb, kb, wb) = sides
+    both = np.intersect1d(ha, hb)
+    if left is right:
+        both = both[np.unique(ha, return_counts=True)[1] > 1]
+    p, q = np.zeros((len(ia), len(ib)), np.float32), np.zeros((len(ia), len(ib)), np.float32)
+    if len(both):
+        (ra_, ua, wa_), (rb_, ub, wb_) = (_by_column(both, *x) for x in ((ra, ha, wa), (rb, hb, wb)))
+        for lo in range(0, len(both), COLUMNS):
+            dense = []
+            for r, u, w, n in ((ra_, ua, wa_, len(ia)), (rb_, ub, wb_, len(ib))):
+                i, j = np.searchsorted(u, (lo, lo + COLUMNS))
+                m = np.zeros((n, min(COLUMNS, len(both) - lo)), np.float32)
+                m[r[i:j], u[i:j] - lo] = w[i:j]
+                dense.append(m)
+            x, y = dense
+            p += x @ (y > 0).astype(np.float32).T
+            q += (x > 0).astype(np.float32) @ y.T
+    with np.errstate(divide="ignore"):
+        bound = 1 / (1 / p + 1 / q - 1)
+    on = (bound >= threshold - 1e-3) & (ga[:, None] != gb[None, :])      # float32 sums
+    if left is right:
+        on = np.triu(on, 1)
+    i, j = np.nonzero(on)
+    order = np.argsort(-bound[i, j], kind="stable")
+    parent = {int(g): int(g) for g in np.concatenate([ga, gb])}
+
+    def root(g):
+        while parent[g] != g:
+            parent[g] = g = parent[parent[g]]
+        return g
+
+    a, b = [], []
+    for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+        u, v = root(int(ga[x])), root(int(gb[y]))
+        if u != v and probability_jaccard(ha[ka[x]:ka[x + 1]], ca[ka[x]:ka[x + 1]],
+                                          hb[kb[y]:kb[y + 1]], cb[kb[y]:kb[y + 1]]) >= threshold:
+            parent[u] = v
+            a.append(int(ia[x]))
+            b.append(int(ib[y]))
+    return a, b
+
+
+def _by_column(both, row, h, w):
+    """(row, place in ``both``, w) of the entries whose hash is in ``both``, ordered by place."""
+    u = np.minimum(np.searchsorted(both, h), len(both) - 1)
+    on = np.flatnonzero(both[u] == h)
+    on = on[np.argsort(u[on], kind="stable")]
+    return row[on], u[on], w[on]
 
 
 def _merge(comp: DataFrame, found: DataFrame) -> DataFrame:
@@ -273,16 +343,16 @@ def _merge(comp: DataFrame, found: DataFrame) -> DataFrame:
     return stash(known.unionByName(fresh), "comp")
 
 
-def _star_pairs(open_: DataFrame, step: int, leaders: int = LEADERS, across: bool = True) -> DataFrame:
+def _star_pairs(open_: DataFrame, step: int, leaders: int = LEADERS) -> DataFrame:
     """(a, b): each member b with the ``leaders`` of highest rank among its buckets' leaders that
-    are in another component (or, not ``across``, another document). A bucket's leader is its
+    are in another component. A bucket's leader is its
     member of highest rank. First the rank is the weight (the sizes of a member's buckets: the
     member nearest to all others has the largest), then the smaller id; later rounds disturb the
     weight by a hash to try other members."""
     shake = F.pmod(F.xxhash64("id", F.lit(step)), F.lit(1 << 20)) / float(1 << 20)
     rank = F.struct(F.col("weight") * (1 + 0.5 * step * shake), -F.col("id"))
     lead = open_.groupBy("bucket").agg(F.max(F.struct(rank.alias("rank"), "id", "comp")).alias("l"))
-    best = (open_.join(lead, "bucket").where("comp != l.comp" if across else "id != l.id")
+    best = (open_.join(lead, "bucket").where("comp != l.comp")
             .groupBy("id").agg(F.slice(F.sort_array(F.collect_set("l"), False), 1, leaders).alias("l")))   # BANDS at most
     return best.select("id", F.explode("l").alias("l")).select(F.col("l.id").alias("a"), F.col("id").alias("b"))
 

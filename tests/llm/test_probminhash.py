@@ -95,3 +95,21 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(5, 5), (None, 3)]
     got = {r.id: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
+
+
+def classes(spark, rows):
+    return {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def two_groups(n_short, n_long):
+    """Beginnings of one text in two groups, similar within and under 0.8 between them, and one
+    document beside each group; the two are similar (1599 of 1998 shingles), to nothing else across."""
+    w = [f"w{i}" for i in range(2010)]
+    return ([(i, " ".join([*w[:1600], f"x{i}"])) for i in range(n_short)]
+            + [(1000 + i, " ".join([*w, f"y{i}"])) for i in range(n_long)]
+            + [(5000, " ".join(w[:1603])), (5001, " ".join(w[:2002]))])
+
+
+def test_hot_bucket_joined_by_common_shingles(spark):
+    rows = two_groups(400, 100)          # the three shingles beyond the first group are in 102 documents
+    assert classes(spark, rows) == {i: 0 for i, _ in rows}
