@@ -113,3 +113,8 @@ def two_groups(n_short, n_long):
 def test_hot_bucket_joined_by_common_shingles(spark):
     rows = two_groups(400, 100)          # the three shingles beyond the first group are in 102 documents
     assert classes(spark, rows) == {i: 0 for i, _ in rows}
+
+
+def test_hot_bucket_of_shortened_copies(spark):
+    rows = two_groups(100, 400)          # the second group has all shingles of the first
+    assert classes(spark, rows) == {i: 0 for i, _ in rows}
