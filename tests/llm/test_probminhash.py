@@ -118,3 +118,14 @@ def test_hot_bucket_joined_by_common_shingles(spark):
 def test_hot_bucket_of_shortened_copies(spark):
     rows = two_groups(100, 400)          # the second group has all shingles of the first
     assert classes(spark, rows) == {i: 0 for i, _ in rows}
+
+
+def test_classes_do_not_depend_on_other_documents(spark):
+    w = [f"w{i}" for i in range(1000)]
+    copies = [(i, " ".join([*w[:9 + 3 * i], f"x{i}", *w[10 + 3 * i:]])) for i in range(300)]
+    parts = [(1000 + n, " ".join(w[:n])) for n in range(300, 790, 3)]
+    others = [(10000 + 5 * g + k, " ".join([f"g{g}_{i}" for i in range(50)] + [f"e{g}_{k}_{i}" for i in range(8)]))
+              for g in range(800) for k in range(5)]                       # look-alikes at 46 of 62
+    want = {i: 0 for i, _ in copies} | {i: 1300 for i, _ in parts}
+    got = classes(spark, copies + parts + others)
+    assert got == want | {i: i for i, _ in others}
