@@ -31,6 +31,7 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("secret", "account", "national_id", "local_phone", "name")
 KINDS = BASE_KINDS + MORE_KINDS
 ACCEPT_AT = 0.5
+LONG = 256                       # a longer candidate is not dropped for a span inside it
 
 # Gazetteers and cue words.
 GIVEN_NAMES = frozenset("""james mary john patricia robert jennifer michael linda david elizabeth william barbara
@@ -54,7 +55,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _CANDIDATES = {
     "secret": re.compile(r"(?:token|secret|passwo?r?d|pwd|api[_ -]?key|access[_ -]?key)\s{0,3}[:=]\s{0,3}"
-                         r"[\"']?([^\s\"']{8,256})|\b(AKIA[0-9A-Z]{16})\b|\b([0-9a-f]{32,128})\b", re.I),
+                         r"[\"']?([^\s\"']{8,})|\b(AKIA[0-9A-Z]{16})\b|\b([0-9a-f]{32,})\b", re.I),
     "account": re.compile(r"\b([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)\b"),
     "national_id": re.compile(r"(?<![0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"),
     "local_phone": re.compile(r"(?<![0-9+)-])(\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9-])"),
@@ -146,6 +147,12 @@ def span_votes(text: str, kind: str, start: int, end: int) -> str:
 
 def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Further spans, kinds in order, none overlapping a base span or an earlier candidate."""
+    return [x[:3] for x in _voted(text, taken)]
+
+
+def _voted(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int, str]]:
+    """The candidates with their vote patterns. A secret over ``LONG`` characters that overlaps
+    other spans gives its parts between them, each with the votes of the whole."""
     out, used = [], sorted((s, e) for _, s, e in taken)
     has_digit = bool(_DIGITS.search(text))
     for kind in MORE_KINDS:
@@ -154,9 +161,20 @@ def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str,
         for m in _CANDIDATES[kind].finditer(text):
             g = next(i for i, x in enumerate(m.groups(), 1) if x is not None)
             s, e = m.span(g)
-            if all(e <= a or s >= b for a, b in used):
-                out.append((kind, s, e))
-                used.append((s, e))
+            parts = [(s, e)]
+            cuts = sorted((a, b) for a, b in used if a < e and b > s)
+            if cuts:
+                parts, at = [], s
+                for a, b in cuts if e - s > LONG else ():
+                    if a > at:
+                        parts.append((at, a))
+                    at = max(at, b)
+                if e - s > LONG and at < e:
+                    parts.append((at, e))
+            if parts:
+                votes = _pattern(kind, span_votes(text, kind, s, e))
+                out += [(kind, a, b, votes) for a, b in parts]
+                used += parts
     return out
 
 
@@ -178,12 +196,12 @@ def _examine(docs: DataFrame) -> DataFrame:
                 for text in part.column(1).to_pylist():
                     text = text or ""
                     base = base_spans(text)
-                    more = candidates(text, base)
+                    more = _voted(text, base)
                     n = Counter(k for k, _, _ in base)
                     rows.append((*(n[k] for k in BASE_KINDS), written(base),
                                  [_pattern(k, span_votes(text, k, s, e)) for k, s, e in base],
-                                 [written([x]) for x in more],
-                                 [_pattern(k, span_votes(text, k, s, e)) for k, s, e in more]))
+                                 [written([x[:3]]) for x in more],
+                                 [x[3] for x in more]))
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string()),
@@ -255,7 +273,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", acce
         if not text:
             return text
         spans = base_spans(text)
-        spans += [(k, s, e) for k, s, e in candidates(text, spans) if _pattern(k, span_votes(text, k, s, e)) in good]
+        spans += [(k, s, e) for k, s, e, p in _voted(text, spans) if p in good]
         out, done = [], 0
         for s, e, k in sorted((s, e, k) for k, s, e in spans):
             if s >= done:

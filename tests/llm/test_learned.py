@@ -171,3 +171,16 @@ def test_label_model_recovers_reliabilities():
     v = np.column_stack([np.where(rng.random(4000) < a, y, ~y) * 2 - 1 for a in acc])
     v = np.column_stack([v, v[:, 3], v[:, 3]])                  # a weak voter, repeated
     assert ((weak_toxicity.label_model(v) > 0.5) == y).mean() > 0.93
+
+
+def test_long_secrets_are_covered_whole():
+    for n in (300, 1000):
+        jwt = ("eyJhbGciOi." * n)[:n]
+        assert weak_pii.candidates(f"token={jwt} end", []) == [("secret", 6, 6 + n)]
+    assert weak_pii.candidates("x " + "0123456789abcdef" * 20, []) == [("secret", 2, 322)]
+    # a base span inside: what is around it is still covered
+    text = "token=" + "aB3/" * 100 + "=me@site.org=" + "cD4/" * 100 + " end"
+    base = weak_pii.base_spans(text)
+    covered = sorted((s, e) for _, s, e in base + weak_pii.candidates(text, base))
+    assert covered[0][0] == 6 and covered[-1][1] == len(text) - 4
+    assert all(a[1] == b[0] for a, b in zip(covered[:-1], covered[1:], strict=True))
