@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from lodestone.llm.auction_repair import repair_damaged
 from lodestone.llm.boosted_rules import quality_rules
 from lodestone.llm import license_sentences, simhash_windows
 from lodestone.llm.pfor_tokens import token_digests
@@ -77,3 +78,8 @@ def op5(spark, sf):
 @register("op10_simhash_decontamination", simhash_windows.ORACLE_SQL)
 def op10(spark, sf):
     return simhash_windows.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@register("op13_auction_conversation_repair")
+def op13(spark, sf):
+    return repair_damaged(table(spark, sf, "conversations"))
