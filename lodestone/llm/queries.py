@@ -7,7 +7,7 @@ import public_tokenizers
 
 from lodestone.llm.auction_repair import repair_damaged
 from lodestone.llm.boosted_rules import quality_rules
-from lodestone.llm import license_sentences, simhash_windows
+from lodestone.llm import license_sentences, simhash_windows, substring_automata
 from lodestone.llm.pfor_tokens import token_digests
 from lodestone.llm.probminhash import near_duplicates
 from lodestone.llm.rule_ensemble import quality_scores
@@ -83,3 +83,8 @@ def op10(spark, sf):
 @register("op13_auction_conversation_repair")
 def op13(spark, sf):
     return repair_damaged(table(spark, sf, "conversations"))
+
+
+@register("op12_substring_automata", substring_automata.ORACLE_SQL)
+def op12(spark, sf):
+    return substring_automata.removal_digests(table(spark, sf, "documents"))
