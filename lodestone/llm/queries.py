@@ -12,6 +12,7 @@ from lodestone.llm.pfor_tokens import token_digests
 from lodestone.llm.probminhash import near_duplicates
 from lodestone.llm.rule_ensemble import quality_scores
 from lodestone.llm.sentencepiece_agenda import encode_digests
+from lodestone.llm.token_alignment import alignments
 from lodestone.llm.weak_pii import find_pii
 from lodestone.llm.weak_toxicity import toxicity_scores
 from lodestone.llm.zstd_langid import identify_languages
@@ -88,3 +89,9 @@ def op13(spark, sf):
 @register("op12_substring_automata", substring_automata.ORACLE_SQL)
 def op12(spark, sf):
     return substring_automata.removal_digests(table(spark, sf, "documents"))
+
+
+@register("op11_cross_tokenizer_alignment")
+def op11(spark, sf):
+    return alignments(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                      public_tokenizers.path("piece_bpe_32k.model"))
