@@ -38,7 +38,7 @@ BLOCK = 1024
 PAGE_IDS = 64 * BLOCK
 PERCENTILE = 95
 END_ID = 1
-MAX_UNITS = 1_000_000            # cached units per worker: some 150 MB
+MAX_UNITS = 600_000              # units a worker keeps from task to task: some 100 MB
 _HEAD = struct.Struct("<IHBH")
 PAGE_SCHEMA = ("shard long, page long, n_ids long, data binary, block_starts array<long>, "
                "doc_ids array<long>, doc_starts array<long>, doc_lengths array<long>")
@@ -143,11 +143,17 @@ class UnitEncoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> UnitEncoder:
+    """The encoder of this Python worker: its units serve every task the worker runs."""
+    return UnitEncoder(path)
+
+
 def write_shards(docs: DataFrame, tokenizer_path: str, path: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = END_ID) -> None:
     """Encode ``docs`` into shards of pages at ``path``, in ascending id order."""
     def run(batches):
-        encoder, shard, page = UnitEncoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, shard, page = worker_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         held, names, total = [], [], 0
 
         def close():
