@@ -18,8 +18,8 @@ that hold it linked.
 A text is cut into units where both tokenizers must cut (white space behind a
 visible ASCII character, letters beside digits or marks, and so on, and no piece of B
 holds both sides); each new unit is encoded by the libraries and aligned, and a
-worker keeps ``MAX_UNITS`` units. A group can hold many tokens; its links are counted
-by distinct ids, never listed one by one.
+worker keeps ``MAX_UNITS`` units. Alignment works on the tokens of about ``TEXT_BYTES`` of text
+at once. Links of a group with more than ``LISTED`` are counted by distinct ids.
 
 Null and empty texts, and texts whose joined token bytes of A or B are not the
 space and the text (such as texts with U+2581), have no tokens: zeros, and an
@@ -44,7 +44,10 @@ from lodestone.llm.common import TextBytes, map_text, span_hash, stash, stash_co
 
 FREQUENT = 1 << 18                # pairs sent to every task: 4 MB
 HOT_PART = 1000
-MAX_UNITS, MAX_UNIT_BYTES = 300_000, 48 << 20        # kept per worker
+MAX_UNITS, MAX_IDS = 200_000, 2_000_000              # kept per worker, some 50 MB
+ADD = 4096                        # units given to the libraries at a time
+LISTED = 4096                     # links of a group listed one by one
+TEXT_BYTES = 1 << 19              # text aligned at a time
 MARK = "▁"
 LEAD = "\x01"                     # stands in front of a unit given to B, never part of a piece
 
@@ -61,6 +64,20 @@ def _byte_of() -> dict[str, int]:
     return out
 
 
+class Tokens:
+    """Byte strings by id, in one array."""
+
+    def __init__(self, strings: list[bytes]):
+        self.size = np.array([len(x) for x in strings], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.pool = np.frombuffer(b"".join(strings), dtype=np.uint8)
+
+    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+        n = self.size[ids]
+        before = np.cumsum(n) - n
+        return self.pool[np.repeat(self.start[ids] - before, n) + np.arange(int(n.sum()))]
+
+
 class Pair:
     """Both tokenizers and the bytes of their tokens."""
 
@@ -71,10 +88,13 @@ class Pair:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte_of = _byte_of()
-        self.a_bytes = {i: bytes(byte_of[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        entries = {i: t for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        a_bytes = [bytes(byte_of[c] for c in entries.get(i, "")) for i in range(max(entries) + 1)]
         n = self.b.get_piece_size()
-        self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
-                        else self.b.id_to_piece(i).replace(MARK, " ").encode() for i in range(n)]
+        b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
+                   else self.b.id_to_piece(i).replace(MARK, " ").encode() for i in range(n)]
+        self.tokens = Tokens(a_bytes), Tokens(b_bytes)
+        self.digits = Tokens([str(i).encode() for i in range(max(len(a_bytes), n))])
         self.base = n                                        # a pair's code: A id * base + B id
         self.lead = self.b.encode(LEAD)
         # pairs of ASCII characters (128: any other) that some piece of B holds side by side
@@ -133,32 +153,9 @@ def load(a_path: str, b_path: str) -> Pair:
     return Pair(a_path, b_path)
 
 
-def align(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, int]]:
-    """(first A, end A, first B, end B) of each group, from the byte offsets where tokens end."""
-    out, i, j, a0, b0 = [], 0, 0, 0, 0
-    while i < len(a_ends) and j < len(b_ends):
-        if a_ends[i] < b_ends[j]:
-            i += 1
-        elif a_ends[i] > b_ends[j]:
-            j += 1
-        else:
-            i, j = i + 1, j + 1
-            out.append((a0, i, b0, j))
-            a0, b0 = i, j
-    return out
-
-
-def _ends(tokens) -> list[int]:
-    out, at = [], 0
-    for t in tokens:
-        at += len(t)
-        out.append(at)
-    return out
-
-
 class Units:
-    """Aligned units, kept by a 64-bit hash of their bytes: token and link counts, the
-    groups as text, distinct pairs with their links."""
+    """Both tokenizers' ids of text units, kept by a 64-bit hash of their bytes; ``good``: both
+    join to the unit's bytes."""
 
     def __init__(self, pair: Pair):
         self.pair = pair
@@ -166,75 +163,57 @@ class Units:
 
     def _reset(self):
         self.slot: dict[int, int] = {}
-        self.counts = np.zeros((4, 1024), np.int64)          # A tokens, B tokens, groups, links
         self.good = np.zeros(1024, dtype=bool)
-        self.groups: list[str] = []
-        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.codes, self.links, self.used, self.bytes = np.zeros(4096, np.int64), np.zeros(4096, np.int64), 0, 0
-
-    def _one(self, unit: bytes, a: list[int], b: list[int]):
-        """(counts, groups, codes, links), or None when the bytes of the tokens are others."""
-        a_bytes, b_bytes = [self.pair.a_bytes[i] for i in a], [self.pair.b_bytes[i] for i in b]
-        if b"".join(a_bytes) != unit or b"".join(b_bytes) != unit:
-            return None
-        cut = align(_ends(a_bytes), _ends(b_bytes))
-        pairs: dict[int, int] = {}
-        links = 0
-        for a0, a1, b0, b1 in cut:
-            links += (a1 - a0) * (b1 - b0)
-            if a1 - a0 == 1 and b1 - b0 == 1:
-                code = a[a0] * self.pair.base + b[b0]
-                pairs[code] = pairs.get(code, 0) + 1
-                continue
-            many: dict[int, int] = {}
-            for y in b[b0:b1]:
-                many[y] = many.get(y, 0) + 1
-            for x in a[a0:a1]:
-                for y, k in many.items():
-                    code = x * self.pair.base + y
-                    pairs[code] = pairs.get(code, 0) + k
-        text = ";".join([",".join(map(str, a[p:q])) + "|" + ",".join(map(str, b[r:s])) for p, q, r, s in cut])
-        return (len(a), len(b), len(cut), links), text, pairs
+        self.start, self.size = np.zeros((2, 1024), np.int64), np.zeros((2, 1024), np.int64)
+        self.pool, self.used = [np.zeros(4096, np.int32), np.zeros(4096, np.int32)], [0, 0]
 
     def _add(self, hashes: list[int], units: list[bytes]) -> None:
-        a, b = self.pair.encode([u.decode() for u in units])
         n, have = len(units), len(self.slot)
         while have + n > len(self.good):
-            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)], axis=1)
             self.good = np.concatenate([self.good, np.zeros_like(self.good)])
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-        codes, links = [], []
-        for k, (u, x, y) in enumerate(zip(units, a, b, strict=True), have):
-            one = self._one(u, x, y)
-            self.good[k] = one is not None
-            counts, text, pairs = one or ((0, 0, 0, 0), "", {})
-            self.counts[:, k] = counts
-            self.groups.append(text)
-            self.start[k], self.size[k] = self.used + len(codes), len(pairs)
-            codes += pairs.keys()
-            links += pairs.values()
-            self.bytes += len(text) + 16 * len(pairs) + 200
-        while self.used + len(codes) > len(self.codes):
-            self.codes, self.links = (np.concatenate([x, np.zeros_like(x)]) for x in (self.codes, self.links))
-        self.codes[self.used:self.used + len(codes)] = codes
-        self.links[self.used:self.used + len(links)] = links
-        self.used += len(codes)
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)], axis=1) for x in (self.start, self.size))
+        good = np.ones(n, dtype=bool)
+        whole = np.frombuffer(b"".join(units), dtype=np.uint8)
+        length = np.fromiter(map(len, units), np.int64, n)
+        for k, coded in enumerate(self.pair.encode([u.decode() for u in units])):
+            size = np.fromiter(map(len, coded), np.int64, n)
+            flat = np.fromiter((i for ids in coded for i in ids), np.int32, int(size.sum()))
+            tokens = self.pair.tokens[k]
+            joined = tokens.bytes_of(flat)
+            if len(joined) != len(whole) or (joined != whole).any():       # some unit's bytes are others
+                total = np.concatenate(([0], np.cumsum(tokens.size[flat])))[np.concatenate(([0], np.cumsum(size)))]
+                for i in range(n):
+                    good[i] &= joined[total[i]:total[i + 1]].tobytes() == units[i]
+            while self.used[k] + len(flat) > len(self.pool[k]):
+                self.pool[k] = np.concatenate([self.pool[k], np.zeros_like(self.pool[k])])
+            self.pool[k][self.used[k]:self.used[k] + len(flat)] = flat
+            self.size[k, have:have + n] = size
+            self.start[k, have:have + n] = self.used[k] + np.cumsum(size) - size
+            self.used[k] += len(flat)
+        self.good[have:have + n] = good & (length > 0)
         self.slot.update(zip(hashes, range(have, have + n), strict=True))
 
     def slots(self, padded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The slot of each unit."""
-        if len(self.slot) > MAX_UNITS or self.bytes > MAX_UNIT_BYTES:
+        if len(self.slot) > MAX_UNITS or max(self.used) > MAX_IDS:
             self._reset()
         uniq, at, inverse = np.unique(span_hash(padded, starts, ends), return_index=True, return_inverse=True)
         names = uniq.tolist()
         slots = np.fromiter((self.slot.get(h, -1) for h in names), np.int64, len(names))
         new = np.flatnonzero(slots < 0)
-        if len(new):
+        for lo in range(0, len(new), ADD):
+            some = new[lo:lo + ADD]
             have = len(self.slot)
-            self._add([names[i] for i in new], [padded[starts[i]:ends[i]].tobytes() for i in at[new]])
-            slots[new] = np.arange(have, have + len(new))
+            self._add([names[i] for i in some], [padded[starts[i]:ends[i]].tobytes() for i in at[some]])
+            slots[some] = np.arange(have, have + len(some))
         return slots[inverse]
 
+    def ids(self, k: int, slots: np.ndarray):
+        """(ids of the units in order, ids per unit) of tokenizer ``k``."""
+        n = self.size[k][slots]
+        before = np.cumsum(n) - n
+        return self.pool[k][np.repeat(self.start[k][slots] - before, n) + np.arange(int(n.sum()))], n
+
 
 @lru_cache(maxsize=1)
 def units(a_path: str, b_path: str) -> Units:
@@ -242,41 +221,96 @@ def units(a_path: str, b_path: str) -> Units:
     return Units(load(a_path, b_path))
 
 
+class Groups:
+    """Groups of A and B tokens that cover the same bytes: ``of[k]`` the group of each token,
+    ``count[k]`` the tokens of each group."""
+
+    def __init__(self, a_size: np.ndarray, b_size: np.ndarray):
+        ends = np.cumsum(a_size), np.cumsum(b_size)
+        total = int(ends[0][-1]) if len(a_size) else 0
+        self.of, self.count = [], []
+        for mine, others in (ends, ends[::-1]):
+            ended = np.zeros(total + 1, dtype=bool)
+            ended[others] = True
+            cut = ended[mine]
+            self.of.append(np.cumsum(cut) - cut)
+            self.n = int(cut.sum())
+        for of in self.of:
+            self.count.append(np.bincount(of, minlength=self.n))
+
+    def links(self, a: np.ndarray, b: np.ndarray, base: int):
+        """(group, code, links) of every linked pair; a group with many tokens by distinct ids."""
+        size = self.count[0] * self.count[1]
+        large = size > LISTED
+        on = ~large[self.of[0]]
+        many = self.count[1][self.of[0][on]]                       # B tokens that each A token meets
+        first = (np.cumsum(self.count[1]) - self.count[1])[self.of[0][on]]
+        before = np.cumsum(many) - many
+        other = b[np.repeat(first - before, many) + np.arange(int(many.sum()))]
+        group = [np.repeat(self.of[0][on], many)]
+        code = [np.repeat(a[on].astype(np.int64) * base, many) + other]
+        times = [np.ones(len(other), np.int64)]
+        for g in np.flatnonzero(large).tolist():
+            x, nx = np.unique(a[slice(*np.searchsorted(self.of[0], (g, g + 1)))], return_counts=True)
+            y, ny = np.unique(b[slice(*np.searchsorted(self.of[1], (g, g + 1)))], return_counts=True)
+            code.append((x.astype(np.int64)[:, None] * base + y).ravel())
+            times.append((nx[:, None] * ny).ravel())
+            group.append(np.full(len(x) * len(y), g))
+        return np.concatenate(group), np.concatenate(code), np.concatenate(times)
+
+    def written(self, a: np.ndarray, b: np.ndarray, digits: Tokens):
+        """(bytes of ``a1,a2|b1;a3|b2;``..., end of each group in them)."""
+        n = len(a) + len(b)
+        upto = [np.cumsum(c) for c in self.count]
+        place = (np.arange(len(a)) + (upto[1] - self.count[1])[self.of[0]], np.arange(len(b)) + upto[0][self.of[1]])
+        ids, sign = np.empty(n, np.int64), np.full(n, ord(","), np.uint8)
+        ids[place[0]], ids[place[1]] = a, b
+        last = upto[0] + upto[1]                                   # tokens up to each group's end
+        sign[last - 1] = ord(";")
+        sign[last - self.count[1] - 1] = ord("|")
+        size = digits.size[ids] + 1
+        end = np.cumsum(size)
+        out = np.empty(int(end[-1]) if n else 0, np.uint8)
+        number = np.ones(len(out), dtype=bool)
+        number[end - 1] = False
+        out[number] = digits.bytes_of(ids)
+        out[end - 1] = sign
+        return out.tobytes(), end[last - 1]
+
+
 def align_texts(known: Units, texts: pa.Array):
-    """Per row: A tokens, B tokens, groups, links (arrays), groups as text; and the rows' distinct
+    """Per row: A tokens, B tokens, groups, links (arrays), groups as bytes; and the rows' distinct
     pairs: offsets by row, codes, links."""
-    n = len(texts)
-    raw = [b" " + t.encode() if t else b"" for t in texts.to_pylist()]
-    t = TextBytes(pa.array([r.decode() for r in raw], pa.large_string()))
+    n, pair = len(texts), known.pair
+    t = TextBytes(pa.array([" " + x if x else "" for x in texts.to_pylist()], pa.large_string()))
     size = len(t.buf)
-    cut = known.pair.cuts(t.padded, size)
+    cut = pair.cuts(t.padded, size)
     cut[t.offsets] = True
     cut[size] = True
     edge = np.flatnonzero(cut)
     starts, ends = edge[:-1], edge[1:]
     slots = known.slots(t.padded, starts, ends) if len(starts) else np.zeros(0, np.int64)
-    first = np.searchsorted(starts, t.offsets)
-    row = np.repeat(np.arange(n), np.diff(first))
+    row = np.repeat(np.arange(n), np.diff(np.searchsorted(starts, t.offsets)))
     good = np.bincount(row, ~known.good[slots], n) == 0
-    totals = [np.bincount(row, c[slots], n).astype(np.int64) * good for c in known.counts]
-    names, listed = known.groups, slots.tolist()
-    text = [";".join([names[s] for s in listed[a:b]]) if ok else "" for a, b, ok in
-            zip(first[:-1].tolist(), first[1:].tolist(), good.tolist(), strict=True)]
-    # distinct units of each row, then their pairs
-    on = good[row]
-    width = len(known.slot) + 1
-    unit, times = np.unique(row[on] * width + slots[on], return_counts=True)
-    slot = unit % width
-    m = known.size[slot]
-    before = np.cumsum(m) - m
-    index = np.repeat(known.start[slot] - before, m) + np.arange(int(m.sum()))
-    owner = np.repeat(unit // width, m)
-    order = np.lexsort((known.codes[index], owner))
-    owner, codes, links = owner[order], known.codes[index][order], (known.links[index] * np.repeat(times, m))[order]
-    if len(owner):
-        new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (codes[1:] != codes[:-1])))
-        owner, codes, links = owner[new], codes[new], np.add.reduceat(links, new)
-    return totals, text, np.searchsorted(owner, np.arange(n + 1)), codes, links
+    slots, row = slots[good[row]], row[good[row]]
+    (a, na), (b, nb) = known.ids(0, slots), known.ids(1, slots)
+    groups = Groups(pair.tokens[0].size[a], pair.tokens[1].size[b])
+    row_of = np.zeros(groups.n, np.int64)
+    row_of[groups.of[0]] = np.repeat(row, na)
+    totals = [np.bincount(row, na, n), np.bincount(row, nb, n), np.bincount(row_of, minlength=n),
+              np.bincount(row_of, groups.count[0] * groups.count[1], n)]
+    data, end = groups.written(a, b, pair.digits)
+    at = np.concatenate(([0], end))[np.searchsorted(row_of, np.arange(n + 1))].tolist()
+    text = [data[x:max(x, y - 1)] for x, y in zip(at[:-1], at[1:], strict=True)]
+    group, code, times = groups.links(a, b, pair.base)
+    top = pair.base * len(pair.tokens[0].size)
+    key = row_of[group] * top + code
+    order = np.argsort(key, kind="stable")
+    key, times = key[order], times[order]
+    if len(key):
+        new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        key, times = key[new], np.add.reduceat(times, new)
+    return [x.astype(np.int64) for x in totals], text, np.searchsorted(key, np.arange(n + 1) * top), key % top, times
 
 
 # --- Spark -------------------------------------------------------------------
@@ -291,9 +325,9 @@ def aligned_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches):
         known = units(a_path, b_path)
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, max_bytes=TEXT_BYTES):
                 totals, text, at, codes, links = align_texts(known, part.column(2))
-                sha = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in text]
+                sha = [hashlib.sha256(g).hexdigest() if g else "" for g in text]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), *(pa.array(x, pa.int64()) for x in totals), pa.array(sha, pa.string()),
                      _lists(at, codes), _lists(at, links)],
