@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestone.operators import ranks as R
 
@@ -26,14 +27,15 @@ def profile(df: DataFrame, col: str, exact: bool = True, exact_limit: int | None
     """
     spark = df.sparkSession
     slim = R._slim(df.select(F.lit(0).alias("_g"), col), ["_g"], col)
+    kind = slim.schema["_v"].dataType
     try:
+        # one aggregate: the plain statistics, and the ends that the order statistics start from
         base = slim.agg(
-            F.count("_v").alias("count"), F.mean("_v").alias("mean"),
-            F.stddev_samp("_v").alias("stddev"), F.min("_v").alias("min"),
-            F.max("_v").alias("max"),
+            F.mean("_v").alias("mean"), F.stddev_samp("_v").alias("stddev"), F.min("_v").alias("min"),
+            F.max("_v").alias("max"), *R._ends(kind),
             *([] if exact else [F.percentile_approx("_v", list(QUARTILES), 10000).alias("q")])
         ).first()
-        n = base["count"]
+        n = base["n"]
         quarts: list[float | None]
         if not exact:
             quarts = list(base["q"]) if base["q"] is not None else [None] * 3
@@ -43,11 +45,14 @@ def profile(df: DataFrame, col: str, exact: bool = True, exact_limit: int | None
             # positions (n-1)p, 0-based; the values at floor and ceil (1-based ranks)
             ranks = sorted({math.floor((n - 1) * p) + d for p in QUARTILES for d in (1, 2)
                             if math.floor((n - 1) * p) + d <= n})
-            ends = R._group_stats(slim, ["_g"])[0]
-            state = [R._target((0,), i, r, ends) for i, r in enumerate(ranks)]
-            got = R._refine(slim, ["_g"], state, R.BUCKETS, R.EXACT_LIMIT if exact_limit is None else exact_limit)
-            got = {k: float(v) for k, v in got.items()}
-            at = {r: got[((0,), i)] for i, r in enumerate(ranks)}
+            kinds = T.StructType([T.StructField("tid", T.LongType()), T.StructField("r", T.LongType()),
+                                  T.StructField("n", T.LongType()), T.StructField("lo", kind), T.StructField("hi", kind),
+                                  *(T.StructField(c, T.LongType()) for c in ("low", "high", "nan"))])
+            ends = [base[c] for c in ("n", "lo", "hi", "low", "high", "nan")]
+            targets = spark.createDataFrame([(r, r, *ends) for r in ranks], kinds).withColumn("_g", F.lit(0))
+            got = R._resolve(slim, ["_g"], R._state(targets, kind), R.BUCKETS,
+                             R.EXACT_LIMIT if exact_limit is None else exact_limit).collect()
+            at = {r.tid: float(r.value) for r in got}
             quarts = []
             for p in QUARTILES:
                 pos = (n - 1) * p

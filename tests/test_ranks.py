@@ -79,8 +79,28 @@ def test_refinement_on_hard_values(spark, values, kind, desc):
         assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 
 
-def test_many_groups_fall_back_to_a_window(spark, monkeypatch):
-    monkeypatch.setattr("lodestone.operators.ranks.MAX_TARGETS", 3)
-    df = spark.createDataFrame([(i % 9, float(i)) for i in range(90)] + [(1, None)], "g int, v double")
-    got = percent_rank_filter(df, ["g"], "v", 0.2, True)
-    assert sorted((r.g, r.v) for r in got.collect()) == sorted((i % 9, float(i)) for i in range(72, 90))
+def test_two_hundred_thousand_groups(spark):
+    # as many thresholds as groups; nothing of them comes to the driver
+    n = 200_000
+    df = spark.range(4 * n).select((F.col("id") % n).alias("g"), F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("v"))
+    w = Window.partitionBy("g").orderBy(F.desc("v"))
+    want = df.withColumn("p", F.percent_rank().over(w)).where("p <= 0.4").drop("p")
+    got = percent_rank_filter(df, ["g"], "v", 0.4, True)
+    mark = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("g", "v")).alias("x"), F.sum("v").alias("s")]
+    assert tuple(got.agg(*mark).first()) == tuple(want.agg(*mark).first())
+
+
+def test_many_open_groups_refine_together(spark, tiny_limits):
+    df = spark.range(60_000).select((F.col("id") % 300).alias("g"), (F.pmod(F.xxhash64("id"), F.lit(10 ** 6)) / 7).alias("v"))
+    w = Window.partitionBy("g").orderBy("v")
+    want = df.withColumn("p", F.percent_rank().over(w)).where("p <= 0.3").drop("p")
+    got = percent_rank_filter(df, ["g"], "v", 0.3)
+    mark = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("g", "v")).alias("x")]
+    assert tuple(got.agg(*mark).first()) == tuple(want.agg(*mark).first())
+
+
+def test_empty_table_and_null_values(spark):
+    df = spark.createDataFrame([(1, None), (2, 5.0)], "g int, v double")
+    assert [tuple(r) for r in percent_rank_filter(df, ["g"], "v", 0.2).collect()] == [(2, 5.0)]
+    assert percent_rank_filter(df.limit(0), ["g"], "v", 0.2).count() == 0
+    assert percent_rank_filter(df.limit(0), [], "v", 0.2).count() == 0
