@@ -38,7 +38,7 @@ BLOCK = 1024
 PAGE_IDS = 64 * BLOCK
 PERCENTILE = 95
 END_ID = 1
-MAX_UNITS = 600_000              # units a worker keeps from task to task: some 100 MB
+MAX_UNITS = 1_000_000            # units a worker keeps from task to task: some 150 MB
 _HEAD = struct.Struct("<IHBH")
 PAGE_SCHEMA = ("shard long, page long, n_ids long, data binary, block_starts array<long>, "
                "doc_ids array<long>, doc_starts array<long>, doc_lengths array<long>")
