@@ -346,10 +346,9 @@ def q_km_core(spark, sf):
 
 def _km_run(variant: str, k: int = 8):
     def run(spark, sf):
-        res = k_medoids(table(spark, sf, "embeddings"), "vec_id", "embedding", k, variant,
-                        max_iter=20, seed=42)
+        res = k_medoids(table(spark, sf, "embeddings"), "vec_id", "embedding", k, variant, seed=42)
         return res.assignments.select(F.col("id").alias("vec_id"), "label", "medoid_id",
-                                      F.round("dist", 6).alias("dist"))
+                                      F.round("dist", 6).alias("dist"), F.lit(res.converged).alias("converged"))
     return run
 
 
@@ -625,11 +624,11 @@ m0 AS (SELECT medoid_id AS lab, medoid_id, mu FROM picked),
 """
 
 
-def _part_run(spark, sf):
+def _part_run(spark, sf, variant="improved"):
     part = table(spark, sf, "part").select("p_partkey", F.array(
         F.col("p_size").cast("double"), F.col("p_retailprice").cast("double") / 50,
         (F.col("p_partkey") % 23).cast("double")).alias("v"))
-    return k_medoids(part, "p_partkey", "v", 6, "improved", max_iter=2, seed=42)
+    return k_medoids(part, "p_partkey", "v", 6, variant, max_iter=2, seed=42)
 
 
 @register("kmedoids_part_trace", _SQL_PART_TWO + """
@@ -642,3 +641,75 @@ def q_km_part_trace(spark, sf):
 @register("kmedoids_part_medoids", _SQL_PART_TWO + "SELECT lab AS label, medoid_id FROM m2")
 def q_km_part_medoids(spark, sf):
     return _part_run(spark, sf).medoids
+
+
+# --- two passes of the sampling variants, whose medoids move on these vectors -----
+
+def _sql_sampling_pass(it: int, variant: str) -> str:
+    """State s<it-1> (vec_id, lab, medoid_id, dist) and medoids m<it-1> -> s<it>, m<it>, cost c<it>."""
+    a, b = it - 1, it
+    if variant == "sampling":
+        now = f"n{b} AS (SELECT * FROM s{a})"
+        selected = f"SELECT vec_id FROM n{b} WHERE substr(md5(CAST(vec_id AS VARCHAR) || ':42:{b}:reassign'), 1, 8) < '33333333'"
+        core = f"SELECT * FROM s{b} WHERE substr(md5(CAST(vec_id AS VARCHAR) || ':42:{b}:update'), 1, 8) < '33333333'"
+    else:
+        now = f"""n{b} AS (SELECT s.vec_id, s.lab, m.medoid_id, round(1 - list_dot_product(x.u, m.mu), 12) AS dist
+              FROM s{a} s JOIN m{a} m USING (lab) JOIN units x USING (vec_id))"""
+        selected = f"""SELECT vec_id FROM (SELECT vec_id, percent_rank() OVER (PARTITION BY lab ORDER BY dist DESC) AS pr
+              FROM n{b}) WHERE pr <= 0.2"""
+        core = f"""SELECT vec_id, lab FROM (SELECT vec_id, lab, percent_rank() OVER (PARTITION BY lab ORDER BY dist) AS pr
+              FROM s{b}) WHERE pr <= 0.3"""
+    return f"""
+{now},
+{_sql_nearest('x', f'm{a}', f'near{b}')},
+sel{b} AS ({selected}),
+s{b} AS (SELECT n.vec_id, CASE WHEN l.vec_id IS NULL THEN n.lab ELSE r.lab END AS lab,
+                CASE WHEN l.vec_id IS NULL THEN n.medoid_id ELSE r.medoid_id END AS medoid_id,
+                CASE WHEN l.vec_id IS NULL THEN n.dist ELSE r.dist END AS dist
+         FROM n{b} n JOIN near{b} r USING (vec_id) LEFT JOIN sel{b} l USING (vec_id)),
+c{b} AS (SELECT sum(dist) AS cost FROM s{b}),
+core{b} AS ({core}),
+{_sql_update(f'core{b}', f'u{b}')},
+m{b} AS (SELECT m.lab, coalesce(u.medoid_id, m.medoid_id) AS medoid_id, coalesce(u.mu, m.mu) AS mu
+         FROM m{a} m LEFT JOIN u{b} u USING (lab))"""
+
+
+def _sql_sampling_two(variant: str) -> str:
+    slot = "floor(CAST('0x' || substr(md5(CAST(x.vec_id AS VARCHAR) || ':42:init'), 1, 8) AS BIGINT) / 4294967296.0 * 6)" \
+        if variant == "sampling" else "x.vec_id % 6"
+    return f"""
+WITH {_SQL_PART_UNIT}, {_sql_pick(6)},
+m0 AS (SELECT medoid_id AS lab, medoid_id, mu FROM picked),
+places AS (SELECT *, row_number() OVER (ORDER BY medoid_id) - 1 AS slot FROM m0),
+s0 AS (SELECT x.vec_id, p.lab, p.medoid_id, round(1 - list_dot_product(x.u, p.mu), 12) AS dist
+       FROM units x JOIN places p ON p.slot = {slot}),
+{_sql_sampling_pass(1, variant)},
+{_sql_sampling_pass(2, variant)}
+"""
+
+
+_SQL_PASS_COSTS = """
+SELECT 1 AS iteration, round(cost, 6) AS cost FROM c1 UNION ALL SELECT 2, round(cost, 6) FROM c2"""
+
+
+def _sampling_two(variant: str) -> None:
+    sql = _sql_sampling_two(variant)
+    short = variant.replace("_sampling", "")
+
+    @register(f"kmedoids_{short}_two_passes", sql + """
+SELECT vec_id, lab AS label, medoid_id, round(dist, 6) + 0.0 AS dist FROM s2""")
+    def rows(spark, sf):
+        return _part_run(spark, sf, variant).assignments.select(
+            F.col("id").alias("vec_id"), "label", "medoid_id", (F.round("dist", 6) + 0.0).alias("dist"))
+
+    @register(f"kmedoids_{short}_two_pass_medoids", sql + "SELECT lab AS label, medoid_id FROM m2")
+    def medoids(spark, sf):
+        return _part_run(spark, sf, variant).medoids
+
+    @register(f"kmedoids_{short}_two_pass_trace", sql + _SQL_PASS_COSTS)
+    def trace(spark, sf):
+        return _part_run(spark, sf, variant).trace.select("iteration", F.round("cost", 6).alias("cost"))
+
+
+for _v in ("sampling", "smart_sampling"):
+    _sampling_two(_v)

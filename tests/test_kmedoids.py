@@ -275,3 +275,115 @@ def test_non_finite_vectors_rejected(spark, engine, value):
 def test_converged_flag(spark, planted):
     assert k_medoids(planted, "id", "v", 2, "improved", init_ids=[0, 1]).converged
     assert not k_medoids(planted, "id", "v", 2, "improved", init_ids=[0, 1], max_iter=1).converged
+
+
+# --- the sampling variants' tables ---------------------------------------------
+
+def _cloud(spark, n, dim, seed=7):
+    rng = np.random.default_rng(seed)
+    X = rng.normal(size=(n, dim)) + 2 * rng.normal(size=(4, dim))[np.arange(n) % 4]
+    return spark.createDataFrame([(i, [float(x) for x in X[i]]) for i in range(n)], "id long, v array<double>")
+
+
+def _bytes(path):
+    import os
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(path) for f in files if f.endswith(".parquet"))
+
+
+@pytest.mark.parametrize("variant", ["sampling", "smart_sampling"])
+def test_state_does_not_grow_with_the_dimension(spark, variant, tmp_path):
+    sizes = []
+    for dim in (4, 64):
+        run = str(tmp_path / f"run{dim}")
+        res = k_medoids(_cloud(spark, 2000, dim), "id", "v", 4, variant, tol=-1.0, max_iter=2, run_path=run)
+        assert res.iterations == 2
+        sizes.append((_bytes(f"{run}/state-000002"), _bytes(f"{run}/points")))
+    assert sizes[1][0] < 1.1 * sizes[0][0] and sizes[1][1] > 8 * sizes[0][1]
+
+
+def test_points_are_not_moved_by_a_pass(spark, tmp_path):
+    from lodestone.operators.kmedoids import _Passes
+    passes = _Passes(spark, str(tmp_path / "run"))
+    rows = passes.start(_cloud(spark, 500, 3))
+    state = rows.select("rid", "id", F.lit(0).cast("long").alias("label"), F.col("id").alias("medoid_id"), F.lit(0.5).alias("dist"))
+    passes.advance(passes.write(state, "state-0")[0])
+    joined = passes.with_vectors(passes.state.rows())
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "ShuffledHashJoin" in plan and joined.count() == 500
+    for t in passes.tables():
+        t.remove()
+    assert not (tmp_path / "run" / "points").exists()
+
+
+def test_ids_may_repeat(spark):
+    df = _cloud(spark, 40, 3).withColumn("id", F.col("id") % 20)
+    res = k_medoids(df, "id", "v", 3, "sampling", tol=-1.0, max_iter=2)
+    assert res.assignments.count() == 40
+    res.unpersist()
+
+
+class _Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("variant", ["sampling", "smart_sampling", "improved"])
+def test_a_killed_run_goes_on(spark, variant, tmp_path, monkeypatch):
+    from lodestone.operators import kmedoids as M
+    df = _cloud(spark, 400, 4)
+    whole = k_medoids(df, "id", "v", 4, variant, tol=-1.0, max_iter=4)
+    want = sorted(map(tuple, whole.assignments.collect()))
+    run = str(tmp_path / "run")
+    real = M.update_medoids
+    calls = []
+
+    def dies(*args, **kw):
+        calls.append(1)
+        if len(calls) == 3:
+            raise _Killed
+        return real(*args, **kw)
+
+    monkeypatch.setattr(M, "update_medoids", dies)
+    with pytest.raises(_Killed):
+        k_medoids(df, "id", "v", 4, variant, tol=-1.0, max_iter=4, run_path=run)
+    monkeypatch.setattr(M, "update_medoids", real)
+    res = k_medoids(df, "id", "v", 4, variant, tol=-1.0, max_iter=4, run_path=run)
+    assert res.iterations == 4 and sorted(map(tuple, res.assignments.collect())) == want
+    assert [r.cost for r in res.trace.orderBy("iteration").collect()] == [r.cost for r in whole.trace.orderBy("iteration").collect()]
+    left = sorted(p.name for p in (tmp_path / "run").iterdir())
+    assert left == [*(["pass-000003", "pass-000004"]), *(["points", "state-000004"] if variant != "improved" else [])]
+    with pytest.raises(ValueError):
+        k_medoids(df, "id", "v", 3, variant, run_path=run)
+    whole.unpersist()
+
+
+# --- exact sums, pruned search ---------------------------------------------------
+
+def test_sums_have_the_same_bits_for_any_partitioning(spark):
+    h = [((F.xxhash64("id", F.lit(j)) % 1000) / 7.0 + F.lit(float(j))).alias(f"x{j}") for j in range(5)]
+    df = spark.range(1_000_000).select("id", *h).select("id", F.array(*[f"x{j}" for j in range(5)]).alias("v"))
+    seen = set()
+    for n in (1, 7, 211):
+        pts = prepare_points(df.repartition(n), "id", "v")
+        med = medoid_rows(pts.where("id < 4"))
+        best = sorted((r.label, r.medoid_id, r.s.hex()) for r in update_medoids(pts, medoids=med).collect())
+        from lodestone.operators.kmedoids import cluster_sums, reassigned_cost
+        sums = [(a, b, [x.hex() for x in c]) for a, b, c in cluster_sums(pts, medoids=med)]
+        seen.add(repr((best, sums, reassigned_cost(pts, med).hex())))
+    assert len(seen) == 1
+
+
+def test_pruned_search_equals_plain_search():
+    from lodestone.functions.vector_kernels import Blocks, _round, products, unit_rows
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16))
+    mm = unit_rows(centres[np.arange(5000) % 40] + 0.15 * rng.normal(size=(5000, 16)))
+    mm[77] = 0.0
+    mm[4000] = mm[12]                                   # a tie: the first wins
+    um = unit_rows(np.vstack([centres[rng.integers(0, 40, 3000)] + 0.15 * rng.normal(size=(3000, 16)), mm[[12, 4000]], np.zeros((3, 16)),
+                              rng.normal(size=(200, 16))]))
+    key = _round(1 - products(um, mm), 12)
+    want = np.argmin(key, axis=1)
+    counted = []
+    at, dist = Blocks(mm, 128).nearest(um, counted)
+    assert (at == want).all() and (dist == key[np.arange(len(um)), want]).all()
+    assert sum(counted) < 0.6 * um.shape[0] * mm.shape[0]
