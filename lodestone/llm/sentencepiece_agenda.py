@@ -4,11 +4,15 @@ A text is cut into units where no piece of the vocabulary holds the two
 adjacent characters, so that no merge can cross; each unit is encoded by an
 agenda: adjacent symbol pairs in a heap ordered by piece score, then position;
 the best is merged and its neighbours enter. Symbols outside the vocabulary
-become byte pieces. Every ``CHECK_EVERY``-th new unit of a batch, and the ids of
-one short document a batch as a whole, are compared with the library.
+become byte pieces. Every unit a worker meets for the first time is also encoded by the
+library, and so are one short document a batch as a whole; a difference fails the job.
+Decoding joins the pieces' bytes; ids that form no text (stray byte pieces, the
+unknown id) are left to the library.
 
 Null text counts as empty (begin and end ids only). Only the id and the text are
-read, so extra columns are ignored; repeated rows are each encoded."""
+read, so extra columns are ignored; repeated rows are each encoded, in any order of equal
+ids. Texts of any length are read whole, a slice of rows at a time; an empty
+table gives no rows."""
 
 from __future__ import annotations
 
@@ -25,9 +29,9 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import map_text, text_slices
 from lodestone.llm.unit_cache import UnitCache
 
-CHECK_EVERY = 8
 CHECK_DOC_BYTES = 20_000         # a whole document is compared when it is no longer than this
 MARK = "▁"                  # the library's sign for a space
+LEAD = "\x01"                     # put before a unit for the library, part of no piece
 
 
 class Vocabulary:
@@ -60,6 +64,9 @@ class Vocabulary:
         joined[:, 0x20] &= np.arange(129) == 0x20      # a piece with an inner space would be seen here
         if any(" " in piece.lstrip(" ") for piece in self.ids):
             raise ValueError("pieces that span a space are not supported")
+        if joined[1].any() or joined[:, 1].any():
+            raise ValueError("a piece holds the lead character")
+        self.lead = p.encode(LEAD)
         self.joined = joined
         self.lens = np.array([len(t) for t in self.text])
         self.pool = np.frombuffer(b"".join(self.text), dtype=np.uint8)
@@ -104,10 +111,11 @@ class Vocabulary:
 
     def encode_units(self, units: list[bytes]) -> list[list[int]]:
         coded = [self.encode_unit(u) for u in units]
-        picked = [i for i in range(0, len(units), CHECK_EVERY) if units[i][:1] == b" "]
-        for i, want in zip(picked, self.lib.encode([units[i][1:].decode() for i in picked]), strict=True):
-            if len(units[i]) > 1 and coded[i] != want:
-                raise ValueError(f"unit {units[i]!r}: {coded[i]} differs from the library's {want}")
+        k = len(self.lead)
+        checked = self.lib.encode([LEAD + u.decode() for u in units])
+        for unit, mine, want in zip(units, coded, checked, strict=True):
+            if want[:k] != self.lead or mine != want[k:]:
+                raise ValueError(f"unit {unit!r}: {mine} differs from the library's {want[k:]}")
         return coded
 
     def cache(self) -> UnitCache:
@@ -151,8 +159,7 @@ def encode_rows(vocabulary: Vocabulary, cache: UnitCache, texts: pa.Array):
 
 
 def decode_rows(vocabulary: Vocabulary, ids: np.ndarray, at: np.ndarray) -> list[bytes]:
-    """UTF-8 of each row: pieces joined, control pieces empty, the space in front removed,
-    bytes that form no character replaced as the library does."""
+    """Bytes of each row: pieces joined, control pieces empty, the space in front removed."""
     n = vocabulary.lens[ids]
     before = np.cumsum(n) - n
     total = int(n.sum())
@@ -170,10 +177,36 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=1)
+def worker_cache(path: str) -> UnitCache:
+    """The units of this Python worker, kept from task to task."""
+    return load(path).cache()
+
+
+def decoded(vocabulary: Vocabulary, ids: np.ndarray, at: np.ndarray) -> list[str]:
+    """Text of each row, as the library decodes it."""
+    out = []
+    # pieces without bytes part a run of byte pieces, but for a begin and an end id at the ends
+    parted = np.concatenate(([0], np.cumsum(vocabulary.lens[ids] == 0)))
+    first, last = at[:-1], at[1:]
+    ends = np.zeros(len(first), np.int64)
+    some = last > first
+    ends[some] += ids[first[some]] == vocabulary.bos
+    some = last > first + 1
+    ends[some] += ids[last[some] - 1] == vocabulary.eos
+    special = parted[last] - parted[first] > ends
+    for i, raw in enumerate(decode_rows(vocabulary, ids, at)):
+        try:
+            text = None if special[i] else raw.decode()
+        except UnicodeDecodeError:
+            text = None
+        out.append(vocabulary.lib.decode(ids[at[i]:at[i + 1]].tolist()) if text is None else text)
+    return out
+
+
 def _coded(docs: DataFrame, model_path: str, schema: str, columns, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
-        vocabulary = load(model_path)
-        cache = vocabulary.cache()
+        vocabulary, cache = load(model_path), worker_cache(model_path)
         for batch in batches:
             checked = False
             for part in text_slices(batch):
@@ -223,7 +256,6 @@ def decode_ids(rows: DataFrame, model_path: str) -> DataFrame:
                 cut = np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64)))
                 flat = np.array([i for x in lists for i in x], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([t.decode("utf-8", "replace") for t in decode_rows(vocabulary, flat, cut)])],
-                    ["doc_id", "text"])
+                    [part.column(0), pa.array(decoded(vocabulary, flat, cut), pa.string())], ["doc_id", "text"])
 
     return map_text(rows.select("doc_id", "ids"), run, "doc_id long, text string")

@@ -67,6 +67,25 @@ def test_sentencepiece_query_and_odd_rows(spark, odd):
         Counter((i, t) for i, t in ODD if i in (2, 5))
 
 
+def test_decoding_equals_library_on_ids_of_no_text(spark):
+    lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    byte = {int(lib.id_to_piece(i)[3:5], 16): i for i in range(lib.get_piece_size()) if lib.is_byte(i)}
+    rng = random.Random(5)
+    rows = [[byte[0xE6], byte[0xBC]], [byte[0xF0], byte[0x9F], byte[0x41]], [0], [1, 0, 300, 2], [], None, [byte[0xE6], byte[0xBC], byte[0xA2]]]
+    rows += [[rng.choice([0, 1, 2, rng.randint(3, 31999), rng.randint(3, 258)]) for _ in range(rng.randint(0, 12))] for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, ids array<int>")
+    got = {r.doc_id: r.text for r in sentencepiece_agenda.decode_ids(df, PIECES).collect()}
+    assert got == {i: lib.decode(r or []) for i, r in enumerate(rows)}
+
+
+def test_a_unit_unlike_the_library_fails():
+    v = sentencepiece_agenda.Vocabulary(PIECES)
+    v.encode_units([b" the", b"(", b"\n", b" "])
+    v.encode_unit = lambda unit: [5]
+    with pytest.raises(ValueError):
+        v.encode_units([b"("])
+
+
 # --- token shards --------------------------------------------------------------
 
 @settings(max_examples=80, deadline=None)
