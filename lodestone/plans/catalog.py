@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -359,7 +360,7 @@ for _v in ("base", "improved", "local", "sampling", "smart_sampling"):
 # --- M1-M10 classifier ---------------------------------------------------------
 
 from lodestone.operators.model import (  # noqa: E402
-    evaluate, fit_and_score, hash_split, prediction_breakdown, string_index, tune)
+    evaluate, fit_and_score, fit_features, fold_of, hash_split, prediction_breakdown, string_index, tune)
 
 # Stand-in for the census table: documents with their quality label.
 _CATEGORICAL = ["lang", "source"]
@@ -401,16 +402,59 @@ def q_ml_split(spark, sf):
 def q_ml_predictions(spark, sf):
     train, test = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
     _, ev = fit_and_score(train, test, _CATEGORICAL, _NUMERIC, _LABEL)
-    return ev.predictions.select("doc_id", "quality", "label", "prediction")
+    return ev.predictions.select("doc_id", "quality", "label", F.round("score", 6).alias("score"), "prediction")
 
 
 @register("ml_cv_breakdown_by_lang")
 def q_ml_cv(spark, sf):
     train, test = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
-    model = tune(train, _CATEGORICAL, _NUMERIC, _LABEL)
+    model = tune(train, _CATEGORICAL, _NUMERIC, _LABEL, id_col="doc_id")
     return prediction_breakdown(model.transform(test), "lang")
 
 
+@register("ml_cv_grid")
+def q_ml_cv_grid(spark, sf):
+    """Mean AUC over the folds of every grid point."""
+    train, _ = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
+    grid = tune(train, _CATEGORICAL, _NUMERIC, _LABEL, id_col="doc_id").grid
+    return spark.createDataFrame([(r, e, round(a, 4)) for r, e, a in grid], "reg_param double, elastic_net double, auc double")
+
+
+_SQL_HEX8 = "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':42:{what}'), 1, 8) AS BIGINT)"
+
+
+@register("ml_fold_sizes", f"""
+SELECT CAST(floor({_SQL_HEX8.format(what='fold')} * 3 / 4294967296.0) AS INTEGER) AS fold, quality, count(*) AS count
+FROM documents JOIN labels USING (doc_id)
+WHERE substr(md5(CAST(doc_id AS VARCHAR) || ':42:split'), 1, 8) < 'cccccccc' GROUP BY fold, quality""")
+def q_ml_folds(spark, sf):
+    train, _ = hash_split(_labelled(spark, sf), "doc_id", 0.8, 42)
+    return (train.groupBy(fold_of("doc_id").alias("fold"), "quality").agg(F.count(F.lit(1)).alias("count")))
+
+
+@register("ml_index_url", """
+SELECT url, CAST(row_number() OVER (ORDER BY count(*) DESC, url) - 1 AS DOUBLE) AS url_index
+FROM pages WHERE url IS NOT NULL GROUP BY url""")
+def q_ml_index_url(spark, sf):
+    return string_index(table(spark, sf, "pages"), "url")
+
+
+# one-hot slots and the numeric column, as (place, value) of every row's feature vector
+@register("ml_features", """
+WITH j AS (SELECT doc_id, lang, source, n_chars, quality FROM documents JOIN labels USING (doc_id)),
+li AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS i FROM j WHERE lang IS NOT NULL GROUP BY lang),
+si AS (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS i FROM j WHERE source IS NOT NULL GROUP BY source),
+n AS (SELECT (SELECT count(*) FROM li) AS nl, (SELECT count(*) FROM si) AS ns),
+f AS (SELECT doc_id, coalesce(li.i, nl) AS place, 1.0 AS value FROM j CROSS JOIN n LEFT JOIN li USING (lang)
+  UNION ALL SELECT doc_id, nl + 1 + coalesce(si.i, ns), 1.0 FROM j CROSS JOIN n LEFT JOIN si USING (source)
+  UNION ALL SELECT doc_id, nl + ns + 2, CAST(n_chars AS DOUBLE) FROM j CROSS JOIN n WHERE n_chars <> 0)
+SELECT doc_id, CAST(place AS INTEGER) AS place, CAST(value AS DOUBLE) AS value FROM f""")
+def q_ml_features(spark, sf):
+    rows = _labelled(spark, sf)
+    ready = fit_features(rows, _CATEGORICAL, _NUMERIC, _LABEL).transform(rows)
+    return (ready.select("doc_id", F.posexplode(vector_to_array("features")).alias("place", "value")).where("value <> 0"))
+
+
 # Fixed-pass runs of the loop, whose result SQL can state. Two passes of the
 # full re-assignment variants always run (the first test compares with
 # +infinity, the second with the largest double); one pass of the sampling ones.
@@ -565,7 +609,7 @@ def _rule_predictions(spark, sf):
     """Score n_chars, prediction n_chars >= 1000, label quality."""
     return _labelled(spark, sf).select(
         "doc_id", "lang", F.col("quality").cast("double").alias("label"),
-        F.col("n_chars").cast("double").alias("rawPrediction"),
+        F.col("n_chars").cast("double").alias("score"),
         F.when(F.col("n_chars") >= 1000, 1.0).otherwise(0.0).alias("prediction"))
 
 

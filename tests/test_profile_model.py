@@ -1,7 +1,10 @@
 import numpy as np
 
+import pytest
+from pyspark.sql import functions as F
+
 from lodestone.operators.model import (
-    fit_and_score, hash_split, prediction_breakdown, string_index)
+    area_under_roc, dictionary, fit_and_score, fit_features, fold_of, hash_split, numbered, prediction_breakdown, string_index, tune)
 from lodestone.operators.profile import count_by, profile
 
 
@@ -84,3 +87,64 @@ def test_sample_rows_repeatable(spark):
     assert sample_rows(df, 0.5, 1).count() > 0
     assert [r.id for r in pick_rows(df, 3, "id").collect()] == \
         [r.id for r in pick_rows(df.repartition(4), 3, "id").collect()]
+
+
+def test_numbers_follow_the_order_over_many_partitions(spark):
+    df = spark.range(20_000).select((F.xxhash64("id") % 5000).alias("k"), "id").repartition(13)
+    rows = numbered(df, F.desc("k"), F.asc("id")).collect()
+    want = sorted(((r.k, r.id) for r in rows), key=lambda r: (-r[0], r[1]))
+    assert [(r.k, r.id) for r in sorted(rows, key=lambda r: r._n)] == want
+    assert sorted(r._n for r in rows) == list(range(20_000))
+
+
+def test_dictionary_of_many_values(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 11 > 0, F.concat(F.lit("v"), F.col("id") % 9001)).alias("k"))
+    got = {r.value: r["index"] for r in dictionary(df, "k").collect()}
+    counts = {r.k: r["count"] for r in df.where("k is not null").groupBy("k").count().collect()}
+    assert got == {v: i for i, v in enumerate(sorted(counts, key=lambda v: (-counts[v], v)))}
+    assert dictionary(df.limit(0), "k").count() == 0
+
+
+@pytest.mark.parametrize("n,levels", [(1, 1), (50, 3), (3000, 40), (3000, 10 ** 6)])
+def test_area_under_roc_counts_pairs(spark, n, levels):
+    rng = np.random.default_rng(n + levels)
+    s, y = rng.integers(0, levels, n) / 7.0, rng.integers(0, 2, n)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(s, y)] + [(None, 1.0), (1.0, None)], "score double, label double")
+    pos, neg = s[y == 1], s[y == 0]
+    want = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg)) if len(pos) and len(neg) else 0.0
+    for parts in (1, 64):
+        assert area_under_roc(df.repartition(parts)) == pytest.approx(want, abs=1e-12)
+
+
+def test_area_equals_the_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    df = spark.range(4000).select((F.xxhash64("id") % 300).cast("double").alias("score"),
+                                  F.when(F.xxhash64("id", F.lit(1)) % 3 == 0, 1.0).otherwise(0.0).alias("label"))
+    lib = BinaryClassificationEvaluator(rawPredictionCol="score", metricName="areaUnderROC", numBins=0).evaluate(df)
+    assert area_under_roc(df) == pytest.approx(lib, abs=1e-9)
+
+
+def test_features_have_a_slot_for_unseen_and_null(spark):
+    df = _toy(spark)
+    features = fit_features(df, ["lang", "source"], ["n_chars"], "quality")
+    odd = spark.createDataFrame([(1, "xx", None, 5.0, 1), (2, "en", "s0", 6.0, 0)], df.schema)
+    got = {r.doc_id: r.features.toArray().tolist() for r in features.transform(odd).collect()}
+    assert len(got[1]) == 4 + 6 + 1 and got[1][3] == 1 and got[1][9] == 1 and got[1][10] == 5.0
+    assert sum(got[2][:4]) == 1 and sum(got[2][4:10]) == 1 and got[2][3] == 0
+
+
+def test_folds_and_grid_do_not_follow_the_partitioning(spark):
+    df = _toy(spark)
+    a = {r.doc_id: r.f for r in df.select("doc_id", fold_of("doc_id").alias("f")).collect()}
+    b = {r.doc_id: r.f for r in df.repartition(64).select("doc_id", fold_of("doc_id").alias("f")).collect()}
+    assert a == b and set(a.values()) == {0, 1, 2}
+    grids = [[(r, e, round(x, 6)) for r, e, x in tune(df.repartition(n), ["lang"], ["n_chars"], "quality", id_col="doc_id").grid]
+             for n in (1, 64)]
+    assert grids[0] == grids[1] and len(grids[0]) == 9
+
+
+def test_split_without_an_id_follows_the_content(spark):
+    df = _toy(spark).drop("doc_id")
+    a, _ = hash_split(df)
+    b, _ = hash_split(df.repartition(9))
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect())) and 100 < a.count() < 200
