@@ -40,6 +40,13 @@ def stash_counted(df: DataFrame, tag: str, **metrics: Column) -> tuple[DataFrame
     return out, seen.get
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name
+
+
 def map_text(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with this package present on the executors."""
     ship_package(df.sparkSession)

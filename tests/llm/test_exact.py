@@ -196,9 +196,13 @@ def test_windows_match_brute_force(spark):
             at = rng.randint(0, len(w))
             w[at:at] = q
         docs.append((i, " \n".join(w)))
+    q = items[5][1].split()
+    docs += [(300, " ".join(q[20:] + q[:20])), (301, " ".join(["v"] * 9 + q[20:] + q[:20] + ["v"] * 9)), (302, " ".join(q[:30] + ["x"] + q[30:])),
+             (303, " ".join(q[5:] + q[:3])), (304, " ".join(q[40:] + q[:40] + q)), (305, " ".join(q[3:58]))]
     docs += [(200, None), (201, ""), (202, items[4][1]), (202, items[4][1]), (None, items[5][1]),
              (203, " ".join(["z"] * 50000 + items[3][1].split()))]
-    df = spark.createDataFrame([(i, t, 1, "c") for i, t in docs], "doc_id long, text string, len int, h string")
+    assert brute_windows([docs[60]], items)[300, 5] == pytest.approx(0.867, abs=1e-3)      # its two parts swapped
+    df = spark.createDataFrame([(i, t, 1, "c") for i, t in docs], "doc_id long, text string, len int, _contaminated_row string")
     bench = spark.createDataFrame([(j, t, 2) for j, t in items], "item_id long, text string, start int")
     rows = simhash_windows.contaminated(df, bench).collect()
     got = {(r.doc_id, r.item_id): r.similarity for r in rows}
