@@ -7,14 +7,17 @@ classifier trained on its posterior labels.
    yet covered, so a family of copies adds few).
 2. Voters: one per stem, and patterns over hit counts, density, phrases and
    shouting. Each votes 1, -1 or abstains. The given label is one more voter.
-3. Label model: expectation-maximisation over the sample's votes; the evidence
-   of a voter is divided by its positive correlations given the class.
+3. Label model: expectation-maximisation over the sample's votes, started from the given
+   label and the votes; the evidence of a voter is divided by its positive correlations
+   with others, estimated before the first round and given the class in every later one.
 4. Logistic regression on the posteriors, its scale set by the given labels;
    scored over Arrow batches.
 
 Learning uses at most ``MAX_TRAIN_ROWS`` labelled documents outside the held-out
 fold; scoring reads every whole text. Null and empty text have no hits and get
 the score of that point; without labels the seed voters alone define the model.
+Texts of any length are read whole; repeated rows each get a row (in the sample equal
+texts count once); ties at the threshold count as toxic. An empty table gives no rows.
 Only the id and the text are read."""
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lodestone.llm.common import held_out, label_sample, map_text, stash, text_slices
+from lodestone.llm.common import free_name, held_out, label_sample, map_text, stash, text_slices
 from lodestone.llm.trees import sigmoid
 
 MAX_TRAIN_ROWS = 12_000
@@ -213,45 +216,63 @@ def votes(c: np.ndarray, seeds: int, cut: float) -> np.ndarray:
     return np.column_stack([*patterns, (stems > 0).astype(int)])
 
 
-def label_model(v: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Posterior of class 1 for each row of votes in {-1, 0, 1}. Starts from the sum of votes;
-    each voter's table of vote given class is estimated with smoothing."""
+def _discounts(corr: np.ndarray, power: int) -> np.ndarray:
+    """A voter's share of the evidence it gives together with the voters it goes along with: m
+    copies of one voter get 1 / m each."""
+    together = np.maximum(corr, 0) ** power
+    np.fill_diagonal(together, 0)
+    return 1 / (1 + together.sum(1))
+
+
+def _correlation(v: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
+    """Correlations of the voters within the classes whose row weights are given, pooled."""
+    total = np.zeros((v.shape[1], v.shape[1]))
+    for p in weights:
+        mean = (p @ v) / max(p.sum(), 1e-9)
+        r = (v - mean) * np.sqrt(p)[:, None]
+        total += r.T @ r
+    sd = np.sqrt(np.maximum(np.diag(total), 1e-9))
+    return total / np.outer(sd, sd)
+
+
+def label_model(v: np.ndarray, rounds: int = 30, anchor: np.ndarray | None = None) -> np.ndarray:
+    """Posterior of class 1 for each row of votes in {-1, 0, 1}; each voter's table of vote given
+    class is estimated with smoothing.
+
+    Voters that repeat each other must not outvote the rest while nothing is known yet: the
+    first posterior is the sum of votes after discounts from the plain correlations (in the
+    fourth power, as voters that are merely right agree too), and of the ``anchor``, votes
+    known to be better than chance, where there is one. From then on the discounts follow
+    the squared correlations given the class, anew each round."""
     n, m = v.shape
     if n == 0:
         return np.zeros(0)
     onehot = np.stack([v == -1, v == 0, v == 1]).astype(float)          # 3 x n x m
-    post = sigmoid(np.clip(v.sum(1), -4, 4).astype(float))
-    discount = np.ones(m)
-    for step in range(rounds):
+    discount = _discounts(_correlation(v, [np.ones(n)]), 4)
+    start = v @ discount + (2.0 * anchor if anchor is not None else 0.0)
+    post = sigmoid(np.clip(start, -4, 4))
+    for _ in range(rounds):
         logp = []
         for p in (1 - post, post):
             table = np.einsum("knm,n->km", onehot, p) + np.array([0.5, 1.0, 0.5])[:, None]
             logp.append(np.log(table / table.sum(0)))
         prior = np.clip(post.mean(), 1e-3, 1 - 1e-3)
         evidence = np.einsum("knm,km->nm", onehot, logp[1] - logp[0])
+        discount = _discounts(_correlation(v, [1 - post, post]), 2)
         post = sigmoid(np.log(prior / (1 - prior)) + evidence @ discount)
-        if step == rounds // 3:                                         # correlations given the class
-            total = np.zeros((m, m))
-            for p in (1 - post, post):
-                mean = (p @ v) / max(p.sum(), 1e-9)
-                r = (v - mean) * np.sqrt(p)[:, None]
-                total += r.T @ r
-            sd = np.sqrt(np.maximum(np.diag(total), 1e-9))
-            corr = total / np.outer(sd, sd)
-            np.fill_diagonal(corr, 0)
-            discount = 1 / (1 + np.maximum(corr, 0).sum(1))
     return post
 
 
-def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 1e-3, steps: int = 25):
-    """(mean, scale, weights, intercept) by Newton steps on soft targets."""
+def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 1e-3, steps: int = 25, weight: np.ndarray | None = None):
+    """(mean, scale, weights, intercept) by Newton steps on soft targets, rows counting by ``weight``."""
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-3)
+    share = np.full(len(x), 1 / len(x)) if weight is None else weight / weight.sum()
     a = np.hstack([np.ones((len(x), 1)), (x - mean) / scale])
     w = np.zeros(a.shape[1])
     for _ in range(steps):
         q = sigmoid(a @ w)
-        grad = a.T @ (q - target) / len(a) + ridge * np.r_[0, w[1:]]
-        hess = (a * (q * (1 - q))[:, None]).T @ a / len(a) + ridge * np.eye(len(w))
+        grad = a.T @ ((q - target) * share) + ridge * np.r_[0, w[1:]]
+        hess = (a * (q * (1 - q) * share)[:, None]).T @ a + ridge * np.eye(len(w))
         w = w - np.linalg.solve(hess, grad)
     return mean, scale, w[1:], float(w[0])
 
@@ -283,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS
     else:
         c, y = np.stack(got["c"].to_numpy()), np.where(got["_y"] > 0, 1, -1)
     cut = density_cut(c, y if len(got) else np.zeros(len(y)))
-    post = label_model(np.column_stack([y, votes(c, len(seeds), cut)]).astype(int))
+    post = label_model(np.column_stack([y, votes(c, len(seeds), cut)]).astype(int), anchor=y)
     x = model_features(c, cut)
     mean, scale, weights, intercept = logistic(x, post)
     if len(got) and len(set(y)) == 2:       # the score's scale, from the given labels
@@ -304,10 +325,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                          F.col(SCORE).alias("score"), (F.col(SCORE) >= predict_at).cast("int").alias("predicted"))
 
 
-def score_text(rows: DataFrame, model: ToxicModel, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` and ``SCORE`` for each row."""
+def score_text(rows: DataFrame, model: ToxicModel, keep: list[str], text: str = "text", name: str = SCORE) -> DataFrame:
+    """The columns ``keep`` and the score, in ``name``, for each row."""
     n = len(model.words) + len(PHRASES)
-    schema = StructType([*(rows.schema[c] for c in keep), StructField(SCORE, DoubleType())])
+    schema = StructType([*(rows.schema[c] for c in keep), StructField(name, DoubleType())])
 
     def run(batches):
         automaton = lexicon(model.words)
@@ -317,7 +338,7 @@ def score_text(rows: DataFrame, model: ToxicModel, keep: list[str], text: str =
                 x = (model_features(raw_counts(texts, automaton, n), model.cut) - model.mean) / model.scale
                 score = sigmoid(model.intercept + x @ model.weights)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(part.schema.get_field_index(c)) for c in keep), pa.array(score)], [*keep, SCORE])
+                    [*(part.column(part.schema.get_field_index(c)) for c in keep), pa.array(score)], [*keep, name])
 
     return map_text(rows, run, schema)
 
@@ -326,4 +347,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                max_train_rows: int = MAX_TRAIN_ROWS, reject_at: float = PREDICT_AT) -> DataFrame:
     """``docs`` without the rows whose score reaches ``reject_at``."""
     model = fit(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), labels, max_train_rows)
-    return score_text(docs, model, docs.columns, text_col).where(F.col(SCORE) < reject_at).drop(SCORE)
+    name = free_name(docs, SCORE)
+    return score_text(docs, model, docs.columns, text_col, name).where(F.col(name) < reject_at).drop(name)

@@ -158,21 +158,81 @@ def test_pii_finds_secrets_and_redacts(spark):
     for r in weak_pii.find_pii(df).collect():
         assert ("secret:" in r.spans) == (r.doc_id < 100) == (r.n_email == 1)
     out = {r.doc_id: r.text for r in weak_pii.redact(df).collect()}
-    assert out[3] == 'é word 3 token = "[SECRET]" and [EMAIL]' and out[100] == rows[60][1]
+    assert out[3] == 'é word 3 token = "[SECRET]" and [EMAIL].' and out[100] == rows[60][1]
     found = {r.doc_id: r.spans for r in weak_pii.find_pii(df).collect()}[3]
     _, s, e = found.split(",")[1].split(":")
     assert rows[3][1][int(s):int(e)] == key[3:] + key[:3]
 
 
-def test_label_model_recovers_reliabilities():
-    rng = np.random.default_rng(2)
+@pytest.mark.parametrize("seed", [2, 3, 4])
+@pytest.mark.parametrize("copies", [1, 2, 3, 5])
+def test_label_model_recovers_reliabilities(seed, copies):
+    rng = np.random.default_rng(seed)
     y = rng.random(4000) < 0.3
     acc = [0.95, 0.85, 0.8, 0.55, 0.75]
     v = np.column_stack([np.where(rng.random(4000) < a, y, ~y) * 2 - 1 for a in acc])
-    v = np.column_stack([v, v[:, 3], v[:, 3]])                  # a weak voter, repeated
+    v = np.column_stack([v, *[v[:, 3]] * (copies - 1)])         # a weak voter, repeated
     assert ((weak_toxicity.label_model(v) > 0.5) == y).mean() > 0.93
 
 
+def _iban(body):
+    digits = "".join(str(int(c, 36)) for c in body + "DE00")
+    return f"DE{98 - int(digits) % 97:02d}{body}"
+
+
+def test_spans_of_every_kind_are_found(spark):
+    rng = random.Random(11)
+
+    def digits(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def hexes(n):
+        return "".join(rng.choice("0123456789abcdef") for _ in range(n))
+
+    def grouped(x):
+        return " ".join(x[i:i + 4] for i in range(0, len(x), 4))
+
+    good = {
+        "secret": [lambda: ('token = "', hexes(40), '" here'), lambda: ("api_key: ", "sk" + hexes(30), " end")],
+        "account": [lambda: ("IBAN: ", grouped(_iban(digits(18))), " please"), lambda: ("to my bank account ", _iban(digits(18)), " today")],
+        "national_id": [lambda: ("her SSN is ", f"{rng.randint(100, 599)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}", " ok")],
+        "local_phone": [lambda: ("call me at ", f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}", " now"),
+                        lambda: ("fax ", f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{rng.randint(1000, 9999)}", " soon")],
+        "name": [lambda: ("Dear ", rng.choice(["Maria", "James", "Klaus", "Sophie"]) + " " + rng.choice(["Lopez", "Miller", "Weber"]), ", hello"),
+                 lambda: ("write to ", rng.choice(["Mr", "Mrs", "Dr"]) + ". " + rng.choice(["Johnson", "Smith", "Klein"]), " at once")]}
+    bad = {
+        "secret": [lambda: ("see commit ", hexes(40), " there"), lambda: ("checksum sha ", hexes(64), " done")],
+        "account": [lambda: ("part number ", f"AB{digits(2)} {digits(4)} {digits(4)} {digits(4)}", " in stock")],
+        "national_id": [lambda: ("figure ", f"000-{rng.randint(10, 99)}-{digits(4)}", " shows"), lambda: ("page ", f"9{digits(2)}-{digits(2)}-{digits(4)}", " of")],
+        "local_phone": [lambda: ("version ", "111 111 1111", " is out"), lambda: ("sample ", "222-222-2222", " only")],
+        "name": [lambda: ("figure James River", "", " map"), lambda: ("section Maria Theresa", "", " style")]}
+    rows, want = [], {}
+    for name, makers in (("good", good), ("bad", bad)):
+        for kind, fs in makers.items():
+            for i in range(60 if name == "bad" else 40 if kind != "account" else 4):
+                before, value, after = fs[i % len(fs)]()
+                rows.append((len(rows), "é some words first, " + before + value + after))
+                if name == "good":
+                    start = len("é some words first, " + before)
+                    want.setdefault(kind, set()).add((len(rows) - 1, start, start + len(value)))
+    rng.shuffle(rows)
+    found = {}
+    for r in weak_pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        for x in filter(None, r.spans.split(",")):
+            k, a, b = x.split(":")
+            found.setdefault(k, set()).add((r.doc_id, int(a), int(b)))
+    for kind, spans in want.items():
+        have = found.get(kind, set())
+        assert len(have & spans) >= 0.9 * len(spans), kind
+        assert len(have & spans) >= 0.9 * len(have), kind
+
+
+def test_a_span_without_votes_is_not_accepted():
+    scores = weak_pii.fit([("name|00000000", 50), ("name|+0000+00", 50), ("email|+000000+", 100), ("account|+000+000", 1), ("account|0000-000", 60)])
+    assert scores["name|00000000"] < 0.5 < scores["name|+0000+00"]
+    assert scores["account|0000-000"] < 0.5 < scores["account|+000+000"]
+
+
 def test_long_secrets_are_covered_whole():
     for n in (300, 1000):
         jwt = ("eyJhbGciOi." * n)[:n]
