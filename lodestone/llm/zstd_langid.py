@@ -8,7 +8,9 @@ dictionary, not the text's own beginning, explains later parts), sizes summed.
 Ties go to the language with more training rows, then by name. A narrow margin
 sets ``rejected``; the best guess stays in ``lang_pred``. ``und`` with score 0
 is returned for null text, text without a letter, and when no language was
-learned. Only the id, text and (to learn) language columns are read."""
+learned. At most ``MAX_LANGUAGES`` languages are learned, the most frequent ones. Repeated
+rows each get a row; texts of any length are scored whole; an empty table gives no rows.
+Only the id, text and (to learn) language columns are read."""
 
 from __future__ import annotations
 
@@ -24,7 +26,8 @@ from lodestone.llm.common import fold, held_out, map_text, text_slices
 
 FOLDS, HELD_OUT = 4, 2
 SAMPLE_PER_LANG = 400            # training documents a language is expected to give
-CHARS_PER_DOC = 512              # of each of them, in its dictionary
+CHARS_PER_DOC = 512              # of each of them, from a place its id's hash chooses
+MAX_LANGUAGES = 500              # learned; their dictionaries are broadcast, DICT_BYTES each
 DICT_BYTES = 192 << 10
 CHUNK = 2048
 LEVEL = 6
@@ -43,21 +46,26 @@ def learn_dictionaries(docs: DataFrame, id_col="doc_id", text_col="text", lang_c
     """(language, training rows, dictionary), the most frequent language first.
 
     Every training row counts; a row is sampled when the hash of its id falls under its
-    language's rate, so the sample is bounded per language and independent of partitioning."""
+    language's rate, so the sample is bounded per language and independent of partitioning. Of
+    a sampled text a stretch goes into the dictionary, each text's share in bytes alike, so nothing
+    is cut off at the end."""
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull()
                    & fold("id", FOLDS).isNotNull() & ~held_out("id", FOLDS, HELD_OUT)))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     rate = F.lit(float(per_lang)) / F.element_at(
         F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(float(r["n"])))]), F.col("lang")) \
         if counts else F.lit(0.0)
     unit = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = (rows.where(unit < rate).select("lang", "id", F.substring("text", 1, CHARS_PER_DOC).alias("text"))
+    start = F.pmod(F.xxhash64("id", F.lit("stretch")), F.greatest(F.length("text") - CHARS_PER_DOC, F.lit(0)) + 1) + 1
+    sample = (rows.where(unit < rate).select("lang", "id", F.substring("text", start.cast("int"), F.lit(CHARS_PER_DOC)).alias("text"))
               .collect())
     out = []
     for r in counts:
         parts = sorted((s["id"], s["text"]) for s in sample if s["lang"] == r["lang"])
-        out.append((r["lang"], r["n"], "\n".join(letters(t) for _, t in parts).encode()[-DICT_BYTES:]))
+        share = DICT_BYTES // max(len(parts), 1) - 1
+        raw = [letters(t).encode()[:share].decode("utf-8", "ignore") for _, t in parts]
+        out.append((r["lang"], r["n"], "\n".join(raw).encode()))
     return out
 
 

@@ -160,6 +160,79 @@ def test_license_rules(spark):
     assert license_sentences.scan_licenses(df.limit(0)).count() == 0
 
 
+GPL2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MPL2 = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+APACHE2 = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+BSD3 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+3. Neither the name of the Example University, Dept. of Things nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission."""
+
+
+def marked(text, before, first="", last=""):
+    return first + "".join(f"{before}{line}\n" for line in text.split("\n")) + last
+
+
+def test_published_headers(spark):
+    lgpl = GPL2.replace("This program is", "This library is").replace("General Public", "Lesser General Public").replace("version 2 ", "version 2.1 ")
+    wanted = [("GPL-2.0-or-later", GPL2), ("MPL-2.0", MPL2), ("Apache-2.0", APACHE2), ("BSD-3-Clause", BSD3), ("LGPL-2.1-or-later", lgpl),
+              ("LGPL-2.0-or-later", "See the GNU Lesser General Public License for more details."),
+              ("AGPL-3.0-or-later", license_sentences.SENTENCES["agpl-free3"]),
+              ("ISC", "Copyright (c) 2020, A. Person\n" + license_sentences.SENTENCES["isc-grant2"] + ".")]
+    rows, want = [], set()
+    for name, text in wanted:
+        for form in (text, marked(text, " * ", "/*\n", " */"), marked(text, "# "), marked(text, "// "), "Copyright 2001 X\n" + text + "\nint main() {}"):
+            want.add((len(rows), name))
+            rows.append((len(rows), form))
+    for form, names in (("/* SPDX-License-Identifier: Apache-2.0 OR MIT */", ("Apache-2.0", "MIT")),
+                        ("# SPDX-License-Identifier: (GPL-2.0+ WITH Classpath-exception-2.0) AND BSD-3-Clause\n", ("GPL-2.0-or-later", "BSD-3-Clause")),
+                        ("// SPDX-License-Identifier: MPL-2.0.\nmit", ("MPL-2.0",))):
+        want |= {(len(rows), n) for n in names}
+        rows.append((len(rows), form))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = license_sentences.scan_licenses(df).collect()
+    assert {(r.doc_id, r.license) for r in got} == want and {r.n_matches for r in got} == {1}
+    con = duckdb.connect()
+    con.register("headers", df.toPandas())
+    ref = con.sql(license_sentences.oracle_sql("headers")).fetchall()
+    assert sorted(ref) == sorted((r.doc_id, r.license, r.n_matches, r.n_sentences) for r in got)
+
+
+def test_every_sentence_has_a_rule(spark):
+    used = {i for _, ids in license_sentences.RULES for i in ids}
+    assert used == set(license_sentences.SENTENCES)
+    df = spark.createDataFrame([(i, f"Intro. {t}, and more") for i, t in enumerate(license_sentences.SENTENCES.values())], "doc_id long, text string")
+    assert {r.doc_id for r in license_sentences.scan_licenses(df).collect()} == set(range(len(license_sentences.SENTENCES)))
+    assert all(any(a in t.lower() for a in license_sentences.ANCHORS) for t in license_sentences.SENTENCES.values())
+
+
 # --- decontamination -----------------------------------------------------------
 
 def brute_windows(docs, items, threshold=0.8):
