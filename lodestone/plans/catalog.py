@@ -757,3 +757,51 @@ SELECT vec_id, lab AS label, medoid_id, round(dist, 6) + 0.0 AS dist FROM s2""")
 
 for _v in ("sampling", "smart_sampling"):
     _sampling_two(_v)
+
+
+# --- sources and sinks: a table written, read back and returned (S1-S5, K1-K3, F12) ---------
+
+from lodestone.operators.primes import parse_integers  # noqa: E402
+from lodestone.sources import files  # noqa: E402
+from lodestone.sources.shared import shared_path  # noqa: E402
+
+
+@register("io_csv_round_trip", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def q_io_csv(spark, sf):
+    path = shared_path(spark, "io-csv")
+    files.write_csv(table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), path)
+    return files.read_csv_ddl(spark, path, "c_custkey long, c_name string, c_acctbal double, c_mktsegment string", trim=False)
+
+
+@register("io_lines_round_trip", "SELECT o_orderkey AS value FROM orders")
+def q_io_lines(spark, sf):
+    path = shared_path(spark, "io-lines")
+    files.write_lines(table(spark, sf, "orders").select("o_orderkey"), path)
+    return parse_integers(files.read_lines(spark, path), "value", "long")
+
+
+@register("io_json_round_trip", "SELECT CAST(doc_id AS VARCHAR) AS id, source AS title, text FROM documents")
+def q_io_json(spark, sf):
+    path = shared_path(spark, "io-json")
+    docs = table(spark, sf, "documents")
+    files.write_json_lines(docs.select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("title"), "text"), path)
+    return files.read_json_documents(spark, path, multiline=False)
+
+
+@register("io_tsv_round_trip", f"""
+SELECT word, count(*) AS count FROM (
+  SELECT unnest({_SQL_TOKENS.format(c='text')}) AS word FROM documents)
+WHERE word <> '' GROUP BY word""")
+def q_io_tsv(spark, sf):
+    path = shared_path(spark, "io-tsv")
+    files.write_tsv(word_count(table(spark, sf, "documents"), "text"), path)
+    return spark.read.schema("word string, count long").option("sep", "\t").csv(path)
+
+
+@register("io_vector_row_ids", """
+SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS id, CAST(p_partkey AS DOUBLE) AS a, CAST(p_size AS DOUBLE) AS b FROM part""")
+def q_io_row_ids(spark, sf):
+    path = shared_path(spark, "io-vectors")
+    files.write_csv(table(spark, sf, "part").select("p_partkey", "p_size").repartitionByRange("p_partkey").sortWithinPartitions("p_partkey"), path)
+    rows = files.read_vectors_csv(spark, path, "a double, b double")
+    return rows.select("id", F.col("vector")[0].alias("a"), F.col("vector")[1].alias("b"))

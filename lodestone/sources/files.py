@@ -6,9 +6,11 @@ reference's numeric-CSV inference (S5).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestone.sources.shared import write_shared
+
 # The JSON document layout and the census table layout.
 DOCUMENT_SCHEMA = "id string, title string, text string"
 CENSUS_SCHEMA = ("age double, workclass string, fnlwgt double, education string, "
@@ -41,20 +43,35 @@ def read_csv_ddl(spark: SparkSession, path: str, schema: str = CENSUS_SCHEMA,
             .csv(path))
 
 
+def number_rows(rows: DataFrame, id_col: str = "id") -> DataFrame:
+    """rows of a file source with their place in it as ``id_col``: 0 to n - 1, files in order of
+    path, lines in order within a file, however the files are split among tasks.
+
+    One job counts the rows of every file split and the running count over them (one row a
+    split) is written; the rows then add their split's offset to their place in the split.
+    Files must not change in between."""
+    at = F.monotonically_increasing_id()                 # grows by one within a split
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+                         at.alias("_at"))
+    splits = placed.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets, _ = write_shared(splits.select("_path", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")),
+                              "splits")
+    return (placed.join(offsets, ["_path", "_block"])
+            .select((F.col("_before") + F.col("_at") - F.col("_first")).alias(id_col), *rows.columns))
+
+
 def read_vectors_csv(spark: SparkSession, path: str, schema: str | None = None,
                      id_col: str = "id", vec_col: str = "vector") -> DataFrame:
     """Headerless numeric CSV -> ``(id bigint, vector array<double>)``.
 
     Without ``schema`` the column types are inferred (an extra pass, as the
-    reference does). The row id is ``monotonically_increasing_id``: unique,
-    but tied to the file splits, so callers that need a stable key across
-    re-reads should supply their own and pass ``schema``.
-    """
+    reference does). The row id is the line's place in the files, see ``number_rows``."""
     reader = spark.read
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     raw = reader.csv(path)
     vec = F.array(*[F.col(c).cast("double") for c in raw.columns])
-    return raw.select(F.monotonically_increasing_id().alias(id_col), vec.alias(vec_col))
+    return number_rows(raw, id_col).select(id_col, vec.alias(vec_col))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -68,6 +85,11 @@ def write_lines(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite
         .write.mode(mode).text(path)
 
 
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One JSON object a line, as ``read_json_documents(multiline=False)`` reads them."""
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+
+
 def write_tsv(df: DataFrame, path: str) -> None:
     """K3: tab-separated key/value lines; refuses an existing directory."""
     df.write.mode("errorifexists").option("sep", "\t").csv(path)

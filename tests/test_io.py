@@ -50,6 +50,30 @@ def test_vectors_csv(spark, tmp_path):
     assert df.select("id").distinct().count() == 2
 
 
+def test_row_ids_do_not_follow_the_splits(spark, tmp_path):
+    n = 0
+    for name, size in (("b.csv", 3000), ("a.csv", 500), ("c.csv", 1), ("d.csv", 0)):
+        (tmp_path / name).write_text("".join(f"{n + i},{i}\n" for i in range(size)))
+        n += size
+    order = [*range(3000, 3500), *range(3000), 3500]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1024", "5000", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = read_vectors_csv(spark, str(tmp_path), "a double, b double").collect()
+            assert [(r.id, r.vector[0]) for r in sorted(rows)] == list(enumerate(map(float, order)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_json_lines_round_trip(spark, tmp_path):
+    from lodestone.sources.files import read_json_documents, write_json_lines
+    rows = [("1", "t", "two\nlines \"q\" é\u2028"), ("2", None, ""), (None, "x", None)]
+    write_json_lines(spark.createDataFrame(rows, "id string, title string, text string"), str(tmp_path / "j"))
+    assert sorted(map(repr, read_json_documents(spark, str(tmp_path / "j"), multiline=False).collect())) == \
+        sorted(map(repr, spark.createDataFrame(rows, "id string, title string, text string").collect()))
+
+
 def test_csv_vectors_to_kmedoids_report(spark, tmp_path):
     # the reference's clustering program: numeric CSV -> vectors -> loop -> 4-line report
     from lodestone.operators.kmedoids import k_medoids
