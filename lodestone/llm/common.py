@@ -9,26 +9,45 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.session import checkpoint_dir, ship_package
+from lodestone.sources.shared import remove
 
 SLICE_BYTES = 2 << 20       # text bytes handled by the numpy kernels at a time
 
 
 # --- tables ------------------------------------------------------------------
 
+_FOLDERS: list[str] = []            # of the scratch blocks under way, innermost last
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables stashed inside the block go when it ends; what is kept must be written
+    elsewhere before that."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stash/scratch-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
+    try:
+        yield
+    finally:
+        _FOLDERS.remove(path)
+        remove(spark, path)
+
+
 def stash(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and read it
     back: lineage ends there, and a lost executor costs one file read."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stash/{tag}-{uuid.uuid4().hex}"
+    folder = _FOLDERS[-1] if _FOLDERS else f"{checkpoint_dir(spark).rstrip('/')}/stash"
+    path = f"{folder}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

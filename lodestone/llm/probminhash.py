@@ -371,9 +371,10 @@ def _cross_pairs(open_: DataFrame) -> DataFrame:
 
 def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each class, that of the smallest id (one row if that id
-    repeats); rows with a null id stay."""
+    """``docs`` with one row of each class, that of the smallest id (if that id repeats, the
+    row with the smallest text, then the smallest other columns); rows with a null id stay."""
     classes = near_duplicates(docs, id_col, text_col, threshold)
     kept = classes.where("doc_id = class_id").select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return named.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    named = docs.where(F.col(id_col).isNotNull()).join(kept, id_col, "left_semi")
+    least = named.groupBy(id_col).agg(F.min(F.struct(text_col, F.struct(*docs.columns).alias("row"))).alias("least"))
+    return least.select("least.row.*").unionByName(docs.where(F.col(id_col).isNull()))
