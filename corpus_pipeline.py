@@ -9,12 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import stash
+from lodestone.llm.common import scratch
 from lodestone.llm.probminhash import keep_one_per_class
 from lodestone.llm.sentencepiece_agenda import encode_ids
 from lodestone.llm.simhash_windows import drop_contaminated
 from lodestone.llm.weak_pii import redact
 from lodestone.llm.weak_toxicity import drop_toxic
+from lodestone.sources.shared import remove, shared_path, write_shared
 from lodestone.sources.tables import table
 
 
@@ -53,8 +54,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``. A stage's own tables go once its result is written, and
+    that goes once the next stage has read it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stash(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_path(spark, f"pipeline-{name}")
+        with scratch(spark):
+            docs, _ = write_shared(stage(spark, docs, sf_dir), name, path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
