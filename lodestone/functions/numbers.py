@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -129,13 +131,61 @@ def is_strong_prime(n: int) -> bool:
     return True
 
 
-def is_strong_prime_kernel(n, spark) -> Column:
-    """Arrow-batched exact primality of 64-bit integers, for values whose divisor list
-    would be too long; only candidates that pass the caller's first divisors get here."""
+def _split(n: int) -> int:
+    """A proper factor of an odd composite n: Pollard's walk, differences multiplied 64 at a time."""
+    root = math.isqrt(n)
+    if root * root == n:
+        return root
+    c = 0
+    while True:
+        c += 1
+        y, q, g, r = 2, 1, 1, 1
+        while g == 1:
+            x = y
+            for _ in range(r):
+                y = (y * y + c) % n
+            k = 0
+            while k < r and g == 1:
+                back = y
+                for _ in range(min(64, r - k)):
+                    y = (y * y + c) % n
+                    q = q * abs(x - y) % n
+                g = math.gcd(q, n)
+                k += 64
+            r *= 2
+        if g == n:                        # too many steps at once: one by one
+            g = 1
+            while g == 1:
+                back = (back * back + c) % n
+                g = math.gcd(abs(x - back), n)
+        if g != n:
+            return g
+
+
+def least_factor(n: int) -> int:
+    """The smallest prime factor of n > 1 (64-bit)."""
+    for p in STRONG_BASES:
+        if n % p == 0:
+            return p
+    if is_strong_prime(n):
+        return n
+    f = _split(n)
+    return min(least_factor(f), least_factor(n // f))
+
+
+def is_strong_prime_kernel(n, spark, max_number: int | None = None) -> Column:
+    """Arrow-batched trial division by all odd primes up to sqrt(max_number), without a list of
+    them: 64-bit primes pass, and so do composites above ``max_number`` whose smallest factor is
+    larger than its root (all others have one that is not). Without ``max_number`` this is
+    primality. Only candidates that pass the caller's first divisors get here."""
     from lodestone.session import ship_package
     ship_package(spark)
+    root = None if max_number is None else math.isqrt(max_number)
+
+    def passes(x: int) -> bool:
+        return is_strong_prime(x) or (root is not None and x > max_number and least_factor(x) > root)
 
     @F.arrow_udf("boolean")
     def _is_prime(v: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else is_strong_prime(x) for x in v.to_pylist()], pa.bool_())
+        return pa.array([None if x is None else passes(x) for x in v.to_pylist()], pa.bool_())
     return _is_prime(_col(n).cast("long"))

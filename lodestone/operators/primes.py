@@ -18,8 +18,8 @@ from lodestone.session import ship_package
 # on 20M rows); "sql": the same test as built-in array functions (interpreted).
 ENGINE = "arrow"
 # Upper limit on the broadcast divisor array: odd primes up to sqrt(max_number).
-# 200k divisors cover max_number up to about 5.4e12 (1.6 MB as bigints); beyond, exact
-# primality is decided by the strong-pseudoprime test instead, with the same answer.
+# 200k divisors cover max_number up to about 5.4e12 (1.6 MB as bigints); beyond, each candidate
+# is decided by a primality test and its smallest factor instead, with the same answer.
 MAX_DIVISORS = 200_000
 # Divisors also tested as plain arithmetic ahead of the array scan.
 QUICK_DIVISORS = 8
@@ -123,11 +123,11 @@ def prime_predicate(spark: SparkSession, col: str, max_number: int, engine: str
                     covers: bool = False):
     """Trial division by the odd primes up to sqrt(max_number): an Arrow
     kernel over whole batches (``engine="arrow"``, default), or built-in
-    array functions (``"sql"``). Both give the reference's answer. ``covers``:
-    no value exceeds ``max_number``, so the answer is primality itself and a
-    divisor list that would be too long is replaced by an exact test."""
+    array functions (``"sql"``). Both give the reference's answer. A divisor list
+    that would be too long is replaced by an exact test of each candidate, with the same answer.
+    ``covers``: no value exceeds ``max_number``, so the answer is primality itself."""
     n = F.col(col)
-    strong = covers and too_many_divisors(max_number)
+    strong = too_many_divisors(max_number)
     ds = odd_divisors(spark, 10_000 if strong else max_number)
     if strong or (engine or ENGINE) == "arrow":
         # the cheap JVM part (2 or odd > 2, the first divisors) lands below the
@@ -135,7 +135,7 @@ def prime_predicate(spark: SparkSession, col: str, max_number: int, engine: str
         pre = (n == 2) | ((n > 2) & ((n % 2) == 1))
         for d in ds if strong else ds[:QUICK_DIVISORS]:
             pre = pre & ((n <= d) | ((n % d) != 0))
-        return pre & (is_strong_prime_kernel(n, spark) if strong else is_prime_kernel(n, ds, spark))
+        return pre & (is_strong_prime_kernel(n, spark, None if covers else max_number) if strong else is_prime_kernel(n, ds, spark))
     return is_prime_by_division(F.col(col), long_array_literal(ds), tuple(ds[:QUICK_DIVISORS]))
 
 
@@ -164,7 +164,7 @@ def prime_filter(df: DataFrame, col: str = "value", max_number: int | None = Non
     primality; with a smaller explicit one, values above it pass when they have
     no odd divisor <= sqrt(max_number), as in the reference."""
     mx = _default_max(df, col) if max_number is None else int(max_number)
-    covers = max_number is None or (too_many_divisors(mx) and _default_max(df, col) <= mx)
+    covers = max_number is None
     return df.where(prime_predicate(df.sparkSession, col, mx, engine, covers))
 
 
@@ -200,17 +200,14 @@ def top_primes(df: DataFrame, col: str = "value", k: int = 100, max_number: int
             return vals.limit(0)
         if max_number is None:
             mx = int(top.hi)
-        elif too_many_divisors(mx):
-            covers = int(top.hi) <= mx
         result = best(vals.where(c >= F.lit(top.lo)))
         if top.n < window or result.count() >= k:
             return result
         window *= 8
     # a wide window, or primes too rare near the top: test every row (still one top-k merge)
-    if mx is None or (not covers and too_many_divisors(mx)):
+    if mx is None:
         hi = vals.agg(F.max(col)).first()[0]
         if hi is None:
             return vals.limit(0)
-        covers = max_number is None or int(hi) <= mx
-        mx = int(hi) if max_number is None else mx
+        mx = int(hi)
     return best(vals)

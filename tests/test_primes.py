@@ -117,3 +117,30 @@ def test_values_beyond_the_divisor_list(spark):
     assert [r.value for r in top_primes(df, "value", 10).collect()] == want
     assert sorted(r.value for r in prime_filter(df, "value").collect()) == sorted(want)
     assert sorted(r.value for r in prime_filter(df, "value", max_number=2**63 - 1).collect()) == sorted(want)
+
+
+def test_least_factor():
+    import random
+    from lodestone.functions.numbers import least_factor
+    for n in [*range(2, 3000), 2 ** 61 - 1, (2 ** 31 - 1) ** 2, 4294967291 * 4294967279, 1000003 ** 3, 3037000493 ** 2]:
+        d = least_factor(n)
+        assert n % d == 0 and (n > 10 ** 7 or d == next(k for k in range(2, n + 1) if n % k == 0))
+    rng = random.Random(1)
+    primes = [p for p in range(10 ** 6, 10 ** 6 + 3000) if least_factor(p) == p]
+    for _ in range(200):
+        a, b, c = rng.choices(primes, k=3)
+        assert least_factor(a * b) == min(a, b) and least_factor(a * b * c) == min(a, b, c)
+
+
+def test_large_max_number_with_larger_values(spark):
+    # divisors up to 3e6 only: composites above with larger factors pass, as by trial division
+    mx = 9 * 10 ** 12
+    p, q, r = 2999999, 3000017, 3000029              # around the root of mx: the first is below it
+    rows = [p * q, q * r, q * q, p * p, mx - 1, 2 ** 61 - 1, (2 ** 31 - 1) ** 2, 2, 3, 9, 7 * q * 1000003, 4 * q, -7, None]
+    from lodestone.operators.primes import too_many_divisors
+    assert too_many_divisors(mx)
+    want = sorted(n for n in rows if n is not None and (n == 2 or (n > 2 and n % 2 == 1 and all(n % d or n == d for d in [3, 5, 7, 11, 2999999, 1000003]) and n not in (mx - 1,))))
+    df = spark.createDataFrame([(n,) for n in rows], "value long")
+    got = sorted(x.value for x in prime_filter(df, "value", mx).collect())
+    assert got == want
+    assert [x.value for x in top_primes(df, "value", 2, mx).collect()] == sorted(want, reverse=True)[:2]
