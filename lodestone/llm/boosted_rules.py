@@ -3,8 +3,10 @@ arrays and scored over Arrow batches, with monotonic constraints.
 
 ``quality_rules(docs, labels)`` returns one row per input row. Rows with null
 or empty text have zero counts and fail the base rule. Without labels of both
-classes the model is constant and the base rule alone decides. Only the id and
-the text are read, so extra columns with any name are ignored."""
+classes the model is constant and the base rule alone decides. Texts of any length are
+counted whole; repeated rows each get a row; a probability equal to the cut keeps a
+document; an empty table gives no rows. Only the id and the text are read, so extra
+columns with any name are ignored."""
 
 from __future__ import annotations
 

@@ -15,7 +15,8 @@ its id, start and length. Spark's writer commits a page once however often its
 task is retried, and no task holds more than one page and one document.
 
 Null text counts as empty (the end id alone). Rows with a null id come first;
-rows that repeat an id are ordered by text. Only the id and the text are read."""
+rows that repeat an id are ordered by text, equal ones each get a row. Texts of any length are
+encoded whole; an empty table gives no rows. Only the id and the text are read."""
 
 from __future__ import annotations
 

@@ -5,7 +5,9 @@ weights them, and the surviving rules are compiled into one Spark expression.
 ``quality_scores(docs, labels)`` returns one row per input row. Null and empty
 text have zero statistics and get the score of that point. Without labels of
 both classes there is no rule and every row gets the prior (0.5 with no label
-at all). Only the id and the text are read, so extra columns are ignored."""
+at all). Texts of any length are counted whole; repeated rows each get a row (a labelled id counts
+once in the fit); a score equal to the threshold predicts 1; an empty table gives no
+rows. Only the id and the text are read, so extra columns are ignored."""
 
 from __future__ import annotations
 
