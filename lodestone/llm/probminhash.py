@@ -25,7 +25,7 @@ was verified.
 Two documents of similarity 0.8 share no band with probability (1 - 0.8^5)^25,
 5e-5. Defined results: null or empty text is a class of its own; a row with a
 null id keeps a null class; an id that occurs with several texts is compared by
-the greatest of them; repeated rows give one row for their id; texts of any length are read
+the greatest of them; repeated rows each get a row; texts of any length are read
 whole; similarity exactly at the threshold links; an empty table gives no rows. Extra
 columns are not read."""
 
