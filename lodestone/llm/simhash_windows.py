@@ -62,10 +62,11 @@ def _fingerprints(rows: DataFrame, keys: list[str], shingles: str) -> DataFrame:
             .alias(f"c{h}_{b}") for h in (1, 2) for b in range(0, 64, 3)]
     counted = each.groupBy(*keys).agg(F.count(F.lit(1)).alias("m"), *sums)
 
-    def half(h: int) -> Column:
-        bits = [f"if(2 * (shiftright(c{h}_{b - b % 3}, {LANE * (b % 3)}) & {2 ** LANE - 1}L) > m, shiftleft(1L, {b}), 0L)"
-                for b in range(64)]
-        return F.expr(" | ".join(bits)).alias(f"f{h}")
+    def half(h: int) -> Column:        # the counters are a lambda's argument, so the plan stays short
+        lanes = ", ".join(f"c{h}_{b}" for b in range(0, 64, 3))
+        return F.expr(f"transform(array(array({lanes})), cs -> aggregate(sequence(0, 63), 0L, (f, b) -> "
+                      f"if(2 * (shiftright(cs[cast(b div 3 as int)], {LANE} * (b % 3)) & {2 ** LANE - 1}L) > m, "
+                      f"f | shiftleft(1L, b), f)))[0]").alias(f"f{h}")
 
     return counted.select(*keys, half(1), half(2))
 
