@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -103,14 +104,23 @@ def _odd_primes_join(spark: SparkSession, m: int, root: int) -> DataFrame:
     return candidates.join(composites, "p", "left_anti")
 
 
+@lru_cache(maxsize=8)
+def _odd_primes_small(root: int) -> tuple[int, ...]:
+    """Odd primes up to ``root``, a few million at most: MAX_DIVISORS bounds the list."""
+    keep = np.ones(max((root - 1) // 2, 0), dtype=bool)      # keep[i] <-> 3 + 2i
+    for i in range((math.isqrt(root) - 1) // 2):
+        if keep[i]:
+            q = 3 + 2 * i
+            keep[(q * q - 3) // 2::q] = False
+    return tuple((3 + 2 * np.flatnonzero(keep)).tolist())
+
+
 def odd_divisors(spark: SparkSession, max_number: int) -> list[int]:
     """The odd primes up to isqrt(max_number) (the reference's broadcast
-    divisor list), from the distributed sieve; size-checked before the job."""
+    divisor list); size-checked first, so it is made here without a job."""
     if too_many_divisors(max_number):
         raise ValueError(f"max_number {max_number} needs more than {MAX_DIVISORS} divisors")
-    if math.isqrt(max(int(max_number), 0)) < 3:
-        return []
-    return [r.p for r in odd_primes_upto(spark, math.isqrt(int(max_number)), method="join").orderBy("p").collect()]
+    return list(_odd_primes_small(math.isqrt(max(int(max_number), 0))))
 
 
 def too_many_divisors(max_number: int) -> bool:
