@@ -289,11 +289,14 @@ class _Passes:
         self.points: Bucketed | None = None
         self.state: Bucketed | None = None
         self.spare: Bucketed | None = None           # distances of the pass under way
+        self.rows: int | None = None                 # known when this run wrote the points
 
     def start(self, points: DataFrame) -> DataFrame:
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         rows = points.select(F.monotonically_increasing_id().alias("rid"), "id", "v")
-        self.points, _ = Bucketed.write(rows.repartition(buckets, "rid"), f"{self.path}/points", "rid", buckets)
+        self.points, seen = Bucketed.write(rows.repartition(buckets, "rid"), f"{self.path}/points", "rid", buckets,
+                                           n=F.count(F.lit(1)))
+        self.rows = seen["n"]
         return self.points.rows()
 
     def reopen(self, schema: str, buckets: int, state: str) -> None:
@@ -476,7 +479,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
                         "medoid_id": F.element_at(ids, F.col("label"))})
                     passes.spare, _ = passes.write(fresh, f"distances-{it:06d}")
                     now = passes.spare.rows()
-                marked = percent_rank_flag(now, ["label"], "dist", fraction, descending=True, stored=True)
+                marked = percent_rank_flag(now, ["label"], "dist", fraction, descending=True, stored=True, rows=passes.rows)
             # a row is re-assigned by a test on itself, so no anti join and union are needed
             best = _nearest("v", medoids, spark, engine, F.col("_sel"))
             merged = passes.with_vectors(marked).select(
@@ -490,7 +493,7 @@ def k_medoids(df: DataFrame, id_col: str, vec_col: str, k: int, variant: str = "
                 cand = written.rows().where(hash_fraction("id", fraction, seed, it, "update"))
             else:
                 cand = percent_rank_filter(written.rows(), ["label"], "dist", core_fraction,
-                                           descending=False, stored=True)
+                                           descending=False, stored=True, rows=passes.rows)
             new = update_medoids(passes.with_vectors(cand).select("id", "v", "label"), engine,
                                  dim=_dim(medoids)).collect()
             by_label = {r["label"]: r for r in new}

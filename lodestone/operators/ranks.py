@@ -122,8 +122,10 @@ def _bucket(buckets: int, log: bool, kind) -> Column:
     return F.when(near, exact).otherwise(b)
 
 
-def _resolve(values: DataFrame, g: list[str], state: DataFrame, buckets: int, exact_limit: int) -> DataFrame:
-    """state: group columns, tid, r, lo, hi, below, cnt -> group columns, tid, value, written."""
+def _resolve(values: DataFrame, g: list[str], state: DataFrame, buckets: int, exact_limit: int,
+             rows: int | None = None) -> DataFrame:
+    """state: group columns, tid, r, lo, hi, below, cnt -> group columns, tid, value, written.
+    ``rows``: how many rows there are, if known; few enough need no pass."""
     kind = values.schema["_v"].dataType
     span = (*g, "lo", "hi")
 
@@ -137,7 +139,10 @@ def _resolve(values: DataFrame, g: list[str], state: DataFrame, buckets: int, ex
     open_, big = F.coalesce(F.col("lo") < F.col("hi"), F.lit(False)), F.col("cnt") > exact_limit
     done, passes = [], 0
     while True:
-        state, seen = write_shared(state, "rank-targets", open=F.count_if(open_), big=F.count_if(open_ & big))
+        if rows is not None and rows <= exact_limit:
+            seen = {"open": 1, "big": 0}
+        else:
+            state, seen = write_shared(state, "rank-targets", open=F.count_if(open_), big=F.count_if(open_ & big))
         done.append(answers(state.where(~open_), "lo"))
         if seen["open"] > seen["big"]:
             small = state.where(open_ & ~big)
@@ -193,23 +198,23 @@ def _cut_rank(fraction: float, descending: bool) -> Column:
 
 def percent_rank_threshold(df: DataFrame, group_cols: list[str], value_col: str,
                            fraction: float, descending: bool = False,
-                           stored: bool = False, exact_limit: int | None = None) -> DataFrame:
+                           stored: bool = False, exact_limit: int | None = None, rows: int | None = None) -> DataFrame:
     """``(group_cols..., _thr)``: per group, the cut-off value such that
     ``percent_rank() over (partition by group_cols order by value_col [desc])
     <= fraction`` holds exactly for rows with value >= _thr (desc) or
     <= _thr (asc). One row per group; nulls are not ranked.
 
     ``stored``: ``df`` reads a narrow table as it is; it is then scanned each pass
-    instead of being cached."""
+    instead of being cached. ``rows``: its number of rows, if known."""
     g = list(group_cols)
     if not g:
         return percent_rank_threshold(df.withColumn("_g", F.lit(0)), ["_g"], value_col, fraction,
-                                      descending, stored, exact_limit).drop("_g")
+                                      descending, stored, exact_limit, rows).drop("_g")
     values = _values(df, g, value_col) if stored else _slim(df, g, value_col)
     try:
         stats = _group_stats(values, g).withColumns({"tid": F.lit(0).cast("long"), "r": _cut_rank(fraction, descending)})
         state = _state(stats, values.schema["_v"].dataType)
-        return _resolve(values, g, state, BUCKETS, exact_limit or EXACT_LIMIT).select(*g, F.col("value").alias("_thr"))
+        return _resolve(values, g, state, BUCKETS, exact_limit or EXACT_LIMIT, rows).select(*g, F.col("value").alias("_thr"))
     finally:
         if not stored:
             values.unpersist()
@@ -217,12 +222,12 @@ def percent_rank_threshold(df: DataFrame, group_cols: list[str], value_col: str,
 
 def percent_rank_flag(df: DataFrame, group_cols: list[str], value_col: str, fraction: float,
                       descending: bool = False, flag: str = "_sel",
-                      stored: bool = False, exact_limit: int | None = None) -> DataFrame:
+                      stored: bool = False, exact_limit: int | None = None, rows: int | None = None) -> DataFrame:
     """``df`` plus boolean ``flag``: whether the row passes the percent_rank
     cut. The thresholds, one row per group, are joined as a written table: Spark
     broadcasts it while its size allows, so the rows themselves then never move."""
     g = list(group_cols)
-    thr = percent_rank_threshold(df, g, value_col, fraction, descending, stored, exact_limit)
+    thr = percent_rank_threshold(df, g, value_col, fraction, descending, stored, exact_limit, rows)
     kind = thr.schema["_thr"].dataType
     v = F.col(value_col).cast(kind)
     if not g:
@@ -238,9 +243,9 @@ def percent_rank_flag(df: DataFrame, group_cols: list[str], value_col: str, frac
 
 def percent_rank_filter(df: DataFrame, group_cols: list[str], value_col: str, fraction: float,
                         descending: bool = False, stored: bool = False,
-                        exact_limit: int | None = None) -> DataFrame:
+                        exact_limit: int | None = None, rows: int | None = None) -> DataFrame:
     """Rows of ``df`` where ``percent_rank() over (partition by group_cols order
     by value_col [desc]) <= fraction`` (W4, W5), without a per-group sort.
     Rows with a null value are not ranked and not returned."""
-    return (percent_rank_flag(df, group_cols, value_col, fraction, descending, "_keep", stored, exact_limit)
+    return (percent_rank_flag(df, group_cols, value_col, fraction, descending, "_keep", stored, exact_limit, rows)
             .where("_keep").drop("_keep"))
