@@ -46,7 +46,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 CROSS_PER_MEMBER = 8             # a bucket with more pairs across components per member is hot
-BLOCK, BLOCK_BYTES = 512, 4 << 20   # documents and text bytes of a block of hot buckets, about
+BLOCK, BLOCK_BYTES = 768, 4 << 20   # documents and text bytes of a block of hot buckets, about
 COLUMNS = 4096                   # shingles of a block that are multiplied at a time
 LEADERS = 4                      # leaders a member is verified against in a star round
 PER_LEADER = 500                 # pairs of one leader that share a copy of its text in the join
