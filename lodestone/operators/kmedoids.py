@@ -48,6 +48,9 @@ MAX_MEDOID_CELLS = 16_000_000
 # Decimal places of a distance before it is compared (ties then go to the smaller id).
 DIST_DECIMALS = 12
 SUM_DECIMALS = 9
+# Buckets of a sampling variant's tables: state rows a task hashes (some 60 bytes each), rows
+# worth a task of their own while there are cores for them, and the most buckets.
+BUCKET_ROWS, SMALL_BUCKET, MAX_BUCKETS = 1_000_000, 5_000, 50_000
 
 
 @dataclass
@@ -289,14 +292,14 @@ class _Passes:
         self.points: Bucketed | None = None
         self.state: Bucketed | None = None
         self.spare: Bucketed | None = None           # distances of the pass under way
-        self.rows: int | None = None                 # known when this run wrote the points
+        self.rows: int | None = None                 # known when this call wrote the points
 
     def start(self, points: DataFrame) -> DataFrame:
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.rows = points.count()
+        some = min(self.spark.sparkContext.defaultParallelism, -(-self.rows // SMALL_BUCKET))
+        buckets = max(1, min(max(some, -(-self.rows // BUCKET_ROWS)), MAX_BUCKETS))
         rows = points.select(F.monotonically_increasing_id().alias("rid"), "id", "v")
-        self.points, seen = Bucketed.write(rows.repartition(buckets, "rid"), f"{self.path}/points", "rid", buckets,
-                                           n=F.count(F.lit(1)))
-        self.rows = seen["n"]
+        self.points, _ = Bucketed.write(rows.repartition(buckets, "rid"), f"{self.path}/points", "rid", buckets)
         return self.points.rows()
 
     def reopen(self, schema: str, buckets: int, state: str) -> None:
