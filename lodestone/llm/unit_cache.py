@@ -10,7 +10,7 @@ import numpy as np
 
 from lodestone.llm.common import span_hash
 
-MAX_UNITS = 400_000              # cached units per worker; the cache starts anew beyond
+MAX_UNITS = 200_000              # cached units per worker; the cache starts anew beyond
 
 
 class UnitCache:
