@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import _GOLD, TextBytes, map_text, mix, stash, stash_counted, text_slices
@@ -46,7 +46,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 CROSS_PER_MEMBER = 8             # a bucket with more pairs across components per member is hot
-BLOCK, BLOCK_BYTES = 768, 4 << 20   # documents and text bytes of a block of hot buckets, about
+BLOCK, BLOCK_BYTES = 512, 4 << 20   # documents and text bytes of a block of hot buckets, about
+BESIDE = 4                       # blocks that one block is verified against in a group
 COLUMNS = 4096                   # shingles of a block that are multiplied at a time
 LEADERS = 4                      # leaders a member is verified against in a star round
 PER_LEADER = 500                 # pairs of one leader that share a copy of its text in the join
@@ -254,19 +255,27 @@ def _block_links(hot: DataFrame, texts: DataFrame, threshold: float) -> DataFram
             .join(at.select("bucket", F.col("block").alias("y"), F.col("pure").alias("py")), "bucket")
             .where("x <= y and (px is null or py is null or px != py)").select("x", "y").distinct())
     meet = stash(meet, "meet")
-    sides = (meet.select("x", "y", F.lit(False).alias("right"), F.col("x").alias("block"))
-             .unionByName(meet.where("x < y").select("x", "y", F.lit(True).alias("right"), F.col("y").alias("block"))))
+    # a block is sent once for every BESIDE blocks it meets, and alone to be verified in itself
+    place = F.row_number().over(Window.partitionBy("x").orderBy("y"))
+    beside = meet.where("x < y").withColumn("g", F.floor((place - 1) / BESIDE))
+    sides = (meet.where("x = y").select("x", F.lit(-1).cast("long").alias("g"), F.lit(False).alias("right"), F.col("x").alias("block"))
+             .unionByName(beside.select("x", "g", F.lit(False).alias("right"), F.col("x").alias("block")).distinct())
+             .unionByName(beside.select("x", "g", F.lit(True).alias("right"), F.col("y").alias("block"))))
     full = blocked.join(texts.select("id", "text").hint("merge"), "id").select("block", "id", "comp", "text")
 
     def run(table: pa.Table) -> pa.Table:
-        left = table.filter(pa.compute.invert(table["right"]))
-        right = table.filter(table["right"])
-        a, b = _forest(left, right if len(right) else left, threshold)
+        left, right = table.filter(pa.compute.invert(table["right"])), table.filter(table["right"])
+        a, b = [], []
+        for name in pa.compute.unique(right["block"]).to_pylist():
+            found = _forest(left, right.filter(pa.compute.equal(right["block"], name)), threshold)
+            a, b = a + found[0], b + found[1]
+        if not len(right):
+            a, b = _forest(left, left, threshold)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     ship_package(hot.sparkSession)
-    return (sides.join(full.hint("merge"), "block").select("x", "y", "right", "id", "comp", "text")
-            .groupBy("x", "y").applyInArrow(run, "a long, b long"))
+    return (sides.join(full.hint("merge"), "block").select("x", "g", "right", "block", "id", "comp", "text")
+            .groupBy("x", "g").applyInArrow(run, "a long, b long"))
 
 
 def _forest(left: pa.Table, right: pa.Table, threshold: float) -> tuple[list[int], list[int]]:
