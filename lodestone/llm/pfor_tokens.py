@@ -39,7 +39,8 @@ BLOCK = 1024
 PAGE_IDS = 64 * BLOCK
 PERCENTILE = 95
 END_ID = 1
-MAX_UNITS = 1_000_000            # units a worker keeps from task to task: some 150 MB
+MAX_UNITS = 1_000_000            # units a worker keeps from task to task: some 100 MB
+GROUP = 256                      # units in one text for the library
 _HEAD = struct.Struct("<IHBH")
 PAGE_SCHEMA = ("shard long, page long, n_ids long, data binary, block_starts array<long>, "
                "doc_ids array<long>, doc_starts array<long>, doc_lengths array<long>")
@@ -53,11 +54,11 @@ def pack_block(ids: np.ndarray) -> bytes:
     rest = ids.astype(np.uint32) - np.uint32(low)
     rank = -(-PERCENTILE * (len(rest) - 1) // 100)
     width = int(np.partition(rest, rank)[rank]).bit_length()
-    out = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
+    out = np.flatnonzero(rest > np.uint32((1 << width) - 1))
     kept = rest.copy()
     kept[out] = 0
-    bits = (kept[:, None] >> np.arange(width, dtype=np.uint32)) & 1
-    packed = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    bits = np.unpackbits(kept.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little")
+    packed = np.packbits(bits.ravel(), bitorder="little").tobytes()
     return b"".join([_HEAD.pack(low, len(ids), width, len(out)), packed,
                      out.astype("<u2").tobytes(), rest[out].astype("<u4").tobytes()])
 
@@ -66,10 +67,10 @@ def unpack_block(data: bytes, at: int = 0) -> np.ndarray:
     low, n, width, n_out = _HEAD.unpack_from(data, at)
     at += _HEAD.size
     size = (n * width + 7) // 8
-    rest = np.zeros(n, dtype=np.uint32)
-    if width:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little")
-        rest = bits.reshape(n, width).astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+    bits = np.zeros((n, 32), dtype=np.uint8)
+    bits[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width,
+                                    bitorder="little").reshape(n, width)
+    rest = np.packbits(bits, bitorder="little").view("<u4").astype(np.uint32)
     where = np.frombuffer(data, "<u2", n_out, at + size)
     rest[where] = np.frombuffer(data, "<u4", n_out, at + size + 2 * n_out)
     return rest + np.uint32(low)
@@ -92,12 +93,15 @@ def read_range(data: bytes, block_starts: list[int], start: int, length: int) ->
 
 # --- encoding ----------------------------------------------------------------
 
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[[*range(65, 91), *range(97, 123)]] = True
-_CAPITAL = np.zeros(256, dtype=bool)
-_CAPITAL[list(range(65, 91))] = True
-_MARK = np.zeros(256, dtype=bool)
-_MARK[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = True          # not the apostrophe: it starts contractions
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LETTER, _MARK = 1, 3            # kinds of bytes: their sum is 4 at an edge of the two only
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = _MARK             # not the apostrophe: it starts contractions
+_LEAD = np.zeros(256, dtype=bool)
+_LEAD[[0xC3, 0xC4, 0xC5]] = True                                     # of U+00C0 to U+017F
+_NO_LETTER = (0xC397, 0xC3B7, 0xC4B0)                                # times, divide; I with dot: not one letter in lower case
 
 
 @lru_cache(maxsize=2)
@@ -109,28 +113,56 @@ def load(path: str):
 
 
 class UnitEncoder:
-    """Ids of texts by the library, one call per distinct unit. A unit is a word, also cut
-    between an ASCII letter and an ASCII mark, where this tokenizer's pre-tokenizer always
-    splits, and in lower case (ASCII), as its normaliser makes it. Texts that hold a special
-    token's string go to the library whole."""
+    """Ids of texts by the library, which sees each distinct unit once. A unit is a word, also
+    cut between a letter (ASCII, U+00C0 to U+017F) and an ASCII mark, where this tokenizer's
+    pre-tokenizer always splits, and in lower case (ASCII), as its normaliser makes it. Units
+    of letters only go to the library ``GROUP`` at a time, a space between. Texts that hold a
+    special token's string go to it whole."""
 
     def __init__(self, path: str):
         self.lib = load(path)
         self.special = [t.content.encode() for t in self.lib.get_added_tokens_decoder().values()]
+        vocabulary = self.lib.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)        # tokens that end a word
+        self.last[[i for token, i in vocabulary.items() if token.endswith(self.lib.model.end_of_word_suffix)]] = True
         self.cache = UnitCache(self._units, MAX_UNITS)
 
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _units(self, units: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.lib.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)]
+        texts = [u.decode() for u in units]
+        words, single = [], []
+        for i, text in enumerate(texts):
+            (words if text.lower().isalpha() else single).append(i)
+        out = [[]] * len(texts)
+        groups = [words[i:i + GROUP] for i in range(0, len(words), GROUP)]
+        for group, ids in zip(groups, self._library([" ".join([texts[i] for i in g]) for g in groups]), strict=True):
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(group):              # each has one end at least: as many, so one each
+                single += group
+                continue
+            at = 0
+            for i, to in zip(group, ends.tolist(), strict=True):
+                out[i] = ids[at:to]
+                at = to
+        for i, ids in zip(single, self._library([texts[i] for i in single]), strict=True):
+            out[i] = ids
+        return out
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         t = TextBytes(texts)
         whole = t.buf.tobytes()
         special = {i: t.row_bytes(i).decode() for i in range(len(t.n_words)) if any(s in t.row_bytes(i) for s in self.special)} \
             if any(s in whole for s in self.special) else {}
-        t.padded[_CAPITAL[t.padded]] += 32           # this tokenizer lower-cases; fewer distinct units
-        kind_a, kind_b = t.buf[:-1], t.buf[1:]
+        t.padded[:] = _LOWER[t.padded]               # this tokenizer lower-cases; fewer distinct units
+        kind = _KIND[t.buf]
+        lead = np.flatnonzero(_LEAD[t.buf])
+        if len(lead):
+            lead = lead[~np.isin(t.buf[lead] * np.uint16(256) + t.buf[lead + 1], _NO_LETTER)]
+            kind[lead] = kind[lead + 1] = _LETTER
         edge = np.zeros(len(t.buf) + 1, dtype=bool)
-        edge[1:-1] = (_LETTER[kind_a] & _MARK[kind_b]) | (_MARK[kind_a] & _LETTER[kind_b])
+        edge[1:-1] = kind[:-1] + kind[1:] == _LETTER + _MARK
         edge[t.offsets] = False                      # a row's first byte starts a word anyhow
         begin, end = edge.copy(), edge
         begin[t.starts] = True

@@ -17,6 +17,7 @@ from hypothesis import strategies as st
 
 from lodestone.llm import license_sentences, pfor_tokens, sentencepiece_agenda, simhash_windows
 from lodestone.llm.queries import ORACLE_SQL, QUERIES
+from lodestone.llm.unit_cache import UnitCache
 from lodestone.sources.tables import table
 
 SF = "/root/testdata/sf0.001"
@@ -109,6 +110,71 @@ def test_unit_encoder_equals_library():
     assert [x.tolist() for x in e.encode(pa.array(texts))] == [x.ids for x in e.lib.encode_batch(texts, add_special_tokens=False)]
 
 
+class CountingLibrary:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, lib):
+        self.lib, self.texts = lib, 0
+
+    def __getattr__(self, name):
+        return getattr(self.lib, name)
+
+    def encode_batch_fast(self, texts, **kw):
+        self.texts += len(texts)
+        return self.lib.encode_batch_fast(texts, **kw)
+
+
+def test_units_go_to_the_library_together():
+    e = pfor_tokens.UnitEncoder(WORDS)
+    e.lib = CountingLibrary(e.lib)
+    words = [a + b + c for a in "bdfgklmnprst" for b in ("ai", "e", "ö", "ou", "łe") for c in "bdfgklmnprst"]
+    got = e.encode(pa.array([" ".join(words), ", ".join(words) + "."]))
+    assert e.lib.texts <= 10
+    assert [x.tolist() for x in got] == [e.lib.encode(t, add_special_tokens=False).ids
+                                         for t in (" ".join(words), ", ".join(words) + ".")]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abEZ019 ,.(<='’éÉßžİıŉſ×÷ªǅΣς漢र्\u0301\u0307\u0338\u00a0\u3000😀ĸ\u1c89")
+                        | st.characters(exclude_categories=["Cs"]), max_size=12), min_size=1, max_size=20))
+def test_units_of_any_text_equal_library(texts):
+    e = pfor_tokens.worker_encoder(WORDS)
+    assert [x.tolist() for x in e.encode(pa.array(texts))] == [x.ids for x in e.lib.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_cut_letters_next_to_marks_equal_library():
+    e = pfor_tokens.UnitEncoder(WORDS)
+    texts = [t for c in map(chr, range(0x80, 0x250)) for t in (f"a{c},b", f"({c}a", f"{c}", f"{c}{c}.", f"a{c}'s", f".{c}'{c},")]
+    assert [x.tolist() for x in e.encode(pa.array(texts))] == [x.ids for x in e.lib.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("max_units", [3000, 10000])
+def test_unit_cache_equals_a_dictionary(max_units):
+    sent = []
+    cache = UnitCache(lambda units: sent.extend(units) or [list(u) for u in units], max_units)
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        words = [str(n).encode() for n in rng.integers(0, 5000, 900)]
+        padded = np.frombuffer(b"".join(words) + bytes(8), np.uint8)
+        ends = np.cumsum([len(w) for w in words])
+        ids, n = cache.ids(padded, ends - [len(w) for w in words], ends)
+        assert ids.tolist() == [b for w in words for b in w]
+        assert n.tolist() == [len(w) for w in words]
+    if max_units == 3000:
+        assert len(cache) <= 3900 and len(sent) > len(set(sent))
+    else:
+        assert len(cache) == len(sent) == len(set(sent))
+
+
+def test_unit_cache_finds_hashes_that_meet():
+    cache = UnitCache(lambda units: [[1]] * len(units))
+    hashes = np.array([0, 4096, 8192, 2 ** 63, 4095, 7, 2 ** 64 - 1], np.uint64)
+    cache._add(hashes[:6], [b"x"] * 6)
+    assert cache._find(hashes).tolist() == [0, 1, 2, 3, 4, 5, -1]
+    cache._table(8192)
+    assert cache._find(hashes).tolist() == [0, 1, 2, 3, 4, 5, -1]
+
+
 def test_token_shards(spark, odd, monkeypatch):
     lib = pfor_tokens.load(WORDS)
     for df in (table(spark, SF, "documents"), odd.where("doc_id is not null")):
