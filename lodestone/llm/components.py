@@ -15,14 +15,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Large star: a node's larger neighbours move to the smallest of its neighbourhood.
     Small star: the node and its smaller neighbours do. Edges are (u, v) with u > v."""
     if large:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        return (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                .where("u > v"))                 # repeats go with the small star
+        return (edges.select(F.col("v").alias("u"), F.col("u").alias("v")).join(low, "u")
+                .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v"))     # repeats go with the small star
     low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    joined = edges.join(low, "u")
-    moved = joined.select("u", F.col("m").alias("v")).unionByName(
-        joined.select(F.col("v").alias("u"), F.col("m").alias("v")))
+    # one pass over the join: a union of both sides would compute all before it twice
+    moved = edges.join(low, "u").select(F.inline(F.array(F.struct("u", F.col("m").alias("v")),
+                                                         F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
     return moved.where("u > v").distinct()
 
 

@@ -166,7 +166,8 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose documents reach the threshold."""
+    """The pairs (a, b) whose documents reach the threshold. They are written first: the join reads
+    them twice, and a plan that finds them anew each time costs the driver memory."""
     def run(batches):
         for batch in batches:
             for half in text_slices(batch, "text_a"):
@@ -175,7 +176,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                     on = pa.array([s >= threshold for s in sim], pa.bool_())
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(on)
 
-    return map_text(_with_texts(pairs, texts), run, "a long, b long")
+    return map_text(_with_texts(stash(pairs, "pairs"), texts), run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -194,6 +195,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = members.select("id", "weight", F.explode("buckets").alias("bucket"))
 
     comp = components(stash(verified(_star_pairs(rows.withColumn("comp", F.col("id")), 0), texts, threshold), "links"))
+    comp = stash(comp, "comp")               # read by every later step
     placed, seen = _placed(rows, comp)
     if seen["n"]:
         pairs = _cross_pairs(placed.where("not hot").select("bucket", "id", "comp"))

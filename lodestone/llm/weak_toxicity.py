@@ -29,6 +29,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -108,27 +109,29 @@ def learn_stems(sample: DataFrame, limit: int = LEARNED_STEMS) -> list[str]:
             for part in text_slices(batch):
                 got = [[(place[s], min(n, 2)) for s, n in _stems(t).items() if s in place] for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([[i for i, _ in g] for g in got], pa.list_(pa.int32())),
-                     pa.array([[n for _, n in g] for g in got], pa.list_(pa.int32()))], ["_k", "y", "i", "n"])
-
-    rows = map_text(texts.select("_k", "y", "text"), hits, "_k string, y int, i array<int>, n array<int>").toPandas()
-    rows = rows.sort_values("_k")
-    has = np.zeros((len(rows), len(names)), dtype=np.int8)
-    for d, (i, n) in enumerate(zip(rows["i"], rows["n"], strict=True)):
-        has[d, i] = n
+                    [part.column(0), part.column(1), pa.array([[i for i, _ in g] for g in got], pa.list_(pa.int16())),
+                     pa.array([[n for _, n in g] for g in got], pa.list_(pa.int8()))], ["_k", "y", "i", "n"])
+
+    rows = map_text(texts.select("_k", "y", "text"), hits, "_k string, y int, i array<short>, n array<byte>").toArrow().sort_by("_k")
     y = rows["y"].to_numpy() > 0
-    p, q = has[y].sum(0, dtype=np.float64) + 0.5, has[~y].sum(0, dtype=np.float64) + 0.5
+    # the hits as (doc, stem, times): a table of all documents by all stems would fill the driver
+    lists = rows["i"].combine_chunks()
+    stem, times = lists.flatten().to_numpy(), rows["n"].combine_chunks().flatten().to_numpy()
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), pa.compute.list_value_length(lists).to_numpy())
+    p, q = (np.bincount(stem[on], times[on], len(names)) + 0.5 for on in (y[doc], ~y[doc]))
     odds = np.log(p / (n1 + 1)) - np.log(q / (n0 + 1)) - 2 * np.sqrt(1 / p + 1 / q)
-    toxic = has[y].astype(np.float32)
-    on, weight, chosen = toxic > 0, np.ones(int(y.sum()), dtype=np.float32), []
     odds = np.where(odds > MIN_ODDS, odds, 0)
+    on = y[doc] & (odds[stem] > 0)
+    doc, stem, times = doc[on], stem[on], times[on]
+    weight, chosen = np.ones(len(y)), []
     while len(chosen) < limit:
-        gain = (weight @ on) * odds
+        gain = np.bincount(stem, weight[doc], len(names)) * odds
         k = int(np.argmax(gain)) if len(gain) else 0
-        if len(gain) == 0 or gain[k] < 0.01 * len(weight):
+        if len(gain) == 0 or gain[k] < 0.01 * y.sum():
             break
         chosen.append(names[k])
-        weight *= np.where(toxic[:, k] >= 2, 0.5, np.where(on[:, k], 0.75, 1.0))
+        of = stem == k
+        weight[doc[of]] *= np.where(times[of] >= 2, 0.5, 0.75)
         odds[k] = 0
     return chosen
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 from zlib import crc32
 
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.llm import boosted_rules, rule_ensemble, trees, weak_pii, weak_toxicity, zstd_langid
+from lodestone.llm.common import stash
 from lodestone.llm.queries import QUERIES
 from lodestone.sources.tables import table
 
@@ -244,3 +246,16 @@ def test_long_secrets_are_covered_whole():
     covered = sorted((s, e) for _, s, e in base + weak_pii.candidates(text, base))
     assert covered[0][0] == 6 and covered[-1][1] == len(text) - 4
     assert all(a[1] == b[0] for a, b in zip(covered[:-1], covered[1:], strict=True))
+
+
+def test_stems_are_chosen_without_a_table_of_documents_by_stems(spark):
+    rng = random.Random(5)
+    vocab = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=10)) for _ in range(400)]
+    rows = [(i % 2, " ".join([*rng.choices(vocab[:300] if i % 2 else vocab[100:], k=10), f"n{i}"])) for i in range(3000)]
+    sample = stash(spark.createDataFrame(rows, "_y int, text string"), "sample")
+    tracemalloc.start()
+    got = weak_toxicity.learn_stems(sample)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == weak_toxicity.LEARNED_STEMS and all(any(w.startswith(s) for w in vocab[:100]) for s in got)
+    assert peak < 15e6                           # 34e6 with a dense table

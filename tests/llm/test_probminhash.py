@@ -7,9 +7,9 @@ import pyarrow as pa
 import pytest
 
 from lodestone.llm.common import TextBytes
-from lodestone.llm.components import components
+from lodestone.llm.components import _star, components
 from lodestone.llm.probminhash import (BANDS, ROWS, near_duplicates, prob_min_hash, probability_jaccard,
-                                       shingles)
+                                       shingles, verified)
 from lodestone.sources.tables import table
 
 
@@ -97,6 +97,29 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
 
 
+def test_a_star_round_reads_its_edges_once_a_use(spark):
+    edges = spark.createDataFrame([(2, 1), (3, 2), (9, 4)], "u long, v long")
+    plan = _star(_star(edges, True), False)
+    assert sorted(map(tuple, plan.collect())) == [(2, 1), (3, 1), (9, 4)]
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LogicalRDD") + text.count("LocalRelation") <= 4         # 16 with unions of both directions
+
+
+def test_pairs_to_verify_are_found_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    words = [f"w{i}" for i in range(40)]
+    texts = spark.createDataFrame([(i, " ".join([*words, f"x{i}"])) for i in range(6)] + [(9, "other")], "id long, text string")
+    pairs = spark.createDataFrame([(0, i) for i in (1, 2, 3, 4, 5, 9)], "a long, b long").mapInArrow(counted, "a long, b long")
+    assert sorted(map(tuple, verified(pairs, texts, 0.8).collect())) == [(0, i) for i in range(1, 6)]
+    assert seen.value == 6
+
+
 def classes(spark, rows):
     return {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
 
